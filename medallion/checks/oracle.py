@@ -133,6 +133,10 @@ def shop(select: str, extra_ctes: str = "") -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return {**shop_oracles(), **price_oracles()}
+
+
+def shop_oracles() -> dict[str, str]:
     return {
         "order_value_versions": shop(ORDER_VALUE.format(orders="sat_order_changes")),
         "order_value_live": shop(ORDER_VALUE.format(orders="latest_order"), LATEST_ORDER),
@@ -147,3 +151,178 @@ def oracle_sql() -> dict[str, str]:
             "SELECT hk_order, load_dts, hashdiff, quantity, order_status, ordered_at, dv_is_deleted, record_source FROM sat_order_changes"
         ),
     }
+
+
+PRICE_CTES = r"""
+li AS (
+  SELECT l.l_orderkey, l.l_suppkey, l.l_partkey, l.l_linenumber, l.l_extendedprice, l.l_returnflag,
+         l.l_linestatus, l.l_shipdate, s.s_name, n.n_name, r.r_name, p.p_name, p.p_type, p.p_size
+  FROM lineitem l
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+  JOIN part p ON l.l_partkey = p.p_partkey
+),
+text0 AS (
+  SELECT l_orderkey,
+    CASE WHEN l_orderkey % 97 = 0 THEN 'bad-date' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS date,
+    r_name AS admin1, n_name AS admin2, s_name AS market,
+    CAST(l_suppkey AS VARCHAR) AS market_id,
+    CAST(l_suppkey % 180 - 90 AS VARCHAR) AS latitude,
+    CAST(l_suppkey % 360 - 180 AS VARCHAR) AS longitude,
+    CASE WHEN p_size = 1 THEN 'non-food' ELSE p_type END AS category,
+    p_name AS commodity,
+    CAST(l_partkey AS VARCHAR) AS commodity_id,
+    (['KG', 'L', '5 L', '730 ML', '140 ML', '10 pcs', 'Day'])[l_linenumber % 7 + 1] AS unit,
+    CASE l_returnflag WHEN 'A' THEN 'actual' WHEN 'N' THEN 'aggregate' WHEN 'R' THEN 'actual,aggregate' END AS priceflag,
+    CASE l_linestatus WHEN 'F' THEN 'Wholesale' WHEN 'O' THEN 'Retail' END AS pricetype,
+    'KHR' AS currency,
+    CASE WHEN l_orderkey % 89 = 0 THEN 'n/a' ELSE CAST(l_extendedprice AS VARCHAR) END AS price,
+    CAST(l_extendedprice / 4000 AS VARCHAR) AS usdprice
+  FROM li
+),
+text_rows AS (
+  SELECT date, admin1, admin2, market, market_id, latitude, longitude, category, commodity, commodity_id, unit, priceflag, pricetype, currency, price, usdprice
+  FROM text0
+  UNION ALL
+  SELECT ' ' || date || ' ' AS date,
+         ' ' || admin1 || ' ' AS admin1,
+         ' ' || admin2 || ' ' AS admin2,
+         ' ' || market || ' ' AS market,
+         ' ' || market_id || ' ' AS market_id,
+         ' ' || latitude || ' ' AS latitude,
+         ' ' || longitude || ' ' AS longitude,
+         ' ' || category || ' ' AS category,
+         ' ' || commodity || ' ' AS commodity,
+         ' ' || commodity_id || ' ' AS commodity_id,
+         ' ' || unit || ' ' AS unit,
+         ' ' || priceflag || ' ' AS priceflag,
+         ' ' || pricetype || ' ' AS pricetype,
+         ' ' || currency || ' ' AS currency,
+         ' ' || price || ' ' AS price,
+         ' ' || usdprice || ' ' AS usdprice
+  FROM text0 WHERE l_orderkey % 50 = 0
+),
+renamed AS (
+  SELECT date AS price_date, trim(admin1) AS province, trim(admin2) AS district, trim(market) AS market,
+         market_id, latitude, longitude, trim(category) AS category, trim(commodity) AS commodity, commodity_id,
+         trim(unit) AS unit, trim(priceflag) AS priceflag, trim(pricetype) AS pricetype, trim(currency) AS currency,
+         price, usdprice AS usd_price, 'wfp' AS source
+  FROM text_rows
+),
+cast_rows AS (
+  SELECT *,
+    CASE WHEN regexp_full_match(trim(price_date), '\d{4}-\d{2}-\d{2}') THEN TRY_CAST(trim(price_date) AS DATE) END AS c_price_date,
+    TRY_CAST(trim(market_id) AS INTEGER) AS c_market_id,
+    TRY_CAST(trim(commodity_id) AS INTEGER) AS c_commodity_id,
+    TRY_CAST(trim(latitude) AS DOUBLE) AS c_latitude,
+    TRY_CAST(trim(longitude) AS DOUBLE) AS c_longitude,
+    TRY_CAST(trim(price) AS DOUBLE) AS c_price,
+    TRY_CAST(trim(usd_price) AS DOUBLE) AS c_usd_price
+  FROM renamed
+),
+classified AS (
+  SELECT *, concat_ws('; ',
+    CASE WHEN price_date IS NOT NULL AND c_price_date IS NULL THEN 'price_date: failed cast to date' END,
+    CASE WHEN market_id IS NOT NULL AND c_market_id IS NULL THEN 'market_id: failed cast to int' END,
+    CASE WHEN commodity_id IS NOT NULL AND c_commodity_id IS NULL THEN 'commodity_id: failed cast to int' END,
+    CASE WHEN latitude IS NOT NULL AND c_latitude IS NULL THEN 'latitude: failed cast to double' END,
+    CASE WHEN longitude IS NOT NULL AND c_longitude IS NULL THEN 'longitude: failed cast to double' END,
+    CASE WHEN price IS NOT NULL AND c_price IS NULL THEN 'price: failed cast to double' END,
+    CASE WHEN usd_price IS NOT NULL AND c_usd_price IS NULL THEN 'usd_price: failed cast to double' END
+  ) AS reject_reasons
+  FROM cast_rows
+),
+good AS (
+  SELECT c_price_date AS price_date, province, district, market, c_market_id AS market_id,
+         c_latitude AS latitude, c_longitude AS longitude, category, commodity, c_commodity_id AS commodity_id,
+         unit, priceflag, pricetype, currency, c_price AS price, c_usd_price AS usd_price, source
+  FROM classified WHERE reject_reasons = ''
+),
+standard AS (
+  SELECT *,
+    list_contains(string_split(priceflag, ','), 'actual') AS is_actual,
+    list_contains(string_split(priceflag, ','), 'aggregate') AS is_aggregate,
+    CASE unit WHEN 'KG' THEN 1.0 WHEN 'L' THEN 1.0 WHEN '5 L' THEN 5.0 WHEN '730 ML' THEN 0.73
+              WHEN '140 ML' THEN 0.14 WHEN '10 pcs' THEN 10.0 WHEN 'Day' THEN 1.0 END::DOUBLE AS unit_qty,
+    CASE unit WHEN 'KG' THEN 'KG' WHEN 'L' THEN 'L' WHEN '5 L' THEN 'L' WHEN '730 ML' THEN 'L'
+              WHEN '140 ML' THEN 'L' WHEN '10 pcs' THEN 'pcs' WHEN 'Day' THEN 'Day' END AS unit_base,
+    category <> 'non-food' AS is_food
+  FROM good
+),
+derived AS (
+  SELECT *,
+    CAST(round(CAST(CAST(price / unit_qty AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS price_per_base_unit,
+    CAST(round(CAST(CAST(usd_price / unit_qty AS VARCHAR) AS DECIMAL(38,18)), 4) AS DOUBLE) AS usd_price_per_base_unit
+  FROM standard
+),
+silver AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY price_date, market_id, commodity_id, pricetype, unit, priceflag
+      ORDER BY price NULLS FIRST, usd_price NULLS FIRST, province NULLS FIRST, district NULLS FIRST,
+               market NULLS FIRST, latitude NULLS FIRST, longitude NULLS FIRST, category NULLS FIRST,
+               commodity NULLS FIRST, currency NULLS FIRST) AS rn
+    FROM derived) WHERE rn = 1
+)
+"""
+
+SILVER_SELECT = """
+SELECT price_date, province, district, market, market_id, latitude, longitude, category, commodity,
+       commodity_id, unit, unit_qty, unit_base, currency, price, price_per_base_unit, usd_price,
+       usd_price_per_base_unit, pricetype, priceflag, is_actual, is_aggregate, is_food, source
+FROM silver
+"""
+
+BRONZE_SELECT = r"""
+SELECT CASE WHEN regexp_full_match(date, '\d{4}-\d{2}-\d{2}') THEN TRY_CAST(date AS DATE) END AS price_date,
+       admin1, admin2, market, TRY_CAST(trim(market_id) AS INTEGER) AS market_id,
+       TRY_CAST(trim(latitude) AS DOUBLE) AS latitude, TRY_CAST(trim(longitude) AS DOUBLE) AS longitude,
+       category, commodity, TRY_CAST(trim(commodity_id) AS INTEGER) AS commodity_id, unit, priceflag,
+       pricetype, currency, TRY_CAST(trim(price) AS DOUBLE) AS price, TRY_CAST(trim(usdprice) AS DOUBLE) AS usd_price,
+       'wfp' AS source
+FROM text_rows
+"""
+
+
+def prices(select: str) -> str:
+    return f"WITH {PRICE_CTES}\n{select}"
+
+
+def price_oracles() -> dict[str, str]:
+    return {
+        "bronze_prices": prices(BRONZE_SELECT),
+        "bronze_profile": prices(
+            f"""SELECT source, CAST(count(*) AS BIGINT) AS rows,
+                       CAST(count(*) FILTER (WHERE price_date IS NULL) AS BIGINT) AS unparseable_dates,
+                       min(price_date) AS first_date, max(price_date) AS last_date
+                FROM ({BRONZE_SELECT}) GROUP BY source"""
+        ),
+        "silver_prices": prices(SILVER_SELECT),
+        "price_rejects": prices(
+            """SELECT price_date, province, district, market, market_id, latitude, longitude, category,
+                      commodity, commodity_id, unit, priceflag, pricetype, currency, price, usd_price, source,
+                      reject_reasons
+               FROM classified WHERE reject_reasons <> ''"""
+        ),
+        "dedup_audit": prices(
+            """SELECT CAST(count(*) AS BIGINT) AS bronze_rows,
+                      CAST(count(*) FILTER (WHERE reject_reasons <> '') AS BIGINT) AS rows_quarantined,
+                      CAST(count(*) FILTER (WHERE reject_reasons = '') AS BIGINT) AS rows_before_dedup,
+                      CAST((SELECT count(*) FROM silver) AS BIGINT) AS silver_rows,
+                      CAST(count(*) FILTER (WHERE reject_reasons = '') - (SELECT count(*) FROM silver) AS BIGINT) AS duplicates_removed
+               FROM classified"""
+        ),
+        "unmapped_units": prices(
+            "SELECT DISTINCT unit FROM good WHERE unit NOT IN ('KG', 'L', '5 L', '10 pcs', 'Day')"
+        ),
+        "flag_profile": prices(
+            "SELECT priceflag, is_actual, is_aggregate, CAST(count(*) AS BIGINT) AS rows FROM silver GROUP BY 1, 2, 3"
+        ),
+        "food_profile": prices("SELECT is_food, CAST(count(*) AS BIGINT) AS rows FROM silver GROUP BY 1"),
+        "price_lookup_top10": prices(
+            """SELECT price_date, unit, price, price_per_base_unit FROM silver
+               WHERE commodity_id = 96 AND pricetype = 'Retail'
+               ORDER BY price_date DESC, market_id, unit, priceflag LIMIT 10"""
+        ),
+    }
