@@ -136,8 +136,71 @@ def oracle_sql() -> dict[str, str]:
     return {**shop_oracles(), **price_oracles()}
 
 
+MESSAGES = """
+messages AS (
+  SELECT 'products' AS source_table, 'shop.public.products' AS topic,
+         '{"payload":{"product_id":' || CAST(user_id AS VARCHAR) || '}}' AS kafka_key,
+         op, lsn, event_id // 2 AS tx_id, source_ts_ms, event_id * 4 AS "offset", source_ts_ms AS ms
+  FROM pe
+  UNION ALL
+  SELECT 'products', 'shop.public.products', '{"payload":{"product_id":' || CAST(user_id AS VARCHAR) || '}}',
+         NULL, NULL, NULL, NULL, event_id * 4 + 1, source_ts_ms
+  FROM pe WHERE op = 'd'
+  UNION ALL
+  SELECT 'orders', 'shop.public.orders', '{"payload":{"order_id":' || CAST(event_id AS VARCHAR) || '}}',
+         op, (event_id + 1) * 10 + step, event_id // 2, ms + step * 60000, event_id * 4 + step, ms + step * 60000
+  FROM order_steps
+  UNION ALL
+  SELECT 'orders', 'shop.public.orders', '{"payload":{"order_id":' || CAST(event_id AS VARCHAR) || '}}',
+         NULL, NULL, NULL, NULL, event_id * 4 + 3, ms + 120000
+  FROM oe WHERE event_id % 10 = 3
+)
+"""
+
+PRODUCT_CHANGE_COLS = (
+    "hk_product, product_id, name, category, unit_price, stock_quantity, dv_is_deleted, "
+    'lsn, source_ts_ms, "offset", load_dts, record_source'
+)
+ORDER_CHANGE_COLS = (
+    "hk_order, hk_customer, hk_product, order_id, customer_name, product_id, quantity, order_status, "
+    'ordered_at, dv_is_deleted, lsn, source_ts_ms, "offset", load_dts, record_source'
+)
+
+
 def shop_oracles() -> dict[str, str]:
     return {
+        "changes_products": shop(f"SELECT {PRODUCT_CHANGE_COLS} FROM products"),
+        "changes_orders": shop(f"SELECT {ORDER_CHANGE_COLS} FROM orders"),
+        "bronze_change_stream": shop(
+            """SELECT kafka_key, source_table, op, lsn, tx_id, source_ts_ms, topic, 0 AS partition, "offset",
+                      make_timestamp(ms * 1000) AS event_timestamp, op IS NOT NULL AS has_payload
+               FROM messages""",
+            MESSAGES,
+        ),
+        "op_profile": shop(
+            "SELECT op, CAST(count(*) AS BIGINT) AS events FROM messages WHERE source_table = 'products' GROUP BY op",
+            MESSAGES,
+        ),
+        "op_transactions": shop(
+            """SELECT op, CAST(count(*) AS BIGINT) AS events, CAST(count(DISTINCT tx_id) AS BIGINT) AS transactions
+               FROM messages WHERE source_table = 'products' GROUP BY op""",
+            MESSAGES,
+        ),
+        "op_by_source": shop(
+            "SELECT source_table, op, CAST(count(*) AS BIGINT) AS events FROM messages GROUP BY 1, 2",
+            MESSAGES,
+        ),
+        "version_counts": shop(
+            "SELECT hk_product, CAST(count(*) AS BIGINT) AS versions FROM sat_product_changes GROUP BY 1"
+        ),
+        "vault_inventory": shop(
+            """SELECT 'hub_product' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM hub_product
+               UNION ALL SELECT 'hub_customer', count(*) FROM hub_customer
+               UNION ALL SELECT 'hub_order', count(*) FROM hub_order
+               UNION ALL SELECT 'link_order', count(*) FROM link_order
+               UNION ALL SELECT 'sat_product', count(*) FROM sat_product_changes
+               UNION ALL SELECT 'sat_order', count(*) FROM sat_order_changes"""
+        ),
         "order_value_versions": shop(ORDER_VALUE.format(orders="sat_order_changes")),
         "order_value_live": shop(ORDER_VALUE.format(orders="latest_order"), LATEST_ORDER),
         "hub_product": shop("SELECT * FROM hub_product"),

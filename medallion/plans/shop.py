@@ -4,12 +4,14 @@ from ``events`` and the vault and order-value queries over them."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from medallion.operators import profiles as P
 from medallion.plans import vault as V
 from medallion.plans.order_value import order_value_live, order_value_versions
-from medallion.session import configure
+from medallion.session import configure, work_path
 from medallion.sources.testdata import change_messages
-from medallion.streaming.cdc import land_changes
+from medallion.streaming.cdc import ChangeStreamSpec, land_changes, run_to_completion
 
 # Physical knobs for the test scale: results do not depend on them.
 LSN_SEGMENT_WIDTH = 20_000
@@ -53,3 +55,56 @@ def _order_value(fn):
 
 order_value_versions_query = _order_value(order_value_versions)
 order_value_live_query = _order_value(order_value_live)
+
+
+def changes_query(source_table: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        products, orders = decoded(spark, sf_dir)
+        return products if source_table == "products" else orders
+    return run
+
+
+def op_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.op_profile(bronze_changes(spark, sf_dir)["products"])
+
+
+def op_transactions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.op_transactions(bronze_changes(spark, sf_dir)["products"])
+
+
+def op_by_source_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = bronze_changes(spark, sf_dir)
+    return P.op_by_source([b["products"], b["orders"]])
+
+
+def version_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.version_counts(vault_table("sat_product")(spark, sf_dir), "hk_product")
+
+
+def vault_inventory_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = bronze_changes(spark, sf_dir)
+    return P.inventory(V.build_vault(b["products"], b["orders"], options()))
+
+
+def bronze_change_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land both change streams to completion, then read the Bronze logs back."""
+    configure(spark)
+    root = work_path(spark, "change-stream")
+    specs = []
+    for name, messages in change_messages(spark, sf_dir).items():
+        source = f"{root}/messages/{name}"
+        messages.write.parquet(source)
+        specs.append(ChangeStreamSpec(
+            source_table=name, topic=f"shop.public.{name}", target_path=f"{root}/bronze/{name}",
+            checkpoint=f"{root}/checkpoints/{name}", source_path=source,
+        ))
+    run_to_completion(spark, specs, source_format="parquet")
+    landed = None
+    for s in specs:
+        df = spark.read.parquet(s.target_path)
+        landed = df if landed is None else landed.unionByName(df)
+    return landed.select(
+        "kafka_key", "source_table", "op", "lsn", "tx_id", "source_ts_ms", "topic", "partition", "offset",
+        F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+        F.col("payload").isNotNull().alias("has_payload"),
+    )

@@ -61,6 +61,7 @@ class ChangeStreamSpec:
     topic: str
     target_path: str
     checkpoint: str
+    source_path: str | None = None
 
 
 def read_messages(
@@ -78,13 +79,14 @@ def read_messages(
     """
     reader = spark.readStream.format(source_format)
     if source_format == "kafka":
+        # Broker address, security and rate limits arrive through options.
         reader = reader.option("subscribe", topic).option("startingOffsets", "earliest")
         for k, v in (options or {}).items():
             reader = reader.option(k, v)
         return reader.load().select(*MESSAGE_SCHEMA.fieldNames())
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    return reader.schema(MESSAGE_SCHEMA).load(path).where(F.col("topic") == topic)
+    return reader.schema(MESSAGE_SCHEMA).load(path)
 
 
 def start_change_stream(
@@ -92,12 +94,11 @@ def start_change_stream(
     spec: ChangeStreamSpec,
     source_format: str = "kafka",
     options: dict[str, str] | None = None,
-    source_path: str | None = None,
     available_now: bool = False,
     sink_format: str = "parquet",
 ) -> StreamingQuery:
     """Append-only landing with exactly-once delivery per checkpoint."""
-    messages = read_messages(spark, spec.topic, source_format, options, source_path)
+    messages = read_messages(spark, spec.topic, source_format, options, spec.source_path)
     writer = (
         land_changes(messages, spec.source_table)
         .writeStream.format(sink_format)
