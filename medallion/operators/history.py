@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 from medallion.functions.ordering import EVENT_ORDER, event_order
 
 
+FIRST_SEGMENT = -(2**63)
+
+
 def first_seen(df: DataFrame, key: str, order: Sequence[str] = EVENT_ORDER) -> DataFrame:
     """One row per key: the earliest event that carried it."""
     w = Window.partitionBy(key).orderBy(*event_order(order))
@@ -50,12 +53,13 @@ def change_rows(
             .drop("_prev")
         )
 
-    seg = df.withColumn("_seg", segment)
+    # null positions sort first, so their segment is the smallest long
+    seg = df.withColumn("_seg", F.coalesce(segment.cast("long"), F.lit(FIRST_SEGMENT)))
     rank = F.struct(*[F.col(c) for c in order], F.col(hash_col))
     last = seg.groupBy(key, "_seg").agg(F.max_by(F.col(hash_col), rank).alias("_last"))
     carry = last.select(
         key, "_seg",
-        F.lag("_last").over(Window.partitionBy(key).orderBy(F.col("_seg").asc_nulls_first())).alias("_carry"),
+        F.lag("_last").over(Window.partitionBy(key).orderBy(F.col("_seg").asc())).alias("_carry"),
     )
     w = Window.partitionBy(key, "_seg").orderBy(*ordering)
     prev = F.coalesce(F.lag(hash_col).over(w), F.col("_carry"))
