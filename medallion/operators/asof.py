@@ -3,37 +3,32 @@
 For each left row: the right row with the same ``by`` key and the greatest
 ``right_on <= left_on``; among right rows with equal ``right_on`` the one
 with the greatest ``tiebreak`` wins, so at most one row matches. Inner joins
-drop left rows without a match; left joins keep them with null right columns.
+drop left rows without a match; left joins keep them with null right
+columns. Null keys and null times never match.
 
 Plan: left and right rows are unioned and ordered by time inside each key,
 with right rows first at equal times; ``last(right, ignorenulls)`` over the
 running frame is the match. This is one shuffle and a sort, never a
-nested-loop or per-key cross product, whatever the number of versions.
-
-A hot key would still land in one task, so with ``bucket_width`` the key is
-split into (key, time bucket) partitions. A right row from an earlier bucket
-can still be the match, so each bucket receives a carry row: the last right
-row before the bucket, found by a pre-aggregated group-by per (key, bucket)
-and a running window over the small (key, bucket) grid.
+nested-loop join or a per-key cross product, however many versions a key has.
+
+A hot key would still fill one task. With a :class:`HotKeySplit`, keys with
+many rows (left and right together) are cut into time ranges that are
+matched in parallel. A right row from an earlier range can still be the
+match, so each range that holds left rows receives a carry row: the last
+right row before the range, found by a pre-aggregated group-by per
+(key, range) and a running window over the small range table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_LEFT, _RIGHT = 1, 0
 
+from medallion.operators.skew import COLD, SEGMENT, HotKeySplit, assign_segments, hot_key_ranges, position
 
-def _ordinal(c: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("long")
-    return c
+_LEFT, _RIGHT = 1, 0
 
 
 def asof_join(
@@ -44,11 +39,10 @@ def asof_join(
     right_on: str,
     tiebreak: Sequence[str] = (),
     how: str = "inner",
-    bucket_width: int | None = None,
+    split: HotKeySplit | None = None,
 ) -> DataFrame:
-    """Point-in-time join; output is the left columns then the right columns
-    except ``by``. ``bucket_width`` is in microseconds for timestamps, days for
-    dates, and raw units for numbers."""
+    """Point-in-time join; output is the left columns, then the right columns
+    except ``by``."""
     by = [by] if isinstance(by, str) else list(by)
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -65,6 +59,9 @@ def asof_join(
     tb_type = right.select(tb_right.alias("s")).schema["s"].dataType
     t_type = right.schema[right_on].dataType
 
+    keys_present = F.lit(True)
+    for k in by:
+        keys_present = keys_present & F.col(k).isNotNull()
     lrows = left.select(
         *[F.col(k) for k in by],
         F.col(left_on).cast(t_type).alias("_t"),
@@ -73,9 +70,6 @@ def asof_join(
         lstruct.alias("_l"),
         F.lit(None).cast(r_type).alias("_r"),
     )
-    keys_present = F.lit(True)
-    for k in by:
-        keys_present = keys_present & F.col(k).isNotNull()
     rrows = right.where(F.col(right_on).isNotNull() & keys_present).select(
         *[F.col(k) for k in by],
         F.col(right_on).alias("_t"),
@@ -85,12 +79,15 @@ def asof_join(
         rstruct.alias("_r"),
     )
     part = list(by)
-    if bucket_width:
-        bucket = F.floor(_ordinal(F.col("_t"), t_type) / F.lit(bucket_width)).cast("long")
-        lrows = lrows.withColumn("_b", bucket)
-        rrows = rrows.withColumn("_b", bucket)
+    if split is not None:
+        lrows = lrows.withColumn("_pos", position(F.col("_t"), t_type))
+        rrows = rrows.withColumn("_pos", position(F.col("_t"), t_type))
+        both = lrows.where(keys_present).select(*by, "_pos").unionByName(rrows.select(*by, "_pos"))
+        ranges = hot_key_ranges(both, by, "_pos", split)
+        lrows = assign_segments(lrows, ranges, by, "_pos").drop("_pos")
+        rrows = assign_segments(rrows, ranges, by, "_pos").drop("_pos")
         rrows = rrows.unionByName(_carry_rows(lrows, rrows, by))
-        part.append("_b")
+        part.append(SEGMENT)
 
     w = (
         Window.partitionBy(*part)
@@ -105,24 +102,26 @@ def asof_join(
 
 
 def _carry_rows(lrows: DataFrame, rrows: DataFrame, by: list[str]) -> DataFrame:
-    """For each (key, bucket) that holds left rows, the last right row of any
-    earlier bucket, re-labelled into that bucket."""
+    """For each hot (key, range) that holds left rows, the last right row of
+    any earlier range, re-labelled into that range."""
+    hot = F.col(SEGMENT) != COLD
     row = F.struct("_t", "_tb", "_r")
-    last_per_bucket = rrows.groupBy(*by, "_b").agg(
+    last_per_range = rrows.where(hot).groupBy(*by, SEGMENT).agg(
         F.max_by(row, F.struct("_t", "_tb")).alias("_row"), F.lit(_RIGHT).alias("_kind")
     )
-    probe_buckets = lrows.select(*by, "_b").distinct().select(
-        *by, "_b", F.lit(None).cast(last_per_bucket.schema["_row"].dataType).alias("_row"),
+    probes = lrows.where(hot).select(*by, SEGMENT).distinct().select(
+        *by, SEGMENT, F.lit(None).cast(last_per_range.schema["_row"].dataType).alias("_row"),
         F.lit(_LEFT).alias("_kind"),
     )
-    grid_w = (
+    # probe rows sort before the right rows of their own range
+    grid = (
         Window.partitionBy(*by)
-        .orderBy(F.col("_b").asc(), F.col("_kind").desc())
+        .orderBy(F.col(SEGMENT).asc(), F.col("_kind").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     carried = (
-        last_per_bucket.unionByName(probe_buckets)
-        .withColumn("_c", F.last("_row", ignorenulls=True).over(grid_w))
+        last_per_range.unionByName(probes)
+        .withColumn("_c", F.last("_row", ignorenulls=True).over(grid))
         .where((F.col("_kind") == _LEFT) & F.col("_c").isNotNull())
     )
     return carried.select(
@@ -132,5 +131,5 @@ def _carry_rows(lrows: DataFrame, rrows: DataFrame, by: list[str]) -> DataFrame:
         F.col("_c._tb").alias("_tb"),
         F.lit(None).cast(rrows.schema["_l"].dataType).alias("_l"),
         F.col("_c._r").alias("_r"),
-        "_b",
+        SEGMENT,
     )

@@ -8,12 +8,9 @@ row per key, so a hot key is reduced before it is moved.
 ``change_rows`` keeps an event only when its hash differs from the previous
 event of the same key (A→B→A gives three rows). Comparing with the previous
 event needs the key's events in order, which in a plain key-partitioned
-window puts a hot key into one task. With ``segment`` given (a column that
-never decreases along the event order, e.g. ``floor(lsn / width)``), the key
-is split into (key, segment) partitions: each segment's last hash is found
-by a pre-aggregated group-by, carried to the next segment over the small
-(key, segment) grid, and used as the predecessor of the segment's first
-event. The result is identical to the unsegmented form.
+window puts a hot key into one task; with a :class:`HotKeySplit` such keys
+are cut into log-position ranges that are processed in parallel and stitched
+together at their boundaries. The result is identical to the unsplit form.
 """
 
 from __future__ import annotations
@@ -24,9 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.functions.ordering import EVENT_ORDER, event_order
-
-
-FIRST_SEGMENT = -(2**63)
+from medallion.operators.skew import COLD, SEGMENT, HotKeySplit, assign_segments, hot_key_ranges
 
 
 def first_seen(df: DataFrame, key: str, order: Sequence[str] = EVENT_ORDER) -> DataFrame:
@@ -40,11 +35,17 @@ def change_rows(
     key: str,
     hash_col: str,
     order: Sequence[str] = EVENT_ORDER,
-    segment: Column | None = None,
+    split: HotKeySplit | None = None,
 ) -> DataFrame:
-    """Events whose ``hash_col`` differs from the key's previous event."""
+    """Events whose ``hash_col`` differs from the key's previous event.
+
+    With ``split``, hot keys are cut into ranges of the first order column
+    (the log position); each range's first event is compared with the last
+    event of the previous range, found by a pre-aggregated group-by over the
+    hot rows and a running window over the (small) range table.
+    """
     ordering = [*event_order(order), F.col(hash_col).asc()]
-    if segment is None:
+    if split is None:
         w = Window.partitionBy(key).orderBy(*ordering)
         prev = F.lag(hash_col).over(w)
         return (
@@ -53,24 +54,21 @@ def change_rows(
             .drop("_prev")
         )
 
-    # null positions sort first, so their segment is the smallest long
-    seg = df.withColumn("_seg", F.coalesce(segment.cast("long"), F.lit(FIRST_SEGMENT)))
+    pos = order[0]
+    seg = assign_segments(df, hot_key_ranges(df, [key], pos, split), [key], pos)
     rank = F.struct(*[F.col(c) for c in order], F.col(hash_col))
-    last = seg.groupBy(key, "_seg").agg(F.max_by(F.col(hash_col), rank).alias("_last"))
+    last = seg.where(F.col(SEGMENT) != COLD).groupBy(key, SEGMENT).agg(
+        F.max_by(F.col(hash_col), rank).alias("_last")
+    )
     carry = last.select(
-        key, "_seg",
-        F.lag("_last").over(Window.partitionBy(key).orderBy(F.col("_seg").asc())).alias("_carry"),
+        key, SEGMENT,
+        F.lag("_last").over(Window.partitionBy(key).orderBy(F.col(SEGMENT).asc())).alias("_carry"),
     )
-    w = Window.partitionBy(key, "_seg").orderBy(*ordering)
+    w = Window.partitionBy(key, SEGMENT).orderBy(*ordering)
     prev = F.coalesce(F.lag(hash_col).over(w), F.col("_carry"))
     return (
-        seg.join(carry, [key, "_seg"], "inner")
+        seg.join(carry, [key, SEGMENT], "left")
         .withColumn("_prev", prev)
         .where(F.col("_prev").isNull() | (F.col(hash_col) != F.col("_prev")))
-        .drop("_prev", "_carry", "_seg")
+        .drop("_prev", "_carry", SEGMENT)
     )
-
-
-def lsn_segment(width: int, column: str = "lsn") -> Column:
-    """Segment of a log position; null positions form the first segment."""
-    return F.floor(F.col(column) / F.lit(width)).cast("long")

@@ -24,34 +24,46 @@ def cast_column(name: str) -> str:
     return f"__cast_{name}"
 
 
+ACCEPTED = "_accepted"
+
+
+def _failed(c: str) -> Column:
+    return F.col(c).isNotNull() & F.col(cast_column(c)).isNull()
+
+
 def classify(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
     """Try-cast each contract column.
 
-    Adds ``__cast_<col>`` per contract column and ``reject_reasons``, the
-    list of ``"<col>: failed cast to <type>"`` for every value that was
-    present but did not survive the cast.
+    Adds ``__cast_<col>`` per contract column and the boolean ``_accepted``:
+    a row is rejected when any value was present but did not survive its
+    cast. Plain predicates keep the check inside generated code.
     """
     casts = {cast_column(c): F.col(c).try_cast(t) for c, t in contract.items()}
-    reasons = [
-        F.when(F.col(c).isNotNull() & F.col(cast_column(c)).isNull(), F.lit(f"{c}: failed cast to {t}"))
-        for c, t in contract.items()
-    ]
-    return df.withColumns(casts).withColumn(REASONS, F.array_compact(F.array(*reasons)))
+    ok = F.lit(True)
+    for c in contract:
+        ok = ok & ~_failed(c)
+    return df.withColumns(casts).withColumn(ACCEPTED, ok)
+
+
+def reject_reasons(contract: Mapping[str, str]) -> Column:
+    """``"<col>: failed cast to <type>"`` for each failed column, in contract
+    order, joined by ``"; "`` (``concat_ws`` skips the columns that passed)."""
+    return F.concat_ws("; ", *[F.when(_failed(c), F.lit(f"{c}: failed cast to {t}")) for c, t in contract.items()])
 
 
 def accepted(classified: DataFrame, contract: Mapping[str, str]) -> DataFrame:
     """Rows with no reject reason, typed columns replaced by their casts."""
-    good = classified.where(F.size(REASONS) == 0)
+    good = classified.where(F.col(ACCEPTED))
     good = good.withColumns({c: F.col(cast_column(c)) for c in contract})
-    return good.drop(*[cast_column(c) for c in contract], REASONS)
+    return good.drop(*[cast_column(c) for c in contract], ACCEPTED)
 
 
 def quarantine(classified: DataFrame, contract: Mapping[str, str]) -> DataFrame:
-    """Rejected rows: the raw row plus its reasons joined by ``"; "``."""
+    """Rejected rows: the raw row plus its reasons."""
     return (
-        classified.where(F.size(REASONS) > 0)
-        .withColumn(REASONS, F.concat_ws("; ", REASONS))
-        .drop(*[cast_column(c) for c in contract])
+        classified.where(~F.col(ACCEPTED))
+        .withColumn(REASONS, reject_reasons(contract))
+        .drop(*[cast_column(c) for c in contract], ACCEPTED)
     )
 
 

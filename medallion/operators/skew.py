@@ -1,0 +1,67 @@
+"""Splitting hot keys of ordered per-key operators.
+
+Operators that must see a key's rows in order (change detection, as-of
+matching) are planned as windows partitioned by key, so one key holding a
+large share of the rows would fill one task. :class:`HotKeySplit` finds such
+keys with one pre-aggregated pass (row count and position range per key)
+and cuts each of them into consecutive position ranges of about
+``segment_rows`` rows. Keys below ``hot_rows`` keep a single segment (0).
+
+The hot-key table has at most N / ``hot_rows`` rows and the segment table at
+most N / ``segment_rows`` + (number of hot keys) rows, so both are bounded
+by construction; joins against them are left to the adaptive planner, which
+broadcasts them when their measured size is small and sort-merges otherwise.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+COLD = 0
+NULL_POSITION_SEGMENT = -(2**63)
+SEGMENT = "_seg"
+
+
+@dataclass(frozen=True)
+class HotKeySplit:
+    """Keys with more than ``hot_rows`` rows are split into segments of about
+    ``segment_rows`` rows each (by position range)."""
+
+    hot_rows: int = 2_000_000
+    segment_rows: int = 1_000_000
+
+
+def position(c: Column, dtype: T.DataType) -> Column:
+    """A long that orders like ``c`` (timestamps in microseconds)."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp"))
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("long")
+    return c.cast("long")
+
+
+def hot_key_ranges(df: DataFrame, keys: Sequence[str], pos: str, split: HotKeySplit) -> DataFrame:
+    """(keys, _lo, _width) for every hot key."""
+    stats = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi")
+    )
+    pieces = F.ceil(F.col("_n") / F.lit(split.segment_rows))
+    width = F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / pieces), F.lit(1)).cast("long")
+    return stats.where(F.col("_n") > split.hot_rows).select(*keys, "_lo", width.alias("_width"))
+
+
+def assign_segments(df: DataFrame, ranges: DataFrame, keys: Sequence[str], pos: str) -> DataFrame:
+    """Add ``_seg``: 0 for cold keys; for hot keys the position range number
+    starting at 1, with null positions first."""
+    seg = (
+        F.when(F.col("_lo").isNull(), F.lit(COLD))
+        .when(F.col(pos).isNull(), F.lit(NULL_POSITION_SEGMENT))
+        .otherwise(F.floor((F.col(pos) - F.col("_lo")) / F.col("_width")) + 1)
+        .cast("long")
+    )
+    return df.join(ranges, list(keys), "left").withColumn(SEGMENT, seg).drop("_lo", "_width")

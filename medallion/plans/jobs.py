@@ -55,7 +55,7 @@ def silver_price_job(
     cls = P.classified(bronze).observe(
         seen,
         F.count(F.lit(1)).alias("bronze_rows"),
-        F.count_if(F.size(Q.REASONS) > 0).alias("rows_quarantined"),
+        F.count_if(~F.col(Q.ACCEPTED)).alias("rows_quarantined"),
     )
     good = P.standardized(Q.accepted(cls, P.TYPED_COLUMNS))
     silver = (
@@ -104,7 +104,6 @@ def order_value_report(
     spark: SparkSession,
     products_bronze: DataFrame,
     orders_bronze: DataFrame,
-    bucket_width: int | None = None,
     options: V.VaultOptions | None = None,
 ) -> DataFrame:
     products = V.decode_products(products_bronze)
@@ -114,5 +113,5 @@ def order_value_report(
         V.hub_order(orders),
         V.link_order(orders),
         V.satellite_changes(products, "hk_product", V.PRODUCT_SAT_ATTRS, options),
-        bucket_width=bucket_width,
+        split=(options or V.VaultOptions()).split,
     )

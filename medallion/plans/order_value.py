@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.operators.asof import asof_join
+from medallion.operators.skew import HotKeySplit
 
 # Fixed value: riel per dollar used by the reference's order value.
 KHR_PER_USD = 4000
@@ -27,7 +28,7 @@ def order_lines(sat_order: DataFrame, hub_order: DataFrame, link_order: DataFram
     return o.join(h, "hk_order").join(lk, "hk_order")
 
 
-def price_at_order_time(lines: DataFrame, sat_product_changes: DataFrame, bucket_width: int | None) -> DataFrame:
+def price_at_order_time(lines: DataFrame, sat_product_changes: DataFrame, split: HotKeySplit | None) -> DataFrame:
     versions = sat_product_changes.select(
         "hk_product",
         F.col("load_dts").alias("price_load_dts"),
@@ -36,7 +37,7 @@ def price_at_order_time(lines: DataFrame, sat_product_changes: DataFrame, bucket
     )
     return asof_join(
         lines, versions, by="hk_product", left_on="ordered_at", right_on="price_load_dts",
-        tiebreak=["price_lsn"], how="inner", bucket_width=bucket_width,
+        tiebreak=["price_lsn"], how="inner", split=split,
     )
 
 
@@ -45,10 +46,10 @@ def order_value_versions(
     hub_order: DataFrame,
     link_order: DataFrame,
     sat_product_changes: DataFrame,
-    bucket_width: int | None = None,
+    split: HotKeySplit | None = None,
 ) -> DataFrame:
     """One row per non-delete order version, priced as of the order time."""
-    priced = price_at_order_time(order_lines(sat_order, hub_order, link_order), sat_product_changes, bucket_width)
+    priced = price_at_order_time(order_lines(sat_order, hub_order, link_order), sat_product_changes, split)
     return priced.select(
         "order_id", "quantity", "unit_price",
         (F.col("quantity") * F.col("unit_price") * F.lit(KHR_PER_USD)).cast(VALUE_TYPE).alias("order_value_khr"),
@@ -60,13 +61,13 @@ def order_value_live(
     hub_order: DataFrame,
     link_order: DataFrame,
     sat_product_changes: DataFrame,
-    bucket_width: int | None = None,
+    split: HotKeySplit | None = None,
 ) -> DataFrame:
     """One row per order whose latest version is not a delete."""
     w = Window.partitionBy("hk_order").orderBy(F.col("lsn").desc_nulls_last(), F.col("load_dts").desc())
     latest = (
         sat_order.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
     )
-    return order_value_versions(latest, hub_order, link_order, sat_product_changes, bucket_width).select(
+    return order_value_versions(latest, hub_order, link_order, sat_product_changes, split).select(
         "order_id", "quantity", "unit_price", "order_value_khr", 
     )

@@ -8,14 +8,15 @@ left to :mod:`medallion.sources.tables`.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.functions.keys import attribute_hash, business_key
 from medallion.operators.changes import ChangeSpec, Field, decode_changes
-from medallion.operators.history import change_rows, first_seen, lsn_segment
+from medallion.operators.history import change_rows, first_seen
+from medallion.operators.skew import HotKeySplit
 
 PRODUCTS = ChangeSpec(
     record_source="shop.products",
@@ -53,12 +54,11 @@ ORDER_KEYS = ("lsn", "source_ts_ms", "offset", "load_dts", "record_source")
 class VaultOptions:
     """Physical knobs; results do not depend on them.
 
-    ``lsn_segment_width``: split each key's log into segments of this many
-    log positions for change detection (bounded task size under hot keys);
-    None keeps one segment per key.
+    ``split``: how hot hub keys are cut into log-position ranges for change
+    detection (None keeps each key's log in one task).
     """
 
-    lsn_segment_width: int | None = None
+    split: HotKeySplit | None = field(default_factory=HotKeySplit)
 
 
 def hub(keys: DataFrame, hk: str, business_cols: list[str]) -> DataFrame:
@@ -101,8 +101,7 @@ def satellite_changes(df: DataFrame, hk: str, attrs, options: VaultOptions | Non
         attribute_hash(*[F.col(c) for c in attrs], F.col("dv_is_deleted")).alias("hashdiff"),
         *attrs, "dv_is_deleted", "record_source", "lsn", "source_ts_ms", "offset",
     )
-    segment = lsn_segment(options.lsn_segment_width) if options.lsn_segment_width else None
-    return change_rows(hashed, hk, "hashdiff", segment=segment)
+    return change_rows(hashed, hk, "hashdiff", split=options.split)
 
 
 def satellite(df: DataFrame, hk: str, attrs, options: VaultOptions | None = None) -> DataFrame:

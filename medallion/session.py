@@ -35,6 +35,7 @@ def build_session(
         builder = builder.master(master)
     conf = dict(RUNTIME_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.execution.arrow.pyspark.enabled"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from medallion.operators.asof import asof_join
-from medallion.operators.history import change_rows, first_seen, lsn_segment
+from medallion.operators.history import change_rows, first_seen
+from medallion.operators.skew import HotKeySplit
 
 
 def brute_asof(left, right, how):
@@ -20,9 +21,9 @@ def brute_asof(left, right, how):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("bucket", [None, 7, 50])
+@pytest.mark.parametrize("split", [None, (1, 7), (20, 9), (1000, 10)])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_asof_matches_brute_force(spark, seed, bucket, how):
+def test_asof_matches_brute_force(spark, seed, split, how):
     rnd = random.Random(seed)
     keys = ["a", "b", "c", None]
     right = []
@@ -32,7 +33,8 @@ def test_asof_matches_brute_force(spark, seed, bucket, how):
     left = [(rnd.choice(keys), rnd.randint(-10, 220) if rnd.random() > 0.05 else None, j) for j in range(150)]
     ldf = spark.createDataFrame(left, "k string, t long, lid int")
     rdf = spark.createDataFrame(right, "k string, rt long, tb int, payload int")
-    got = asof_join(ldf, rdf, "k", "t", "rt", tiebreak=["tb", "payload"], how=how, bucket_width=bucket)
+    split = HotKeySplit(*split) if split else None
+    got = asof_join(ldf, rdf, "k", "t", "rt", tiebreak=["tb", "payload"], how=how, split=split)
     got_rows = sorted(((r["lid"], r["payload"]) for r in got.collect()), key=lambda t: (t[0], t[1] is None, t[1] or 0))
     right_for_brute = [(k, t, (tb, p), p) for k, t, tb, p in right]
     assert got_rows == brute_asof(left, right_for_brute, how)
@@ -45,8 +47,8 @@ def test_asof_timestamps_with_buckets(spark):
     right = spark.createDataFrame(
         [("x", "2024-01-01 00:00:05", 10), ("x", "2024-01-01 00:00:10", 11)], "k string, vt string, v int"
     ).withColumn("vt", F.col("vt").cast("timestamp_ntz"))
-    day = 24 * 3600 * 1_000_000
-    got = sorted((r["id"], r["v"]) for r in asof_join(left, right, "k", "at", "vt", bucket_width=day).collect())
+    split = HotKeySplit(hot_rows=1, segment_rows=1)
+    got = sorted((r["id"], r["v"]) for r in asof_join(left, right, "k", "at", "vt", split=split).collect())
     assert got == [(1, 11), (2, 11)]
 
 
@@ -60,8 +62,8 @@ def brute_changes(rows):
 
 
 @pytest.mark.parametrize("seed", [5, 6])
-@pytest.mark.parametrize("width", [None, 3, 10, 1000])
-def test_segmented_change_rows_equal_plain(spark, seed, width):
+@pytest.mark.parametrize("split", [None, (1, 3), (30, 10), (60, 1), (1000, 5)])
+def test_segmented_change_rows_equal_plain(spark, seed, split):
     rnd = random.Random(seed)
     data = []
     lsns = list(range(200))
@@ -71,8 +73,7 @@ def test_segmented_change_rows_equal_plain(spark, seed, width):
     df = spark.createDataFrame(data, "hk string, lsn long, h string").select(
         "hk", "lsn", F.lit(None).cast("long").alias("source_ts_ms"), F.lit(None).cast("long").alias("offset"),
         F.lit("s").alias("record_source"), "h")
-    seg = lsn_segment(width) if width else None
-    got = change_rows(df, "hk", "h", segment=seg)
+    got = change_rows(df, "hk", "h", split=HotKeySplit(*split) if split else None)
     got_rows = sorted(((r["hk"], r["lsn"], r["h"]) for r in got.collect()), key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2]))
     assert got_rows == brute_changes(data)
 

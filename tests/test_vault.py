@@ -2,6 +2,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from medallion.operators.skew import HotKeySplit
 from medallion.plans import vault as V
 from medallion.plans.order_value import order_value_live, order_value_versions
 from medallion.streaming.cdc import land_changes
@@ -57,27 +58,27 @@ def test_load_dts_is_source_commit_time(spark):
         tzinfo=__import__("datetime").timezone.utc).timestamp() * 1000 == T0 + 60_000
 
 
-def _order_value(spark, products_log, orders_log, live=False, bucket=None):
+def _order_value(spark, products_log, orders_log, live=False, split=None):
     pb = land_changes(products_log.frame(spark), "products")
     ob = land_changes(orders_log.frame(spark), "orders")
     p, o = V.decode_products(pb), V.decode_orders(ob)
     fn = order_value_live if live else order_value_versions
     return fn(
         V.satellite_changes(o, "hk_order", V.ORDER_SAT_ATTRS), V.hub_order(o), V.link_order(o),
-        V.satellite_changes(p, "hk_product", V.PRODUCT_SAT_ATTRS), bucket_width=bucket,
+        V.satellite_changes(p, "hk_product", V.PRODUCT_SAT_ATTRS), split=split,
     )
 
 
 def test_order_value_scenario(spark):
-    for bucket in (None, 60_000_000):
-        got = rows(_order_value(spark, *shop_scenario(), bucket=bucket), "order_id", "quantity", "unit_price", "order_value_khr")
+    for split in (None, HotKeySplit(hot_rows=1, segment_rows=1)):
+        got = rows(_order_value(spark, *shop_scenario(), split=split), "order_id", "quantity", "unit_price", "order_value_khr")
         assert got == [
             (1, 2, Decimal("8.50"), Decimal("68000.00")),
             (2, 2, Decimal("8.50"), Decimal("68000.00")),
             (2, 2, Decimal("8.50"), Decimal("68000.00")),
             (3, 1, Decimal("15.00"), Decimal("60000.00")),
         ]
-        live = rows(_order_value(spark, *shop_scenario(), live=True, bucket=bucket), "order_id")
+        live = rows(_order_value(spark, *shop_scenario(), live=True, split=split), "order_id")
         assert live == [(1,), (2,)]
 
 
@@ -89,8 +90,8 @@ def test_price_a_b_a_gives_three_versions_and_asof_picks_each(spark):
         orders.event("c", 100 + i, after=order(100 + i, "c", 1, 1, "placed", at), lsn=100 + i, ts=at)
     _, _, vault = build(spark, products, orders)
     assert vault["sat_product"].count() == 3
-    for bucket in (None, 1_000_000, 500_000):
-        got = rows(_order_value(spark, products, orders, bucket=bucket), "order_id", "unit_price")
+    for split in (None, HotKeySplit(hot_rows=2, segment_rows=2), HotKeySplit(hot_rows=1, segment_rows=1)):
+        got = rows(_order_value(spark, products, orders, split=split), "order_id", "unit_price")
         # the order before every version drops out; equal times match the version
         assert got == [(101, Decimal("8.50")), (102, Decimal("9.00")), (103, Decimal("8.50")), (104, Decimal("8.50"))]
 
