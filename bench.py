@@ -69,12 +69,17 @@ def main() -> None:
         ]
         run_to_completion(spark, specs, source_format="parquet")
 
+    staged = {}
+
+    def envelope_decode() -> None:
+        staged["p"], staged["o"] = V.staged_changes(bronze["products"], bronze["orders"])
+
     def vault_replay() -> None:
-        for df in V.build_vault(bronze["products"], bronze["orders"], opts).values():
+        for df in V.vault_tables(staged["p"], staged["o"], opts).values():
             noop(df)
 
     def order_value() -> None:
-        p, o = V.decode_products(bronze["products"]), V.decode_orders(bronze["orders"])
+        p, o = staged["p"], staged["o"]
         noop(order_value_versions(
             V.satellite_changes(o, "hk_order", V.ORDER_SAT_ATTRS, opts), V.hub_order(o), V.link_order(o),
             V.satellite_changes(p, "hk_product", V.PRODUCT_SAT_ATTRS, opts), split=split,
@@ -84,7 +89,7 @@ def main() -> None:
         "bronze_prices_csv": lambda: noop(P.bronze_prices(read_delimited(spark, f"{root}/price_csv", PRICE_COLUMNS))),
         "silver_prices": lambda: noop(P.silver_prices(text, check_units=True).silver),
         "price_rejects": lambda: noop(P.rejects(text)),
-        "envelope_decode": lambda: [noop(V.decode_products(bronze["products"])), noop(V.decode_orders(bronze["orders"]))],
+        "envelope_decode": envelope_decode,
         "vault_replay": vault_replay,
         "order_value_asof": order_value,
         "stream_landing": stream_landing,

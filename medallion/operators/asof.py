@@ -79,11 +79,14 @@ def asof_join(
         rstruct.alias("_r"),
     )
     part = list(by)
+    ranges = None
     if split is not None:
+        lpos = lrows.where(keys_present).select(*by, position(F.col("_t"), t_type).alias("_pos"))
+        rpos = rrows.select(*by, position(F.col("_t"), t_type).alias("_pos"))
+        ranges = hot_key_ranges(lpos.unionByName(rpos), by, "_pos", split)
+    if ranges is not None:
         lrows = lrows.withColumn("_pos", position(F.col("_t"), t_type))
         rrows = rrows.withColumn("_pos", position(F.col("_t"), t_type))
-        both = lrows.where(keys_present).select(*by, "_pos").unionByName(rrows.select(*by, "_pos"))
-        ranges = hot_key_ranges(both, by, "_pos", split)
         lrows = assign_segments(lrows, ranges, by, "_pos").drop("_pos")
         rrows = assign_segments(rrows, ranges, by, "_pos").drop("_pos")
         rrows = rrows.unionByName(_carry_rows(lrows, rrows, by))

@@ -45,7 +45,9 @@ def change_rows(
     hot rows and a running window over the (small) range table.
     """
     ordering = [*event_order(order), F.col(hash_col).asc()]
-    if split is None:
+    pos = order[0]
+    ranges = hot_key_ranges(df, [key], pos, split) if split is not None else None
+    if ranges is None:
         w = Window.partitionBy(key).orderBy(*ordering)
         prev = F.lag(hash_col).over(w)
         return (
@@ -54,8 +56,7 @@ def change_rows(
             .drop("_prev")
         )
 
-    pos = order[0]
-    seg = assign_segments(df, hot_key_ranges(df, [key], pos, split), [key], pos)
+    seg = assign_segments(df, ranges, [key], pos)
     rank = F.struct(*[F.col(c) for c in order], F.col(hash_col))
     last = seg.where(F.col(SEGMENT) != COLD).groupBy(key, SEGMENT).agg(
         F.max_by(F.col(hash_col), rank).alias("_last")

@@ -87,16 +87,8 @@ def vault_job(
     by its hub key and checkpointed to the shared folder; the hub, link and
     satellite windows on the same key then need no further shuffle."""
     configure(spark)
-    products = V.decode_products(products_bronze).repartition("hk_product").checkpoint(eager=True)
-    orders = V.decode_orders(orders_bronze).repartition("hk_order").checkpoint(eager=True)
-    tables = {
-        "hub_product": V.hub_product(products, orders),
-        "hub_customer": V.hub_customer(orders),
-        "hub_order": V.hub_order(orders),
-        "link_order": V.link_order(orders),
-        "sat_product": V.satellite(products, "hk_product", V.PRODUCT_SAT_ATTRS, options),
-        "sat_order": V.satellite(orders, "hk_order", V.ORDER_SAT_ATTRS, options),
-    }
+    products, orders = V.staged_changes(products_bronze, orders_bronze)
+    tables = V.vault_tables(products, orders, options)
     return {name: publish(df, f"{namespace}.{name}", root) for name, df in tables.items()}
 
 
@@ -106,8 +98,7 @@ def order_value_report(
     orders_bronze: DataFrame,
     options: V.VaultOptions | None = None,
 ) -> DataFrame:
-    products = V.decode_products(products_bronze)
-    orders = V.decode_orders(orders_bronze)
+    products, orders = V.staged_changes(products_bronze, orders_bronze)
     return order_value_versions(
         V.satellite_changes(orders, "hk_order", V.ORDER_SAT_ATTRS, options),
         V.hub_order(orders),

@@ -118,10 +118,18 @@ def decode_orders(bronze: DataFrame) -> DataFrame:
     return decode_changes(bronze, ORDERS)
 
 
-def build_vault(products_bronze: DataFrame, orders_bronze: DataFrame, options: VaultOptions | None = None) -> dict[str, DataFrame]:
-    """Full replay of both logs into the six vault tables (V6)."""
-    products = decode_products(products_bronze)
-    orders = decode_orders(orders_bronze)
+def staged_changes(products_bronze: DataFrame, orders_bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Decode each log once, partition it by its hub key and checkpoint it in
+    the shared folder: later hub, link and satellite windows on that key
+    reuse the partitioning, and a lost executor does not send the job back
+    to the JSON."""
+    products = decode_products(products_bronze).repartition("hk_product").checkpoint(eager=True)
+    orders = decode_orders(orders_bronze).repartition("hk_order").checkpoint(eager=True)
+    return products, orders
+
+
+def vault_tables(products: DataFrame, orders: DataFrame, options: VaultOptions | None = None) -> dict[str, DataFrame]:
+    """The six vault tables from decoded change rows."""
     return {
         "hub_product": hub_product(products, orders),
         "hub_customer": hub_customer(orders),
@@ -130,3 +138,8 @@ def build_vault(products_bronze: DataFrame, orders_bronze: DataFrame, options: V
         "sat_product": satellite(products, "hk_product", PRODUCT_SAT_ATTRS, options),
         "sat_order": satellite(orders, "hk_order", ORDER_SAT_ATTRS, options),
     }
+
+
+def build_vault(products_bronze: DataFrame, orders_bronze: DataFrame, options: VaultOptions | None = None) -> dict[str, DataFrame]:
+    """Full replay of both logs into the six vault tables (V6)."""
+    return vault_tables(decode_products(products_bronze), decode_orders(orders_bronze), options)
