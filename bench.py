@@ -87,7 +87,7 @@ def main() -> None:
 
     stages = {
         "bronze_prices_csv": lambda: noop(P.bronze_prices(read_delimited(spark, f"{root}/price_csv", PRICE_COLUMNS))),
-        "silver_prices": lambda: noop(P.silver_prices(text, check_units=True).silver),
+        "silver_prices": lambda: noop(P.silver_prices(text, check_units="inline").silver),
         "price_rejects": lambda: noop(P.rejects(text)),
         "envelope_decode": envelope_decode,
         "vault_replay": vault_replay,

@@ -89,6 +89,18 @@ def require_vocabulary(df: DataFrame, column: str, vocabulary: Sequence[str], re
         raise UnmappedValuesError(f"unmapped {column} values found in source: {', '.join(bad)}")
 
 
+UNMAPPED_MARKER = "unmapped value found in source"
+
+
+def guard_vocabulary(df: DataFrame, column: str, vocabulary: Sequence[str]) -> DataFrame:
+    """Same gate inside the main pass: the first row with an unknown value
+    fails its task (and so the job, before any output is committed) with a
+    message naming the value. No separate scan."""
+    bad = F.col(column).isNotNull() & ~F.col(column).isin(list(vocabulary))
+    msg = F.concat(F.lit(f"{UNMAPPED_MARKER}: {column} = "), F.col(column))
+    return df.where(F.when(bad, F.raise_error(msg)).isNull())
+
+
 def lookup(column: str, mapping: Mapping[str, object]) -> Column:
     """Vocabulary lookup through a literal map; unknown or null keys give null."""
     pairs = [x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))]

@@ -73,6 +73,17 @@ def test_unknown_unit_aborts(spark):
         P.silver_prices(text_rows(spark, [variant(unit="SACK"), variant(unit="BAG"), variant()])).silver.count()
 
 
+def test_unknown_unit_fails_inline_pass(spark):
+    res = P.silver_prices(text_rows(spark, [variant(unit="SACK"), variant()]), check_units="inline")
+    with pytest.raises(Exception, match="unmapped value found in source: unit = SACK"):
+        res.silver.write.format("noop").mode("overwrite").save()
+    ok = P.silver_prices(text_rows(spark, [variant(), variant(unit=None, commodity_id="3")]), check_units="inline")
+    assert ok.silver.count() == 2
+    # a rejected row with an unknown unit does not trip the gate
+    rej = P.silver_prices(text_rows(spark, [variant(unit="SACK", price="x"), variant()]), check_units="inline")
+    assert rej.silver.count() == 1
+
+
 def test_dedup_survivor_is_reproducible(spark):
     rows = [variant(price=str(p)) for p in (30, 10, 20)]
     for _ in range(2):
