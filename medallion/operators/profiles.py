@@ -47,6 +47,16 @@ def span(df: DataFrame, column: str, prefix: str) -> list[Column]:
     return [F.min(column).alias(f"first_{prefix}"), F.max(column).alias(f"last_{prefix}")]
 
 
+def preview(df: DataFrame, n: int = 5) -> list:
+    """The first ``n`` rows for a log line (O3); ``n`` bounds what reaches the driver."""
+    return df.limit(n).collect()
+
+
+def load_span(df: DataFrame, by: str = "source", column: str = "ingested_at") -> DataFrame:
+    """Rows and first/last load time per source."""
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), *span(df, column, "load"))
+
+
 def inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of each table in one job."""
     counts = [

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.operators import quality as Q
+from medallion.operators.profiles import preview
 from medallion.plans import prices as P
 from medallion.plans import vault as V
 from medallion.plans.order_value import order_value_versions
@@ -35,9 +36,11 @@ def bronze_price_job(spark: SparkSession, csv_path: str, root: str, table: str =
         F.count_if(F.col("price_date").isNull()).alias("unparseable_dates"),
         F.min("price_date").alias("first_date"),
         F.max("price_date").alias("last_date"),
+        F.min("ingested_at").alias("first_load"),
+        F.max("ingested_at").alias("last_load"),
     )
     out = publish(bronze, table, root)
-    return {**out, **obs.get}
+    return {**out, **obs.get, "preview": preview(spark.table(table))}
 
 
 def silver_price_job(

@@ -9,6 +9,7 @@ def test_price_jobs_end_to_end(spark, tmp_root):
     b = jobs.bronze_price_job(spark, csv, tmp_root)
     bronze = spark.table("bronze.food_prices")
     assert b["rows"] == bronze.count() and b["unparseable_dates"] > 0
+    assert len(b["preview"]) == 5 and b["first_load"] == b["last_load"]
     s = jobs.silver_price_job(spark, P.as_bronze_text(food.price_rows(spark, SF_SMALL)), tmp_root)
     audit = P.dedup_audit(P.as_bronze_text(food.price_rows(spark, SF_SMALL))).first()
     assert s["bronze_rows"] == audit["bronze_rows"]
