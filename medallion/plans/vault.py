@@ -118,13 +118,31 @@ def decode_orders(bronze: DataFrame) -> DataFrame:
     return decode_changes(bronze, ORDERS)
 
 
+def checkpoint_partitioned(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` and checkpoint it in the shared folder.
+
+    The checkpoint keeps ``hashpartitioning(key, n)`` as its output
+    partitioning only when the checkpoint job itself is planned without
+    adaptive re-partitioning, so AQE is paused for that one job; windows and
+    sort-merge joins on ``key`` downstream then need no exchange.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.repartition(n, key).checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def staged_changes(products_bronze: DataFrame, orders_bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Decode each log once, partition it by its hub key and checkpoint it in
     the shared folder: later hub, link and satellite windows on that key
     reuse the partitioning, and a lost executor does not send the job back
     to the JSON."""
-    products = decode_products(products_bronze).repartition("hk_product").checkpoint(eager=True)
-    orders = decode_orders(orders_bronze).repartition("hk_order").checkpoint(eager=True)
+    products = checkpoint_partitioned(decode_products(products_bronze), "hk_product")
+    orders = checkpoint_partitioned(decode_orders(orders_bronze), "hk_order")
     return products, orders
 
 
