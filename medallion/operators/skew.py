@@ -48,15 +48,17 @@ def position(c: Column, dtype: T.DataType) -> Column:
 def hot_key_ranges(df: DataFrame, keys: Sequence[str], pos: str, split: HotKeySplit) -> DataFrame | None:
     """(keys, _lo, _width) for every hot key, materialized in the shared
     checkpoint folder (it is bounded, see the module note); None when no key
-    is hot, so that callers can keep their one-window plan."""
+    is hot, so that callers keep their one-window plan. The common no-hot-key
+    case costs one pre-aggregated job that returns at most one row."""
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi")
     )
     pieces = F.ceil(F.col("_n") / F.lit(split.segment_rows))
     width = F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / pieces), F.lit(1)).cast("long")
     ranges = stats.where(F.col("_n") > split.hot_rows).select(*keys, "_lo", width.alias("_width"))
-    ranges = ranges.checkpoint(eager=True)
-    return None if ranges.isEmpty() else ranges
+    if not ranges.take(1):
+        return None
+    return ranges.checkpoint(eager=True)
 
 
 def assign_segments(df: DataFrame, ranges: DataFrame, keys: Sequence[str], pos: str) -> DataFrame:
