@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medallion.session import checkpoint_root
+
 COLD = 0
 NULL_POSITION_SEGMENT = -(2**63)
 SEGMENT = "_seg"
@@ -58,6 +60,7 @@ def hot_key_ranges(df: DataFrame, keys: Sequence[str], pos: str, split: HotKeySp
     ranges = stats.where(F.col("_n") > split.hot_rows).select(*keys, "_lo", width.alias("_width"))
     if not ranges.take(1):
         return None
+    checkpoint_root(df.sparkSession)
     return ranges.checkpoint(eager=True)
 
 

@@ -17,6 +17,7 @@ from medallion.functions.keys import attribute_hash, business_key
 from medallion.operators.changes import ChangeSpec, Field, decode_changes
 from medallion.operators.history import change_rows, first_seen
 from medallion.operators.skew import HotKeySplit
+from medallion.session import checkpoint_root
 
 PRODUCTS = ChangeSpec(
     record_source="shop.products",
@@ -127,6 +128,7 @@ def checkpoint_partitioned(df: DataFrame, key: str, partitions: int | None = Non
     sort-merge joins on ``key`` downstream then need no exchange.
     """
     spark = df.sparkSession
+    checkpoint_root(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")

@@ -55,20 +55,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_ROOTS: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests) a
-    fresh folder is created and registered on the session.
+    Read from ``spark.checkpoint.dir``; only when the session has none
+    (local tests) a fresh folder is created and registered as the context's
+    checkpoint directory.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        root = _LOCAL_ROOTS.get(id(sc))
     if not root:
-        root = tempfile.mkdtemp(prefix="medallion-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        root = _LOCAL_ROOTS.setdefault(id(sc), tempfile.mkdtemp(prefix="medallion-ckpt-"))
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
