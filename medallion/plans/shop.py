@@ -14,11 +14,12 @@ from medallion.session import configure, work_path
 from medallion.sources.testdata import change_messages
 from medallion.streaming.cdc import ChangeStreamSpec, land_changes, run_to_completion
 
-# Physical knob, sized for the test tables (about 50 events per product at
-# every scale) so that the hot-key split path runs on real data in the
-# correctness checks; results do not depend on it. Production defaults are
-# those of HotKeySplit().
-SPLIT = HotKeySplit(hot_rows=32, segment_rows=16)
+# Hot-key split thresholds. The registered queries use the production
+# defaults; the ``*_hot_split`` queries force the split path on the test
+# tables (about 50 events per product at every scale) so that its results
+# are checked against the same oracles. Results never depend on the knob.
+SPLIT = HotKeySplit()
+FORCED_SPLIT = HotKeySplit(hot_rows=32, segment_rows=16)
 
 
 def bronze_changes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -31,33 +32,41 @@ def decoded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return V.decode_products(b["products"]), V.decode_orders(b["orders"])
 
 
-def options() -> V.VaultOptions:
-    return V.VaultOptions(split=SPLIT)
+def staged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Decoded once and checkpointed by hub key, as in the vault job."""
+    b = bronze_changes(spark, sf_dir)
+    return V.staged_changes(b["products"], b["orders"])
+
+
+def options(split: HotKeySplit = SPLIT) -> V.VaultOptions:
+    return V.VaultOptions(split=split)
 
 
-def vault_table(name: str):
+def vault_table(name: str, split: HotKeySplit = SPLIT):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        b = bronze_changes(spark, sf_dir)
-        return V.build_vault(b["products"], b["orders"], options())[name]
+        products, orders = staged(spark, sf_dir)
+        return V.vault_tables(products, orders, options(split))[name]
     return run
 
 
-def _order_value(fn):
+def _order_value(fn, split: HotKeySplit = SPLIT):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        products, orders = decoded(spark, sf_dir)
-        opts = options()
+        products, orders = staged(spark, sf_dir)
+        opts = options(split)
         return fn(
             V.satellite_changes(orders, "hk_order", V.ORDER_SAT_ATTRS, opts),
             V.hub_order(orders),
             V.link_order(orders),
             V.satellite_changes(products, "hk_product", V.PRODUCT_SAT_ATTRS, opts),
-            split=SPLIT,
+            split=split,
         )
     return run
 
 
 order_value_versions_query = _order_value(order_value_versions)
 order_value_live_query = _order_value(order_value_live)
+order_value_hot_split_query = _order_value(order_value_versions, FORCED_SPLIT)
+sat_product_hot_split_query = vault_table("sat_product", FORCED_SPLIT)
 
 
 def changes_query(source_table: str):
@@ -85,8 +94,8 @@ def version_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vault_inventory_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = bronze_changes(spark, sf_dir)
-    return P.inventory(V.build_vault(b["products"], b["orders"], options()))
+    products, orders = staged(spark, sf_dir)
+    return P.inventory(V.vault_tables(products, orders, options()))
 
 
 def bronze_change_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
