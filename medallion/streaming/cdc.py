@@ -55,13 +55,15 @@ def land_changes(messages: DataFrame, source_table: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class ChangeStreamSpec:
-    """One source table's stream: where its messages come from and land."""
+    """One source table's stream: where its messages come from and where
+    they land (a path, or a catalog table when ``target_table`` is set)."""
 
     source_table: str
     topic: str
-    target_path: str
+    target_path: str | None
     checkpoint: str
     source_path: str | None = None
+    target_table: str | None = None
 
 
 def read_messages(
@@ -108,6 +110,9 @@ def start_change_stream(
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
+    if spec.target_table:
+        # created on the first run, appended to afterwards, never dropped
+        return writer.toTable(spec.target_table)
     return writer.start(spec.target_path)
 
 

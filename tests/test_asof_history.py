@@ -40,7 +40,7 @@ def test_asof_matches_brute_force(spark, seed, split, how):
     assert got_rows == brute_asof(left, right_for_brute, how)
 
 
-def test_asof_timestamps_with_buckets(spark):
+def test_asof_timestamps_with_split(spark):
     left = spark.createDataFrame(
         [("x", "2024-01-01 00:00:10", 1), ("x", "2024-01-03 00:00:00", 2)], "k string, at string, id int"
     ).withColumn("at", F.col("at").cast("timestamp_ntz"))

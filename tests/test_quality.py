@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from medallion.operators import quality as Q
 from medallion.plans import prices as P
