@@ -13,7 +13,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(app_name="medallion-tests", master="local[*]", shuffle_partitions=8)
+    warehouse = tempfile.mkdtemp(prefix="medallion-warehouse-")
+    s = build_session(
+        app_name="medallion-tests", master="local[*]", shuffle_partitions=8,
+        extra={"spark.sql.warehouse.dir": warehouse},
+    )
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
