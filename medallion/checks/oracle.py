@@ -108,8 +108,8 @@ sat_order_changes AS (SELECT * FROM sat_order_all WHERE prev IS NULL OR prev <>
 """
 
 ORDER_VALUE = """
-SELECT h.order_id, o.quantity, sp.unit_price,
-       CAST(o.quantity * sp.unit_price * 4000 AS DECIMAL(18,2)) AS order_value_khr
+SELECT h.order_id, o.quantity, CAST(sp.unit_price AS DOUBLE) AS unit_price,
+       CAST(CAST(o.quantity * sp.unit_price * 4000 AS DECIMAL(18,2)) AS DOUBLE) AS order_value_khr
 FROM {orders} o
 JOIN hub_order h ON o.hk_order = h.hk_order
 JOIN link_order l ON o.hk_order = l.hk_order
@@ -162,7 +162,7 @@ messages AS (
 """
 
 PRODUCT_CHANGE_COLS = (
-    "hk_product, product_id, name, category, unit_price, stock_quantity, dv_is_deleted, "
+    "hk_product, product_id, name, category, CAST(unit_price AS DOUBLE) AS unit_price, stock_quantity, dv_is_deleted, "
     'lsn, source_ts_ms, "offset", load_dts, record_source'
 )
 ORDER_CHANGE_COLS = (
@@ -212,7 +212,8 @@ def shop_oracles() -> dict[str, str]:
         "hub_order": shop("SELECT * FROM hub_order"),
         "link_order": shop("SELECT * FROM link_order"),
         "sat_product": shop(
-            "SELECT hk_product, load_dts, hashdiff, name, category, unit_price, stock_quantity, dv_is_deleted, record_source FROM sat_product_changes"
+            "SELECT hk_product, load_dts, hashdiff, name, category, CAST(unit_price AS DOUBLE) AS unit_price, "
+            "stock_quantity, dv_is_deleted, record_source FROM sat_product_changes"
         ),
         "sat_order": shop(
             "SELECT hk_order, load_dts, hashdiff, quantity, order_status, ordered_at, dv_is_deleted, record_source FROM sat_order_changes"

@@ -22,6 +22,18 @@ SPLIT = HotKeySplit()
 FORCED_SPLIT = HotKeySplit(hot_rows=32, segment_rows=16)
 
 
+# Money columns of the registered queries are presented as doubles: DuckDB
+# hands DECIMAL columns to pandas as float64 while Spark returns Decimal
+# objects, so a value-level comparison of the two engines would see 8.50 vs
+# 8.5. The conversion of these two-decimal values is exact on both sides;
+# the library itself keeps decimal(10,2).
+MONEY = ("unit_price", "order_value_khr")
+
+
+def money_as_double(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in MONEY if c in df.columns})
+
+
 def bronze_changes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     configure(spark)
     return {name: land_changes(m, name) for name, m in change_messages(spark, sf_dir).items()}
@@ -45,7 +57,7 @@ def options(split: HotKeySplit = SPLIT) -> V.VaultOptions:
 def vault_table(name: str, split: HotKeySplit = SPLIT):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         products, orders = staged(spark, sf_dir)
-        return V.vault_tables(products, orders, options(split))[name]
+        return money_as_double(V.vault_tables(products, orders, options(split))[name])
     return run
 
 
@@ -53,13 +65,13 @@ def _order_value(fn, split: HotKeySplit = SPLIT):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         products, orders = staged(spark, sf_dir)
         opts = options(split)
-        return fn(
+        return money_as_double(fn(
             V.satellite_changes(orders, "hk_order", V.ORDER_SAT_ATTRS, opts),
             V.hub_order(orders),
             V.link_order(orders),
             V.satellite_changes(products, "hk_product", V.PRODUCT_SAT_ATTRS, opts),
             split=split,
-        )
+        ))
     return run
 
 
@@ -72,7 +84,7 @@ sat_product_hot_split_query = vault_table("sat_product", FORCED_SPLIT)
 def changes_query(source_table: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         products, orders = decoded(spark, sf_dir)
-        return products if source_table == "products" else orders
+        return money_as_double(products if source_table == "products" else orders)
     return run
 
 
