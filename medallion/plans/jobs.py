@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.operators import quality as Q
-from medallion.operators.profiles import preview
+from medallion.operators.profiles import op_profile, preview
 from medallion.plans import prices as P
 from medallion.plans import vault as V
 from medallion.plans.order_value import order_value_versions
@@ -90,9 +90,16 @@ def vault_job(
     by its hub key and checkpointed to the shared folder; the hub, link and
     satellite windows on the same key then need no further shuffle."""
     configure(spark)
+    # Diagnostic first: the op distribution of each log, tombstones (null op)
+    # included; a handful of rows per log.
+    profiles = {
+        name: {r["op"]: r["events"] for r in op_profile(log).collect()}
+        for name, log in (("products", products_bronze), ("orders", orders_bronze))
+    }
     products, orders = V.staged_changes(products_bronze, orders_bronze)
     tables = V.vault_tables(products, orders, options)
-    return {name: publish(df, f"{namespace}.{name}", root) for name, df in tables.items()}
+    published = {name: publish(df, f"{namespace}.{name}", root) for name, df in tables.items()}
+    return {**published, "op_profiles": profiles}
 
 
 def order_value_report(

@@ -22,6 +22,9 @@ def test_price_jobs_end_to_end(spark, tmp_root):
 def test_vault_job_publishes_six_tables(spark, tmp_root):
     b = shop.bronze_changes(spark, SF_SMALL)
     out = jobs.vault_job(spark, b["products"], b["orders"], tmp_root, namespace="vault_t")
+    profiles = out.pop("op_profiles")
+    assert set(profiles["orders"]) == {None, "c", "u", "d"}
+    assert profiles["products"][None] == profiles["products"]["d"]  # one tombstone per delete
     expected = {k: v.count() for k, v in shop.V.build_vault(b["products"], b["orders"]).items()}
     assert {k: v["rows"] for k, v in out.items()} == expected
     assert spark.table("vault_t.sat_product").count() == expected["sat_product"]
