@@ -38,7 +38,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session(
         app_name="medallion-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
-        extra={"spark.driver.memory": "16g"},
+        extra={"spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     root = work_path(spark, "bench")
