@@ -3,7 +3,7 @@
 Bronze inputs (price text rows, both change logs, message files) are first
 materialized as Parquet in the shared work folder, as they would exist in a
 real lake; then each stage is timed end to end with all output columns
-evaluated (``noop`` sink): one warm-up, median of ``BENCH_RUNS`` runs.
+evaluated (``noop`` sink): one warm-up, median of ``BENCH_RUNS`` (default 5) runs.
 
 Prints one JSON line.
 """
@@ -35,7 +35,7 @@ def noop(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(
         app_name="medallion-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
         extra={"spark.driver.memory": "8g"},

@@ -111,3 +111,23 @@ def test_malformed_event_is_dropped(spark):
     products.event(None, 1, raw='{"payload": {"op": "u", "after": {"product_id": 1')
     pb = land_changes(products.frame(spark), "products")
     assert V.decode_products(pb).count() == 1
+
+
+def test_reinsert_after_delete_adds_versions_keeps_one_hub_row(spark):
+    products, orders = Log("p", "product_id"), Log("o", "order_id")
+    products.event("c", 1, after=product(1, "wok", "Cookware", "8.50", 5), lsn=10, ts=T0)
+    products.event("d", 1, before={"product_id": 1}, lsn=20, ts=T0 + 10)
+    products.event("c", 1, after=product(1, "wok", "Cookware", "8.50", 5), lsn=30, ts=T0 + 20)
+    _, _, vault = build(spark, products, orders)
+    assert vault["hub_product"].count() == 1
+    assert rows(vault["sat_product"], "dv_is_deleted", "unit_price") == [
+        (False, Decimal("8.50")), (False, Decimal("8.50")), (True, None)]
+
+
+def test_same_lsn_snapshot_rows_order_by_offset(spark):
+    products, orders = Log("p", "product_id"), Log("o", "order_id")
+    products.event("r", 1, after=product(1, "wok", "Cookware", "8.50", 5), lsn=10, ts=T0)
+    products.event("u", 1, after=product(1, "wok", "Cookware", "9.00", 5), lsn=10, ts=T0)
+    _, _, vault = build(spark, products, orders)
+    sat = rows(vault["sat_product"], "unit_price")
+    assert sat == [(Decimal("8.50"),), (Decimal("9.00"),)]
