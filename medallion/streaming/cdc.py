@@ -33,24 +33,47 @@ BRONZE_CHANGE_COLUMNS = [
 ]
 
 
+# Envelope structure lifted in Bronze. Fields are read as text and then
+# try-cast, so a number sent as a JSON string still lands.
+_TEXT = T.StringType()
+ENVELOPE_SCHEMA = T.StructType([
+    T.StructField("payload", T.StructType([
+        T.StructField("op", _TEXT),
+        T.StructField("source", T.StructType([
+            T.StructField("lsn", _TEXT), T.StructField("txId", _TEXT), T.StructField("ts_ms", _TEXT),
+        ])),
+    ])),
+])
+
+
 def land_changes(messages: DataFrame, source_table: str) -> DataFrame:
-    """Message frame (batch or streaming) → Bronze change-log rows."""
+    """Message frame (batch or streaming) → Bronze change-log rows.
+
+    The event text is parsed twice per message: once with ``from_json`` for
+    the envelope fields and once for the payload text, which Bronze keeps.
+    """
     event = F.col("value").cast("string")
-    return messages.select(
+    lifted = messages.select(
         F.col("key").cast("string").alias("kafka_key"),
         F.lit(source_table).alias("source_table"),
         event.alias("event"),
-        F.get_json_object(event, "$.payload.op").alias("op"),
+        F.from_json(event, ENVELOPE_SCHEMA).alias("_env"),
         F.get_json_object(event, "$.payload").alias("payload"),
-        F.get_json_object(event, "$.payload.source.lsn").try_cast("long").alias("lsn"),
-        F.get_json_object(event, "$.payload.source.txId").try_cast("long").alias("tx_id"),
-        F.get_json_object(event, "$.payload.source.ts_ms").try_cast("long").alias("source_ts_ms"),
         F.col("topic"),
         F.col("partition"),
         F.col("offset"),
         F.col("timestamp").alias("event_timestamp"),
         F.current_timestamp().alias("ingested_at"),
     )
+    return lifted.select(
+        "kafka_key", "source_table", "event",
+        F.col("_env.payload.op").alias("op"),
+        "payload",
+        F.col("_env.payload.source.lsn").try_cast("long").alias("lsn"),
+        F.col("_env.payload.source.txId").try_cast("long").alias("tx_id"),
+        F.col("_env.payload.source.ts_ms").try_cast("long").alias("source_ts_ms"),
+        "topic", "partition", "offset", "event_timestamp", "ingested_at",
+    )
 
 
 @dataclass(frozen=True)
