@@ -86,9 +86,9 @@ def vault_job(
     namespace: str = "silver",
     options: V.VaultOptions | None = None,
 ) -> dict:
-    """Replay both logs into the vault. Each log is decoded once, partitioned
-    by its hub key and checkpointed to the shared folder; the hub, link and
-    satellite windows on the same key then need no further shuffle."""
+    """Replay both logs into the vault. Each log is decoded once and staged
+    as a table bucketed by its hub key in the shared folder; the hub, link
+    and satellite windows on the same key then need no further shuffle."""
     configure(spark)
     # Diagnostic first: the op distribution of each log, tombstones (null op)
     # included; a handful of rows per log.

@@ -8,6 +8,7 @@ left to :mod:`medallion.sources.tables`.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from medallion.functions.keys import attribute_hash, business_key
 from medallion.operators.changes import ChangeSpec, Field, decode_changes
 from medallion.operators.history import change_rows, first_seen
 from medallion.operators.skew import HotKeySplit
-from medallion.session import checkpoint_root
+from medallion.session import work_path
 
 PRODUCTS = ChangeSpec(
     record_source="shop.products",
@@ -119,32 +120,36 @@ def decode_orders(bronze: DataFrame) -> DataFrame:
     return decode_changes(bronze, ORDERS)
 
 
-def checkpoint_partitioned(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` and checkpoint it in the shared folder.
+def stage_bucketed(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``key`` in the shared work folder
+    and read it back.
 
-    The checkpoint keeps ``hashpartitioning(key, n)`` as its output
-    partitioning only when the checkpoint job itself is planned without
-    adaptive re-partitioning, so AQE is paused for that one job; windows and
-    sort-merge joins on ``key`` downstream then need no exchange.
+    The write cuts the lineage (a lost executor re-reads the files instead
+    of recomputing the decode), and the bucketed scan reports
+    ``hashpartitioning(key, buckets)``: windows, aggregations and sort-merge
+    joins on ``key`` downstream need no exchange. One file per bucket.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df.repartition(n, key).checkpoint(eager=True)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = work_path(spark, f"stage-{key}")
+    name = f"medallion_stage_{uuid.uuid4().hex[:12]}"
+    (
+        df.repartition(n, key)
+        .write.bucketBy(n, key)
+        .option("path", path)
+        .format("parquet")
+        .saveAsTable(name)
+    )
+    return spark.table(name)
 
 
 def staged_changes(products_bronze: DataFrame, orders_bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Decode each log once, partition it by its hub key and checkpoint it in
-    the shared folder: later hub, link and satellite windows on that key
-    reuse the partitioning, and a lost executor does not send the job back
-    to the JSON."""
-    products = checkpoint_partitioned(decode_products(products_bronze), "hk_product")
-    orders = checkpoint_partitioned(decode_orders(orders_bronze), "hk_order")
+    """Decode each log once and stage it bucketed by its hub key in the
+    shared folder: later hub, link and satellite windows and the order joins
+    on that key reuse the bucketing, and a lost executor does not send the
+    job back to the JSON."""
+    products = stage_bucketed(decode_products(products_bronze), "hk_product")
+    orders = stage_bucketed(decode_orders(orders_bronze), "hk_order")
     return products, orders
 
 

@@ -82,7 +82,7 @@ def main() -> None:
         "",
         f"Generated by `tools/plans.py` on {sf_dir} with `local[8]`, 16 shuffle partitions, AQE on and",
         "broadcast joins switched off (every join planned as for large tables). Inputs are",
-        "Parquet Bronze tables; the change logs are decoded once and checkpointed by hub key",
+        "Parquet Bronze tables; the change logs are decoded once and staged bucketed by hub key",
         "(`staged_changes`). Final adaptive plans after execution.",
         "",
     ]
