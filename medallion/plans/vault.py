@@ -120,6 +120,11 @@ def decode_orders(bronze: DataFrame) -> DataFrame:
     return decode_changes(bronze, ORDERS)
 
 
+# Staging tables (external, in the shared work folder) live in their own
+# namespace so that a persistent catalog can be cleaned of them at once.
+STAGE_NAMESPACE = "medallion_stage"
+
+
 def stage_bucketed(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
     """Write ``df`` as a table bucketed by ``key`` in the shared work folder
     and read it back.
@@ -132,7 +137,8 @@ def stage_bucketed(df: DataFrame, key: str, buckets: int | None = None) -> DataF
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = work_path(spark, f"stage-{key}")
-    name = f"medallion_stage_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGE_NAMESPACE}")
+    name = f"{STAGE_NAMESPACE}.{key}_{uuid.uuid4().hex[:12]}"
     (
         df.repartition(n, key)
         .write.bucketBy(n, key)
