@@ -2,7 +2,8 @@
 
     python -m medallion.cli bronze-prices --csv PATH --root ROOT
     python -m medallion.cli silver-prices --root ROOT [--bronze bronze.food_prices]
-    python -m medallion.cli stream-changes --spec products:shop.public.products:TARGET:CHECKPOINT \\
+    python -m medallion.cli stream-changes \\
+        --spec table=products,topic=shop.public.products,target=PATH,checkpoint=PATH[,source=PATH] \\
         [--spec ...] [--format kafka] [--option kafka.bootstrap.servers=HOST:9092] [--available-now]
     python -m medallion.cli vault --products PATH --orders PATH --root ROOT
     python -m medallion.cli order-value --products PATH --orders PATH --out PATH
@@ -44,7 +45,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--rejects", default="silver.food_prices_rejects")
 
     c = sub.add_parser("stream-changes", help="land change streams, one query per table")
-    c.add_argument("--spec", action="append", required=True, help="source_table:topic:target_path:checkpoint[:source_path]")
+    c.add_argument("--spec", action="append", required=True,
+                   help="table=NAME,topic=TOPIC,target=PATH,checkpoint=PATH[,source=PATH][,sink_table=NAME]")
     c.add_argument("--format", default="kafka")
     c.add_argument("--option", action="append", default=[], help="key=value source option")
     c.add_argument("--available-now", action="store_true")
@@ -62,6 +64,15 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _stream_spec(raw: str) -> ChangeStreamSpec:
+    """``key=value`` pairs separated by commas (paths may contain ``:``)."""
+    f = dict(part.split("=", 1) for part in raw.split(","))
+    return ChangeStreamSpec(
+        source_table=f["table"], topic=f["topic"], target_path=f.get("target"),
+        checkpoint=f["checkpoint"], source_path=f.get("source"), target_table=f.get("sink_table"),
+    )
+
+
 def _load(spark: SparkSession, ref: str):
     return spark.read.parquet(ref) if "/" in ref else spark.table(ref)
 
@@ -74,10 +85,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif args.command == "silver-prices":
         out = jobs.silver_price_job(spark, spark.table(args.bronze), args.root, args.table, args.rejects)
     elif args.command == "stream-changes":
-        specs = []
-        for raw in args.spec:
-            parts = raw.split(":", 4)
-            specs.append(ChangeStreamSpec(parts[0], parts[1], parts[2], parts[3], parts[4] if len(parts) > 4 else None))
+        specs = [_stream_spec(raw) for raw in args.spec]
         options = dict(o.split("=", 1) for o in args.option)
         queries = start_change_streams(spark, specs, source_format=args.format, options=options,
                                        available_now=args.available_now)

@@ -19,3 +19,21 @@ def test_cli_runs_the_jobs(spark, tmp_root):
     cli.main(["order-value", "--products", f"{tmp_root}/bronze/products", "--orders", f"{tmp_root}/bronze/orders",
               "--out", f"{tmp_root}/order_value"], spark)
     assert spark.read.parquet(f"{tmp_root}/order_value").count() == shop.order_value_versions_query(spark, SF_SMALL).count()
+
+
+def test_stream_spec_accepts_uri_paths():
+    spec = cli._stream_spec(
+        "table=orders,topic=shop.public.orders,target=s3a://lake/bronze/orders,checkpoint=s3a://lake/ckpt/orders")
+    assert (spec.source_table, spec.topic, spec.target_path, spec.checkpoint) == (
+        "orders", "shop.public.orders", "s3a://lake/bronze/orders", "s3a://lake/ckpt/orders")
+    assert spec.source_path is None and spec.target_table is None
+
+
+def test_cli_stream_changes_from_files(spark, tmp_root):
+    from tests.cdc_fixture import shop_scenario
+
+    products, _ = shop_scenario()
+    spark.createDataFrame(products.rows, products.frame(spark).schema).write.parquet(f"{tmp_root}/in/p")
+    spec = f"table=products,topic=shop.public.products,target={tmp_root}/bronze/p,checkpoint={tmp_root}/ckpt/p,source={tmp_root}/in/p"
+    cli.main(["stream-changes", "--spec", spec, "--format", "parquet", "--available-now"], spark)
+    assert spark.read.parquet(f"{tmp_root}/bronze/p").count() == len(products.rows)
