@@ -39,9 +39,22 @@ class HotKeySplit:
 
 
 def position(c: Column, dtype: T.DataType) -> Column:
-    """A long that orders like ``c`` (timestamps in microseconds)."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp"))
+    """A long that orders like ``c`` (timestamps in microseconds).
+
+    Wall-clock timestamps are assembled from their own date and time fields
+    rather than cast through the session zone, whose daylight-saving gaps
+    would reorder them.
+    """
+    if isinstance(dtype, T.TimestampNTZType):
+        return (
+            F.unix_date(c.cast("date")).cast("long") * 86_400_000_000
+            + F.hour(c).cast("long") * 3_600_000_000
+            + F.minute(c).cast("long") * 60_000_000
+            + F.second(c).cast("long") * 1_000_000
+            + F.date_format(c, "SSSSSS").cast("long")
+        )
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("long")
     return c.cast("long")

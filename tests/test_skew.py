@@ -48,3 +48,20 @@ def test_split_asof_equal_plain_under_skew(spark):
     plain = sorted(tuple(x) for x in asof_join(lf, r, "k", "t", "vt", tiebreak=["v"]).collect())
     split = sorted(tuple(x) for x in asof_join(lf, r, "k", "t", "vt", tiebreak=["v"], split=HotKeySplit(300, 60)).collect())
     assert plain == split and len(plain) > 1000
+
+
+def test_wall_clock_positions_keep_order_across_dst(spark):
+    from pyspark.sql import types as T
+
+    from medallion.operators.skew import position
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql(
+            "select explode(array(timestamp_ntz'2024-03-10 01:59:00', timestamp_ntz'2024-03-10 02:30:00',"
+            " timestamp_ntz'2024-03-10 03:00:00')) t")
+        got = [r[0] for r in df.select(position(F.col("t"), T.TimestampNTZType())).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == sorted(got) and got[0] == 1710035940000000
