@@ -18,6 +18,13 @@ from medallion.functions.connect_decimal import decode_connect_decimal
 from medallion.functions.keys import business_key
 
 DELETE_OP = "d"
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def utc_wall_clock(count: Column, unit: str) -> Column:
+    """Epoch ``unit``s → timestamp_ntz holding the UTC wall clock, without
+    passing through the session time zone."""
+    return F.timestamp_add(unit, count, F.lit(_EPOCH).cast("timestamp_ntz"))
 
 
 @dataclass(frozen=True)
@@ -43,7 +50,7 @@ class Field:
         if self.kind == "decimal":
             return decode_connect_decimal(raw, self.precision, self.scale)
         if self.kind == "timestamp":
-            return raw.try_cast("timestamp").cast("timestamp_ntz")
+            return utc_wall_clock(F.unix_micros(raw.try_cast("timestamp")), "MICROSECOND")
         return raw
 
 
@@ -97,7 +104,7 @@ def decode_changes(bronze: DataFrame, spec: ChangeSpec) -> DataFrame:
         F.col("lsn"),
         F.col("source_ts_ms"),
         F.col("offset"),
-        F.timestamp_millis(F.col("source_ts_ms")).cast("timestamp_ntz").alias("load_dts"),
+        utc_wall_clock(F.col("source_ts_ms"), "MILLISECOND").alias("load_dts"),
         F.lit(spec.record_source).alias("record_source"),
     ]
     return parsed.select(*cols)

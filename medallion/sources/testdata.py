@@ -20,8 +20,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medallion.functions.connect_decimal import encode_connect_decimal
+from medallion.operators.skew import position
 
 # The unit vocabulary of the price source, in source order.
 UNITS = ["KG", "L", "5 L", "730 ML", "140 ML", "10 pcs", "Day"]
@@ -105,11 +107,12 @@ def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _epoch_ms(ts) -> F.Column:
-    return F.unix_millis(ts.cast("timestamp"))
+    """Epoch milliseconds of a UTC wall-clock timestamp (truncated)."""
+    return F.floor(position(ts, T.TimestampNTZType()) / 1000).cast("long")
 
 
 def _iso_utc(ts) -> F.Column:
-    return F.date_format(ts.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
 def _message(key_json, value_json, topic, offset, ts_ms) -> F.Column:

@@ -131,3 +131,18 @@ def test_same_lsn_snapshot_rows_order_by_offset(spark):
     _, _, vault = build(spark, products, orders)
     sat = rows(vault["sat_product"], "unit_price")
     assert sat == [(Decimal("8.50"),), (Decimal("9.00"),)]
+
+
+def test_decoded_times_do_not_depend_on_session_zone(spark):
+    import datetime as dt
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    products, orders = shop_scenario()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        o = V.decode_orders(land_changes(orders.frame(spark), "orders"))
+        got = {(r["order_id"], r["lsn"]): (r["load_dts"], r["ordered_at"]) for r in o.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    utc = dt.datetime.fromtimestamp((T0 + 60_000) / 1000, dt.timezone.utc).replace(tzinfo=None)
+    assert got[(2, 200)] == (utc, utc)
