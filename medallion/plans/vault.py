@@ -18,7 +18,7 @@ from medallion.functions.keys import attribute_hash, business_key
 from medallion.operators.changes import ChangeSpec, Field, decode_changes
 from medallion.operators.history import change_rows, first_seen
 from medallion.operators.skew import HotKeySplit
-from medallion.session import work_path
+from medallion.session import checkpoint_root, work_path
 
 PRODUCTS = ChangeSpec(
     record_source="shop.products",
@@ -137,7 +137,8 @@ def stage_bucketed(df: DataFrame, key: str, buckets: int | None = None) -> DataF
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = work_path(spark, f"stage-{key}")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGE_NAMESPACE}")
+    stage_root = f"{checkpoint_root(spark)}/medallion/{STAGE_NAMESPACE}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGE_NAMESPACE} LOCATION '{stage_root}'")
     name = f"{STAGE_NAMESPACE}.{key}_{uuid.uuid4().hex[:12]}"
     (
         df.repartition(n, key)
