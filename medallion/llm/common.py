@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +17,26 @@ from medallion.session import checkpoint_root
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of the session
+    (once per application), however the driver came to import it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="medallion-code-")), "medallion_code.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, str(file.relative_to(package.parent)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

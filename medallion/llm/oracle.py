@@ -1,3 +1,59 @@
 """DuckDB statements for the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(24 + length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g'))
+      + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+HOST_RULES = r"""
+WITH w AS (
+  SELECT doc_id, source, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), grams AS (
+  SELECT doc_id, i, ws[i:i + 4] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)
+), many AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM many, (SELECT unnest(range(0, 5)) AS k) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l FROM documents)
+  WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), m AS (
+  SELECT w.doc_id, coalesce(source, '') AS host, len(ws)::BIGINT AS n_words,
+    length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)
+), f AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 100 * n_symbols > 50 * n_words
+      OR 100 * n_dup_lines > 50 * n_lines AS failed
+  FROM m
+), h AS (
+  SELECT host, count(*) AS n, sum(failed::INT)::DOUBLE AS k FROM f GROUP BY host
+), p AS (
+  SELECT greatest(least(sum(k) / sum(n), 1 - 1e-6), 1e-6) AS c, avg(k / n) * (1 - avg(k / n)) AS own,
+    var_pop(k / n) - avg(k / n) * (1 - avg(k / n)) * avg(1 / n) AS between_hosts
+  FROM h
+), s AS (
+  SELECT c, CASE WHEN between_hosts > 0 AND own > 0 THEN least(greatest(own / between_hosts - 1, 1), 1e6) ELSE 1e6 END AS s FROM p
+), v AS (
+  SELECT host, (k + c * s) / (n + s) AS host_rate, (k + c * s) / (n + s) > 0.5 AS host_rejected FROM h, s
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT host_rejected AS kept, host, round(host_rate, 9) AS host_rate, host_rejected
+FROM f JOIN v USING (host)
+"""
+
+SQL: dict[str, str] = {"op6_chat_format": CHAT, "op4_host_rules": HOST_RULES}
