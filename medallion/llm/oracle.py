@@ -56,4 +56,45 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f JOIN v USING (host)
 """
 
-SQL: dict[str, str] = {"op6_chat_format": CHAT, "op4_host_rules": HOST_RULES}
+def license_sql() -> str:
+    """Every block against every template, and every place against every phrase."""
+    from medallion.llm.licenses import PHRASES, TEMPLATES, ScanParams
+
+    p = ScanParams()
+
+    def values(entries: dict[str, str]) -> str:
+        return ", ".join(f"({t.split()!r}, '{label}')" for t, label in entries.items())
+
+    return rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), phrase(words, label) AS (VALUES {values(PHRASES)}
+), template(words, label) AS (VALUES {values(TEMPLATES)}
+), spot AS (
+  SELECT doc_id, ws, unnest(range(0, len(ws))) AS i FROM w
+), base AS (
+  SELECT doc_id, i, label FROM spot, phrase WHERE ws[i + 1:i + len(words)] = words
+), block AS (
+  SELECT doc_id, list_distinct(ws[b + 1:b + {p.block_words}]) AS have
+  FROM (SELECT doc_id, ws, unnest(range(0, len(ws), {p.step})) AS b FROM w)
+), near AS (
+  SELECT doc_id, label, len(list_intersect(have, words)) / len(list_distinct(words)) AS share, len(list_distinct(words)) AS size,
+    len(list_intersect(have, words)) AS common
+  FROM block, template
+), found AS (
+  SELECT doc_id, label, true AS base, i, 1.0::DOUBLE AS share FROM base
+  UNION ALL SELECT doc_id, label, false, NULL, share FROM near WHERE common >= ceil(size * {p.containment})
+), g AS (
+  SELECT doc_id, count(i) AS n_base, min(i)::BIGINT AS first_word, max(i)::BIGINT AS last_word,
+    array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
+    array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(share) AS score
+  FROM found GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM w LEFT JOIN g USING (doc_id)
+"""
+
+
+SQL: dict[str, str] = {"op1_license_scan": license_sql(), "op6_chat_format": CHAT, "op4_host_rules": HOST_RULES}

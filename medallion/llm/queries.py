@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import chat, hostrules, oracle, sharding
+from medallion.llm import chat, hostrules, licenses, oracle, quality, sharding, tokenfiles
 from medallion.llm.common import Query, table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = tokenfiles.TokenFileParams(tokenizer=public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfiles.encode_and_read(table(spark, sf_dir, "documents"), params)
+
+
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hostrules.judge(table(spark, sf_dir, "documents"))
 
@@ -23,9 +33,16 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_and_read(given.unionByName(extra))
 
 
+def op8_kernel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op2_rendezvous_shards": op2_rendezvous_shards,
+    "op3_token_files": op3_token_files,
     "op4_host_rules": op4_host_rules,
     "op6_chat_format": op6_chat_format,
+    "op8_kernel_quality": op8_kernel_quality,
 }
 ORACLES: dict[str, str] = {name: sql for name, sql in oracle.SQL.items() if name in QUERIES}
