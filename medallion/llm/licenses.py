@@ -80,6 +80,11 @@ def _folded(word: Column) -> Column:
     return F.when(F.octet_length(low) == F.octet_length(word), low).otherwise(word)
 
 
+def _same(word: str, token: str) -> Column:
+    """Join condition: ``word`` with A-Z folded is the ``token`` (an ASCII word)."""
+    return (F.lower(F.col(word)) == F.col(token)) & (F.octet_length(word) == F.octet_length(token))
+
+
 def template_words(spark: SparkSession, phrases: Mapping[str, str], templates: Mapping[str, str], containment: float) -> DataFrame:
     """One row per template and different word: id, kind, label, need, size,
     word, at (place in the text), words."""
@@ -107,8 +112,8 @@ def prefix_words(words: DataFrame, templates: DataFrame, hint) -> DataFrame:
     """The prefix of each template under the global order of word counts."""
     vocabulary = hint(templates.select("word").distinct())
     counts = (
-        words.select(F.explode("words").alias("w")).select(_folded(F.col("w")).alias("w"))
-        .join(vocabulary, F.col("w") == F.col("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        words.select(F.explode_outer("words").alias("w")).join(vocabulary, _same("w", "word"))
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     )
     order = Window.partitionBy("id").orderBy(F.coalesce(F.col("n"), F.lit(0)), "word")
     ranked = templates.join(counts, "word", "left").withColumn("rank", F.row_number().over(order))
@@ -154,7 +159,7 @@ def scan(
     exploded = numbered.select(
         "row", "doc_id", "words", "n_words", F.posexplode(F.concat("words", F.array(F.lit("")))).alias("pos", "word"),
     )
-    hits = exploded.join(keys, _folded(F.col("word")) == F.col("token"))
+    hits = exploded.join(keys, _same("word", "token"))
     place = F.col("pos") - F.col("at")
     at_place = F.transform(F.slice("words", F.greatest(place, F.lit(0)) + 1, F.size("template")), _folded)
     found = F.col("base") & (place >= 0) & (at_place == F.col("template"))

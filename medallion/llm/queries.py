@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import chat, hostrules, licenses, oracle, quality, sharding, tokenfiles
+from medallion.llm import chat, hostrules, jaccard, licenses, oracle, quality, sharding, tokenfiles
 from medallion.llm.common import Query, table
 
 
@@ -33,6 +33,11 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_and_read(given.unionByName(extra))
 
 
+def op7_parity_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = jaccard.JaccardParams(shingle=3, percent=90)
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), params).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_kernel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +48,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_files": op3_token_files,
     "op4_host_rules": op4_host_rules,
     "op6_chat_format": op6_chat_format,
+    "op7_parity_jaccard": op7_parity_jaccard,
     "op8_kernel_quality": op8_kernel_quality,
 }
 ORACLES: dict[str, str] = {name: sql for name, sql in oracle.SQL.items() if name in QUERIES}
