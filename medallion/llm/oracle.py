@@ -61,30 +61,33 @@ def license_sql() -> str:
     from medallion.llm.licenses import PHRASES, TEMPLATES, ScanParams
 
     p = ScanParams()
-
-    def values(entries: dict[str, str]) -> str:
-        return ", ".join(f"({t.split()!r}, '{label}')" for t, label in entries.items())
-
+    longest = max(len(t.split()) for t in PHRASES)
+    leads = ", ".join(f"lead(word, {k}) OVER (PARTITION BY doc_id ORDER BY i) AS w{k}" for k in range(longest))
+    places = " UNION ALL ".join(
+        f"SELECT doc_id, i, '{label}' AS label FROM run WHERE " + " AND ".join(f"w{k} = '{w}'" for k, w in enumerate(t.split()))
+        for t, label in PHRASES.items()
+    )
+    templates = ", ".join(f"({t.split()!r}, '{label}')" for t, label in TEMPLATES.items())
     return rf"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
-), phrase(words, label) AS (VALUES {values(PHRASES)}
-), template(words, label) AS (VALUES {values(TEMPLATES)}
-), spot AS (
-  SELECT doc_id, ws, unnest(range(0, len(ws))) AS i FROM w
-), base AS (
-  SELECT doc_id, i, label FROM spot, phrase WHERE ws[i + 1:i + len(words)] = words
+), word AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM w
+), run AS (
+  SELECT doc_id, i, {leads} FROM word
+), base AS ({places}
 ), block AS (
-  SELECT doc_id, list_distinct(ws[b + 1:b + {p.block_words}]) AS have
-  FROM (SELECT doc_id, ws, unnest(range(0, len(ws), {p.step})) AS b FROM w)
+  SELECT doc_id, b, list(DISTINCT word) AS have FROM (
+    SELECT doc_id, word, i // {p.step} AS b FROM word
+    UNION ALL SELECT doc_id, word, i // {p.step} - 1 FROM word WHERE i >= {p.step}
+  ) GROUP BY doc_id, b
+), template(words, label) AS (VALUES {templates}
 ), near AS (
-  SELECT doc_id, label, len(list_intersect(have, words)) / len(list_distinct(words)) AS share, len(list_distinct(words)) AS size,
-    len(list_intersect(have, words)) AS common
-  FROM block, template
+  SELECT doc_id, label, len(list_intersect(have, words)) AS common, len(list_distinct(words)) AS size FROM block, template
 ), found AS (
   SELECT doc_id, label, true AS base, i, 1.0::DOUBLE AS share FROM base
-  UNION ALL SELECT doc_id, label, false, NULL, share FROM near WHERE common >= ceil(size * {p.containment})
+  UNION ALL SELECT doc_id, label, false, NULL, common / size FROM near WHERE common >= ceil(size * {p.containment})
 ), g AS (
   SELECT doc_id, count(i) AS n_base, min(i)::BIGINT AS first_word, max(i)::BIGINT AS last_word,
     array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
