@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import chat, hostrules, jaccard, leaks, licenses, mixing, oracle, quality, sharding, tokenfiles
+from medallion.llm import chat, hostrules, jaccard, leaks, licenses, lm, mixing, oracle, quality, sharding, tokenfiles
 from medallion.llm.common import Query, table
 
 
@@ -46,6 +46,10 @@ def op8_kernel_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op6_chat_format": op6_chat_format,
     "op7_parity_jaccard": op7_parity_jaccard,
     "op8_kernel_quality": op8_kernel_quality,
+    "op9_backoff_lm": op9_backoff_lm,
     "op10_simhash_leaks": op10_simhash_leaks,
 }
 ORACLES: dict[str, str] = {name: sql for name, sql in oracle.SQL.items() if name in QUERIES}
