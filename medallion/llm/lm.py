@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.common import fold, staged
-from medallion.llm.words import buffers, mix, slices, words
+from medallion.llm.words import mix, slices, words
 
 FOLDS = 5
 HELD_OUT = 1
@@ -55,21 +55,42 @@ class LmParams:
     entries_per_bucket: int = 1_000_000
 
 
-def _pack(values: np.ndarray) -> bytes:
-    return pa.compress(values.tobytes(), codec="zstd", asbytes=True) if len(values) else b""
+def pack(values: np.ndarray) -> bytes:
+    """An unsigned array as zstd of its byte planes, which keeps small numbers small."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True) if len(values) else b""
 
 
-def _unpack(data: bytes, n: int, kind: str) -> np.ndarray:
+def unpack(data: bytes, n: int, kind: str) -> np.ndarray:
     kind = np.dtype(kind)
-    return np.frombuffer(pa.decompress(data, n * kind.itemsize, codec="zstd", asbytes=True), kind) if n else np.zeros(0, kind)
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(data, n * kind.itemsize, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(kind.itemsize, n).T).view(kind).ravel()
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Rising 64-bit keys as their steps."""
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_sorted(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpack(data, n, "u8"), dtype=np.uint64)
+
+
+def by_use(uses: np.ndarray) -> np.ndarray:
+    """The places of a block's keys, most used first: tokens are stored as
+    ranks in this order, which are small numbers."""
+    return np.argsort(-uses.astype(np.int64), kind="stable")
 
 
 def token_blocks(documents: DataFrame, params: LmParams) -> DataFrame:
     """Blocks of tokenized texts.
 
     block, doc_ids, held (per text), lengths (tokens with the end), n_tokens,
-    keys (different token hashes in order), counts (their training
-    occurrences), tokens (place of every token in keys; packed).
+    n_keys, and packed: keys (different token hashes in order), uses and
+    counts (their occurrences, and those in training texts), tokens (rank of
+    every token's key by use).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,13 +105,16 @@ def token_blocks(documents: DataFrame, params: LmParams) -> DataFrame:
             lengths, held = np.concatenate([x[2] for x in kept]), np.concatenate([x[1] for x in kept])
             ids = pa.concat_arrays([x[0] for x in kept])
             keys, place = np.unique(hashes, return_inverse=True)
-            counts = np.bincount(place[~np.repeat(held, lengths)], minlength=len(keys))
+            counts = np.bincount(place[~np.repeat(held, lengths)], minlength=len(keys)).astype(np.uint32)
+            uses = np.bincount(place, minlength=len(keys)).astype(np.uint32)
+            rank = np.empty(len(keys), np.uint32)
+            rank[by_use(uses)] = np.arange(len(keys))
+            packed = [pack_sorted(keys), pack(uses), pack(counts), pack(rank[place])]
             return pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                  pa.array([held.tolist()], pa.list_(pa.bool_())), pa.array([lengths], pa.list_(pa.int64())),
-                 pa.array([len(hashes)], pa.int64()), pa.array([keys.tobytes()], pa.binary()),
-                 pa.array([counts.astype(np.uint32).tobytes()], pa.binary()), pa.array([_pack(place.astype(np.uint32))], pa.binary())],
-                names=["block", "doc_ids", "held", "lengths", "n_tokens", "keys", "counts", "tokens"],
+                 pa.array([len(hashes)], pa.int64()), pa.array([len(keys)], pa.int64()), *[pa.array([x], pa.binary()) for x in packed]],
+                names=["block", "doc_ids", "held", "lengths", "n_tokens", "n_keys", "keys", "uses", "counts", "tokens"],
             )
 
         for batch in batches:
@@ -112,7 +136,7 @@ def token_blocks(documents: DataFrame, params: LmParams) -> DataFrame:
     return rows.mapInArrow(
         run,
         f"block long, doc_ids array<{kind}>, held array<boolean>, lengths array<long>, n_tokens long, "
-        "keys binary, counts binary, tokens binary",
+        "n_keys long, keys binary, uses binary, counts binary, tokens binary",
     )
 
 
@@ -127,13 +151,14 @@ def _sent(block: int, keys: np.ndarray, counts: np.ndarray, bits: int) -> pa.Rec
     used = [k for k in range(1 << bits) if cut[k] < cut[k + 1]]
     return pa.RecordBatch.from_arrays(
         [pa.array(used, pa.int32()), pa.array(np.full(len(used), block)),
-         pa.array([keys[cut[k] : cut[k + 1]].tobytes() for k in used], pa.binary()),
-         pa.array([counts[cut[k] : cut[k + 1]].astype(np.uint32).tobytes() for k in used], pa.binary())],
-        names=["bucket", "block", "keys", "counts"],
+         pa.array([cut[k + 1] - cut[k] for k in used], pa.int64()),
+         pa.array([pack_sorted(keys[cut[k] : cut[k + 1]]) for k in used], pa.binary()),
+         pa.array([pack(counts[cut[k] : cut[k + 1]].astype(np.uint32)) for k in used], pa.binary())],
+        names=["bucket", "block", "size", "keys", "counts"],
     )
 
 
-_SENT = "bucket int, block long, keys binary, counts binary"
+_SENT = "bucket int, block long, size long, keys binary, counts binary"
 _TOTALS = "block long, bucket int, totals binary, n long, v long, rare_n long, rare_v long"
 
 
@@ -144,17 +169,19 @@ def add_counts(sent: DataFrame, core_min: int) -> DataFrame:
     rare_v, the same of keys below ``core_min`` (but the end)."""
 
     def add(group: pa.Table) -> pa.Table:
-        at = [buffers(group.column(c)) for c in ("keys", "counts")]
-        keys, back = np.unique(at[0][0].view(np.uint64), return_inverse=True)
-        totals = np.bincount(back, at[1][0].view(np.uint32), minlength=len(keys)).astype(np.int64)
-        cut = at[0][1] // 8
+        size = group.column("size").to_pylist()
+        sent_keys = [unpack_sorted(d, k) for d, k in zip(group.column("keys").to_pylist(), size, strict=True)]
+        counts = [unpack(d, k, "u4") for d, k in zip(group.column("counts").to_pylist(), size, strict=True)]
+        keys, back = np.unique(np.concatenate(sent_keys), return_inverse=True)
+        totals = np.bincount(back, np.concatenate(counts), minlength=len(keys)).astype(np.int64)
+        cut = np.concatenate([[0], np.cumsum(size)])
         rare = (totals < core_min) & (keys != END)
         sums = np.zeros((4, group.num_rows), np.int64)
         sums[:, 0] = totals.sum(), (totals > 0).sum(), totals[rare].sum(), (totals[rare] > 0).sum()
         own = totals[back]
         return pa.table({
             "block": group.column("block"), "bucket": group.column("bucket"),
-            "totals": pa.array([_pack(own[a:b]) for a, b in zip(cut, cut[1:], strict=False)], pa.binary()),
+            "totals": pa.array([pack(own[a:b]) for a, b in zip(cut, cut[1:], strict=False)], pa.binary()),
             **{name: pa.array(s) for name, s in zip(("n", "v", "rare_n", "rare_v"), sums, strict=True)},
         })
 
@@ -169,10 +196,10 @@ def send_words(blocks: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                keys = np.frombuffer(batch.column(1)[k].as_py(), np.uint64)
-                yield _sent(batch.column(0)[k].as_py(), keys, np.frombuffer(batch.column(2)[k].as_py(), np.uint32), bits)
+                block, n, keys, counts = (batch.column(c)[k].as_py() for c in range(4))
+                yield _sent(block, unpack_sorted(keys, n), unpack(counts, n, "u4"), bits)
 
-    return blocks.select("block", "keys", "counts").mapInArrow(run, _SENT)
+    return blocks.select("block", "n_keys", "keys", "counts").mapInArrow(run, _SENT)
 
 
 @dataclass
@@ -188,12 +215,12 @@ class BlockTexts:
 
     @classmethod
     def read(cls, block: pa.Table, totals: pa.Table, bits: int) -> BlockTexts:
-        keys = np.frombuffer(block.column("keys")[0].as_py(), np.uint64)
-        return cls(
-            block.column("doc_ids")[0].values, np.asarray(block.column("held")[0].values), np.asarray(block.column("lengths")[0].values),
-            _unpack(block.column("tokens")[0].as_py(), block.column("n_tokens")[0].as_py(), "u4"),
-            gathered(totals, keys, bits), keys,
-        )
+        one = {c: block.column(c)[0] for c in block.column_names}
+        n = one["n_keys"].as_py()
+        keys = unpack_sorted(one["keys"].as_py(), n)
+        tokens = by_use(unpack(one["uses"].as_py(), n, "u4"))[unpack(one["tokens"].as_py(), one["n_tokens"].as_py(), "u4")]
+        ids = one["doc_ids"].values if "doc_ids" in one else pa.nulls(0)
+        return cls(ids, np.asarray(one["held"].values), np.asarray(one["lengths"].values), tokens, gathered(totals, keys, bits), keys)
 
     def classes(self, core_min: int) -> tuple[np.ndarray, np.ndarray]:
         """(class of every token, hash of every class): frequent words in the
@@ -229,7 +256,7 @@ def gathered(totals: pa.Table, keys: np.ndarray, bits: int) -> np.ndarray:
     cut = _buckets(keys, bits)
     out = np.zeros(len(keys), np.int64)
     for bucket, data in zip(totals.column("bucket").to_pylist(), totals.column("totals").to_pylist(), strict=True):
-        out[cut[bucket] : cut[bucket + 1]] = _unpack(data, int(cut[bucket + 1] - cut[bucket]), "i8")
+        out[cut[bucket] : cut[bucket + 1]] = unpack(data, int(cut[bucket + 1] - cut[bucket]), "i8")
     return out
 
 
@@ -242,7 +269,8 @@ def send_pairs(blocks: DataFrame, totals: DataFrame, bits: int, pair_bits: int,
         counts = np.bincount(place[~np.repeat(texts.held, texts.lengths)], minlength=len(keys))
         return pa.Table.from_batches([_sent(block.column("block")[0].as_py(), keys, counts, pair_bits)])
 
-    return blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, _SENT)
+    needed = blocks.select("block", "held", "lengths", "n_tokens", "n_keys", "keys", "uses", "tokens")
+    return needed.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, _SENT)
 
 
 def traverse(texts: BlockTexts, pair_totals: np.ndarray, place: np.ndarray, n: int, v: int, others: tuple[int, int], params: LmParams) -> dict[str, np.ndarray]:
@@ -280,8 +308,8 @@ def score_texts(documents: DataFrame, params: LmParams | None = None) -> DataFra
     """
     p = params or LmParams()
     blocks = staged(token_blocks(documents, p), "lm-blocks")
-    entries = blocks.agg(F.sum(F.octet_length("keys")), F.sum("n_tokens")).first()
-    bits = _bits((entries[0] or 0) // 8, p.entries_per_bucket)
+    entries = blocks.agg(F.sum("n_keys"), F.sum("n_tokens")).first()
+    bits = _bits(entries[0] or 0, p.entries_per_bucket)
     pair_bits = _bits((entries[1] or 0) // 4, p.entries_per_bucket)
     totals = staged(add_counts(send_words(blocks, bits), p.core_min), "lm-words")
     sums = totals.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "rare_n", "rare_v")]).first()
@@ -306,6 +334,6 @@ def score_texts(documents: DataFrame, params: LmParams | None = None) -> DataFra
         })
 
     back = words_back.unionByName(pairs_back)
-    return blocks.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
+    return blocks.drop("counts").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
