@@ -21,7 +21,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from medallion.plans import prices as P  # noqa: E402
 from medallion.plans import vault as V  # noqa: E402
 from medallion.plans.order_value import order_value_versions  # noqa: E402
-from medallion.operators.skew import HotKeySplit  # noqa: E402
 from medallion.session import build_session, work_path  # noqa: E402
 from medallion.sources.delimited import read_delimited, write_delimited  # noqa: E402
 from medallion.sources.testdata import PRICE_COLUMNS, change_messages, price_rows  # noqa: E402
@@ -56,8 +55,6 @@ def main() -> None:
 
     text = P.as_bronze_text(spark.read.parquet(f"{root}/price_text"))
     bronze = {n: spark.read.parquet(f"{root}/bronze/{n}") for n in ("products", "orders")}
-    split = HotKeySplit()  # production thresholds
-    opts = V.VaultOptions(split=split)
     stream_runs = [0]
 
     def stream_landing() -> None:
@@ -72,22 +69,18 @@ def main() -> None:
     staged = {}
 
     def envelope_decode() -> None:
-        staged["p"], staged["o"] = V.staged_changes(bronze["products"], bronze["orders"])
+        staged.update(V.staged_changes(bronze["products"], bronze["orders"]))
 
     def vault_replay() -> None:
-        for df in V.vault_tables(staged["p"], staged["o"], opts).values():
+        for df in V.vault_tables(staged).values():
             noop(df)
 
     def order_value() -> None:
-        p, o = staged["p"], staged["o"]
-        noop(order_value_versions(
-            V.satellite_changes(o, "hk_order", V.ORDER_SAT_ATTRS, opts), V.hub_order(o), V.link_order(o),
-            V.satellite_changes(p, "hk_product", V.PRODUCT_SAT_ATTRS, opts), split=split,
-        ))
+        noop(order_value_versions(staged))
 
     stages = {
         "bronze_prices_csv": lambda: noop(P.bronze_prices(read_delimited(spark, f"{root}/price_csv", PRICE_COLUMNS))),
-        "silver_prices": lambda: noop(P.silver_prices(text, check_units="inline").silver),
+        "silver_prices": lambda: noop(P.silver_prices(text)),
         "price_rejects": lambda: noop(P.rejects(text)),
         "envelope_decode": envelope_decode,
         "vault_replay": vault_replay,

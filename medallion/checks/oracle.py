@@ -22,25 +22,28 @@ def _ad(expr: str) -> str:
 
 SHOP_CTES = f"""
 pe AS (
-  SELECT event_id, user_id, value,
-         CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op,
-         (event_id + 1) * 10 AS lsn,
+  SELECT event_id, user_id, value, op, copy,
+         (event_id + 1) * 10 + copy * 5 AS lsn,
          epoch_us(ts) // 1000 AS source_ts_ms,
-         event_id * 4 AS "offset"
-  FROM events WHERE event_type <> 'purchase'
+         event_id * 4 + copy * 2 AS "offset",
+         CAST(floor(value / 50) AS BIGINT) * 5000 + copy * 100 + 850 AS cents,
+         op <> 'd' AND event_id % 61 = 0 AS bad, ts
+  FROM (SELECT *, CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op
+        FROM events WHERE event_type <> 'purchase'), (SELECT unnest([0, 1]) AS copy)
+  WHERE copy = 0 OR (op = 'u' AND event_id % 7 = 0)
 ),
 products AS (
   SELECT sha256({_bk('user_id')}) AS hk_product,
          CAST(user_id AS INTEGER) AS product_id,
          CASE WHEN op <> 'd' THEN 'product ' || CAST(user_id AS VARCHAR) END AS name,
-         CASE WHEN op <> 'd' THEN (['Cookware', 'Appliance', 'Tableware'])[CAST(user_id % 3 AS INTEGER) + 1] END AS category,
-         CASE WHEN op <> 'd' THEN CAST(floor(value / 50) * 50 + 8.5 AS DECIMAL(10,2)) END AS unit_price,
+         CASE WHEN op <> 'd' THEN (['Garden', 'Office', 'Workshop'])[CAST(user_id % 3 AS INTEGER) + 1] END AS category,
+         CASE WHEN op <> 'd' THEN CAST(cents / 100.0 AS DECIMAL(10,2)) END AS unit_price,
          CASE WHEN op <> 'd' THEN CAST(CAST(floor(value) AS BIGINT) % 5 AS INTEGER) END AS stock_quantity,
          op = 'd' AS dv_is_deleted,
          op, lsn, source_ts_ms, "offset",
          make_timestamp(source_ts_ms * 1000) AS load_dts,
          'shop.products' AS record_source
-  FROM pe
+  FROM pe WHERE NOT bad
 ),
 oe AS (
   SELECT event_id, user_id, ts, epoch_us(ts) // 1000 AS ms FROM events WHERE event_type = 'purchase'
@@ -67,7 +70,7 @@ orders AS (
          event_id * 4 + step AS "offset",
          make_timestamp((ms + step * 60000) * 1000) AS load_dts,
          'shop.orders' AS record_source
-  FROM order_steps
+  FROM order_steps WHERE NOT (step = 1 AND event_id % 66 = 0)
 ),
 product_keys AS (
   SELECT hk_product, product_id, lsn, source_ts_ms, "offset", load_dts, record_source FROM products
@@ -107,22 +110,29 @@ sat_order_all AS (
 sat_order_changes AS (SELECT * FROM sat_order_all WHERE prev IS NULL OR prev <> hashdiff)
 """
 
+# Of the product versions at or before the order time the newest counts;
+# equal times are settled by {ties}, the largest winning.
 ORDER_VALUE = """
-SELECT h.order_id, o.quantity, CAST(sp.unit_price AS DOUBLE) AS unit_price,
-       CAST(CAST(o.quantity * sp.unit_price * 4000 AS DECIMAL(18,2)) AS DOUBLE) AS order_value_khr
-FROM {orders} o
-JOIN hub_order h ON o.hk_order = h.hk_order
-JOIN link_order l ON o.hk_order = l.hk_order
-JOIN sat_product_changes sp ON l.hk_product = sp.hk_product
- AND sp.load_dts = (SELECT max(sp2.load_dts) FROM sat_product_changes sp2
-                    WHERE sp2.hk_product = l.hk_product AND sp2.load_dts <= o.ordered_at)
-WHERE NOT o.dv_is_deleted
+SELECT order_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+       CAST(CAST(quantity * unit_price * 4000 AS DECIMAL(18,2)) AS DOUBLE) AS order_value_khr
+FROM (
+  SELECT h.order_id, o.quantity, sp.unit_price,
+         row_number() OVER (PARTITION BY o.hk_order, o.lsn, o."offset" ORDER BY sp.load_dts DESC, {ties}) AS rn
+  FROM {orders} o
+  JOIN hub_order h ON o.hk_order = h.hk_order
+  JOIN link_order l ON o.hk_order = l.hk_order
+  JOIN sat_product_changes sp ON l.hk_product = sp.hk_product AND sp.load_dts <= o.ordered_at
+  WHERE NOT o.dv_is_deleted
+) WHERE rn = 1
 """
+LOG_TIES = 'sp.lsn DESC NULLS LAST, sp.source_ts_ms DESC, sp."offset" DESC'
+PUBLISHED_TIES = "sp.hashdiff DESC"
 
 LATEST_ORDER = """
 latest_order AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hk_order ORDER BY lsn DESC NULLS LAST, load_dts DESC) AS rn
-                 FROM sat_order_changes) WHERE rn = 1
+  SELECT * FROM (SELECT *, row_number() OVER (
+      PARTITION BY hk_order ORDER BY lsn DESC NULLS LAST, source_ts_ms DESC NULLS LAST, "offset" DESC NULLS LAST) AS rn
+    FROM sat_order_changes) WHERE rn = 1
 )
 """
 
@@ -133,31 +143,50 @@ def shop(select: str, extra_ctes: str = "") -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {**shop_oracles(), **price_oracles()}
-    # the forced hot-key plans must give the same answers
-    out["order_value_hot_split"] = out["order_value_versions"]
-    out["sat_product_hot_split"] = out["sat_product"]
-    return out
+    return {**shop_oracles(), **price_oracles()}
 
 
-MESSAGES = """
-messages AS (
-  SELECT 'products' AS source_table, 'shop.public.products' AS topic,
-         '{"payload":{"product_id":' || CAST(user_id AS VARCHAR) || '}}' AS kafka_key,
-         op, lsn, event_id // 2 AS tx_id, source_ts_ms, event_id * 4 AS "offset", source_ts_ms AS ms
-  FROM pe
-  UNION ALL
-  SELECT 'products', 'shop.public.products', '{"payload":{"product_id":' || CAST(user_id AS VARCHAR) || '}}',
-         NULL, NULL, NULL, NULL, event_id * 4 + 1, source_ts_ms
-  FROM pe WHERE op = 'd'
+# The messages as the fixture writes them, texts included. A decimal is the
+# base64 of the fewest bytes that hold it with its sign.
+MESSAGES = r"""
+hexed AS (
+  SELECT *, CASE WHEN length(h) % 2 = 1 THEN '0' || h WHEN h >= '8' THEN '00' || h ELSE h END AS even
+  FROM (SELECT *, printf('%X', cents) AS h FROM pe)
+),
+product_json AS (
+  SELECT *, CASE WHEN event_id % 61 = 0 THEN '!bad!' WHEN event_id % 59 = 0 THEN to_base64(unhex(lpad(even, 40, '0')))
+                 ELSE to_base64(unhex(even)) END AS price,
+    CASE WHEN event_id % 53 = 0 THEN '"' || user_id || '"' ELSE user_id::VARCHAR END AS pid
+  FROM hexed
+),
+bodies AS (
+  SELECT 'products' AS source_table, user_id AS key_id, 'product_id' AS key_name, op, lsn, event_id // 2 AS tx_id, source_ts_ms, "offset",
+    CASE WHEN op = 'd' THEN '"before":{"product_id":' || pid || '}'
+         ELSE '"after":{"product_id":' || pid || ',"name":"product ' || user_id || '","category":"'
+           || (['Garden', 'Office', 'Workshop'])[CAST(user_id % 3 AS INTEGER) + 1] || '","unit_price":"' || price
+           || '","stock_quantity":' || CAST(floor(value) AS BIGINT) % 5
+           || ',"updated_at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z"}' END AS body
+  FROM product_json
   UNION ALL
-  SELECT 'orders', 'shop.public.orders', '{"payload":{"order_id":' || CAST(event_id AS VARCHAR) || '}}',
-         op, (event_id + 1) * 10 + step, event_id // 2, ms + step * 60000, event_id * 4 + step, ms + step * 60000
+  SELECT 'orders', event_id, 'order_id', op, (event_id + 1) * 10 + step, event_id // 2, ms + step * 60000, event_id * 4 + step,
+    CASE WHEN op = 'd' THEN '"before":{"order_id":' || event_id || '}'
+         ELSE '"after":{"order_id":' || event_id || ',"customer_name":"Customer ' || user_id % 40 || '","product_id":' || user_id
+           || ',"quantity":' || CASE WHEN step = 1 AND event_id % 66 = 0 THEN '"many"' ELSE (event_id % 5 + 1)::VARCHAR END
+           || ',"order_status":"' || status || '","ordered_at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z"}' END
   FROM order_steps
+),
+live AS (
+  SELECT *, '{' || body || ',"source":{"lsn":' || lsn || ',"txId":' || tx_id || ',"ts_ms":' || source_ts_ms || '},"op":"' || op
+    || '","ts_ms":' || source_ts_ms || '}' AS payload, source_ts_ms AS ms FROM bodies
+),
+messages AS (
+  SELECT source_table, 'shop.public.' || source_table AS topic, '{"payload":{"' || key_name || '":' || key_id || '}}' AS kafka_key,
+    op, lsn, tx_id, source_ts_ms, "offset", ms, sha256('{"payload":' || payload || '}') AS event, sha256(payload) AS payload
+  FROM live
   UNION ALL
-  SELECT 'orders', 'shop.public.orders', '{"payload":{"order_id":' || CAST(event_id AS VARCHAR) || '}}',
-         NULL, NULL, NULL, NULL, event_id * 4 + 3, ms + 120000
-  FROM oe WHERE event_id % 10 = 3
+  SELECT source_table, 'shop.public.' || source_table, '{"payload":{"' || key_name || '":' || key_id || '}}',
+    NULL, NULL, NULL, NULL, "offset" + 1, ms, NULL, NULL
+  FROM live WHERE op = 'd'
 )
 """
 
@@ -173,16 +202,23 @@ ORDER_CHANGE_COLS = (
 
 def shop_oracles() -> dict[str, str]:
     return {
+        "change_rejects": shop(
+            """SELECT 'shop.' || source_table AS record_source, op, lsn, source_ts_ms, "offset", sha256(payload) AS payload,
+                 CASE source_table WHEN 'products' THEN 'unit_price: not a valid decimal(10,2)' ELSE 'quantity: not a valid int' END
+                   AS reject_reasons
+               FROM live WHERE body LIKE '%"!bad!"%' OR body LIKE '%"quantity":"many"%'""",
+            MESSAGES,
+        ),
         "changes_products": shop(f"SELECT {PRODUCT_CHANGE_COLS} FROM products"),
         "changes_orders": shop(f"SELECT {ORDER_CHANGE_COLS} FROM orders"),
         "bronze_change_stream": shop(
             """SELECT kafka_key, source_table, op, lsn, tx_id, source_ts_ms, topic, 0 AS partition, "offset",
-                      make_timestamp(ms * 1000) AS event_timestamp, op IS NOT NULL AS has_payload
+                      make_timestamp(ms * 1000) AS event_timestamp, event, payload
                FROM messages""",
             MESSAGES,
         ),
         "op_profile": shop(
-            "SELECT op, CAST(count(*) AS BIGINT) AS events FROM messages WHERE source_table = 'products' GROUP BY op",
+            "SELECT source_table, op, CAST(count(*) AS BIGINT) AS events FROM messages GROUP BY source_table, op",
             MESSAGES,
         ),
         "op_transactions": shop(
@@ -205,8 +241,9 @@ def shop_oracles() -> dict[str, str]:
                UNION ALL SELECT 'sat_product', count(*) FROM sat_product_changes
                UNION ALL SELECT 'sat_order', count(*) FROM sat_order_changes"""
         ),
-        "order_value_versions": shop(ORDER_VALUE.format(orders="sat_order_changes")),
-        "order_value_live": shop(ORDER_VALUE.format(orders="latest_order"), LATEST_ORDER),
+        "order_value_versions": shop(ORDER_VALUE.format(orders="sat_order_changes", ties=LOG_TIES)),
+        "published_vault_order_value": shop(ORDER_VALUE.format(orders="sat_order_changes", ties=PUBLISHED_TIES)),
+        "order_value_live": shop(ORDER_VALUE.format(orders="latest_order", ties=LOG_TIES), LATEST_ORDER),
         "hub_product": shop("SELECT * FROM hub_product"),
         "hub_customer": shop("SELECT * FROM hub_customer"),
         "hub_order": shop("SELECT * FROM hub_order"),
@@ -366,7 +403,9 @@ def price_oracles() -> dict[str, str]:
                        min(price_date) AS first_date, max(price_date) AS last_date
                 FROM ({BRONZE_SELECT}) GROUP BY source"""
         ),
+        "load_span": prices(f"SELECT source, CAST(count(*) AS BIGINT) AS rows, true AS in_order FROM ({BRONZE_SELECT}) GROUP BY source"),
         "silver_prices": prices(SILVER_SELECT),
+        "published_silver": prices(f"SELECT *, CAST(year(price_date) AS INTEGER) AS price_date_year FROM ({SILVER_SELECT})"),
         "price_rejects": prices(
             """SELECT price_date, province, district, market, market_id, latitude, longitude, category,
                       commodity, commodity_id, unit, priceflag, pricetype, currency, price, usd_price, source,
@@ -388,9 +427,9 @@ def price_oracles() -> dict[str, str]:
             "SELECT priceflag, is_actual, is_aggregate, CAST(count(*) AS BIGINT) AS rows FROM silver GROUP BY 1, 2, 3"
         ),
         "food_profile": prices("SELECT is_food, CAST(count(*) AS BIGINT) AS rows FROM silver GROUP BY 1"),
-        "price_lookup_top10": prices(
+        "price_lookup_top5": prices(
             """SELECT price_date, unit, price, price_per_base_unit FROM silver
                WHERE commodity_id = 96 AND pricetype = 'Retail'
-               ORDER BY price_date DESC, market_id, unit, priceflag LIMIT 10"""
+               ORDER BY price_date DESC, market_id, unit, priceflag LIMIT 5"""
         ),
     }

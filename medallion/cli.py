@@ -6,10 +6,11 @@
         --spec table=products,topic=shop.public.products,target=PATH,checkpoint=PATH[,source=PATH] \\
         [--spec ...] [--format kafka] [--option kafka.bootstrap.servers=HOST:9092] [--available-now]
     python -m medallion.cli vault --products PATH --orders PATH --root ROOT
-    python -m medallion.cli order-value --products PATH --orders PATH --out PATH
+    python -m medallion.cli order-value --root ROOT --out PATH [--namespace silver]
 
 The master and cluster settings come from ``spark-submit``; ``ROOT`` is the
-lake folder on shared storage. Counters are printed as one JSON line.
+lake folder on shared storage, and each step reads the tables that the steps
+before committed there, also in another process. Counters are printed as one JSON line.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import SparkSession
 
 from medallion.plans import jobs
 from medallion.session import build_session
-from medallion.streaming.cdc import ChangeStreamSpec, start_change_streams
+from medallion.sources.tables import read_table
+from medallion.streaming.cdc import ChangeStreamSpec, await_all, start_change_streams
 
 
 def _json(obj) -> str:
@@ -58,8 +60,8 @@ def _parser() -> argparse.ArgumentParser:
     v.add_argument("--namespace", default="silver")
 
     o = sub.add_parser("order-value", help="order value at the price current when placed")
-    o.add_argument("--products", required=True)
-    o.add_argument("--orders", required=True)
+    o.add_argument("--root", required=True)
+    o.add_argument("--namespace", default="silver")
     o.add_argument("--out", required=True)
     return p
 
@@ -73,8 +75,9 @@ def _stream_spec(raw: str) -> ChangeStreamSpec:
     )
 
 
-def _load(spark: SparkSession, ref: str):
-    return spark.read.parquet(ref) if "/" in ref else spark.table(ref)
+def _load(spark: SparkSession, ref: str, root: str):
+    """A folder of files, or the committed version of a table under ``root``."""
+    return spark.read.parquet(ref) if "/" in ref else read_table(spark, root, ref)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
@@ -83,19 +86,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.command == "bronze-prices":
         out = jobs.bronze_price_job(spark, args.csv, args.root, args.table)
     elif args.command == "silver-prices":
-        out = jobs.silver_price_job(spark, spark.table(args.bronze), args.root, args.table, args.rejects)
+        out = jobs.silver_price_job(spark, _load(spark, args.bronze, args.root), args.root, args.table, args.rejects)
     elif args.command == "stream-changes":
         specs = [_stream_spec(raw) for raw in args.spec]
         options = dict(o.split("=", 1) for o in args.option)
         queries = start_change_streams(spark, specs, source_format=args.format, options=options,
                                        available_now=args.available_now)
-        for q in queries:
-            q.awaitTermination()
-        out = {"queries": [q.name for q in queries]}
+        out = {"queries": await_all(spark, queries, stop_rest=not args.available_now)}
     elif args.command == "vault":
-        out = jobs.vault_job(spark, _load(spark, args.products), _load(spark, args.orders), args.root, args.namespace)
+        logs = [_load(spark, ref, args.root) for ref in (args.products, args.orders)]
+        out = jobs.vault_job(spark, *logs, args.root, args.namespace)
     else:
-        df = jobs.order_value_report(spark, _load(spark, args.products), _load(spark, args.orders))
+        df = jobs.order_value_report(spark, args.root, args.namespace)
         df.write.mode("errorifexists").parquet(args.out)
         out = {"out": args.out}
     print(_json(out))

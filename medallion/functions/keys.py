@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# They must equal the reference's so hash keys are identical.
+# Fixed values, so that keys agree with tables that exist already:
 #   null part token: ^^NULL^^
 #   part separator:  ||
 #   digest:          SHA-256, lower-case hex
@@ -13,18 +15,17 @@ NULL_TOKEN = "^^NULL^^"
 SEPARATOR = "||"
 
 
-def _as_col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _digest(parts: Iterable[Column | str], normal: Callable[[Column], Column]) -> Column:
+    """Digest of the parts' texts in ``normal`` form, nulls as the token."""
+    texts = [normal((F.col(p) if isinstance(p, str) else p).cast("string")) for p in parts]
+    return F.sha2(F.array_join(F.array(*texts), SEPARATOR, NULL_TOKEN), 256)
 
 
 def business_key(*parts: Column | str) -> Column:
-    """Hash of business-key parts: each cast to text, trimmed, upper-cased,
-    null replaced by the token, joined by the separator, SHA-256 hex."""
-    norm = [F.coalesce(F.upper(F.trim(_as_col(p).cast("string"))), F.lit(NULL_TOKEN)) for p in parts]
-    return F.sha2(F.concat_ws(SEPARATOR, *norm), 256)
+    """Key of an entity: case and outer spaces of its business key don't matter."""
+    return _digest(parts, lambda text: F.upper(F.trim(text)))
 
 
 def attribute_hash(*parts: Column | str) -> Column:
-    """Hashdiff over descriptive attributes: order matters, case and spaces kept."""
-    norm = [F.coalesce(_as_col(p).cast("string"), F.lit(NULL_TOKEN)) for p in parts]
-    return F.sha2(F.concat_ws(SEPARATOR, *norm), 256)
+    """Hashdiff of an entity's attributes: every character and the order matter."""
+    return _digest(parts, lambda text: text)

@@ -6,29 +6,25 @@ with the greatest ``tiebreak`` wins, so at most one row matches. Inner joins
 drop left rows without a match; left joins keep them with null right
 columns. Null keys and null times never match.
 
-Plan: left and right rows are unioned and ordered by time inside each key,
-with right rows first at equal times; ``last(right, ignorenulls)`` over the
-running frame is the match. This is one shuffle and a sort, never a
-nested-loop join or a per-key cross product, however many versions a key has.
-
-A hot key would still fill one task. With a :class:`HotKeySplit`, keys with
-many rows (left and right together) are cut into time ranges that are
-matched in parallel. A right row from an earlier range can still be the
-match, so each range that holds left rows receives a carry row: the last
-right row before the range, found by a pre-aggregated group-by per
-(key, range) and a running window over the small range table.
+Left and right rows are put together in order of key and time, right rows
+first at equal times, in row-balanced segments (:mod:`.segments`). A left
+row's match is the last right row before it in its segment, or else the
+segment's carry: the last right row of the segments before, if it is of the
+same key. That is one sort of the rows, never a nested-loop join or a
+per-key cross product, and a hot key takes several segments.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion.operators.skew import COLD, SEGMENT, HotKeySplit, assign_segments, hot_key_ranges, position
+from medallion.operators.segments import SEGMENT, stage_ordered, with_carry
 
-_LEFT, _RIGHT = 1, 0
+_RIGHT, _LEFT = 0, 1
 
 
 def asof_join(
@@ -39,10 +35,10 @@ def asof_join(
     right_on: str,
     tiebreak: Sequence[str] = (),
     how: str = "inner",
-    split: HotKeySplit | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Point-in-time join; output is the left columns, then the right columns
-    except ``by``."""
+    except ``by``. Writes one table to the shared folder (or ``folder``)."""
     by = [by] if isinstance(by, str) else list(by)
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -51,88 +47,39 @@ def asof_join(
     if clash:
         raise ValueError(f"right columns also on the left: {sorted(clash)}")
 
-    lstruct = F.struct(*[F.col(c) for c in left.columns])
-    rstruct = F.struct(*[F.col(c) for c in right_cols])
-    tb_right = F.struct(*[F.col(c) for c in tiebreak]) if tiebreak else F.lit(0)
-    l_type = left.select(lstruct.alias("s")).schema["s"].dataType
-    r_type = right.select(rstruct.alias("s")).schema["s"].dataType
-    tb_type = right.select(tb_right.alias("s")).schema["s"].dataType
-    t_type = right.schema[right_on].dataType
+    keys = [f"_k{i}" for i in range(len(by))]
+    time_type = right.schema[right_on].dataType
+    ties = F.struct(*[F.col(c) for c in tiebreak]) if tiebreak else F.struct(F.lit(0).alias("none"))
 
-    keys_present = F.lit(True)
-    for k in by:
-        keys_present = keys_present & F.col(k).isNotNull()
-    lrows = left.select(
-        *[F.col(k) for k in by],
-        F.col(left_on).cast(t_type).alias("_t"),
-        F.lit(_LEFT).alias("_kind"),
-        F.lit(None).cast(tb_type).alias("_tb"),
-        lstruct.alias("_l"),
-        F.lit(None).cast(r_type).alias("_r"),
-    )
-    rrows = right.where(F.col(right_on).isNotNull() & keys_present).select(
-        *[F.col(k) for k in by],
-        F.col(right_on).alias("_t"),
-        F.lit(_RIGHT).alias("_kind"),
-        tb_right.alias("_tb"),
-        F.lit(None).cast(l_type).alias("_l"),
-        rstruct.alias("_r"),
-    )
-    part = list(by)
-    ranges = None
-    if split is not None:
-        lpos = lrows.where(keys_present).select(*by, position(F.col("_t"), t_type).alias("_pos"))
-        rpos = rrows.select(*by, position(F.col("_t"), t_type).alias("_pos"))
-        ranges = hot_key_ranges(lpos.unionByName(rpos), by, "_pos", split)
-    if ranges is not None:
-        lrows = lrows.withColumn("_pos", position(F.col("_t"), t_type))
-        rrows = rrows.withColumn("_pos", position(F.col("_t"), t_type))
-        lrows = assign_segments(lrows, ranges, by, "_pos").drop("_pos")
-        rrows = assign_segments(rrows, ranges, by, "_pos").drop("_pos")
-        rrows = rrows.unionByName(_carry_rows(lrows, rrows, by))
-        part.append(SEGMENT)
+    def usable(on: str):
+        return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*by, on]])
 
-    w = (
-        Window.partitionBy(*part)
-        .orderBy(F.col("_t").asc_nulls_first(), F.col("_kind").asc(), F.col("_tb").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lrows = left.where(usable(left_on)).select(
+        *[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col(left_on).cast(time_type).alias("_t"),
+        F.lit(_LEFT).alias("_kind"), F.struct(*left.columns).alias("_l"),
     )
-    match = F.when(F.col("_t").isNotNull() & keys_present, F.last("_r", ignorenulls=True).over(w))
-    out = lrows.unionByName(rrows).withColumn("_m", match).where(F.col("_kind") == _LEFT)
-    if how == "inner":
-        out = out.where(F.col("_m").isNotNull())
-    return out.select("_l.*", *[F.col(f"_m.{c}").alias(c) for c in right_cols])
-
-
-def _carry_rows(lrows: DataFrame, rrows: DataFrame, by: list[str]) -> DataFrame:
-    """For each hot (key, range) that holds left rows, the last right row of
-    any earlier range, re-labelled into that range."""
-    hot = F.col(SEGMENT) != COLD
-    row = F.struct("_t", "_tb", "_r")
-    last_per_range = rrows.where(hot).groupBy(*by, SEGMENT).agg(
-        F.max_by(row, F.struct("_t", "_tb")).alias("_row"), F.lit(_RIGHT).alias("_kind")
+    rrows = right.where(usable(right_on)).select(
+        *[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col(right_on).alias("_t"),
+        F.lit(_RIGHT).alias("_kind"), ties.alias("_tb"), F.struct(*right_cols).alias("_r"),
     )
-    probes = lrows.where(hot).select(*by, SEGMENT).distinct().select(
-        *by, SEGMENT, F.lit(None).cast(last_per_range.schema["_row"].dataType).alias("_row"),
-        F.lit(_LEFT).alias("_kind"),
+    both = lrows.unionByName(rrows, allowMissingColumns=True)
+    order = ["_t", "_kind", "_tb"]
+    staged = stage_ordered(both, keys, order, "asof", folder)
+    last_right = F.max_by(
+        F.when(F.col("_kind") == _RIGHT, F.struct(F.struct(*keys).alias("key"), F.col("_r").alias("row"))),
+        F.when(F.col("_kind") == _RIGHT, F.struct(*keys, *order)),
     )
-    # probe rows sort before the right rows of their own range
-    grid = (
-        Window.partitionBy(*by)
-        .orderBy(F.col(SEGMENT).asc(), F.col("_kind").desc())
+    joined = with_carry(staged, last_right)
+    inside = (
+        Window.partitionBy(SEGMENT, *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    carried = (
-        last_per_range.unionByName(probes)
-        .withColumn("_c", F.last("_row", ignorenulls=True).over(grid))
-        .where((F.col("_kind") == _LEFT) & F.col("_c").isNotNull())
-    )
-    return carried.select(
-        *by,
-        F.col("_c._t").alias("_t"),
-        F.lit(_RIGHT).alias("_kind"),
-        F.col("_c._tb").alias("_tb"),
-        F.lit(None).cast(rrows.schema["_l"].dataType).alias("_l"),
-        F.col("_c._r").alias("_r"),
-        SEGMENT,
-    )
+    from_before = F.when(F.col("_carry.key") == F.struct(*keys), F.col("_carry.row"))
+    match = F.coalesce(F.last("_r", ignorenulls=True).over(inside), from_before)
+    out = joined.withColumn("_m", match).where(F.col("_kind") == _LEFT)
+    if how == "inner":
+        out = out.where(F.col("_m").isNotNull())
+    named = out.select("_l.*", *[F.col(f"_m.{c}").alias(c) for c in right_cols])
+    if how == "left":  # rows that cannot match never meet in one partition
+        named = named.unionByName(left.where(~F.coalesce(usable(left_on), F.lit(False))), allowMissingColumns=True)
+    return named

@@ -1,9 +1,13 @@
 """Decoding of Bronze change-log rows into typed change rows.
 
-The payload text is parsed once per row with ``from_json`` into a struct
-(rather than one JSON scan per extracted field). Business keys are read
-from the ``after`` image, falling back to ``before`` for deletes; all other
-attributes come from ``after`` only, so a delete carries nulls.
+The payload text is parsed once per row with ``from_json`` into a struct of
+texts, and each text is then decoded to its declared type, so a number that
+was sent quoted reads like one that was not. Business keys come from the
+``after`` image, or for deletes from ``before``; attributes come from
+``after`` only, so a delete carries nulls.
+
+A value that is present but does not decode makes its row a reject with a
+reason, as in the price contract; it never turns into a null in passing.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from medallion.functions.connect_decimal import decode_connect_decimal
 from medallion.functions.keys import business_key
 
 DELETE_OP = "d"
+REASONS = "reject_reasons"
 _EPOCH = "1970-01-01 00:00:00"
 
 
@@ -41,17 +46,16 @@ class Field:
     precision: int = 10
     scale: int = 2
 
-    def json_type(self) -> T.DataType:
-        if self.kind in ("decimal", "timestamp"):
-            return T.StringType()
-        return T._parse_datatype_string(self.dtype)
+    @property
+    def wanted(self) -> str:
+        return {"decimal": f"decimal({self.precision},{self.scale})", "timestamp": "timestamp"}.get(self.kind, self.dtype)
 
     def decode(self, raw: Column) -> Column:
         if self.kind == "decimal":
             return decode_connect_decimal(raw, self.precision, self.scale)
         if self.kind == "timestamp":
             return utc_wall_clock(F.unix_micros(raw.try_cast("timestamp")), "MICROSECOND")
-        return raw
+        return raw if self.dtype == "string" else raw.try_cast(self.dtype)
 
 
 @dataclass(frozen=True)
@@ -68,43 +72,64 @@ class ChangeSpec:
     attributes: tuple[str, ...] = ()
 
     def payload_schema(self) -> T.StructType:
-        image = T.StructType([T.StructField(f.name, f.json_type()) for f in self.fields])
-        return T.StructType([
-            T.StructField("before", image),
-            T.StructField("after", image),
-        ])
+        image = T.StructType([T.StructField(f.name, T.StringType()) for f in self.fields])
+        return T.StructType([T.StructField("before", image), T.StructField("after", image)])
 
-    def field(self, name: str) -> Field:
-        return next(f for f in self.fields if f.name == name)
+    @property
+    def key_fields(self) -> list[str]:
+        return [f.name for f in self.fields if f.name in self.keys.values()]
+
+
+def classified(bronze: DataFrame, spec: ChangeSpec) -> DataFrame:
+    """Live events (op not null; the filter reaches the scan) with ``raw``
+    and ``value``, the texts and decoded values of the keys and attributes,
+    beside the log's own columns that decoding needs."""
+    by_name = {f.name: f for f in spec.fields}
+    parsed = bronze.where(F.col("op").isNotNull()).select(
+        "op", "lsn", "source_ts_ms", "offset", "payload", F.from_json("payload", spec.payload_schema()).alias("image")
+    )
+    texts = {n: F.col(f"image.after.{n}") for n in spec.attributes}
+    texts |= {n: F.coalesce(F.col(f"image.after.{n}"), F.col(f"image.before.{n}")) for n in spec.key_fields}
+    raw = parsed.withColumn("raw", F.struct(*[c.alias(n) for n, c in texts.items()])).drop("image")
+    return raw.withColumn("value", F.struct(*[by_name[n].decode(F.col(f"raw.{n}")).alias(n) for n in texts]))
+
+
+def _lost(name: str) -> Column:
+    return F.col(f"raw.{name}").isNotNull() & F.col(f"value.{name}").isNull()
+
+
+def _checked(spec: ChangeSpec) -> list[Field]:
+    names = [*spec.attributes, *spec.key_fields]
+    return [f for f in spec.fields if f.name in names and (f.kind != "plain" or f.dtype != "string")]
 
 
 def decode_changes(bronze: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Typed change rows: hash keys, business keys, attributes, delete flag,
-    source ordering columns, ``load_dts`` and ``record_source``.
-
-    Tombstones (null op) are dropped first; that filter reaches the scan.
-    """
-    live = bronze.where(F.col("op").isNotNull())
-    parsed = live.select(
-        F.from_json("payload", spec.payload_schema()).alias("_p"),
-        "op", "lsn", "source_ts_ms", "offset",
-    )
-    key_fields = sorted(set(spec.keys.values()), key=[f.name for f in spec.fields].index)
-    cols: list[Column] = []
-    for hk, name in spec.keys.items():
-        cols.append(business_key(F.coalesce(F.col(f"_p.after.{name}"), F.col(f"_p.before.{name}"))).alias(hk))
-    for name in key_fields:
-        f = spec.field(name)
-        cols.append(f.decode(F.coalesce(F.col(f"_p.after.{name}"), F.col(f"_p.before.{name}"))).alias(name))
-    for name in spec.attributes:
-        f = spec.field(name)
-        cols.append(f.decode(F.col(f"_p.after.{name}")).alias(name))
-    cols += [
-        (F.col("op") == F.lit(DELETE_OP)).alias("dv_is_deleted"),
-        F.col("lsn"),
-        F.col("source_ts_ms"),
-        F.col("offset"),
+    source ordering columns, ``load_dts`` and ``record_source``. Rows that
+    :func:`change_rejects` lists are not among them."""
+    whole = classified(bronze, spec)
+    for f in _checked(spec):
+        whole = whole.where(~_lost(f.name))
+    keys = [business_key(F.col(f"value.{name}")).alias(hk) for hk, name in spec.keys.items()]
+    return whole.select(
+        *keys,
+        *[F.col(f"value.{n}").alias(n) for n in [*spec.key_fields, *spec.attributes]],
+        (F.col("op") == DELETE_OP).alias("dv_is_deleted"),
+        "lsn", "source_ts_ms", "offset",
         utc_wall_clock(F.col("source_ts_ms"), "MILLISECOND").alias("load_dts"),
         F.lit(spec.record_source).alias("record_source"),
-    ]
-    return parsed.select(*cols)
+    )
+
+
+def change_rejects(bronze: DataFrame, spec: ChangeSpec) -> DataFrame:
+    """Events with a value that is present and does not decode: the log
+    position, the payload as it came and the reasons in field order."""
+    reasons = [F.when(_lost(f.name), F.lit(f"{f.name}: not a valid {f.wanted}")) for f in _checked(spec)]
+    return (
+        classified(bronze, spec)
+        .select(
+            F.lit(spec.record_source).alias("record_source"), "op", "lsn", "source_ts_ms", "offset", "payload",
+            F.concat_ws("; ", *reasons).alias(REASONS),
+        )
+        .where(F.col(REASONS) != "")
+    )

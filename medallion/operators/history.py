@@ -1,17 +1,4 @@
-"""Per-key history operators over an ordered change log.
-
-``first_seen`` keeps the earliest event of each key. It is written as a
-``row_number() = 1`` window, which Spark plans with a partial
-``WindowGroupLimit`` before the shuffle: each map task forwards at most one
-row per key, so a hot key is reduced before it is moved.
-
-``change_rows`` keeps an event only when its hash differs from the previous
-event of the same key (A→B→A gives three rows). Comparing with the previous
-event needs the key's events in order, which in a plain key-partitioned
-window puts a hot key into one task; with a :class:`HotKeySplit` such keys
-are cut into log-position ranges that are processed in parallel and stitched
-together at their boundaries. The result is identical to the unsplit form.
-"""
+"""Per-key history operators over an ordered change log."""
 
 from __future__ import annotations
 
@@ -21,55 +8,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.functions.ordering import EVENT_ORDER, event_order
-from medallion.operators.skew import COLD, SEGMENT, HotKeySplit, assign_segments, hot_key_ranges
+from medallion.operators.segments import SEGMENT, with_carry
 
 
-def first_seen(df: DataFrame, key: str, order: Sequence[str] = EVENT_ORDER) -> DataFrame:
-    """One row per key: the earliest event that carried it."""
-    w = Window.partitionBy(key).orderBy(*event_order(order))
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+def earliest(df: DataFrame, key: str, columns: Sequence[str], order: Sequence[str] = EVENT_ORDER) -> DataFrame:
+    """``key`` and ``columns`` of each key's first event (nulls in the order
+    come first). An aggregate with a partial step: a task sends one row per
+    key, however many events the key has."""
+    place = F.struct(*[F.col(c) for c in [*order, *columns] if c in df.columns])
+    first = F.min_by(F.struct(*columns), place)
+    return df.groupBy(key).agg(first.alias("_first")).select(key, "_first.*")
 
 
-def change_rows(
-    df: DataFrame,
-    key: str,
-    hash_col: str,
-    order: Sequence[str] = EVENT_ORDER,
-    split: HotKeySplit | None = None,
-) -> DataFrame:
-    """Events whose ``hash_col`` differs from the key's previous event.
+def latest(df: DataFrame, key: str, order: Sequence[str] = EVENT_ORDER) -> DataFrame:
+    """Each key's last event, all columns."""
+    place = F.struct(*[F.col(c) for c in order if c in df.columns], *[F.col(c) for c in df.columns if c not in order])
+    return df.groupBy(key).agg(F.max_by(F.struct(*df.columns), place).alias("_last")).select("_last.*")
 
-    With ``split``, hot keys are cut into ranges of the first order column
-    (the log position); each range's first event is compared with the last
-    event of the previous range, found by a pre-aggregated group-by over the
-    hot rows and a running window over the (small) range table.
-    """
-    ordering = [*event_order(order), F.col(hash_col).asc()]
-    pos = order[0]
-    ranges = hot_key_ranges(df, [key], pos, split) if split is not None else None
-    if ranges is None:
-        w = Window.partitionBy(key).orderBy(*ordering)
-        prev = F.lag(hash_col).over(w)
-        return (
-            df.withColumn("_prev", prev)
-            .where(F.col("_prev").isNull() | (F.col(hash_col) != F.col("_prev")))
-            .drop("_prev")
-        )
 
-    seg = assign_segments(df, ranges, [key], pos)
-    rank = F.struct(*[F.col(c) for c in order], F.col(hash_col))
-    last = seg.where(F.col(SEGMENT) != COLD).groupBy(key, SEGMENT).agg(
-        F.max_by(F.col(hash_col), rank).alias("_last")
-    )
-    carry = last.select(
-        key, SEGMENT,
-        F.lag("_last").over(Window.partitionBy(key).orderBy(F.col(SEGMENT).asc())).alias("_carry"),
-    )
-    w = Window.partitionBy(key, SEGMENT).orderBy(*ordering)
-    prev = F.coalesce(F.lag(hash_col).over(w), F.col("_carry"))
-    return (
-        seg.join(carry, [key, SEGMENT], "left")
-        .withColumn("_prev", prev)
-        .where(F.col("_prev").isNull() | (F.col(hash_col) != F.col("_prev")))
-        .drop("_prev", "_carry", SEGMENT)
-    )
+def change_rows(staged: DataFrame, key: str, hash_col: str, order: Sequence[str] = EVENT_ORDER) -> DataFrame:
+    """Events of a log staged by (``key``, ``order``) whose ``hash_col``
+    differs from the key's event before (A→B→A gives three rows).
+
+    Inside a segment the event before is the previous row of the key. A key
+    that goes on from the segment before finds it in the carry: that
+    segment's last row, if it is of the same key.
+    """
+    rank = F.struct(*[F.col(c) for c in [key, *order, hash_col]])
+    joined = with_carry(staged, F.max_by(F.struct(F.col(key).alias("key"), F.col(hash_col).alias("hash")), rank))
+    inside = Window.partitionBy(SEGMENT, key).orderBy(*event_order(order), F.col(hash_col).asc())
+    from_before = F.when(F.col("_carry.key") == F.col(key), F.col("_carry.hash"))
+    previous = F.coalesce(F.lag(hash_col).over(inside), from_before)
+    return joined.withColumn("_same", F.col(hash_col).eqNullSafe(previous)).where(~F.col("_same")).drop("_same", "_carry", SEGMENT)

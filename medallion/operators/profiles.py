@@ -17,9 +17,18 @@ def group_count(df: DataFrame, by: Sequence[str | Column], name: str = "n") -> D
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
 
 
-def op_profile(changes: DataFrame) -> DataFrame:
-    """Change events per op, tombstones (null op) included, ordered by op (A4)."""
-    return group_count(changes, ["op"], "events").orderBy(F.col("op").asc_nulls_first())
+def op_profile(logs: Sequence[DataFrame]) -> DataFrame:
+    """Change events per log and op, tombstones (null op) included (A4)."""
+    counts = [group_count(log, ["source_table", "op"], "events") for log in logs]
+    return stacked(counts).orderBy("source_table", F.col("op").asc_nulls_first())
+
+
+def stacked(frames: Sequence[DataFrame]) -> DataFrame:
+    """The rows of all frames, columns matched by name."""
+    whole = frames[0]
+    for more in frames[1:]:
+        whole = whole.unionByName(more)
+    return whole
 
 
 def op_transactions(changes: DataFrame) -> DataFrame:
@@ -33,13 +42,9 @@ def op_transactions(changes: DataFrame) -> DataFrame:
 
 def op_by_source(logs: Sequence[DataFrame]) -> DataFrame:
     """Events per (source table, op) over the union of several logs."""
-    stacked = logs[0].select("source_table", "op")
-    for log in logs[1:]:
-        stacked = stacked.unionByName(log.select("source_table", "op"))
-    return (
-        group_count(stacked, ["source_table", "op"], "events")
-        .orderBy(F.col("source_table").asc(), F.col("events").desc(), F.col("op").asc_nulls_first())
-    )
+    events = stacked([log.select("source_table", "op") for log in logs])
+    busiest_first = [F.col("source_table").asc(), F.col("events").desc(), F.col("op").asc_nulls_first()]
+    return group_count(events, ["source_table", "op"], "events").orderBy(*busiest_first)
 
 
 def span(df: DataFrame, column: str, prefix: str) -> list[Column]:
@@ -59,14 +64,9 @@ def load_span(df: DataFrame, by: str = "source", column: str = "ingested_at") ->
 
 def inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of each table in one job."""
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-        for name, df in tables.items()
-    ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    return stacked([
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows") for name, df in tables.items()
+    ])
 
 
 def version_counts(satellite: DataFrame, key: str) -> DataFrame:

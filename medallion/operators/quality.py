@@ -1,18 +1,23 @@
 """Silver quality contract.
 
-All checks are column expressions over one projection; nothing is collected
-except the (bounded) list of unknown vocabulary values reported by
-:func:`require_vocabulary`.
+A row is judged once: :func:`judged` adds the casts of the contract columns
+as one struct and the reasons against the row as one text. Accepted rows,
+the quarantine and the vocabulary report are all read from that.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 REASONS = "reject_reasons"
+CASTS, VERDICT = "_casts", "_reasons"
+
+
+class UnmappedValuesError(ValueError):
+    pass
 
 
 def trim_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -20,51 +25,41 @@ def trim_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.trim(F.col(c)) for c in columns})
 
 
-def cast_column(name: str) -> str:
-    return f"__cast_{name}"
-
-
-ACCEPTED = "_accepted"
-
-
-def _failed(c: str) -> Column:
-    return F.col(c).isNotNull() & F.col(cast_column(c)).isNull()
+def vocabulary_reason(column: str) -> str:
+    return f"{column}: not in its vocabulary"
 
 
-def classify(df: DataFrame, contract: Mapping[str, str]) -> DataFrame:
-    """Try-cast each contract column.
+def judged(df: DataFrame, contract: Mapping[str, str], vocabularies: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """``df`` with the casts and the reasons against each row.
 
-    Adds ``__cast_<col>`` per contract column and the boolean ``_accepted``:
-    a row is rejected when any value was present but did not survive its
-    cast. Plain predicates keep the check inside generated code.
+    A value that is present but doesn't cast is a reason, and so is one
+    outside its column's vocabulary; nulls pass. Reasons stand in contract
+    order, vocabularies after casts.
     """
-    casts = {cast_column(c): F.col(c).try_cast(t) for c, t in contract.items()}
-    ok = F.lit(True)
-    for c in contract:
-        ok = ok & ~_failed(c)
-    return df.withColumns(casts).withColumn(ACCEPTED, ok)
+    casts = df.withColumn(CASTS, F.struct(*[F.col(c).try_cast(t).alias(c) for c, t in contract.items()]))
+    # Fixed value: the wording of a failed cast.
+    against = [
+        F.when(F.col(c).isNotNull() & F.col(f"{CASTS}.{c}").isNull(), F.lit(f"{c}: failed cast to {t}")) for c, t in contract.items()
+    ]
+    against += [
+        F.when(~F.col(c).isin(list(allowed)), F.lit(vocabulary_reason(c))) for c, allowed in (vocabularies or {}).items()
+    ]
+    return casts.withColumn(VERDICT, F.concat_ws("; ", *against))
 
 
-def reject_reasons(contract: Mapping[str, str]) -> Column:
-    """``"<col>: failed cast to <type>"`` for each failed column, in contract
-    order, joined by ``"; "`` (``concat_ws`` skips the columns that passed)."""
-    return F.concat_ws("; ", *[F.when(_failed(c), F.lit(f"{c}: failed cast to {t}")) for c, t in contract.items()])
+def is_accepted() -> Column:
+    return F.col(VERDICT) == ""
 
 
-def accepted(classified: DataFrame, contract: Mapping[str, str]) -> DataFrame:
-    """Rows with no reject reason, typed columns replaced by their casts."""
-    good = classified.where(F.col(ACCEPTED))
-    good = good.withColumns({c: F.col(cast_column(c)) for c in contract})
-    return good.drop(*[cast_column(c) for c in contract], ACCEPTED)
+def accepted(rows: DataFrame, contract: Mapping[str, str]) -> DataFrame:
+    """Rows without a reason, contract columns as their casts."""
+    typed = [F.col(f"{CASTS}.{c}").alias(c) if c in contract else F.col(c) for c in rows.columns if c not in (CASTS, VERDICT)]
+    return rows.where(is_accepted()).select(*typed)
 
 
-def quarantine(classified: DataFrame, contract: Mapping[str, str]) -> DataFrame:
-    """Rejected rows: the raw row plus its reasons."""
-    return (
-        classified.where(~F.col(ACCEPTED))
-        .withColumn(REASONS, reject_reasons(contract))
-        .drop(*[cast_column(c) for c in contract], ACCEPTED)
-    )
+def quarantine(rows: DataFrame) -> DataFrame:
+    """Rows with a reason, as they came, and the reasons."""
+    return rows.where(~is_accepted()).drop(CASTS).withColumnRenamed(VERDICT, REASONS)
 
 
 def flag_booleans(df: DataFrame, column: str, flags: Mapping[str, str], sep: str = ",") -> DataFrame:
@@ -78,37 +73,23 @@ def unmapped_values(df: DataFrame, column: str, vocabulary: Sequence[str]) -> Da
     return df.where(~F.col(column).isin(list(vocabulary))).select(column).distinct()
 
 
-class UnmappedValuesError(ValueError):
-    pass
-
-
-def require_vocabulary(df: DataFrame, column: str, vocabulary: Sequence[str], report: int = 100) -> None:
-    """Abort with the sorted unknown values (at most ``report`` are named)."""
-    bad = [r[0] for r in unmapped_values(df, column, vocabulary).orderBy(column).limit(report).collect()]
+def require_vocabulary(df: DataFrame, column: str, vocabulary: Sequence[str]) -> None:
+    """Abort with all values of ``column`` outside the vocabulary, sorted."""
+    bad = [r[0] for r in unmapped_values(df, column, vocabulary).orderBy(column).collect()]
     if bad:
         raise UnmappedValuesError(f"unmapped {column} values found in source: {', '.join(bad)}")
 
 
-UNMAPPED_MARKER = "unmapped value found in source"
-
-
-def guard_vocabulary(df: DataFrame, column: str, vocabulary: Sequence[str]) -> DataFrame:
-    """Same gate inside the main pass: the first row with an unknown value
-    fails its task (and so the job, before any output is committed) with a
-    message naming the value. No separate scan."""
-    bad = F.col(column).isNotNull() & ~F.col(column).isin(list(vocabulary))
-    msg = F.concat(F.lit(f"{UNMAPPED_MARKER}: {column} = "), F.col(column))
-    return df.where(F.when(bad, F.raise_error(msg)).isNull())
-
-
 def lookup(column: str, mapping: Mapping[str, object]) -> Column:
     """Vocabulary lookup through a literal map; unknown or null keys give null."""
-    pairs = [x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))]
-    return F.create_map(*pairs)[F.col(column)]
+    entries = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in mapping.items()])
+    return F.map_from_entries(entries)[F.col(column)]
 
 
 def dedup(df: DataFrame, key: Sequence[str], survivor_order: Sequence[str]) -> DataFrame:
-    """One row per natural key (nulls equal), the survivor chosen by a total
-    order on the remaining columns so reruns keep the same row (A13)."""
-    w = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_first() for c in survivor_order])
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    """One row per natural key (nulls equal): the smallest in a total order
+    of the other columns, so reruns keep the same row (A13). An aggregate
+    with a partial step, so copies meet before they move."""
+    rest = [c for c in df.columns if c not in key]
+    place = F.struct(*[F.col(c) for c in survivor_order])
+    return df.groupBy(*key).agg(F.min_by(F.struct(*rest), place).alias("_kept")).select(*key, "_kept.*").select(*df.columns)

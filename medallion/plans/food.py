@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.operators import quality as Q
-from medallion.operators.profiles import group_count, span
+from medallion.operators.profiles import group_count, load_span, span
 from medallion.plans import prices as P
-from medallion.session import configure, work_path
+from medallion.plans.jobs import silver_price_job
+from medallion.session import work_path
 from medallion.sources.delimited import read_delimited, write_delimited
+from medallion.sources.tables import read_table
 from medallion.sources.testdata import PRICE_COLUMNS, price_rows
 
 # The lookup the Silver layer was built to answer.
 LOOKUP_COMMODITY = 96
 LOOKUP_PRICETYPE = "Retail"
-LOOKUP_LIMIT = 10
+LOOKUP_LIMIT = 5
 # A vocabulary missing two units, so the gate has values to report.
 PARTIAL_UNITS = [u for u in P.UNIT_MAP if u not in ("730 ML", "140 ML")]
 
@@ -24,14 +26,12 @@ COMPARED_SILVER = [c for c in P.SILVER_COLUMNS if c not in ("ingested_at", "proc
 
 def landed_csv(spark: SparkSession, sf_dir: str) -> str:
     """Write the price rows as a header CSV in the shared work folder."""
-    configure(spark)
     path = work_path(spark, "prices-csv")
     write_delimited(price_rows(spark, sf_dir), path)
     return path
 
 
 def bronze_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
     return P.as_bronze_text(price_rows(spark, sf_dir))
 
 
@@ -41,7 +41,6 @@ def bronze_prices_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
     bronze = P.bronze_prices(price_rows(spark, sf_dir))
     return bronze.groupBy("source").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -50,8 +49,21 @@ def bronze_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_span_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load times differ from run to run; that they are there and in order does not."""
+    spans = load_span(P.bronze_prices(price_rows(spark, sf_dir)))
+    return spans.select("source", "rows", (F.col("first_load") <= F.col("last_load")).alias("in_order"))
+
+
+def published_silver_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the Silver job into a lake of its own, then read the table by name."""
+    root = work_path(spark, "lake")
+    silver_price_job(spark, bronze_text(spark, sf_dir), root)
+    return read_table(spark, root, "silver.food_prices").select(*COMPARED_SILVER, "price_date_year")
+
+
 def silver_prices_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.silver_prices(bronze_text(spark, sf_dir)).silver.select(*COMPARED_SILVER)
+    return P.silver_prices(bronze_text(spark, sf_dir)).select(*COMPARED_SILVER)
 
 
 def price_rejects_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,22 +75,22 @@ def dedup_audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unmapped_units_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = Q.accepted(P.classified(bronze_text(spark, sf_dir)), P.TYPED_COLUMNS)
+    good = Q.accepted(P.judged(bronze_text(spark, sf_dir)), P.TYPED_COLUMNS)
     return Q.unmapped_values(good, "unit", PARTIAL_UNITS)
 
 
 def flag_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = P.silver_prices(bronze_text(spark, sf_dir)).silver
+    silver = P.silver_prices(bronze_text(spark, sf_dir))
     return group_count(silver, ["priceflag", "is_actual", "is_aggregate"], "rows")
 
 
 def food_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = P.silver_prices(bronze_text(spark, sf_dir)).silver
+    silver = P.silver_prices(bronze_text(spark, sf_dir))
     return group_count(silver, ["is_food"], "rows")
 
 
 def price_lookup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = P.silver_prices(bronze_text(spark, sf_dir)).silver
+    silver = P.silver_prices(bronze_text(spark, sf_dir))
     return (
         silver.where((F.col("commodity_id") == LOOKUP_COMMODITY) & (F.col("pricetype") == LOOKUP_PRICETYPE))
         .orderBy(F.col("price_date").desc(), "market_id", "unit", "priceflag")

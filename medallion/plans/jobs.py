@@ -1,13 +1,14 @@
-"""The batch and streaming jobs, with I/O (S1-S11 around the pure plans).
+"""The batch jobs with I/O (S1-S11 around the pure plans).
 
 * :func:`bronze_price_job`: delimited file → typed Bronze table.
 * :func:`silver_price_job`: Bronze prices → Silver prices + quarantine.
 * :func:`vault_job`: both Bronze change logs → six vault tables.
-* :func:`order_value_report`: the point-in-time question over published tables.
+* :func:`order_value_report`: the point-in-time question over the published vault.
 * change streams: :mod:`medallion.streaming.cdc`.
 
 Counters are gathered with ``observe`` during the writes, so no table is
-scanned again just to be counted.
+scanned again just to be counted. Every table is published under its
+declared schema, and tables of one job are committed together.
 """
 
 from __future__ import annotations
@@ -17,17 +18,17 @@ from pyspark.sql import functions as F
 
 from medallion.operators import quality as Q
 from medallion.operators.profiles import op_profile, preview
+from medallion.operators.segments import drop_staged
 from medallion.plans import prices as P
 from medallion.plans import vault as V
-from medallion.plans.order_value import order_value_versions
-from medallion.session import configure
+from medallion.plans.order_value import order_value_published
+from medallion.session import remove, work_path
 from medallion.sources.delimited import read_delimited
-from medallion.sources.tables import publish, swap, with_year, write_version
+from medallion.sources.tables import commit, publish, read_table, with_year, write_version
 from medallion.sources.testdata import PRICE_COLUMNS
 
 
 def bronze_price_job(spark: SparkSession, csv_path: str, root: str, table: str = "bronze.food_prices") -> dict:
-    configure(spark)
     bronze = P.bronze_prices(read_delimited(spark, csv_path, PRICE_COLUMNS))
     obs = Observation("bronze_prices")
     bronze = bronze.observe(
@@ -39,8 +40,8 @@ def bronze_price_job(spark: SparkSession, csv_path: str, root: str, table: str =
         F.min("ingested_at").alias("first_load"),
         F.max("ingested_at").alias("last_load"),
     )
-    out = publish(bronze, table, root)
-    return {**out, **obs.get, "preview": preview(spark.table(table))}
+    out = publish(bronze, table, root, schema=P.BRONZE_SCHEMA)
+    return {**out, **obs.get, "preview": preview(read_table(spark, root, table))}
 
 
 def silver_price_job(
@@ -50,69 +51,45 @@ def silver_price_job(
     table: str = "silver.food_prices",
     rejects_table: str = "silver.food_prices_rejects",
 ) -> dict:
-    """Refine Bronze prices. Unknown units abort the job before the Silver
-    name is switched to the new version (the check reads two columns of the
-    written version instead of scanning Bronze once more)."""
-    configure(spark)
-    seen, kept = Observation("silver_in"), Observation("silver_out")
-    cls = P.classified(bronze).observe(
-        seen,
-        F.count(F.lit(1)).alias("bronze_rows"),
-        F.count_if(~F.col(Q.ACCEPTED)).alias("rows_quarantined"),
+    """Refine Bronze prices. Rows are judged once, into a staged table split
+    by the verdict; Silver and the rejects are written from it and become
+    visible together. Unknown units abort the job before that, all named."""
+    seen = Observation("silver_in")
+    rows = P.judged(bronze).withColumn("_good", Q.is_accepted()).observe(
+        seen, F.count(F.lit(1)).alias("bronze_rows"), F.count_if(~F.col("_good")).alias("rows_quarantined")
     )
-    good = P.standardized(Q.accepted(cls, P.TYPED_COLUMNS))
-    silver = (
-        Q.dedup(good, P.NATURAL_KEY, P.SURVIVOR_ORDER)
-        .observe(kept, F.count(F.lit(1)).alias("silver_rows"))
-        .withColumn("processed_at", F.current_timestamp())
-        .select(*P.SILVER_COLUMNS)
-    )
-    silver, year_col = with_year(silver, "price_date")
-    staged = write_version(silver, table, root, partition_by=[year_col])
-    written = spark.read.parquet(staged["path"])
-    Q.require_vocabulary(written.where(F.col("unit_qty").isNull()), "unit", list(P.UNIT_MAP))
-    swap(spark, staged, root)
-    rejected = publish(Q.quarantine(P.classified(bronze), P.TYPED_COLUMNS), rejects_table, root)
-    counters = {**seen.get, **kept.get}
+    path = work_path(spark, "judged-prices")
+    rows.write.partitionBy("_good").parquet(path)
+    staged = spark.read.schema(rows.schema).parquet(path)
+    bad = staged.where(~F.col("_good")).drop("_good")
+    only_unit = bad.where(F.col(Q.VERDICT) == Q.vocabulary_reason("unit"))
+    Q.require_vocabulary(only_unit, "unit", list(P.UNIT_MAP))
+    silver, year = with_year(P.refined(staged.where("_good").drop("_good")), "price_date")
+    written = write_version(silver, table, root, schema=P.SILVER_SCHEMA, partition_by=[year])
+    rejected = write_version(Q.quarantine(bad), rejects_table, root)
+    commit(spark, root, [written, rejected])
+    remove(spark, path)
+    counters = {**seen.get, "silver_rows": written["rows"]}
     counters["duplicates_removed"] = counters["bronze_rows"] - counters["rows_quarantined"] - counters["silver_rows"]
-    return {"silver": staged, "rejects": rejected, **counters}
+    return {"silver": written, "rejects": rejected, **counters}
 
 
 def vault_job(
-    spark: SparkSession,
-    products_bronze: DataFrame,
-    orders_bronze: DataFrame,
-    root: str,
-    namespace: str = "silver",
-    options: V.VaultOptions | None = None,
+    spark: SparkSession, products_bronze: DataFrame, orders_bronze: DataFrame, root: str, namespace: str = "silver",
 ) -> dict:
-    """Replay both logs into the vault. Each log is decoded once and staged
-    as a table bucketed by its hub key in the shared folder; the hub, link
-    and satellite windows on the same key then need no further shuffle."""
-    configure(spark)
-    # Diagnostic first: the op distribution of each log, tombstones (null op)
-    # included; a handful of rows per log.
-    profiles = {
-        name: {r["op"]: r["events"] for r in op_profile(log).collect()}
-        for name, log in (("products", products_bronze), ("orders", orders_bronze))
-    }
-    products, orders = V.staged_changes(products_bronze, orders_bronze)
-    tables = V.vault_tables(products, orders, options)
-    published = {name: publish(df, f"{namespace}.{name}", root) for name, df in tables.items()}
-    return {**published, "op_profiles": profiles}
+    """Replay both logs into the vault. Each log is decoded once and staged;
+    the six tables are written from that and become visible together. The op
+    distribution of both logs is published beside them as ``op_profile``."""
+    staged = V.staged_changes(products_bronze, orders_bronze)
+    written = {n: write_version(df, f"{namespace}.{n}", root, schema=V.SCHEMAS[n]) for n, df in V.vault_tables(staged).items()}
+    profile = op_profile([products_bronze, orders_bronze])
+    written["op_profile"] = write_version(profile, f"{namespace}.op_profile", root, schema="source_table string, op string, events long")
+    commit(spark, root, list(written.values()))
+    drop_staged(*staged.values())
+    return written
 
 
-def order_value_report(
-    spark: SparkSession,
-    products_bronze: DataFrame,
-    orders_bronze: DataFrame,
-    options: V.VaultOptions | None = None,
-) -> DataFrame:
-    products, orders = V.staged_changes(products_bronze, orders_bronze)
-    return order_value_versions(
-        V.satellite_changes(orders, "hk_order", V.ORDER_SAT_ATTRS, options),
-        V.hub_order(orders),
-        V.link_order(orders),
-        V.satellite_changes(products, "hk_product", V.PRODUCT_SAT_ATTRS, options),
-        split=(options or V.VaultOptions()).split,
-    )
+def order_value_report(spark: SparkSession, root: str, namespace: str = "silver") -> DataFrame:
+    """Order values over the published vault tables."""
+    names = ("sat_order", "hub_order", "link_order", "sat_product")
+    return order_value_published({n: read_table(spark, root, f"{namespace}.{n}") for n in names})

@@ -7,21 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.operators import profiles as P
-from medallion.operators.skew import HotKeySplit
+from medallion.operators.changes import change_rejects, utc_wall_clock
+from medallion.operators.profiles import stacked
 from medallion.plans import vault as V
+from medallion.plans.jobs import order_value_report, vault_job
 from medallion.plans.order_value import order_value_live, order_value_versions
-from medallion.session import configure, work_path
+from medallion.session import work_path
 from medallion.sources.testdata import change_messages
 from medallion.streaming.cdc import ChangeStreamSpec, land_changes, run_to_completion
 
-# Hot-key split thresholds. The registered queries use the production
-# defaults; the ``*_hot_split`` queries force the split path on the test
-# tables (about 50 events per product at every scale) so that its results
-# are checked against the same oracles. Results never depend on the knob.
-SPLIT = HotKeySplit()
-FORCED_SPLIT = HotKeySplit(hot_rows=32, segment_rows=16)
-
-
 # Money columns of the registered queries are presented as doubles: DuckDB
 # hands DECIMAL columns to pandas as float64 while Spark returns Decimal
 # objects, so a value-level comparison of the two engines would see 8.50 vs
@@ -35,61 +29,50 @@ def money_as_double(df: DataFrame) -> DataFrame:
 
 
 def bronze_changes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    configure(spark)
     return {name: land_changes(m, name) for name, m in change_messages(spark, sf_dir).items()}
 
 
-def decoded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    b = bronze_changes(spark, sf_dir)
-    return V.decode_products(b["products"]), V.decode_orders(b["orders"])
-
-
-def staged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Decoded once and checkpointed by hub key, as in the vault job."""
+def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Decoded once and staged, as in the vault job."""
     b = bronze_changes(spark, sf_dir)
     return V.staged_changes(b["products"], b["orders"])
 
 
-def options(split: HotKeySplit = SPLIT) -> V.VaultOptions:
-    return V.VaultOptions(split=split)
-
-
-def vault_table(name: str, split: HotKeySplit = SPLIT):
+def vault_table(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        products, orders = staged(spark, sf_dir)
-        return money_as_double(V.vault_tables(products, orders, options(split))[name])
+        return money_as_double(V.vault_table(staged(spark, sf_dir), name))
     return run
 
 
-def _order_value(fn, split: HotKeySplit = SPLIT):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        products, orders = staged(spark, sf_dir)
-        opts = options(split)
-        return money_as_double(fn(
-            V.satellite_changes(orders, "hk_order", V.ORDER_SAT_ATTRS, opts),
-            V.hub_order(orders),
-            V.link_order(orders),
-            V.satellite_changes(products, "hk_product", V.PRODUCT_SAT_ATTRS, opts),
-            split=split,
-        ))
-    return run
+def order_value_versions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return money_as_double(order_value_versions(staged(spark, sf_dir)))
 
 
-order_value_versions_query = _order_value(order_value_versions)
-order_value_live_query = _order_value(order_value_live)
-order_value_hot_split_query = _order_value(order_value_versions, FORCED_SPLIT)
-sat_product_hot_split_query = vault_table("sat_product", FORCED_SPLIT)
+def order_value_live_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return money_as_double(order_value_live(staged(spark, sf_dir)))
+
+
+def published_vault_order_value_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the vault job into a lake of its own, then ask its published tables."""
+    b = bronze_changes(spark, sf_dir)
+    root = work_path(spark, "lake")
+    vault_job(spark, b["products"], b["orders"], root)
+    return money_as_double(order_value_report(spark, root))
 
 
 def changes_query(source_table: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        products, orders = decoded(spark, sf_dir)
-        return money_as_double(products if source_table == "products" else orders)
+        return money_as_double(V.decoded(bronze_changes(spark, sf_dir)[source_table], source_table))
     return run
 
 
+def change_rejects_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stacked([change_rejects(b, V.LOGS[n]) for n, b in bronze_changes(spark, sf_dir).items()])
+    return rows.withColumn("payload", F.sha2("payload", 256))
+
+
 def op_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.op_profile(bronze_changes(spark, sf_dir)["products"])
+    return P.op_profile(list(bronze_changes(spark, sf_dir).values()))
 
 
 def op_transactions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,13 +89,11 @@ def version_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vault_inventory_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    products, orders = staged(spark, sf_dir)
-    return P.inventory(V.vault_tables(products, orders, options()))
+    return P.inventory(V.vault_tables(staged(spark, sf_dir)))
 
 
 def bronze_change_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land both change streams to completion, then read the Bronze logs back."""
-    configure(spark)
     root = work_path(spark, "change-stream")
     specs = []
     for name, messages in change_messages(spark, sf_dir).items():
@@ -123,12 +104,9 @@ def bronze_change_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
             checkpoint=f"{root}/checkpoints/{name}", source_path=source,
         ))
     run_to_completion(spark, specs, source_format="parquet")
-    landed = None
-    for s in specs:
-        df = spark.read.parquet(s.target_path)
-        landed = df if landed is None else landed.unionByName(df)
+    landed = stacked([spark.read.parquet(s.target_path) for s in specs])
     return landed.select(
         "kafka_key", "source_table", "op", "lsn", "tx_id", "source_ts_ms", "topic", "partition", "offset",
-        F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
-        F.col("payload").isNotNull().alias("has_payload"),
+        utc_wall_clock(F.unix_micros("event_timestamp"), "MICROSECOND").alias("event_timestamp"),
+        F.sha2("event", 256).alias("event"), F.sha2("payload", 256).alias("payload"),
     )

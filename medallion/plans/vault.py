@@ -1,25 +1,25 @@
 """Silver Data Vault from the two Bronze change logs (V1-V6, K1-K3).
 
-Three hubs (product, customer, order), one link (order ↔ customer ↔
-product) and two change-detected satellites, rebuilt from a full replay of
-the change logs. All six are functions of the Bronze frames; writing them is
-left to :mod:`medallion.sources.tables`.
+Hubs, the link and the satellites are declared as specs and built by one
+function each. A full replay decodes each log once and stages it in
+row-balanced segments; all six tables are functions of the staged logs.
 """
 
 from __future__ import annotations
 
-import uuid
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.functions.keys import attribute_hash, business_key
+from medallion.functions.ordering import EVENT_ORDER
 from medallion.operators.changes import ChangeSpec, Field, decode_changes
-from medallion.operators.history import change_rows, first_seen
-from medallion.operators.skew import HotKeySplit
-from medallion.session import checkpoint_root, work_path
+from medallion.operators.history import change_rows, earliest
+from medallion.operators.segments import stage_ordered
 
+# The fields of the two source tables and their key columns.
 PRODUCTS = ChangeSpec(
     record_source="shop.products",
     fields=(
@@ -32,7 +32,6 @@ PRODUCTS = ChangeSpec(
     keys={"hk_product": "product_id"},
     attributes=("name", "category", "unit_price", "stock_quantity"),
 )
-
 ORDERS = ChangeSpec(
     record_source="shop.orders",
     fields=(
@@ -46,132 +45,126 @@ ORDERS = ChangeSpec(
     keys={"hk_order": "order_id", "hk_customer": "customer_name", "hk_product": "product_id"},
     attributes=("quantity", "order_status", "ordered_at"),
 )
-
-PRODUCT_SAT_ATTRS = ("name", "category", "unit_price", "stock_quantity")
-ORDER_SAT_ATTRS = ("quantity", "order_status", "ordered_at")
-ORDER_KEYS = ("lsn", "source_ts_ms", "offset", "load_dts", "record_source")
+LOGS = {"products": PRODUCTS, "orders": ORDERS}
+CLUSTER_KEY = {"products": "hk_product", "orders": "hk_order"}
 
 
-@dataclass
-class VaultOptions:
-    """Physical knobs; results do not depend on them.
+@dataclass(frozen=True)
+class Hub:
+    """A business entity: its key column, its business key, and the logs that
+    name it. Events without the business key don't count."""
 
-    ``split``: how hot hub keys are cut into log-position ranges for change
-    detection (None keeps each key's log in one task).
-    """
+    key: str
+    business_key: str
+    logs: tuple[str, ...]
 
-    split: HotKeySplit | None = field(default_factory=HotKeySplit)
+    def columns(self) -> list[str]:
+        return [self.business_key, "load_dts", "record_source"]
 
 
-def hub(keys: DataFrame, hk: str, business_cols: list[str]) -> DataFrame:
-    return first_seen(keys, hk).select(hk, *business_cols, "load_dts", "record_source")
+@dataclass(frozen=True)
+class Link:
+    """A relationship between hubs, keyed by their business keys together."""
 
+    key: str
+    log: str
+    per: str
+    parts: tuple[str, ...]
+    hubs: tuple[str, ...]
 
-def hub_product(products: DataFrame, orders: DataFrame) -> DataFrame:
-    """Product keys seen in either log (V1)."""
-    cols = ["hk_product", "product_id", *ORDER_KEYS]
-    keys = products.select(*cols).unionByName(orders.where(F.col("product_id").isNotNull()).select(*cols))
-    return hub(keys, "hk_product", ["product_id"])
 
+@dataclass(frozen=True)
+class Satellite:
+    """The attributes of a hub over time."""
 
-def hub_customer(orders: DataFrame) -> DataFrame:
-    """Customer names from orders; key-only delete images are skipped (V2)."""
-    keys = orders.where(F.col("customer_name").isNotNull()).select("hk_customer", "customer_name", *ORDER_KEYS)
-    return hub(keys, "hk_customer", ["customer_name"])
+    hub: str
+    log: str
 
+    @property
+    def attributes(self) -> tuple[str, ...]:
+        return LOGS[self.log].attributes
 
-def hub_order(orders: DataFrame) -> DataFrame:
-    """Order keys (V3)."""
-    return hub(orders.select("hk_order", "order_id", *ORDER_KEYS), "hk_order", ["order_id"])
 
+# The tables of the vault and their columns.
+HUBS = {
+    "hub_product": Hub("hk_product", "product_id", ("products", "orders")),
+    "hub_customer": Hub("hk_customer", "customer_name", ("orders",)),
+    "hub_order": Hub("hk_order", "order_id", ("orders",)),
+}
+LINKS = {
+    "link_order": Link(
+        "hk_link_order", "orders", "hk_order", ("order_id", "customer_name", "product_id"), ("hk_order", "hk_customer", "hk_product")
+    ),
+}
+SATELLITES = {"sat_product": Satellite("hk_product", "products"), "sat_order": Satellite("hk_order", "orders")}
+TABLES = (*HUBS, *LINKS, *SATELLITES)
 
-def link_order(orders: DataFrame) -> DataFrame:
-    """One row per order from its first event carrying all three keys (V4)."""
-    complete = orders.where(F.col("customer_name").isNotNull() & F.col("product_id").isNotNull())
-    return (
-        first_seen(complete, "hk_order")
-        .withColumn("hk_link_order", business_key(F.col("order_id"), F.col("customer_name"), F.col("product_id")))
-        .select("hk_link_order", "hk_order", "hk_customer", "hk_product", "load_dts", "record_source")
-    )
-
+# The published types.
+SCHEMAS = {
+    "hub_product": "hk_product string, product_id int, load_dts timestamp_ntz, record_source string",
+    "hub_customer": "hk_customer string, customer_name string, load_dts timestamp_ntz, record_source string",
+    "hub_order": "hk_order string, order_id int, load_dts timestamp_ntz, record_source string",
+    "link_order": "hk_link_order string, hk_order string, hk_customer string, hk_product string, load_dts timestamp_ntz, "
+    "record_source string",
+    "sat_product": "hk_product string, load_dts timestamp_ntz, hashdiff string, name string, category string, "
+    "unit_price decimal(10,2), stock_quantity int, dv_is_deleted boolean, record_source string",
+    "sat_order": "hk_order string, load_dts timestamp_ntz, hashdiff string, quantity int, order_status string, "
+    "ordered_at timestamp_ntz, dv_is_deleted boolean, record_source string",
+}
 
-def satellite_changes(df: DataFrame, hk: str, attrs, options: VaultOptions | None = None) -> DataFrame:
-    """Change-detected satellite rows, still carrying the log position (V5)."""
-    options = options or VaultOptions()
-    hashed = df.select(
-        hk, "load_dts",
-        attribute_hash(*[F.col(c) for c in attrs], F.col("dv_is_deleted")).alias("hashdiff"),
-        *attrs, "dv_is_deleted", "record_source", "lsn", "source_ts_ms", "offset",
-    )
-    return change_rows(hashed, hk, "hashdiff", split=options.split)
 
+def decoded(bronze: DataFrame, log: str) -> DataFrame:
+    return decode_changes(bronze, LOGS[log])
 
-def satellite(df: DataFrame, hk: str, attrs, options: VaultOptions | None = None) -> DataFrame:
-    return satellite_changes(df, hk, attrs, options).select(
-        hk, "load_dts", "hashdiff", *attrs, "dv_is_deleted", "record_source"
-    )
 
+def staged_changes(products_bronze: DataFrame, orders_bronze: DataFrame, folder: str | None = None) -> dict[str, DataFrame]:
+    """Decode each log once and stage it by hub key and event order: a lost
+    executor does not send the job back to the JSON, and a key with many
+    events takes several segments and files."""
+    logs = {"products": products_bronze, "orders": orders_bronze}
+    return {n: stage_ordered(decoded(b, n), [CLUSTER_KEY[n]], EVENT_ORDER, n, folder) for n, b in logs.items()}
 
-def decode_products(bronze: DataFrame) -> DataFrame:
-    return decode_changes(bronze, PRODUCTS)
 
+def hub_rows(staged: dict[str, DataFrame], hub: Hub) -> DataFrame:
+    """One row per key, from the first event that names the business key."""
+    need = [hub.key, hub.business_key, "load_dts", *EVENT_ORDER]
+    named = [staged[log].where(F.col(hub.business_key).isNotNull()).select(*need) for log in hub.logs]
+    events = named[0]
+    for more in named[1:]:
+        events = events.unionByName(more)
+    return earliest(events, hub.key, hub.columns())
 
-def decode_orders(bronze: DataFrame) -> DataFrame:
-    return decode_changes(bronze, ORDERS)
 
+def link_rows(staged: dict[str, DataFrame], link: Link) -> DataFrame:
+    """One row per ``link.per``, from its first event with all parts."""
+    whole = staged[link.log].dropna(subset=list(link.parts))
+    kept = [h for h in link.hubs if h != link.per]
+    first = earliest(whole, link.per, [*link.parts, *kept, "load_dts", "record_source"])
+    return first.select(business_key(*link.parts).alias(link.key), *link.hubs, "load_dts", "record_source")
 
-# Staging tables (external, in the shared work folder) live in their own
-# namespace so that a persistent catalog can be cleaned of them at once.
-STAGE_NAMESPACE = "medallion_stage"
 
+def satellite_changes(staged: dict[str, DataFrame], satellite: Satellite) -> DataFrame:
+    """Change-detected rows, still with their log position (V5)."""
+    described = staged[satellite.log].withColumn("hashdiff", attribute_hash(*satellite.attributes, "dv_is_deleted"))
+    return change_rows(described, satellite.hub, "hashdiff")
 
-def stage_bucketed(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
-    """Write ``df`` as a table bucketed by ``key`` in the shared work folder
-    and read it back.
 
-    The write cuts the lineage (a lost executor re-reads the files instead
-    of recomputing the decode), and the bucketed scan reports
-    ``hashpartitioning(key, buckets)``: windows, aggregations and sort-merge
-    joins on ``key`` downstream need no exchange. One file per bucket.
-    """
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = work_path(spark, f"stage-{key}")
-    stage_root = f"{checkpoint_root(spark)}/medallion/{STAGE_NAMESPACE}.db"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGE_NAMESPACE} LOCATION '{stage_root}'")
-    name = f"{STAGE_NAMESPACE}.{key}_{uuid.uuid4().hex[:12]}"
-    (
-        df.repartition(n, key)
-        .write.bucketBy(n, key)
-        .option("path", path)
-        .format("parquet")
-        .saveAsTable(name)
-    )
-    return spark.table(name)
+def satellite_rows(staged: dict[str, DataFrame], satellite: Satellite) -> DataFrame:
+    columns = [satellite.hub, "load_dts", "hashdiff", *satellite.attributes, "dv_is_deleted", "record_source"]
+    return satellite_changes(staged, satellite).select(*columns)
 
 
-def staged_changes(products_bronze: DataFrame, orders_bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Decode each log once and stage it bucketed by its hub key in the
-    shared folder: later hub, link and satellite windows and the order joins
-    on that key reuse the bucketing, and a lost executor does not send the
-    job back to the JSON."""
-    products = stage_bucketed(decode_products(products_bronze), "hk_product")
-    orders = stage_bucketed(decode_orders(orders_bronze), "hk_order")
-    return products, orders
+def vault_table(staged: dict[str, DataFrame], name: str) -> DataFrame:
+    for specs, build in ((HUBS, hub_rows), (LINKS, link_rows), (SATELLITES, satellite_rows)):
+        if name in specs:
+            return build(staged, specs[name])
+    raise KeyError(name)
 
 
-def vault_tables(products: DataFrame, orders: DataFrame, options: VaultOptions | None = None) -> dict[str, DataFrame]:
-    """The six vault tables from decoded change rows."""
-    return {
-        "hub_product": hub_product(products, orders),
-        "hub_customer": hub_customer(orders),
-        "hub_order": hub_order(orders),
-        "link_order": link_order(orders),
-        "sat_product": satellite(products, "hk_product", PRODUCT_SAT_ATTRS, options),
-        "sat_order": satellite(orders, "hk_order", ORDER_SAT_ATTRS, options),
-    }
+def vault_tables(staged: dict[str, DataFrame], names: Sequence[str] = TABLES) -> dict[str, DataFrame]:
+    return {name: vault_table(staged, name) for name in names}
 
 
-def build_vault(products_bronze: DataFrame, orders_bronze: DataFrame, options: VaultOptions | None = None) -> dict[str, DataFrame]:
+def build_vault(products_bronze: DataFrame, orders_bronze: DataFrame) -> dict[str, DataFrame]:
     """Full replay of both logs into the six vault tables (V6)."""
-    return vault_tables(decode_products(products_bronze), decode_orders(orders_bronze), options)
+    return vault_tables(staged_changes(products_bronze, orders_bronze))

@@ -1,16 +1,13 @@
 """Session defaults and the shared working folder.
 
-Every job pins the session time zone to UTC so that epoch milliseconds,
-ISO-8601 texts and timestamp columns agree across executors and engines.
+:func:`build_session` sets the defaults once, when it creates a session.
+Jobs and queries leave the settings of a session they are handed alone.
 Intermediate tables and streaming checkpoints live under the folder the
-cluster names in ``spark.checkpoint.dir``; a local default is set only when
-the session has none (tests, single-machine runs).
+cluster names in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -24,6 +21,10 @@ RUNTIME_DEFAULTS = {
 }
 
 
+class NoSharedFolderError(RuntimeError):
+    pass
+
+
 def build_session(
     app_name: str = "medallion",
     master: str | None = None,
@@ -42,44 +43,37 @@ def build_session(
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    configure(spark)
-    return spark
-
+    return builder.getOrCreate()
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the pipelines rely on to an existing session."""
-    for k, v in RUNTIME_DEFAULTS.items():
-        spark.conf.set(k, v)
-    checkpoint_root(spark)
-    return spark
 
+def one_machine(master: str) -> bool:
+    """``local`` and ``local[...]``; ``local-cluster`` has executors with folders of their own."""
+    return master == "local" or master.startswith("local[")
 
-_LOCAL_ROOTS: dict[int, str] = {}
 
+def checkpoint_root(spark: SparkSession, folder: str | None = None) -> str:
+    """The shared folder for intermediate tables and checkpoints.
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables.
-
-    Read from ``spark.checkpoint.dir``; only when the session has none
-    (local tests) a fresh folder is created and registered as the context's
-    checkpoint directory.
+    ``folder`` if given, else ``spark.checkpoint.dir``. A session on one
+    machine may go without: its JVM's temporary folder serves, below the
+    application's id. Elsewhere executors do not share such a folder, so a
+    missing setting is an error.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = _LOCAL_ROOTS.get(id(sc))
+    root = folder or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = _LOCAL_ROOTS.setdefault(id(sc), tempfile.mkdtemp(prefix="medallion-ckpt-"))
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
-    return root
-
-
-def work_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared checkpoint root for one run."""
-    root = checkpoint_root(spark)
-    path = os.path.join(root, "medallion", f"{name}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-    return path
+        if not one_machine(sc.master):
+            raise NoSharedFolderError(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
+        root = f"{sc._jvm.java.lang.System.getProperty('java.io.tmpdir')}/medallion-{sc.applicationId}"
+    return root.rstrip("/")
+
+
+def work_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A new, unique folder name below the shared folder for one run."""
+    return f"{checkpoint_root(spark, folder)}/medallion/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own through the store's file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,15 +1,14 @@
-"""Table lifecycle on a plain session catalog.
-
-``publish`` gives atomic full-refresh semantics without a table-format
-catalog: the frame is written to a new versioned directory, its row count is
-observed during that same write (no second pass), and only then is the
-table name pointed at the new directory with ``CREATE OR REPLACE VIEW``.
-Readers see the old version or the new one, never half of a table, and a
-rebuild may read the table it replaces. Each publish appends one row to a
-load-audit table, the load history (S11).
-
-Where a catalog with ``writeTo().createOrReplace()`` is configured (Iceberg,
-Delta), :func:`publish_v2` uses it instead.
+"""Table lifecycle on plain files.
+
+A publish writes a new versioned directory and then appends one row per
+table to the load log; that append is the commit. A table *is* the version
+that its newest row in the log names, so any process that knows the lake's
+root reads what was committed last (:func:`read_table`), never half of a
+table, and a rebuild may read the table it replaces. Tables committed
+together become visible together, in one append.
+
+A name in the session's catalog is a convenience on top, a view of the
+committed version.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,115 +35,114 @@ class SchemaMismatchError(ValueError):
     pass
 
 
+class NoSuchTableError(LookupError):
+    pass
+
+
 def ensure_namespace(spark: SparkSession, name: str) -> None:
     """``CREATE DATABASE IF NOT EXISTS``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def check_schema(df: DataFrame, declared: T.StructType) -> None:
+def declared(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def check_schema(df: DataFrame, schema: T.StructType | str) -> None:
     """Names, order and types must equal the declared schema."""
     got = [(f.name, f.dataType) for f in df.schema.fields]
-    want = [(f.name, f.dataType) for f in declared.fields]
+    want = [(f.name, f.dataType) for f in declared(schema).fields]
     if got != want:
         raise SchemaMismatchError(f"frame schema {got} differs from declared {want}")
 
 
-def conform(df: DataFrame, declared: T.StructType) -> DataFrame:
-    """Project a frame onto a declared schema (target order, exact types)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared.fields])
-
-
-def _qualified(name: str) -> tuple[str | None, str]:
-    parts = name.split(".")
-    return (parts[0], parts[1]) if len(parts) == 2 else (None, parts[0])
+def _qualified(name: str) -> tuple[str, str]:
+    namespace, _, table = name.rpartition(".")
+    return namespace or "default", table
 
 
 def write_version(
-    df: DataFrame,
-    name: str,
-    root: str,
-    schema: T.StructType | None = None,
-    partition_by: Sequence[str] = (),
+    df: DataFrame, name: str, root: str, schema: T.StructType | str | None = None, partition_by: Sequence[str] = (),
 ) -> dict:
-    """Write ``df`` as a new, not yet visible version of table ``name``."""
+    """Write ``df`` as a new, not yet visible version of table ``name``.
+
+    ``schema`` is the declared schema without the partition columns. Rows of
+    a partition are rebalanced into files of the advisory size first, so a
+    partition does not get a file from every task.
+    """
     if schema is not None:
-        check_schema(df, schema)
-    db, table = _qualified(name)
+        check_schema(df.drop(*partition_by), schema)
+    namespace, table = _qualified(name)
     version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
-    path = f"{root}/{db or 'default'}/{table}/v={version}"
+    path = f"{root}/{namespace}/{table}/v={version}"
     obs = Observation(f"publish_{table}_{version}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
+    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        writer = counted.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+    else:
+        writer = counted.write
+    writer.mode("errorifexists").parquet(path)
     return {"name": name, "version": version, "path": path, "rows": int(obs.get["rows"])}
 
 
-def swap(spark: SparkSession, written: dict, root: str, audit: bool = True) -> dict:
-    """Point the table name at a written version, then record the load."""
-    db, table = _qualified(written["name"])
-    if db:
-        ensure_namespace(spark, db)
-    target = f"`{db}`.`{table}`" if db else f"`{table}`"
-    spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM parquet.`{written['path']}`")
-    if audit:
-        record_load(spark, root, written["name"], written["version"], written["path"], written["rows"])
-    return written
+def commit(spark: SparkSession, root: str, written: Sequence[dict], views: bool = True) -> None:
+    """Make written versions the current ones, together."""
+    rows = [(w["name"], w["version"], w["path"], w["rows"]) for w in written]
+    log = spark.createDataFrame(rows, "table_name string, version string, path string, rows long")
+    stamped = log.withColumn("committed_at", F.current_timestamp()).select(*AUDIT_SCHEMA.fieldNames())
+    stamped.coalesce(1).write.mode("append").parquet(_log_path(root))
+    for w in written if views else ():
+        namespace, table = _qualified(w["name"])
+        ensure_namespace(spark, namespace)
+        spark.sql(f"CREATE OR REPLACE VIEW `{namespace}`.`{table}` AS SELECT * FROM parquet.`{w['path']}`")
 
 
 def publish(
-    df: DataFrame,
-    name: str,
-    root: str,
-    schema: T.StructType | None = None,
-    partition_by: Sequence[str] = (),
-    audit: bool = True,
+    df: DataFrame, name: str, root: str, schema: T.StructType | str | None = None, partition_by: Sequence[str] = (),
 ) -> dict:
-    """Atomic full refresh of table ``name`` (``db.table``) under ``root``.
-
-    Returns ``{"name", "version", "path", "rows"}``.
-    """
+    """Atomic full refresh of table ``name`` (``namespace.table``) under ``root``."""
     written = write_version(df, name, root, schema, partition_by)
-    return swap(df.sparkSession, written, root, audit)
+    commit(df.sparkSession, root, [written])
+    return written
 
 
-def with_year(df: DataFrame, date_col: str, year_col: str | None = None) -> tuple[DataFrame, str]:
-    year_col = year_col or f"{date_col}_year"
-    return df.withColumn(year_col, F.year(F.col(date_col))), year_col
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The committed version of table ``name`` under ``root``."""
+    newest = load_history(spark, root, name).first()
+    if newest is None:
+        raise NoSuchTableError(f"{name} was never published under {root}")
+    return spark.read.parquet(newest["path"])
 
 
-def publish_by_year(df: DataFrame, name: str, root: str, date_col: str, year_col: str | None = None, **kw) -> dict:
-    """Year-partitioned publish (S6): identity partitions on ``year(date_col)``
-    so that filters on the year column prune directories."""
-    df, year_col = with_year(df, date_col, year_col)
-    return publish(df, name, root, partition_by=[year_col], **kw)
+def with_year(df: DataFrame, date_col: str) -> tuple[DataFrame, str]:
+    """``df`` with the year to partition by (S6); rows without a date are in the null partition."""
+    name = f"{date_col}_year"
+    return df.withColumn(name, F.year(F.col(date_col))), name
 
 
-def publish_v2(df: DataFrame, name: str, partition_by: Sequence = ()) -> None:
-    """``writeTo().createOrReplace()`` on a catalog that supports it."""
-    w = df.writeTo(name)
-    if partition_by:
-        w = w.partitionedBy(*partition_by)
-    w.createOrReplace()
+def publish_by_year(df: DataFrame, name: str, root: str, date_col: str, schema: T.StructType | str | None = None) -> dict:
+    """Year-partitioned publish: filters on the year column prune directories."""
+    with_col, year = with_year(df, date_col)
+    return publish(with_col, name, root, schema, partition_by=[year])
 
 
-def _audit_path(root: str) -> str:
+def _log_path(root: str) -> str:
     return f"{root}/_load_audit"
 
 
-def record_load(spark: SparkSession, root: str, name: str, version: str, path: str, rows: int) -> None:
-    row = [(name, version, path, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), rows)]
-    spark.createDataFrame(row, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(_audit_path(root))
-
-
 def load_history(spark: SparkSession, root: str, name: str | None = None) -> DataFrame:
-    """Loads of a table, newest first."""
-    hist = spark.read.schema(AUDIT_SCHEMA).parquet(_audit_path(root))
+    """Loads under ``root``, newest first."""
+    try:
+        log = spark.read.schema(AUDIT_SCHEMA).parquet(_log_path(root))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        log = spark.createDataFrame([], AUDIT_SCHEMA)
     if name:
-        hist = hist.where(F.col("table_name") == name)
-    return hist.orderBy(F.col("committed_at").desc(), F.col("version").desc())
+        log = log.where(F.col("table_name") == name)
+    return log.orderBy(F.col("committed_at").desc(), F.col("version").desc())
 
 
-def declared_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+def declared_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
     """A literal row set under a declared schema."""
     return spark.createDataFrame(list(rows), schema)

@@ -1,16 +1,17 @@
 """Source feeds derived from the benchmark tables with Spark.
 
-The reference consumes a food-price CSV and a shop database's change stream,
-neither of which ships with it. Both are re-created here from the given
-tables so that every query's work grows with them:
+The pipelines consume a food-price CSV and a shop database's change stream.
+Both are made here from the given tables, so that every query's work grows
+with them:
 
 * :func:`price_rows` turns ``lineitem`` (joined to part, supplier, nation,
   region) into all-string price rows shaped like the CSV, with injected bad
   dates, bad numbers and padded duplicate rows;
 * :func:`change_messages` turns ``events`` into change-data-capture messages
   (key, value, topic, partition, offset, timestamp) for a ``products`` and an
-  ``orders`` source table, including updates, deletes with key-only images
-  and null-value tombstones.
+  ``orders`` source table, including updates, deletes with key-only images,
+  null-value tombstones, quoted numbers, decimals of many bytes, values that
+  don't decode and updates in the same millisecond.
 
 Derivation rules are documented in FIXTURES.md §3; the DuckDB oracle applies
 the same rules to the base tables independently.
@@ -20,19 +21,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from medallion.functions.connect_decimal import encode_connect_decimal
-from medallion.operators.skew import position
 
 # The unit vocabulary of the price source, in source order.
 UNITS = ["KG", "L", "5 L", "730 ML", "140 ML", "10 pcs", "Day"]
+# The columns of the price source.
 PRICE_COLUMNS = [
     "date", "admin1", "admin2", "market", "market_id", "latitude", "longitude",
     "category", "commodity", "commodity_id", "unit", "priceflag", "pricetype",
     "currency", "price", "usdprice",
 ]
-PRODUCT_CATEGORIES = ["Cookware", "Appliance", "Tableware"]
+PRODUCT_CATEGORIES = ["Garden", "Office", "Workshop"]
 PRODUCTS_TOPIC = "shop.public.products"
 ORDERS_TOPIC = "shop.public.orders"
 KHR_PER_USD = 4000
@@ -44,6 +44,11 @@ ORDER_ROW_TYPE = (
 BAD_DATE_EVERY = 97
 BAD_PRICE_EVERY = 89
 DUPLICATE_EVERY = 50
+TWICE_EVERY = 7
+QUOTED_KEY_EVERY = 53
+LONG_DECIMAL_EVERY = 59
+BAD_DECIMAL_EVERY = 61
+BAD_QUANTITY_EVERY = 66
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,9 +63,8 @@ def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    # nation and region have a fixed size (25 and 5 rows) by definition.
-    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    region = F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     place = (
         supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
         .join(region, nation.n_regionkey == region.r_regionkey)
@@ -107,8 +111,11 @@ def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _epoch_ms(ts) -> F.Column:
-    """Epoch milliseconds of a UTC wall-clock timestamp (truncated)."""
-    return F.floor(position(ts, T.TimestampNTZType()) / 1000).cast("long")
+    """Epoch milliseconds of a UTC wall-clock timestamp (truncated), put
+    together from its own fields so that the session zone has no say."""
+    days = F.unix_date(ts.cast("date")).cast("long")
+    seconds = F.hour(ts).cast("long") * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return (days * 86_400 + seconds) * 1000 + F.date_format(ts, "SSS").cast("long")
 
 
 def _iso_utc(ts) -> F.Column:
@@ -150,13 +157,24 @@ def change_messages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .when(F.col("event_type") == "error", F.lit("d"))
         .otherwise(F.lit("u"))
     )
+    prod = prod.withColumn("_op", op)
+    # Some updates come twice in the same millisecond, the second with another price.
+    twice = (F.col("_op") == "u") & (F.col("event_id") % TWICE_EVERY == 0)
+    prod = prod.withColumn("_copy", F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    step = F.col("_copy")
     categories = F.array(*[F.lit(c) for c in PRODUCT_CATEGORIES])
-    unit_price = (F.floor(F.col("value") / 50) * 50).cast("decimal(10,2)") + F.lit(8.5).cast("decimal(3,2)")
+    unit_price = (F.floor(F.col("value") / 50) * 50 + step).cast("decimal(10,2)") + F.lit(8.5).cast("decimal(3,2)")
+    prod = prod.withColumn("_price", encode_connect_decimal(unit_price, 2))
+    padded = F.base64(F.unhex(F.lpad(F.hex(F.unbase64(F.col("_price"))), 40, "0")))
+    encoded = (
+        F.when(F.col("event_id") % BAD_DECIMAL_EVERY == 0, F.lit("!bad!"))
+        .when(F.col("event_id") % LONG_DECIMAL_EVERY == 0, padded).otherwise(F.col("_price"))
+    )
     after_row = F.struct(
         F.col("user_id").cast("int").alias("product_id"),
         F.concat(F.lit("product "), F.col("user_id").cast("string")).alias("name"),
         F.element_at(categories, (F.col("user_id") % len(PRODUCT_CATEGORIES) + 1).cast("int")).alias("category"),
-        encode_connect_decimal(unit_price, 2).alias("unit_price"),
+        encoded.alias("unit_price"),
         (F.floor(F.col("value")) % 5).cast("int").alias("stock_quantity"),
         _iso_utc(F.col("ts")).alias("updated_at"),
     )
@@ -166,14 +184,17 @@ def change_messages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("_op"),
         F.when(is_delete, key_only),
         F.when(~is_delete, after_row),
-        base_lsn, tx_id, ts_ms,
+        base_lsn + step * 5, tx_id, ts_ms,
+    )
+    quoted = F.regexp_replace(F.col("_json"), r'"product_id":(\d+)', r'"product_id":"$1"')
+    prod = prod.withColumn("_json", value).withColumn(
+        "_value", F.when(F.col("event_id") % QUOTED_KEY_EVERY == 0, quoted).otherwise(F.col("_json"))
     )
     key = F.to_json(F.struct(key_only.alias("payload")))
-    prod = prod.withColumn("_op", op)
-    main = _message(key, value, PRODUCTS_TOPIC, F.col("event_id") * 4, ts_ms)
+    main = _message(key, F.col("_value"), PRODUCTS_TOPIC, F.col("event_id") * 4 + step * 2, ts_ms)
     tomb = _message(key, F.lit(None).cast("string"), PRODUCTS_TOPIC, F.col("event_id") * 4 + 1, ts_ms)
     products = prod.select(
-        F.explode(F.when(is_delete, F.array(main, tomb)).otherwise(F.array(main))).alias("m")
+        F.explode(F.array_compact(F.array(main, F.when(is_delete, tomb)))).alias("m")
     ).select("m.*")
 
     # orders: every purchase event is an order; some are paid, some deleted.
@@ -200,6 +221,9 @@ def change_messages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     ]:
         t = ts_ms + step * 60_000
         value = _envelope(op_, before, after, base_lsn + step, tx_id, t)
+        if step == 1:
+            bad = F.when(F.col("event_id") % BAD_QUANTITY_EVERY == 0, r'"quantity":\d+').otherwise("(?!)")
+            value = F.regexp_replace(value, bad, F.lit('"quantity":"many"'))
         msgs.append(F.when(when, _message(key, value, ORDERS_TOPIC, F.col("event_id") * 4 + step, t)))
     msgs.append(
         F.when(

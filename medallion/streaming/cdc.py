@@ -11,13 +11,17 @@ sink, so a backlog or failure on one table never blocks another.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from medallion.sources.tables import ensure_namespace
+
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("key", T.BinaryType()),
     T.StructField("value", T.BinaryType()),
@@ -27,10 +31,11 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
-BRONZE_CHANGE_COLUMNS = [
-    "kafka_key", "source_table", "event", "op", "payload", "lsn", "tx_id",
-    "source_ts_ms", "topic", "partition", "offset", "event_timestamp", "ingested_at",
-]
+# The columns of a Bronze change log, in order, with their types.
+BRONZE_CHANGE_SCHEMA = (
+    "kafka_key string, source_table string, event string, op string, payload string, lsn long, tx_id long, "
+    "source_ts_ms long, topic string, partition int, offset long, event_timestamp timestamp, ingested_at timestamp"
+)
 
 
 # Envelope structure lifted in Bronze. Fields are read as text and then
@@ -134,19 +139,59 @@ def start_change_stream(
     if available_now:
         writer = writer.trigger(availableNow=True)
     if spec.target_table:
-        # created on the first run, appended to afterwards, never dropped
+        create_change_table(spark, spec.target_table, sink_format)
         return writer.toTable(spec.target_table)
     return writer.start(spec.target_path)
 
 
+def create_change_table(spark: SparkSession, name: str, sink_format: str = "parquet") -> None:
+    """The namespace and the table of a Bronze change log, unless they exist."""
+    namespace, _, _ = name.rpartition(".")
+    if namespace:
+        ensure_namespace(spark, namespace)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({BRONZE_CHANGE_SCHEMA}) USING {sink_format}")
+
+
 def start_change_streams(spark: SparkSession, specs, **kwargs) -> list[StreamingQuery]:
     """One independent query per spec."""
     return [start_change_stream(spark, s, **kwargs) for s in specs]
 
 
-def run_to_completion(spark: SparkSession, specs, **kwargs) -> None:
+class ChangeStreamError(RuntimeError):
+    pass
+
+
+def await_all(spark: SparkSession, queries: Sequence[StreamingQuery], stop_rest: bool = False) -> dict[str, str]:
+    """Wait until every query has ended, whichever ends first.
+
+    A failure is noticed at once, not when its turn comes. The others go on,
+    or with ``stop_rest`` are stopped. Returns the state of each query by
+    name, and raises :class:`ChangeStreamError` with all of them if any
+    failed.
+    """
+    states: dict[str, str] = {}
+    while len(states) < len(queries):
+        for q in queries:
+            if q.name in states or q.isActive:
+                continue
+            error = q.exception()
+            states[q.name] = "finished" if error is None else f"failed: {str(error).splitlines()[0]}"
+            if error is not None and stop_rest:
+                for other in queries:
+                    if other.isActive:
+                        other.stop()
+                        states[other.name] = "stopped"
+        if len(states) < len(queries):
+            try:
+                spark.streams.awaitAnyTermination(1)
+            except StreamingQueryException:
+                pass  # read from the query itself above
+            spark.streams.resetTerminated()
+    if any(s.startswith("failed") for s in states.values()):
+        raise ChangeStreamError("; ".join(f"{name}: {state}" for name, state in sorted(states.items())))
+    return states
+
+
+def run_to_completion(spark: SparkSession, specs, **kwargs) -> dict[str, str]:
     """Drain every available message once (``availableNow``) and stop."""
-    for q in start_change_streams(spark, specs, available_now=True, **kwargs):
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+    return await_all(spark, start_change_streams(spark, specs, available_now=True, **kwargs))

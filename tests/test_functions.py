@@ -19,7 +19,10 @@ from medallion.functions.keys import attribute_hash, business_key
         ("AA==", Decimal("0.00")),
         (None, None),
         ("not base64!", None),
+        ("AAAAAAAAAAAE4g==", Decimal("12.50")),  # sign-extended to ten bytes
+        ("//////////////////////////8=", Decimal("-0.01")),  # and to twenty
         ("AQIDBAUGBwgJ", None),  # nine bytes: beyond numeric(10,2)
+        ("", None),
         ("AlQL5AA=", None),  # unscaled 10,000,000,000 overflows numeric(10,2)
     ],
 )
@@ -29,6 +32,17 @@ def test_decode_connect_decimal(spark, text, expected):
     assert got == expected
 
 
+@pytest.mark.parametrize("unscaled", [10**37 - 1, -(10**37), 2**64, -(2**64), 2**63, -(2**63) - 1, 255, -256, 0])
+@pytest.mark.parametrize("extra", [0, 1, 9])
+def test_decode_wide_decimals(spark, unscaled, extra):
+    import base64
+
+    size = (unscaled.bit_length() + 8) // 8 + extra
+    text = base64.b64encode(unscaled.to_bytes(size, "big", signed=True)).decode()
+    got = spark.createDataFrame([(text,)], "t string").select(decode_connect_decimal(F.col("t"), 38, 0).alias("d")).first()["d"]
+    assert got == unscaled
+
+
 def test_decimal_round_trip(spark):
     values = ["0.00", "0.01", "1.27", "1.28", "-1.28", "-1.29", "12.50", "327.67", "327.68",
               "-0.01", "99999999.99", "-99999999.99", "8.50", "21474836.47"]

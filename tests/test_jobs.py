@@ -1,6 +1,9 @@
+import os
+
 from medallion.plans import food, jobs, shop
 from medallion.plans import prices as P
-from medallion.sources.tables import load_history
+from medallion.session import checkpoint_root
+from medallion.sources.tables import load_history, read_table
 from tests.conftest import SF_SMALL
 
 
@@ -21,10 +24,13 @@ def test_price_jobs_end_to_end(spark, tmp_root):
 
 def test_vault_job_publishes_six_tables(spark, tmp_root):
     b = shop.bronze_changes(spark, SF_SMALL)
+    before = {f for _, folders, _ in os.walk(checkpoint_root(spark)) for f in folders}
     out = jobs.vault_job(spark, b["products"], b["orders"], tmp_root, namespace="vault_t")
-    profiles = out.pop("op_profiles")
-    assert set(profiles["orders"]) == {None, "c", "u", "d"}
-    assert profiles["products"][None] == profiles["products"]["d"]  # one tombstone per delete
+    out.pop("op_profile")
+    profile = {(r.source_table, r.op): r.events for r in read_table(spark, tmp_root, "vault_t.op_profile").collect()}
+    assert {op for name, op in profile if name == "orders"} == {None, "c", "u", "d"}
+    assert profile["products", None] == profile["products", "d"]  # one tombstone per delete
+    assert not [f for _, folders, _ in os.walk(checkpoint_root(spark)) for f in folders if f.startswith("ordered-") and f not in before]
     expected = {k: v.count() for k, v in shop.V.build_vault(b["products"], b["orders"]).items()}
     assert {k: v["rows"] for k, v in out.items()} == expected
     assert spark.table("vault_t.sat_product").count() == expected["sat_product"]

@@ -1,56 +1,69 @@
 """Physical-plan properties the scale design relies on."""
 
-from medallion.operators.skew import HotKeySplit
-from medallion.plans import shop
+import pytest
+
+from medallion.plans import food, shop
 from medallion.plans import vault as V
-from medallion.plans.order_value import order_value_versions
 from tests.conftest import SF_SMALL
 
 
-def executed(df) -> str:
+@pytest.fixture(scope="module")
+def landed(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("plans"))
+    for name, log in shop.bronze_changes(spark, SF_SMALL).items():
+        log.write.parquet(f"{root}/{name}")
+    return {n: spark.read.parquet(f"{root}/{n}") for n in V.LOGS}
+
+
+def jobs_started(spark, build) -> int:
+    """Jobs that building a plan starts."""
+    group = f"plan-{id(build)}"
+    spark.sparkContext.setJobGroup(group, "plan")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def final(df) -> str:
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-def test_decode_pushes_tombstone_filter_and_prunes(spark, tmp_root):
-    shop.bronze_changes(spark, SF_SMALL)["products"].write.parquet(f"{tmp_root}/bronze")
-    bronze = spark.read.parquet(f"{tmp_root}/bronze")
-    plan = V.decode_products(bronze)._jdf.queryExecution().executedPlan().toString()
+def test_decode_pushes_tombstone_filter_and_prunes(landed):
+    plan = V.decoded(landed["products"], "products")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(op)]" in plan
     read_schema = plan.split("ReadSchema: ")[1].splitlines()[0]
     assert "event" not in read_schema and "kafka_key" not in read_schema and "payload" in read_schema
 
 
-def test_first_seen_limits_before_the_shuffle(spark):
-    b = shop.bronze_changes(spark, SF_SMALL)
-    plan = executed(V.hub_order(V.decode_orders(b["orders"])))
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+def test_plans_start_no_job(spark, landed):
+    text = food.bronze_text(spark, SF_SMALL)
+    from medallion.plans import prices as P
 
+    assert jobs_started(spark, lambda: V.decoded(landed["orders"], "orders")) == 0
+    assert jobs_started(spark, lambda: P.silver_prices(text)) == 0
+    staged = V.staged_changes(landed["products"], landed["orders"])
+    assert jobs_started(spark, lambda: V.vault_tables(staged)) == 0
 
-def test_order_value_shares_the_order_key_partitioning(spark):
-    b = shop.bronze_changes(spark, SF_SMALL)
-    products, orders = V.staged_changes(b["products"], b["orders"])
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        split = HotKeySplit()
-        df = order_value_versions(
-            V.satellite_changes(orders, "hk_order", V.ORDER_SAT_ATTRS, V.VaultOptions(split=split)),
-            V.hub_order(orders), V.link_order(orders),
-            V.satellite_changes(products, "hk_product", V.PRODUCT_SAT_ATTRS, V.VaultOptions(split=split)),
-            split=split,
-        )
-        final = executed(df).split("== Initial Plan ==")[0]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    # only the as-of union is shuffled (by product); no nested-loop join
-    assert final.count("Exchange hashpartitioning") == 1
-    assert "hashpartitioning(hk_product" in final
-    assert "NestedLoopJoin" not in final and "CartesianProduct" not in final
+
+def test_the_order_value_writes_one_table_more(spark, landed):
+    from medallion.plans.order_value import order_value_versions
+
+    staged = V.staged_changes(landed["products"], landed["orders"])
+    assert jobs_started(spark, lambda: order_value_versions(staged)) > 0  # the as-of rows, staged in segments
+    plan = final(order_value_versions(staged))
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan and "Python" not in plan
+
+
+def test_hubs_are_aggregated_before_the_shuffle(landed):
+    staged = V.staged_changes(landed["products"], landed["orders"])
+    plan = final(V.vault_table(staged, "hub_order"))
+    assert "partial_min_by" in plan.split("Exchange")[1] and "Window" not in plan
 
 
-def test_price_dimension_broadcasts_are_the_fixed_tables(spark):
+def test_joins_carry_no_hint(spark):
     from medallion.sources.testdata import price_rows
 
-    plan = price_rows(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("broadcast") == 2
+    assert "hint" not in price_rows(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().lower()

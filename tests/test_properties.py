@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from medallion.operators.skew import HotKeySplit
 from medallion.plans import shop
 from medallion.plans import vault as V
 from tests.conftest import SF_SMALL
@@ -22,8 +21,3 @@ def test_replay_is_idempotent_order_free_and_duplicate_safe(spark):
 
     doubled = {k: v.unionByName(v) for k, v in b.items()}
     assert snapshot(V.build_vault(doubled["products"], doubled["orders"])) == base
-
-    plain = V.VaultOptions(split=None)
-    assert snapshot(V.build_vault(b["products"], b["orders"], plain)) == base
-    split = V.VaultOptions(split=HotKeySplit(hot_rows=3, segment_rows=2))
-    assert snapshot(V.build_vault(b["products"], b["orders"], split)) == base

@@ -36,8 +36,8 @@ def test_bronze_typing_nulls_bad_values(spark):
 
 def test_contract_reasons_and_split(spark):
     rows = [variant(), variant(date="bad", price="x"), variant(market_id="12a")]
-    cls = P.classified(text_rows(spark, rows))
-    rej = Q.quarantine(cls, P.TYPED_COLUMNS).select("market_id", "reject_reasons").collect()
+    cls = P.judged(text_rows(spark, rows))
+    rej = Q.quarantine(cls).select("market_id", "reject_reasons").collect()
     assert sorted(tuple(r) for r in rej) == [
         ("12a", "market_id: failed cast to int"),
         ("639", "price_date: failed cast to date; price: failed cast to double"),
@@ -54,11 +54,11 @@ def test_silver_flags_units_food_and_dedup(spark):
         variant(priceflag=None, unit=None, commodity_id="7"),
         variant(unit=" 5 L ", commodity_id="8", price="1.005"),
     ]
-    res = P.silver_prices(text_rows(spark, rows))
-    out = {r["commodity_id"]: r for r in res.silver.collect()}
+    silver = P.silver_prices(text_rows(spark, rows))
+    out = {r["commodity_id"]: r for r in silver.collect()}
     assert len(out) == 3 or len(out) == 4
-    assert res.silver.count() == 4
-    both = [r for r in res.silver.collect() if r["priceflag"] == "actual,aggregate"][0]
+    assert silver.count() == 4
+    both = [r for r in silver.collect() if r["priceflag"] == "actual,aggregate"][0]
     assert both["is_actual"] and both["is_aggregate"] and both["unit_qty"] == 0.73 and both["unit_base"] == "L"
     assert both["price_per_base_unit"] == 1000.0 and both["is_food"] is False
     nulls = out[7]
@@ -67,26 +67,28 @@ def test_silver_flags_units_food_and_dedup(spark):
     assert five["unit"] == "5 L" and five["price_per_base_unit"] == 0.2
 
 
-def test_unknown_unit_aborts(spark):
-    with pytest.raises(Q.UnmappedValuesError, match="unmapped unit values found in source: BAG, SACK"):
-        P.silver_prices(text_rows(spark, [variant(unit="SACK"), variant(unit="BAG"), variant()])).silver.count()
+def test_unknown_units_are_rejects_and_all_are_named(spark, tmp_root):
+    from medallion.plans.jobs import silver_price_job
+    from medallion.sources.tables import NoSuchTableError, read_table
 
-
-def test_unknown_unit_fails_inline_pass(spark):
-    res = P.silver_prices(text_rows(spark, [variant(unit="SACK"), variant()]), check_units="inline")
-    with pytest.raises(Exception, match="unmapped value found in source: unit = SACK"):
-        res.silver.write.format("noop").mode("overwrite").save()
-    ok = P.silver_prices(text_rows(spark, [variant(), variant(unit=None, commodity_id="3")]), check_units="inline")
-    assert ok.silver.count() == 2
-    # a rejected row with an unknown unit does not trip the gate
-    rej = P.silver_prices(text_rows(spark, [variant(unit="SACK", price="x"), variant()]), check_units="inline")
-    assert rej.silver.count() == 1
+    many = [f"U{i:03d}" for i in range(150)]
+    bronze = text_rows(spark, [variant(), variant(unit=None, commodity_id="3"), *[variant(unit=u) for u in many]])
+    assert P.silver_prices(bronze).count() == 2
+    assert {r["reject_reasons"] for r in P.rejects(bronze).collect()} == {"unit: not in its vocabulary"}
+    with pytest.raises(Q.UnmappedValuesError) as e:
+        silver_price_job(spark, bronze, tmp_root)
+    assert str(e.value) == "unmapped unit values found in source: " + ", ".join(many)
+    with pytest.raises(NoSuchTableError):
+        read_table(spark, tmp_root, "silver.food_prices")
+    # a row rejected for its types does not trip the gate
+    ok = silver_price_job(spark, text_rows(spark, [variant(unit="SACK", price="x"), variant()]), tmp_root)
+    assert ok["silver_rows"] == 1 and ok["rejects"]["rows"] == 1
 
 
 def test_dedup_survivor_is_reproducible(spark):
     rows = [variant(price=str(p)) for p in (30, 10, 20)]
     for _ in range(2):
-        s = P.silver_prices(text_rows(spark, rows)).silver.collect()
+        s = P.silver_prices(text_rows(spark, rows)).collect()
         assert [r["price"] for r in s] == [10.0]
 
 

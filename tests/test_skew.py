@@ -1,67 +1,62 @@
-"""One key holding a third of all rows: the hot-key split spreads it over
-several window partitions and changes no result."""
+"""One key holding a third of all rows takes several segments and files, whatever its positions look like."""
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from medallion.operators.asof import asof_join
+from medallion.functions.ordering import EVENT_ORDER
 from medallion.operators.history import change_rows
-from medallion.operators.skew import COLD, SEGMENT, HotKeySplit, assign_segments, hot_key_ranges
-
-
-def skewed_log(spark, n=3000, seed=11):
-    rnd = random.Random(seed)
-    rows = []
-    for i in range(n):
-        key = "hot" if i % 3 == 0 else f"k{rnd.randint(0, 300)}"
-        rows.append((key, i * 10, rnd.choice(["A", "B", "C"])))
-    return spark.createDataFrame(rows, "hk string, lsn long, h string").select(
-        "hk", "lsn", F.lit(1).cast("long").alias("source_ts_ms"), F.lit(None).cast("long").alias("offset"),
-        F.lit("s").alias("record_source"), "h")
-
-
-def test_hot_key_is_cut_into_bounded_ranges(spark):
-    df = skewed_log(spark)
-    split = HotKeySplit(hot_rows=200, segment_rows=100)
-    ranges = hot_key_ranges(df, ["hk"], "lsn", split)
-    assert [r["hk"] for r in ranges.collect()] == ["hot"]
-    seg = assign_segments(df, ranges, ["hk"], "lsn")
-    per_segment = seg.where(F.col("hk") == "hot").groupBy(SEGMENT).count().collect()
-    assert len(per_segment) == 10 and max(r["count"] for r in per_segment) <= 100
-    assert seg.where((F.col("hk") != "hot") & (F.col(SEGMENT) != COLD)).count() == 0
-
-
-def test_split_change_rows_equal_plain_under_skew(spark):
-    df = skewed_log(spark)
-    plain = sorted(tuple(r) for r in change_rows(df, "hk", "h").collect())
-    split = sorted(tuple(r) for r in change_rows(df, "hk", "h", split=HotKeySplit(200, 100)).collect())
-    assert plain == split and len(plain) > 1000
-
-
-def test_split_asof_equal_plain_under_skew(spark):
-    rnd = random.Random(3)
-    right = [("hot" if i % 3 == 0 else f"k{i % 50}", rnd.randint(0, 10_000), i) for i in range(1500)]
-    left = [("hot" if j % 3 == 0 else f"k{j % 50}", rnd.randint(0, 10_000), j) for j in range(1500)]
-    r = spark.createDataFrame(right, "k string, vt long, v int")
-    lf = spark.createDataFrame(left, "k string, t long, id int")
-    plain = sorted(tuple(x) for x in asof_join(lf, r, "k", "t", "vt", tiebreak=["v"]).collect())
-    split = sorted(tuple(x) for x in asof_join(lf, r, "k", "t", "vt", tiebreak=["v"], split=HotKeySplit(300, 60)).collect())
-    assert plain == split and len(plain) > 1000
-
-
-def test_wall_clock_positions_keep_order_across_dst(spark):
-    from pyspark.sql import types as T
-
-    from medallion.operators.skew import position
-
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-    try:
-        df = spark.sql(
-            "select explode(array(timestamp_ntz'2024-03-10 01:59:00', timestamp_ntz'2024-03-10 02:30:00',"
-            " timestamp_ntz'2024-03-10 03:00:00')) t")
-        got = [r[0] for r in df.select(position(F.col("t"), T.TimestampNTZType())).collect()]
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", zone)
-    assert got == sorted(got) and got[0] == 1710035940000000
+from medallion.operators.segments import SEGMENT, drop_staged, stage_ordered
+
+N, SEGMENTS = 3000, 12
+POSITIONS = {
+    "rising": lambda i: i * 10,
+    "same": lambda i: 7,
+    "null": lambda i: None,
+    "one far outlier": lambda i: 10**12 if i == 0 else 5,
+}
+
+
+@pytest.fixture()
+def twelve_segments(spark):
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(SEGMENTS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    for k, v in held.items():
+        spark.conf.set(k, v)
+
+
+def skewed_log(spark, position):
+    rnd = random.Random(11)
+    rows = [("hot" if i % 3 == 0 else f"k{rnd.randint(0, 300)}", position(i), i, rnd.choice("ABC")) for i in range(N)]
+    return spark.createDataFrame(rows, "hk string, lsn long, offset long, h string").select(
+        "hk", "lsn", F.lit(1).cast("long").alias("source_ts_ms"), "offset", F.lit("s").alias("record_source"), "h")
+
+
+@pytest.mark.parametrize("shape", sorted(POSITIONS))
+def test_segments_are_balanced_and_stitched(spark, twelve_segments, shape):
+    log = skewed_log(spark, POSITIONS[shape])
+    staged = stage_ordered(log, ["hk"], EVENT_ORDER, "skew")
+    sizes = [r["count"] for r in staged.groupBy(SEGMENT).count().collect()]
+    assert max(sizes) < 2 * N / SEGMENTS
+    hot = staged.where("hk = 'hot'")
+    assert hot.select(SEGMENT).distinct().count() >= 4 and hot.select(F.input_file_name()).distinct().count() >= 4
+    previous, expected = {}, []
+    rows = [(r.hk, r.lsn, r.offset, r.h) for r in log.collect()]
+    for hk, lsn, offset, h in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2])):
+        if previous.get(hk) != h:
+            expected.append((hk, offset, h))
+        previous[hk] = h
+    assert sorted((r.hk, r.offset, r.h) for r in change_rows(staged, "hk", "h").collect()) == sorted(expected)
+    folder = staged.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("///", "/")
+    drop_staged(staged)
+    import os
+    assert not os.path.exists(folder)
+
+
+def test_rows_that_are_equal_in_all_but_a_value_are_dealt_too(spark, twelve_segments):
+    log = spark.range(N).select(F.lit("hot").alias("hk"), F.lit(1).cast("long").alias("lsn"), F.col("id").alias("v"))
+    staged = stage_ordered(log, ["hk"], ["lsn"], "ties")
+    assert max(r["count"] for r in staged.groupBy(SEGMENT).count().collect()) < 2 * N / SEGMENTS

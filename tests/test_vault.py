@@ -2,7 +2,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from medallion.operators.skew import HotKeySplit
+from medallion.operators.changes import change_rejects
 from medallion.plans import vault as V
 from medallion.plans.order_value import order_value_live, order_value_versions
 from medallion.streaming.cdc import land_changes
@@ -58,28 +58,54 @@ def test_load_dts_is_source_commit_time(spark):
         tzinfo=__import__("datetime").timezone.utc).timestamp() * 1000 == T0 + 60_000
 
 
-def _order_value(spark, products_log, orders_log, live=False, split=None):
+def _order_value(spark, products_log, orders_log, live=False):
     pb = land_changes(products_log.frame(spark), "products")
     ob = land_changes(orders_log.frame(spark), "orders")
-    p, o = V.decode_products(pb), V.decode_orders(ob)
-    fn = order_value_live if live else order_value_versions
-    return fn(
-        V.satellite_changes(o, "hk_order", V.ORDER_SAT_ATTRS), V.hub_order(o), V.link_order(o),
-        V.satellite_changes(p, "hk_product", V.PRODUCT_SAT_ATTRS), split=split,
-    )
+    return (order_value_live if live else order_value_versions)(V.staged_changes(pb, ob))
 
 
 def test_order_value_scenario(spark):
-    for split in (None, HotKeySplit(hot_rows=1, segment_rows=1)):
-        got = rows(_order_value(spark, *shop_scenario(), split=split), "order_id", "quantity", "unit_price", "order_value_khr")
-        assert got == [
-            (1, 2, Decimal("8.50"), Decimal("68000.00")),
-            (2, 2, Decimal("8.50"), Decimal("68000.00")),
-            (2, 2, Decimal("8.50"), Decimal("68000.00")),
-            (3, 1, Decimal("15.00"), Decimal("60000.00")),
-        ]
-        live = rows(_order_value(spark, *shop_scenario(), live=True, split=split), "order_id")
-        assert live == [(1,), (2,)]
+    got = rows(_order_value(spark, *shop_scenario()), "order_id", "quantity", "unit_price", "order_value_khr")
+    assert got == [
+        (1, 2, Decimal("8.50"), Decimal("68000.00")),
+        (2, 2, Decimal("8.50"), Decimal("68000.00")),
+        (2, 2, Decimal("8.50"), Decimal("68000.00")),
+        (3, 1, Decimal("15.00"), Decimal("60000.00")),
+    ]
+    assert rows(_order_value(spark, *shop_scenario(), live=True), "order_id") == [(1,), (2,)]
+
+
+def test_equal_times_are_settled_by_the_log_position(spark):
+    products, orders = Log("p", "product_id"), Log("o", "order_id")
+    for lsn, price in ((10, "8.50"), (20, "9.50"), (20, "7.50")):
+        products.event("u", 1, after=product(1, "wok", "Cookware", price, 5), lsn=lsn, ts=T0)
+    orders.event("c", 7, after=order(7, "c", 1, 1, "placed", T0), lsn=30, ts=T0)
+    orders.event("u", 7, after=order(7, "c", 1, 2, "paid", T0), lsn=30, ts=T0)
+    assert rows(_order_value(spark, products, orders), "quantity", "unit_price") == [(1, Decimal("7.50")), (2, Decimal("7.50"))]
+    assert rows(_order_value(spark, products, orders, live=True), "quantity") == [(2,)]
+
+
+def test_quoted_numbers_and_long_decimals_decode(spark):
+    import base64
+    import json
+
+    products, orders = Log("p", "product_id"), Log("o", "order_id")
+    for i, pid in enumerate(["12", 13, " 14 "]):
+        after = product(pid, "wok", "Cookware", "8.50", "5")
+        after["unit_price"] = base64.b64encode((1250).to_bytes(2 + 7 * i, "big", signed=True)).decode()
+        products.event("c", pid, after=after, lsn=10 + i, ts=T0)
+    for i, (field, value) in enumerate([("unit_price", "!bad!"), ("unit_price", base64.b64encode(bytes([1] * 9)).decode()),
+                                        ("product_id", "x1"), ("stock_quantity", "many"), ("unit_price", "")]):
+        products.event("c", 20 + i, after={**product(20 + i, "wok", "Cookware", "1.00", 5), field: value}, lsn=30 + i, ts=T0)
+    bronze = land_changes(products.frame(spark), "products")
+    assert rows(V.decoded(bronze, "products"), "product_id", "unit_price", "stock_quantity") == [
+        (i, Decimal("12.50"), 5) for i in (12, 13, 14)]
+    assert V.decoded(bronze, "products").select("hk_product").distinct().count() == 3
+    rejects = change_rejects(bronze, V.PRODUCTS).orderBy("lsn").collect()
+    assert [r.reject_reasons for r in rejects] == [
+        "unit_price: not a valid decimal(10,2)", "unit_price: not a valid decimal(10,2)", "product_id: not a valid int",
+        "stock_quantity: not a valid int", "unit_price: not a valid decimal(10,2)"]
+    assert json.loads(rejects[0].payload)["after"]["unit_price"] == "!bad!"
 
 
 def test_price_a_b_a_gives_three_versions_and_asof_picks_each(spark):
@@ -90,10 +116,9 @@ def test_price_a_b_a_gives_three_versions_and_asof_picks_each(spark):
         orders.event("c", 100 + i, after=order(100 + i, "c", 1, 1, "placed", at), lsn=100 + i, ts=at)
     _, _, vault = build(spark, products, orders)
     assert vault["sat_product"].count() == 3
-    for split in (None, HotKeySplit(hot_rows=2, segment_rows=2), HotKeySplit(hot_rows=1, segment_rows=1)):
-        got = rows(_order_value(spark, products, orders, split=split), "order_id", "unit_price")
-        # the order before every version drops out; equal times match the version
-        assert got == [(101, Decimal("8.50")), (102, Decimal("9.00")), (103, Decimal("8.50")), (104, Decimal("8.50"))]
+    got = rows(_order_value(spark, products, orders), "order_id", "unit_price")
+    # the order before every version drops out; equal times match the version
+    assert got == [(101, Decimal("8.50")), (102, Decimal("9.00")), (103, Decimal("8.50")), (104, Decimal("8.50"))]
 
 
 def test_deleted_product_prices_null(spark):
@@ -110,7 +135,7 @@ def test_malformed_event_is_dropped(spark):
     products.event("c", 1, after=product(1, "wok", "Cookware", "8.50", 5), lsn=10, ts=T0)
     products.event(None, 1, raw='{"payload": {"op": "u", "after": {"product_id": 1')
     pb = land_changes(products.frame(spark), "products")
-    assert V.decode_products(pb).count() == 1
+    assert V.decoded(pb, "products").count() == 1
 
 
 def test_reinsert_after_delete_adds_versions_keeps_one_hub_row(spark):
@@ -140,7 +165,7 @@ def test_decoded_times_do_not_depend_on_session_zone(spark):
     products, orders = shop_scenario()
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        o = V.decode_orders(land_changes(orders.frame(spark), "orders"))
+        o = V.decoded(land_changes(orders.frame(spark), "orders"), "orders")
         got = {(r["order_id"], r["lsn"]): (r["load_dts"], r["ordered_at"]) for r in o.collect()}
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
