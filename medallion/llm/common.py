@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -67,13 +68,24 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(df: DataFrame) -> None:
-    """Delete the folder of a table written by :func:`staged` that nothing reads any more."""
-    spark = df.sparkSession
-    for file in df.inputFiles()[:1]:
-        jvm = spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def drop_staged(*tables: DataFrame) -> None:
+    """Delete the folders of tables written by :func:`staged` that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for file in df.inputFiles()[:1]:
+            jvm = spark._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps whose result is staged.
+
+    Spark removes a shuffle's files when the driver collects the plan that
+    made them; a job of several steps would else hold the files of all.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

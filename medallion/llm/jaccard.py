@@ -33,11 +33,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import components, staged
+from medallion.llm.common import components, drop_staged, release, staged
 from medallion.llm.words import buffers, mix, slices, windows, words
 
 FOLD_BITS = 512
 FOLD_WORDS = FOLD_BITS // 64
+SKETCH = [f"s{k}" for k in range(FOLD_WORDS)]
 _PART = np.uint64(0xA24BAED4963EE407)
 _BAND = np.uint64(0x9FB21C651E98DF25)
 
@@ -174,7 +175,6 @@ def star(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 def document_sets(documents: DataFrame, params: JaccardParams) -> DataFrame:
     """doc_id, text_hash, n_shingles, node and the folded sketch s0..s7."""
-    names = [f"s{k}" for k in range(FOLD_WORDS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,13 +184,13 @@ def document_sets(documents: DataFrame, params: JaccardParams) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(sets.sizes), pa.array(sets.nodes()),
                      *[pa.array(np.ascontiguousarray(folded[:, k])) for k in range(FOLD_WORDS)]],
-                    names=["doc_id", "text_hash", "n_shingles", "node", *names],
+                    names=["doc_id", "text_hash", "n_shingles", "node", *SKETCH],
                 )
 
     rows = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"doc_id {kind}, text_hash long, n_shingles long, node long, " + ", ".join(f"{s} long" for s in names)
+        run, f"doc_id {kind}, text_hash long, n_shingles long, node long, " + ", ".join(f"{s} long" for s in SKETCH)
     )
 
 
@@ -264,28 +264,42 @@ def verified(pairs: DataFrame, texts: DataFrame, params: JaccardParams) -> DataF
     return both.mapInArrow(run, "a long, b long")
 
 
-def cross_pairs(suspects: DataFrame, texts: DataFrame, params: JaccardParams) -> DataFrame:
-    """(a, b) of different components that share a sketch part and aren't
-    ruled out by their sketches; ``suspects`` has node, component, n_shingles
-    and the folded sketch. Members of the part's most common component meet
-    only members of others, so a large component isn't joined with itself."""
+def shared_keys(suspects: DataFrame, texts: DataFrame, params: JaccardParams) -> DataFrame:
+    """(key, main, node, component) of the suspects' sketch parts that more
+    than one component has; ``main`` is one of the part's components with the
+    most sets. ``suspects`` has node and component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, at in slices(batch.column(1)):
+            for i, j, data, at in slices(batch.column(2)):
                 row, key = part_keys(shingle_sets(data, at, params.shingle), params)
+                of = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i).take(pa.array(row)), pa.array(key.view(np.int64))], names=["node", "key"]
+                    [batch.column(0).slice(i, j - i).take(of), batch.column(1).slice(i, j - i).take(of), pa.array(key.view(np.int64))],
+                    names=["node", "component", "key"],
                 )
 
-    wanted = texts.join(suspects.select("node"), "node", "left_semi")
-    keyed = wanted.select("node", "text").mapInArrow(run, "node long, key long").join(suspects, "node")
-    keyed = staged(keyed, "cross-keys")
-    per = keyed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = per.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.max_by("component", F.struct("n", "component")).alias("main"))
-    mixed = mixed.where("kinds > 1").select("key", "main")
-    members = keyed.join(mixed, "key")
-    x, y = members.where("component <> main").alias("x"), members.alias("y")
+    wanted = texts.join(suspects.select("node", "component"), "node").select("node", "component", "text")
+    keyed = staged(wanted.mapInArrow(run, "node long, component long, key long"), "cross-keys")
+    kinds = keyed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = staged(kinds.where("low <> high").select("key"), "cross-mixed")
+    del kinds
+    release(texts.sparkSession)
+    members = staged(keyed.join(mixed, "key"), "cross-members")
+    drop_staged(keyed, mixed)
+    release(texts.sparkSession)
+    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+    return members.join(main, "key")
+
+
+def cross_pairs(shared: DataFrame, sets: DataFrame, params: JaccardParams) -> DataFrame:
+    """(a, b) of different components that share a sketch part and aren't
+    ruled out by their sketches (``sets``: node, n_shingles, s0..s7). Members
+    of a part's main component meet only members of others, so a large
+    component isn't joined with itself."""
+    described = shared.join(sets, "node")
+    x, y = described.where("component <> main").alias("x"), described.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
     return x.join(y, apart & once & _near("x", "y", params)).select(
@@ -301,6 +315,39 @@ def _labelled(nodes: DataFrame, parts: DataFrame) -> DataFrame:
     ).drop("__node")
 
 
+def _classes(filled: DataFrame) -> DataFrame:
+    """One row per different set: its smallest document and its sketch."""
+    return filled.groupBy("node").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n_shingles").alias("n_shingles"), *[F.first(s).alias(s) for s in SKETCH]
+    ).select("node", "rep.doc_id", "rep.text_hash", "n_shingles", *SKETCH)
+
+
+def _described(pairs: DataFrame, classes: DataFrame, params: JaccardParams) -> DataFrame:
+    """Candidate pairs (a, b) and whether their sketches allow a link."""
+    a, b = classes.alias("a"), classes.alias("b")
+    both = pairs.alias("c").join(a, F.col("c.a") == F.col("a.node")).join(b, F.col("c.b") == F.col("b.node"))
+    return both.select("c.a", "c.b", _near("a", "b", params).alias("near"))
+
+
+def _texts(known: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) of the wanted classes, from their smallest documents."""
+    reps = wanted.select("node", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    own = known.select("doc_id", F.xxhash64("text").alias("__own"), "text")
+    found = own.join(reps, (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__hash")))
+    return found.select("node", "text").dropDuplicates(["node"])
+
+
+def _suspects(pairs: DataFrame, met: DataFrame, parts: DataFrame) -> DataFrame:
+    """node and component of all members of components between which a
+    candidate pair was found and is no link: only their sets can have links
+    that the stars missed."""
+    ends = pairs.select(F.col("a").alias("node"), F.col("b").alias("other"))
+    left = _labelled(ends, parts).select(F.col("other").alias("node"), F.col("component").alias("ca"))
+    torn = _labelled(left, parts).where("ca <> component")
+    torn = torn.select(F.col("ca").alias("__torn")).union(torn.select("component")).distinct()
+    return _labelled(met, parts).join(torn, F.col("component") == F.col("__torn"), "left_semi")
+
+
 def near_duplicates(documents: DataFrame, params: JaccardParams | None = None) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id; one row per input row.
 
@@ -313,41 +360,28 @@ def near_duplicates(documents: DataFrame, params: JaccardParams | None = None) -
     sets = staged(document_sets(documents, p), "shingle-sets")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(12, -(-total // p.shingles_per_bucket))
+    spark = documents.sparkSession
     filled = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    folded = [f"s{k}" for k in range(FOLD_WORDS)]
-    classes = staged(
-        filled.groupBy("node").agg(
-            F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n_shingles").alias("n_shingles"),
-            *[F.first(s).alias(s) for s in folded],
-        ).select("node", "rep.doc_id", "rep.text_hash", "n_shingles", *folded), "shingle-classes",
-    )
+    classes = staged(_classes(filled), "shingle-classes")
     known = documents.where(F.col("doc_id").isNotNull())
-    candidates = star_pairs(known, int(buckets), p)
-    a, b = classes.alias("a"), classes.alias("b")
-    pairs = staged(
-        candidates.alias("c").join(a, F.col("c.a") == F.col("a.node")).join(b, F.col("c.b") == F.col("b.node"))
-        .select("c.a", "c.b", _near("a", "b", p).alias("near")), "shingle-pairs",
-    )
-    met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    reps = classes.join(met, "node").select("node", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    texts = staged(
-        known.select("doc_id", F.xxhash64("text").alias("__own"), "text")
-        .join(reps, (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__hash")))
-        .select("node", "text").dropDuplicates(["node"]), "shingle-texts",
-    )
+    pairs = staged(_described(star_pairs(known, int(buckets), p), classes, p), "shingle-pairs")
+    release(spark)
+    met = staged(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "shingle-met")
+    texts = staged(_texts(known, classes.join(met, "node")), "shingle-texts")
+    release(spark)
     links = staged(verified(pairs.where("near").select("a", "b"), texts, p), "shingle-links")
     parts = staged(components(links), "shingle-parts")
-
-    ends = pairs.select("a", "b")
-    left = _labelled(ends.select(F.col("a").alias("node"), F.col("b").alias("other")), parts).withColumnRenamed("component", "ca")
-    both = _labelled(left.select(F.col("other").alias("node"), "ca"), parts).where("ca <> component")
-    torn = both.select("ca").union(both.select("component")).distinct()
-    members = _labelled(met, parts).join(torn, F.col("component") == F.col("ca"), "left_semi")
-    suspects = members.join(classes.select("node", "n_shingles", *folded), "node")
-    crossing = cross_pairs(staged(suspects, "shingle-suspects"), texts, p).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    release(spark)
+    suspects = staged(_suspects(pairs, met, parts), "shingle-suspects")
+    shared = staged(shared_keys(suspects, texts, p), "shingle-shared")
+    release(spark)
+    sketches = classes.select("node", "n_shingles", *SKETCH)
+    crossing = cross_pairs(shared, sketches, p).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
     more = staged(verified(crossing, texts, p), "shingle-cross")
     if not more.isEmpty():
         parts = staged(components(links.union(more)), "shingle-parts")
+    drop_staged(pairs, met, texts, links, suspects, shared, more)
+    release(spark)
 
     ids = _labelled(classes.select("node", "doc_id"), parts)
     smallest = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -364,7 +398,10 @@ def keep_one(documents: DataFrame, params: JaccardParams | None = None) -> DataF
     with the smallest doc_id. Rows without words or doc_id stay; of repeated
     rows one stays. All columns are as they are."""
     found = near_duplicates(documents, params)
-    stay = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    rows = documents.withColumn("__own", F.xxhash64("text"))
-    kept = rows.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__own"]).drop("__own")
+
+    def keyed(rows: DataFrame, text_hash: Column) -> DataFrame:
+        return rows.withColumn("__id", F.coalesce(F.col("doc_id").cast("string"), F.lit("\0"))).withColumn("__own", text_hash)
+
+    stay = keyed(found.where("doc_id <=> component_id"), F.col("text_hash")).select("__id", "__own").distinct()
+    kept = keyed(documents, F.xxhash64("text")).join(stay, ["__id", "__own"], "left_semi")
+    return kept.dropDuplicates(["__id", "__own"]).select(*[F.col(f"`{c}`") for c in documents.columns])
