@@ -59,3 +59,44 @@ def test_awkward_rows(odd_documents, no_documents):
     assert mixing.mix(odd_documents.where("doc_id IN (3, 4)")).where("kept").count() == 2
     with pytest.raises(ValueError, match="no category"):
         mixing.rake({("a",): 1.0}, [{"b": 1.0}], 1e-9, 5)
+
+
+def test_null_and_unnamed_categories_are_not_mixed_out(llm_spark):
+    texts = ["some plain words of a text " * 12, "all rights reserved words " * 20, "# * $ % & | " * 9, "few words", None]
+    rows = [(i, texts[i % 5], ["en", "de", None, "pt", "zh"][i % 7 % 5], [None, "src0", "src1", "src2"][i % 4]) for i in range(4200)]
+    documents = llm_spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = mixing.mix(documents).collect()
+    assert len(got) == len(rows) and min(r.probability for r in got) > 0
+    kept = {r.doc_id for r in got if r.kept}
+    for k in (2, 3):
+        assert {r[k] for r in rows if r[0] in kept} == {r[k] for r in rows}
+    tokens, weight = sum(r.n_tokens for r in got), sum(r.n_tokens * r.weight for r in got)
+    of = {r[0]: r for r in rows}
+    unnamed = [r for r in got if of[r.doc_id][2] in (None, "pt", "zh")]
+    assert {r.lang for r in unnamed} == {"*"}
+    assert sum(r.n_tokens * r.weight for r in unnamed) / weight == pytest.approx(sum(r.n_tokens for r in unnamed) / tokens, abs=1e-6)
+
+
+def test_only_unknown_languages_and_sources_with_tokens(llm_spark):
+    rows = [(i, "some plain words of a text " * 12, [None, "pt"][i % 2], [None, "web", "books"][i % 3]) for i in range(600)]
+    documents = llm_spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = mixing.mix(documents).collect()
+    assert {round(r.probability, 6) for r in got} == {0.9} and 480 < sum(r.kept for r in got) < 600
+    assert mixing.sample(documents.withColumn("lang", mixing.F.lit(None).cast("string"))).count() > 480
+
+
+def test_sources_of_the_data_keep_their_shares():
+    counts = {(s, lang, "prose"): n for (s, lang), n in
+              {("src0", "en"): 10.0, ("web", "en"): 60, ("web", "de"): 10, ("books", "en"): 5, ("books", "de"): 40, ("*", "en"): 20, ("*", "xx"): 10}.items()}
+    p = mixing.MixParams()
+    factors, gap, relaxed = mixing.rake_or_relax(counts, p)
+    assert gap < 1e-6 and not relaxed and factors.min() > 0
+    new = dict(zip(counts, np.array(list(counts.values())) * factors, strict=True))
+    share = {s: sum(n for c, n in new.items() if c[0] == s) / sum(new.values()) for s in ("src0", "web", "books", "*")}
+    assert share == pytest.approx({"src0": 0.3, "web": 0.7 * 70 / 145, "books": 0.7 * 45 / 145, "*": 0.7 * 30 / 145}, abs=1e-6)
+
+
+def test_targets_that_contradict_each_other_drop_no_cell():
+    counts = {("src0", "de", "prose"): 50.0, ("web", "en", "prose"): 30.0, ("web", "de", "prose"): 20.0, ("empty", "en", "prose"): 0.0}
+    factors, gap, relaxed = mixing.rake_or_relax(counts, mixing.MixParams(targets={**mixing.TARGETS, "lang": {"en": 0.9, "de": 0.1}}))
+    assert gap < 1e-6 and 0 < relaxed <= 1 and factors.min() > 0.01
