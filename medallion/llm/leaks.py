@@ -9,16 +9,18 @@ it)``, so wording that many items share counts little.
    document: one that begins with the shingle and one on its diagonal. Any
    other window can be moved right to the next shingle of the item without
    losing one, so the best window of every item is among these.
-2. Each window and item gets a 64-bit SimHash of its weighted shingles.
-3. Fingerprints are compared in ``blocks`` pieces: two within ``radius`` have
-   some piece that differs in at most ``radius / blocks`` bits, so all items
-   within the radius are among those that pass on a piece.
+2. Each window and item gets a 64-bit SimHash of its weighted shingles; a
+   shingle that no item holds has no weight in a window.
+3. A pair of a window and an item that share a shingle is a candidate unless
+   the fingerprints prove it apart. Let the item weigh t and the window u. At
+   similarity s they share s t or more, so the window lacks (1 - s) t of the
+   item at most and holds u - s t besides. A bit of the item whose sum lies
+   further than (1 - s) t + (u - s t) from 0 is then the same in the window,
+   so the radius of the pair is the number of its other bits. No pair at s or
+   more is lost, whatever the items have in common.
 4. Candidates are verified exactly: the weight of the item's shingles that
    stand in the window, over the weight of all its shingles.
 
-At similarity 0.8 the expected distance is 13 of 64 bits with a deviation of
-3.2; the default radius lies four deviations beyond it.
-
 Items are the stated query set: they are taken in blocks of bounded size,
 each held against all documents.
 """
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 from medallion.llm.words import Words, buffers, mix, slices, windows, words
 
 _TABLE_BITS = 20
+_ENTRIES = 1 << 20
 
 
 def _separators() -> np.ndarray:
@@ -53,13 +56,11 @@ SEPARATOR = _separators()
 @dataclass(frozen=True)
 class LeakParams:
     """similarity: least weighted share of an item's shingles in a window.
-    radius, blocks: see the module text. item_block_bytes: text of the items
+    item_block_bytes: text of the items
     that are held against the documents at a time."""
 
     shingle: int = 5
     similarity: float = 0.8
-    radius: int = 26
-    blocks: int = 4
     item_block_bytes: int = 8 << 20
 
 
@@ -69,18 +70,21 @@ def text_words(data: np.ndarray, at: np.ndarray) -> Words:
 
 @dataclass
 class ItemIndex:
-    """A block of items: ids, lengths in words, and their different shingles
-    (all of them sorted by hash, with item, place and weight)."""
+    """A block of items: ids; the different shingles of each (sorted by hash,
+    with item and weight); where windows are set for a shingle (by hash, with
+    place in the item and the item's words, once for all items alike); total
+    weight, fingerprint and the 64 bit sums' distances from 0 of each item."""
 
     ids: list
-    n_words: np.ndarray
     hashes: np.ndarray
     items: np.ndarray
-    places: np.ndarray
     weights: np.ndarray
-    rare: float
+    set_hashes: np.ndarray
+    set_places: np.ndarray
+    set_sizes: np.ndarray
     total: np.ndarray
     prints: np.ndarray
+    margins: np.ndarray
     table: np.ndarray
 
     @classmethod
@@ -101,22 +105,47 @@ class ItemIndex:
         table = np.zeros(1 << _TABLE_BITS, bool)
         table[(gram & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)] = True
         by_item = np.argsort(item, kind="stable")
-        prints = simhash(gram[by_item], once[by_item], np.searchsorted(item[by_item], np.arange(len(ids) + 1)))
-        return cls(ids, w.counts, gram, item, place, weight, float(np.log1p(len(ids))), total, prints, table)
-
-
-def simhash(grams: np.ndarray, weights: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The 64-bit SimHash of each run [first[i], first[i + 1]) of weighted shingles."""
-    out = np.zeros(len(first) - 1, np.uint64)
+        sums = bit_sums(gram[by_item], once[by_item], np.searchsorted(item[by_item], np.arange(len(ids) + 1)))
+        at_set = np.lexsort((w.counts[item], place, gram))
+        sets = np.stack([gram.view(np.int64), place, w.counts[item]], 1)[at_set]
+        sets = sets[np.concatenate([[True], (sets[1:] != sets[:-1]).any(1)])] if len(sets) else sets
+        return cls(
+            ids, gram[new], item[new], weight[new], sets[:, 0].copy().view(np.uint64), sets[:, 1], sets[:, 2], total, signs(sums), np.abs(sums), table
+        )
+
+
+def bit_sums(grams: np.ndarray, weights: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each run [first[i], first[i + 1]) of weighted shingles and each of 64
+    bits, the weight of the shingles with the bit less that of the others."""
+    out = np.zeros((len(first) - 1, 64))
     spread = mix(grams)
     for bit in range(64):
         run = np.concatenate([[0.0], np.cumsum(np.where(spread >> np.uint64(bit) & np.uint64(1), weights, -weights))])
-        out |= (run[first[1:]] - run[first[:-1]] > 0).astype(np.uint64) << np.uint64(bit)
+        out[:, bit] = run[first[1:]] - run[first[:-1]]
+    return out
+
+
+def signs(sums: np.ndarray) -> np.ndarray:
+    """The 64-bit SimHash of each row of bit sums."""
+    return ((sums > 0).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64)
+
+
+def near(prints: np.ndarray, held: np.ndarray, item: np.ndarray, index: ItemIndex, similarity: float) -> np.ndarray:
+    """Which pairs of a window (fingerprint, weight) and an item lie within
+    the radius that follows from their weights, see the module text."""
+    out = np.zeros(len(item), bool)
+    for lo in range(0, len(item), 1 << 16):
+        own = item[lo : lo + (1 << 16)]
+        reach = held[lo : lo + (1 << 16)] + (1 - 2 * similarity) * index.total[own] + 1e-6 * (1 + index.total[own])
+        radius = (index.margins[own] <= reach[:, None]).sum(1)
+        out[lo : lo + (1 << 16)] = np.bitwise_count(prints[lo : lo + (1 << 16)] ^ index.prints[own]) <= radius
     return out
 
 
 def within(prints: np.ndarray, items: np.ndarray, radius: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """All (window, item) within the radius: those near in one of the pieces, then by whole distance."""
+    """All (window, item) within one radius for all: those near in one of the
+    pieces, then by whole distance. Every pair is compared; :func:`leaks`
+    compares pairs that share a shingle, each by its own radius."""
     width = 64 // blocks
     pairs = []
     step = max(1, (1 << 22) // max(1, len(items)))
@@ -140,18 +169,17 @@ def leaks(data: np.ndarray, at: np.ndarray, index: ItemIndex, params: LeakParams
     w = text_words(data, at)
     row, start, gram = windows(w, params.shingle, whole_if_short=True)
     maybe = np.flatnonzero(index.table[(gram & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)])
-    lo = np.searchsorted(index.hashes, gram[maybe])
-    hi = np.searchsorted(index.hashes, gram[maybe], side="right")
+    lo = np.searchsorted(index.set_hashes, gram[maybe])
+    hi = np.searchsorted(index.set_hashes, gram[maybe], side="right")
     many = hi - lo
     if not many.sum():
         return none
     hit = np.repeat(maybe, many)
     entry = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(len(hit))
-    item = index.items[entry]
     begin, end = w.first[row[hit]], w.first[row[hit] + 1]
-    size = index.n_words[item]
+    size = index.set_sizes[entry]
     latest = np.maximum(end - size, begin)
-    firsts = [np.clip(start[hit] - index.places[entry], begin, latest), np.minimum(start[hit], latest)]
+    firsts = [np.clip(start[hit] - index.set_places[entry], begin, latest), np.minimum(start[hit], latest)]
     spans = np.unique(np.concatenate([np.stack([row[hit], f, np.minimum(f + size, end)], 1) for f in firsts]), axis=0)
 
     gram_row_first = np.searchsorted(row, np.arange(len(at)))
@@ -166,24 +194,32 @@ def leaks(data: np.ndarray, at: np.ndarray, index: ItemIndex, params: LeakParams
     new = np.ones(len(seen), bool)
     new[1:] = (seen[1:] != seen[:-1]) | (span[1:] != span[:-1])
     seen, span = seen[new], span[new]
-    at_entry = np.minimum(np.searchsorted(index.hashes, seen), len(index.hashes) - 1)
-    weight = np.where(index.hashes[at_entry] == seen, index.weights[at_entry], index.rare)
-    first_gram = np.searchsorted(span, np.arange(len(spans) + 1))
-    window, candidate = within(simhash(seen, weight, first_gram), index.prints, params.radius, params.blocks)
-
     lo = np.searchsorted(index.hashes, seen)
     many = np.searchsorted(index.hashes, seen, side="right") - lo
-    entry = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())
-    key = np.repeat(span, many) * len(index.ids) + index.items[entry]
-    own = np.stack([key, np.repeat(np.arange(len(seen)), many)], 1)  # an item may hold a shingle at several places
-    own, at_own = np.unique(own, axis=0, return_index=True)
-    shared_key, back = np.unique(own[:, 0], return_inverse=True)
-    shared = np.bincount(back, index.weights[entry[at_own]])
-    wanted = window * len(index.ids) + candidate
-    place = np.minimum(np.searchsorted(shared_key, wanted), len(shared_key) - 1)
-    share = np.where(shared_key[place] == wanted, shared[place], 0.0) / np.maximum(index.total[candidate], 1e-12)
-    ok = share >= params.similarity - 1e-9
-    window, candidate, share = window[ok], candidate[ok], share[ok]
+    seen, span, lo, many = seen[many > 0], span[many > 0], lo[many > 0], many[many > 0]
+    weight = index.weights[lo]
+    first_gram = np.searchsorted(span, np.arange(len(spans) + 1))
+    held = np.bincount(span, weight, minlength=len(spans))
+    prints = signs(bit_sums(seen, weight, first_gram))
+    entries = np.concatenate([[0], np.cumsum(many)])
+    parts = [none[:3]]
+    a = 0
+    while a < len(spans):
+        # spans whose shingles have at most so many holders together, one at least
+        z = max(a + 1, int(np.searchsorted(entries[first_gram], entries[first_gram[a]] + _ENTRIES, side="right")) - 1)
+        g = slice(first_gram[a], first_gram[z])
+        entry = np.repeat(lo[g] - (entries[g] - entries[first_gram[a]]), many[g]) + np.arange(entries[first_gram[z]] - entries[first_gram[a]])
+        own, of = index.items[entry], np.repeat(span[g], many[g])
+        enough = held[of] >= params.similarity * index.total[own] - 1e-6
+        entry, own, of = entry[enough], own[enough], of[enough]
+        pair, back = np.unique(of * len(index.ids) + own, return_inverse=True)
+        window, candidate = pair // len(index.ids), pair % len(index.ids)
+        ok = near(prints[window], held[window], candidate, index, params.similarity)
+        share = np.bincount(back, index.weights[entry], minlength=len(pair)) / np.maximum(index.total[candidate], 1e-12)
+        ok &= share >= params.similarity - 1e-9
+        parts.append((window[ok], candidate[ok], share[ok]))
+        a = z
+    window, candidate, share = (np.concatenate(x) for x in zip(*parts, strict=True))
     rows, begin = spans[window, 0], spans[window, 1] - w.first[spans[window, 0]]
     order = np.lexsort((begin, -share, candidate, rows))
     rows, candidate, share, begin = rows[order], candidate[order], share[order], begin[order]

@@ -78,3 +78,27 @@ def test_pieces_guarantee_the_radius():
         window, item = leaks.within(prints, items, radius, blocks)
         exact = np.argwhere(np.bitwise_count(prints[:, None] ^ items[None]) <= radius)
         assert {*zip(window.tolist(), item.tolist(), strict=True)} == {*map(tuple, exact.tolist())}
+
+
+def repeated(n_items=240, seed=6):
+    """Items of which a third are copies of one, and texts that hold it with one word changed."""
+    rng = np.random.default_rng(seed)
+    text = lambda n: [f"w{k}" for k in rng.integers(0, 9000, n)]
+    base = text(45)
+    items = [(i, " ".join(base if i % 3 == 0 else text(45))) for i in range(n_items)]
+    documents = []
+    for d in range(40):
+        passage = [*base]
+        passage[d % 45] = "zzz"
+        documents.append((d, " ".join(text(3) + passage + text(2))))
+    return documents, items
+
+
+def test_changed_copies_of_a_repeated_item(llm_spark):
+    p = leaks.LeakParams()
+    documents, items = repeated()
+    rows = leaks.find_leaks(
+        llm_spark.createDataFrame(documents, "doc_id long, text string"), llm_spark.createDataFrame(items, "item_id int, text string"), params=p,
+    ).collect()
+    got, want = {(r.doc_id, r.item_id): r.similarity for r in rows}, brute(documents, items, p)
+    assert len(want) == 40 * 80 and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
