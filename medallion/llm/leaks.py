@@ -3,7 +3,7 @@
 Items and documents are cut into words of digits, letters and characters
 beyond ASCII (A-Z as a-z), so punctuation and case don't hide a passage, and
 words into shingles of five. A shingle weighs ``ln(1 + items / items with
-it)``, so wording that many items share counts little.
+it)``, counted over all items, so wording that many items share counts little.
 
 1. Windows as long as an item are set where one of its shingles stands in a
    document: one that begins with the shingle and one on its diagonal. Any
@@ -22,7 +22,8 @@ it)``, so wording that many items share counts little.
    stand in the window, over the weight of all its shingles.
 
 Items are the stated query set: they are taken in blocks of bounded size,
-each held against all documents.
+each held against all documents. A block gets the counts of its shingles over
+all blocks, so similarities don't depend on how the items are cut into blocks.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medallion.llm.common import drop_staged, staged
 from medallion.llm.words import Words, buffers, mix, slices, windows, words
 
 _TABLE_BITS = 20
@@ -88,18 +90,18 @@ class ItemIndex:
     table: np.ndarray
 
     @classmethod
-    def build(cls, ids: list, texts: list[str | None], params: LeakParams) -> ItemIndex:
+    def build(cls, ids: list, texts: list[str], n_items: int, holders: DataFrame, params: LeakParams) -> ItemIndex:
+        """``n_items``: of all blocks; ``holders``: see :func:`shingle_holders`."""
         data, at = buffers(pa.array(texts, pa.large_string()))
         w = text_words(data, at)
         item, start, gram = windows(w, params.shingle, whole_if_short=True)
         place = start - w.first[item]
         order = np.lexsort((place, item, gram))
         item, place, gram = item[order], place[order], gram[order]
-        kind = np.cumsum(np.concatenate([[True], gram[1:] != gram[:-1]])) - 1 if len(gram) else gram.astype(np.int64)
         new = np.ones(len(gram), bool)
         new[1:] = (item[1:] != item[:-1]) | (gram[1:] != gram[:-1])
-        holders = np.bincount(kind[new], minlength=1)
-        weight = np.log1p(len(ids) / holders[kind]) if len(gram) else np.zeros(0)
+        kinds, kind = np.unique(gram, return_inverse=True)
+        weight = np.log1p(n_items / holders_of(kinds, holders)[kind])
         once = np.where(new, weight, 0.0)
         total = np.bincount(item, once, minlength=len(ids))
         table = np.zeros(1 << _TABLE_BITS, bool)
@@ -228,19 +230,58 @@ def leaks(data: np.ndarray, at: np.ndarray, index: ItemIndex, params: LeakParams
     return rows[best], candidate[best], share[best], begin[best]
 
 
+def shingle_holders(items: DataFrame, params: LeakParams) -> DataFrame:
+    """gram (hash), holders: the shingles that two or more of all items hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, at in slices(batch.column(0)):
+                row, _, gram = windows(text_words(data, at), params.shingle, whole_if_short=True)
+                order = np.lexsort((gram, row))
+                row, gram = row[order], gram[order]
+                new = np.ones(len(gram), bool)
+                new[1:] = (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(gram[new].view(np.int64))], names=["gram"])
+
+    return items.select("text").mapInArrow(run, "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+
+
+def holders_of(grams: np.ndarray, holders: DataFrame) -> np.ndarray:
+    """The holders of each of a block's different shingles (sorted); only the
+    counts of these come to the driver."""
+    out = np.ones(len(grams), np.int64)
+    if not len(grams):
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.asarray(batch.column(0)).view(np.uint64)
+            yield batch.filter(pa.array(grams[np.minimum(np.searchsorted(grams, own), len(grams) - 1)] == own))
+
+    found = holders.mapInArrow(run, "gram long, holders long").toArrow()
+    out[np.searchsorted(grams, found.column("gram").to_numpy().view(np.uint64))] = found.column("holders").to_numpy()
+    return out
+
+
 def item_blocks(items: DataFrame, id_col: str, params: LeakParams) -> Iterator[ItemIndex]:
     """Indexes of consecutive items; a block closes when its text reaches
     ``item_block_bytes``. Items without an id or text are left out."""
+    given = items.where(F.col(id_col).isNotNull() & F.col("text").isNotNull()).select(id_col, "text")
+    n_items = given.count()
+    if not n_items:
+        return
+    holders = staged(shingle_holders(given, params), "leaks-holders")
     ids, texts, size = [], [], 0
-    for row in items.where(F.col(id_col).isNotNull() & F.col("text").isNotNull()).select(id_col, "text").orderBy(id_col, "text").toLocalIterator():
+    for row in given.orderBy(id_col, "text").toLocalIterator():
         ids.append(row[0])
         texts.append(row[1])
         size += len(row[1].encode())
         if size >= params.item_block_bytes:
-            yield ItemIndex.build(ids, texts, params)
+            yield ItemIndex.build(ids, texts, n_items, holders, params)
             ids, texts, size = [], [], 0
     if ids:
-        yield ItemIndex.build(ids, texts, params)
+        yield ItemIndex.build(ids, texts, n_items, holders, params)
+    drop_staged(holders)
 
 
 def find_leaks(documents: DataFrame, items: DataFrame, id_col: str = "item_id", params: LeakParams | None = None) -> DataFrame:

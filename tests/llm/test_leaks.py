@@ -102,3 +102,18 @@ def test_changed_copies_of_a_repeated_item(llm_spark):
     ).collect()
     got, want = {(r.doc_id, r.item_id): r.similarity for r in rows}, brute(documents, items, p)
     assert len(want) == 40 * 80 and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+
+
+def test_similarities_do_not_depend_on_the_blocks(llm_spark):
+    rng = np.random.default_rng(8)
+    text = lambda n: [f"w{k}" for k in rng.integers(0, 9000, n)]
+    intro = text(12)
+    items = [(i, " ".join((intro if i % 4 else []) + text(20))) for i in range(60)]
+    documents = [(i, " ".join(text(4) + t.split()[rng.integers(0, 6) :] + text(3))) for i, t in items]
+    docs, bench = llm_spark.createDataFrame(documents, "doc_id long, text string"), llm_spark.createDataFrame(items, "item_id long, text string")
+    want = brute(documents, items, leaks.LeakParams())
+    assert 20 < len(want) < 60 * 60
+    for size in (8 << 20, 2000, 1):
+        rows = leaks.find_leaks(docs, bench, params=leaks.LeakParams(item_block_bytes=size)).collect()
+        got = {(r.doc_id, r.item_id): r.similarity for r in rows}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
