@@ -1,12 +1,12 @@
 r"""Log-probabilities of texts from a weighted backoff automaton.
 
-The model is a bigram model over frequent words. A word is *frequent* when it
-occurs ``core_min`` times or more in the training texts; all other words are
-one class, whose words share its probability in proportion to their unigram
-probability. With counts c, N training tokens and V different ones:
+The model is a bigram model over the words of the training texts. Words that
+occur there less than ``core_min`` times are one class, whose words share its
+probability in proportion to their unigram probability; by default these are
+the words that no training text has. With counts c, N training tokens and V different ones:
 
     P(w)      = (c(w) + 0.5) / (N + 0.5 (V + 1))
-    P(k | h)  = (c(h k) + mu P(k)) / (c(h) + mu)      k: a frequent word or the class
+    P(k | h)  = (c(h k) + mu P(k)) / (c(h) + mu)      k: a word or the class
     P(w | h)  = P(k | h), times P(w) / P(class) for a word of the class
 
 As an automaton every context h is a state, every k seen after h an arc, and
@@ -49,7 +49,7 @@ class LmParams:
     of a block (one longer text is a block of its own). entries_per_bucket:
     words or pairs that the blocks send to a bucket, about."""
 
-    core_min: int = 100
+    core_min: int = 1
     mu: float = 50.0
     block_tokens: int = 4_000_000
     entries_per_bucket: int = 1_000_000
@@ -223,8 +223,8 @@ class BlockTexts:
         return cls(ids, np.asarray(one["held"].values), np.asarray(one["lengths"].values), tokens, gathered(totals, keys, bits), keys)
 
     def classes(self, core_min: int) -> tuple[np.ndarray, np.ndarray]:
-        """(class of every token, hash of every class): frequent words in the
-        order of their hashes, and the class of all others last."""
+        """(class of every token, hash of every class): words from ``core_min``
+        in the order of their hashes, and the class of all others last."""
         core = (self.totals >= core_min) | (self.keys == END)
         number = np.full(len(self.keys), core.sum())
         number[core] = np.arange(core.sum())
@@ -275,7 +275,7 @@ def send_pairs(blocks: DataFrame, totals: DataFrame, bits: int, pair_bits: int,
 
 def traverse(texts: BlockTexts, pair_totals: np.ndarray, place: np.ndarray, n: int, v: int, others: tuple[int, int], params: LmParams) -> dict[str, np.ndarray]:
     """Scores of the block's texts. ``others``: training occurrences and
-    different words of the class of infrequent words."""
+    different words of the class below ``core_min``."""
     norm = n + 0.5 * (v + 1)
     root_word = (texts.totals + 0.5) / norm
     core = (texts.totals >= params.core_min) | (texts.keys == END)
@@ -310,7 +310,7 @@ def score_texts(documents: DataFrame, params: LmParams | None = None) -> DataFra
     blocks = staged(token_blocks(documents, p), "lm-blocks")
     entries = blocks.agg(F.sum("n_keys"), F.sum("n_tokens")).first()
     bits = _bits(entries[0] or 0, p.entries_per_bucket)
-    pair_bits = _bits((entries[1] or 0) // 4, p.entries_per_bucket)
+    pair_bits = _bits((entries[1] or 0) // 2, p.entries_per_bucket)
     totals = staged(add_counts(send_words(blocks, bits), p.core_min), "lm-words")
     sums = totals.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "rare_n", "rare_v")]).first()
     n, v, others = sums["n"], sums["v"], (sums["rare_n"], sums["rare_v"])

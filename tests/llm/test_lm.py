@@ -55,3 +55,19 @@ def test_no_training_text_and_empty_table(llm_spark, no_documents):
     row = lm.score_texts(llm_spark.createDataFrame([(only_held, "a b")], "doc_id long, text string")).first()
     assert (row.n_known, row.train_tokens, row.base_score, row.score) == (0, 0, 0.0, 0.0)
     assert lm.score_texts(no_documents).count() == 0
+
+
+def test_the_registered_model_beats_the_base_and_a_model_of_frequent_words(llm_spark):
+    documents = llm_spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = lm.score_texts(documents).where("held_out").collect()
+    frequent = lm.score_texts(documents, lm.LmParams(core_min=100)).where("held_out").collect()
+    assert sum(r.score for r in rows) > max(sum(r.base_score for r in rows), sum(r.score for r in frequent))
+
+
+def test_a_pair_of_rare_words_counts(llm_spark):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 != 1]
+    rows = [(i, f"rare{i} pair{i} common words") for i in ids] + [(1000 + i, f"pair{i} rare{i} words common") for i in ids[:3]]
+    got = {r.doc_id: r for r in lm.score_texts(llm_spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    i = ids[0]
+    assert got[i].score - got[i].base_score > got[1000 + i].score - got[1000 + i].base_score
+    assert_same(llm_spark.createDataFrame(rows, "doc_id long, text string"), lm.LmParams())
