@@ -12,10 +12,10 @@ counts over all documents:
 * prefix filter: of a template with ``size`` words of which ``need`` must be
   present, one of the first ``size - need + 1`` is in every matching block,
   so only those words are joined;
-* length filter: blocks with fewer than ``need`` words are left out;
-* positional filter: a block whose rarest common word stands at place i of
-  the order can share at most ``size - i + 1`` words, which must reach
-  ``need``.
+* length filter: blocks with fewer than ``need`` words are left out.
+
+There is no positional filter of its own: that ``size - i + 1`` words from
+place i of the order reach ``need`` is what the prefix filter already asks.
 
 What is left is verified by the exact intersection. Phrases are templates
 that need all their words, verified as consecutive words.
