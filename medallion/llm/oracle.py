@@ -100,4 +100,101 @@ FROM w LEFT JOIN g USING (doc_id)
 """
 
 
-SQL: dict[str, str] = {"op1_license_scan": license_sql(), "op6_chat_format": CHAT, "op4_host_rules": HOST_RULES}
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), held AS (
+  SELECT lang, w FROM (SELECT lang, unnest(list_distinct(ws)) AS w FROM d) GROUP BY ALL HAVING count(*) >= 10
+), occ AS (
+  SELECT lang, source, w, count(*) AS n FROM (SELECT lang, source, unnest(ws) AS w FROM d) GROUP BY ALL
+), c AS (
+  SELECT g.lang, g.source, held.w, coalesce(n, 0) AS n
+  FROM g JOIN held USING (lang) LEFT JOIN occ ON occ.lang = g.lang AND occ.source = g.source AND occ.w = held.w
+), l AS (
+  SELECT lang, w, sum(n) AS n FROM c GROUP BY ALL
+), p AS (
+  SELECT lang, source, w, n, 1 + (1000000000 * (n + 2)::HUGEINT) // (sum(n) OVER s + 2 * count(*) OVER s)::HUGEINT AS p
+  FROM c WINDOW s AS (PARTITION BY lang, source)
+), q AS (
+  SELECT lang, w, 1 + (1000000000 * (n + 2)::HUGEINT) // (sum(n) OVER s + 2 * count(*) OVER s)::HUGEINT AS q
+  FROM l WINDOW s AS (PARTITION BY lang)
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(v, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS other, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS v
+    FROM p x JOIN p y ON x.lang = y.lang AND x.w = y.w AND x.source <> y.source GROUP BY ALL
+  ) t ON t.lang = a.lang AND t.source = a.source AND t.other = b.source
+), term AS (
+  SELECT p.lang, source, w AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p JOIN q USING (lang, w) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT lang, source, 'pair' AS part, item, value FROM pair UNION ALL SELECT lang, source, 'term', item, value FROM term)
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+FILTER_AUDIT = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS lo
+  FROM documents
+), fails AS (
+  SELECT doc_id, part,
+    (len(ws) < 50)::INT + 2 * (100 * len(list_distinct(ws)) < 65 * len(ws))::INT
+    + 4 * (100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > lo, false)::INT AS f
+  FROM d
+), lab AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id
+), n AS (
+  SELECT part, f, count(*) AS n, count_if(coalesce(good, false)) AS good, count_if(coalesce(toxic, false)) AS toxic
+  FROM fails LEFT JOIN lab USING (doc_id) GROUP BY ALL
+), orders(o, used) AS (
+  SELECT '', 0 UNION ALL
+  SELECT o || chr(65 + k), used + (1 << k) FROM orders, (SELECT unnest(range(0, 5))::INT AS k) WHERE used & (1 << k) = 0
+), steps AS (
+  SELECT o AS filter_order, s::INTEGER AS step, 1 << (ascii(o[s]) - 65) AS b,
+    list_sum([1 << (ascii(x) - 65) FOR x IN string_split(o[1:s - 1], '') IF x <> ''])::INT AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS s) WHERE length(o) = 5
+), counts AS (
+  SELECT part, filter_order, step, b,
+    sum(n) FILTER (f & (coalesce(before, 0) + b) = 0) AS kept,
+    sum(n) FILTER (f & coalesce(before, 0) = 0 AND f & b > 0) AS removed,
+    sum(n) FILTER (f & coalesce(before, 0) > 0 AND f & b > 0) AS redundant,
+    sum(n) FILTER (f = b) AS unique_fails,
+    sum(good) FILTER (f & coalesce(before, 0) = 0 AND f & b > 0) AS good_lost,
+    sum(toxic) FILTER (f & coalesce(before, 0) = 0 AND f & b > 0) AS toxic_lost
+  FROM n, steps GROUP BY ALL
+)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  sum(coalesce(removed, 0)) OVER (PARTITION BY part, b)::BIGINT AS shapley
+FROM counts
+"""
+
+SEARCH = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x, row_number() OVER () AS r
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.r, q.vec_id AS query_id, v.vec_id, list_dot_product(q.x, v.x)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.r <> v.r AND len(q.x) = len(v.x)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+SQL: dict[str, str] = {
+    "op1_license_scan": license_sql(), "op6_chat_format": CHAT, "op4_host_rules": HOST_RULES,
+    "op11_source_divergence": DIVERGENCE, "op12_filter_interaction": FILTER_AUDIT, "op13_voronoi_search": SEARCH,
+}

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from medallion.llm import chat, hostrules, jaccard, leaks, licenses, lm, mixing, oracle, quality, sharding, tokenfiles
+from medallion.llm import chat, divergence, filteraudit, hostrules, jaccard, leaks, licenses, lm, mixing, oracle, quality, sharding, tokenfiles, voronoi
 from medallion.llm.common import Query, table
 
 
@@ -54,6 +55,18 @@ def op10_simhash_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_voronoi_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_rendezvous_shards": op2_rendezvous_shards,
@@ -65,5 +78,8 @@ QUERIES: dict[str, Query] = {
     "op8_kernel_quality": op8_kernel_quality,
     "op9_backoff_lm": op9_backoff_lm,
     "op10_simhash_leaks": op10_simhash_leaks,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_filter_interaction": op12_filter_interaction,
+    "op13_voronoi_search": op13_voronoi_search,
 }
 ORACLES: dict[str, str] = {name: sql for name, sql in oracle.SQL.items() if name in QUERIES}

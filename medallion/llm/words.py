@@ -148,3 +148,11 @@ def windows(w: Words, size: int, whole_if_short: bool) -> tuple[np.ndarray, np.n
             order = np.argsort(row, kind="stable")
             row, start, h = row[order], start[order], h[order]
     return row, start, h
+
+
+def span_strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The byte spans [start, end) as an Arrow text array."""
+    at = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=at[1:])
+    taken = np.arange(at[-1]) + np.repeat(starts - at[:-1], ends - starts)
+    return pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(data[taken])])
