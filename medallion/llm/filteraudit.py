@@ -131,10 +131,11 @@ def judged_texts(documents: DataFrame, limits: FilterLimits) -> DataFrame:
 
 def with_copies(rows: DataFrame) -> DataFrame:
     """``rows`` with filter E in ``fails``. Only texts of several ids are
-    joined back, one row each, so a text of a third of all rows is a skewed
-    side that adaptive execution can split."""
-    smallest = rows.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    joined = rows.join(smallest.select("digest", "lo"), "digest", "left")
+    joined back, one row each from a table of their own, so a text of a third
+    of all rows is a skewed side that adaptive execution can split."""
+    ids = rows.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    smallest = staged(ids.where("lo < hi").select("digest", "lo"), "audit-repeated")
+    joined = rows.join(smallest, "digest", "left")
     copy = F.coalesce(F.col("doc_id") > F.col("lo"), F.lit(False))
     return joined.select("doc_id", "part", F.when(copy, F.col("fails") + (1 << FILTERS.index("E"))).otherwise(F.col("fails")).alias("fails"))
 
