@@ -94,11 +94,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Every round maps an edge list to one of at most the same length, so a hub
     node costs rows in proportion to its edges and never pairs of its
-    neighbours; the minimum per node is pre-aggregated before the shuffle.
-    Each round is written to the shared folder; it ends when no edge changes.
+    neighbours; the minimum per node is pre-aggregated before the shuffle and
+    written, so that the join with a hub's edges can be split. Each round is
+    written to the shared folder; it ends when no edge changes.
     """
     def minima(pairs: DataFrame) -> DataFrame:
-        return pairs.groupBy("u").agg(F.min("v").alias("m"))
+        return staged(pairs.groupBy("u").agg(F.min("v").alias("m")), "minima")
 
     def large_star(e: DataFrame) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b"), F.col("a")))

@@ -13,13 +13,18 @@ every link. Empty parts are equal too often: a band has ``slack`` parts more
 than needed, and a set with at most ``slack`` empty parts leaves them out.
 
 A part that many sets share doesn't become all their pairs. Sets equal as a
-whole are one node from the start. A task joins each part it meets again with
-the smallest node it has met there, and sends one row per part onwards, so a
-part reaches the shuffle once per task at most. Pairs of that star are
-verified on the texts. What the star may have missed lies between components
-that share a part but aren't linked; those components' sets are joined again,
-only across components, and verified in the same way. Then no unverified
-pair is left that could link two components.
+whole are one node from the start. Nodes that share a part are paired with its
+smallest node only, and these pairs are verified. A part of two nodes is done
+with that. Of a *crowded* part, one of three or more nodes, the nodes are kept
+as its members: what its star may have missed lies between members of
+different components, and only these are paired, less those of the part's
+largest component among themselves. Then no unverified pair is left that could
+link two components. A part that many texts of one batch share is reduced to
+its star before the shuffle, and its other members pass by the shuffle in
+even shares, so no task gets all of them.
+
+Candidates are verified in three steps: their 512-bit parity sketches, then
+finer sketches of four bits a shingle, then the sets themselves.
 """
 
 from __future__ import annotations
@@ -47,11 +52,13 @@ _BAND = np.uint64(0x9FB21C651E98DF25)
 class JaccardParams:
     """shingle: words of a shingle; a text with fewer words is one shingle.
     percent: linked when 100 * intersection >= percent * union.
-    shingles_per_bucket: documents' shingles per bucket of the part join."""
+    shingles_per_bucket: documents' shingles per bucket of the part join.
+    common_part: sets of a batch that share a part before its star is made there."""
 
     shingle: int = 5
     percent: int = 80
     shingles_per_bucket: int = 4_000_000
+    common_part: int = 32
     max_size: int = field(default=1 << 40, repr=False)
 
     def bound(self, total: int | np.ndarray) -> int | np.ndarray:
@@ -159,43 +166,59 @@ def part_keys(sets: ShingleSets, params: JaccardParams) -> tuple[np.ndarray, np.
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def star(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(different keys in order, smallest node of each, pairs of that node
-    and each other node of the key, once each)."""
+def members(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different (key, node) in order, as keys, nodes, the smallest node
+    of each one's key and how many nodes its key has."""
     order = np.lexsort((nodes, keys))
     keys, nodes = keys[order], nodes[order]
     new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
-    low = nodes[new]
-    least = low[np.cumsum(new) - 1] if len(keys) else nodes
-    other = least != nodes
-    pairs = np.unique(np.stack([least[other], nodes[other]], 1), axis=0)
-    return keys[new], low, pairs
+    new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+    keys, nodes = keys[new], nodes[new]
+    first = np.flatnonzero(np.concatenate([keys[:1] == keys[:1], keys[1:] != keys[:-1]]))
+    sizes = np.diff(np.append(first, len(keys)))
+    return keys, nodes, np.repeat(nodes[first], sizes), np.repeat(sizes, sizes)
+
+
+def fine_sketch(shingles: np.ndarray) -> bytes:
+    """Parity sketch of four or more bits a shingle, a power of two in length."""
+    bits = max(FOLD_BITS, 1 << int(4 * len(shingles) - 1).bit_length())
+    odd = (np.bincount((shingles >> np.uint64(16) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd).tobytes()
+
+
+def fine_distance(a: bytes, b: bytes) -> int:
+    """A lower bound of the symmetric difference of the two sketches' sets;
+    the longer sketch is folded to the length of the shorter."""
+    x, y = sorted((np.frombuffer(v, np.uint64) for v in (a, b)), key=len)
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
 
 
 def document_sets(documents: DataFrame, params: JaccardParams) -> DataFrame:
-    """doc_id, text_hash, n_shingles, node and the folded sketch s0..s7."""
+    """doc_id, text_hash, n_shingles, node, the folded sketch s0..s7 and the fine one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, at in slices(batch.column(2)):
                 sets = shingle_sets(data, at, params.shingle)
                 folded = sets.folded()
+                fine = [fine_sketch(sets.shingles[p:q]) for p, q in zip(sets.first[:-1], sets.first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(sets.sizes), pa.array(sets.nodes()),
-                     *[pa.array(np.ascontiguousarray(folded[:, k])) for k in range(FOLD_WORDS)]],
-                    names=["doc_id", "text_hash", "n_shingles", "node", *SKETCH],
+                     *[pa.array(np.ascontiguousarray(folded[:, k])) for k in range(FOLD_WORDS)], pa.array(fine, pa.binary())],
+                    names=["doc_id", "text_hash", "n_shingles", "node", *SKETCH, "fine"],
                 )
 
     rows = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"doc_id {kind}, text_hash long, n_shingles long, node long, " + ", ".join(f"{s} long" for s in SKETCH)
+        run, f"doc_id {kind}, text_hash long, n_shingles long, node long, " + ", ".join(f"{s} long" for s in SKETCH) + ", fine binary"
     )
 
 
-def star_pairs(documents: DataFrame, buckets: int, params: JaccardParams) -> DataFrame:
-    """(a, b) pairs of nodes that share a sketch part, through the part's smallest node."""
+def part_members(documents: DataFrame, buckets: int, params: JaccardParams) -> DataFrame:
+    """What nodes that share a sketch part need compared: rows (a, b) of a
+    part's smallest node and another one, and rows (key, a) of the members of
+    crowded parts. A pair may come more than once."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,28 +230,40 @@ def star_pairs(documents: DataFrame, buckets: int, params: JaccardParams) -> Dat
                 found[1].append(sets.nodes()[row])
             if not found[0]:
                 continue
-            keys, low, pairs = star(np.concatenate(found[0]), np.concatenate(found[1]))
+            keys, nodes, low, size = members(np.concatenate(found[0]), np.concatenate(found[1]))
+            common = size > params.common_part
+            away = common & (nodes != low)
+            loose = np.stack([keys[away].view(np.int64), nodes[away], low[away]], 1)
+            keys, nodes, common = keys[~away], nodes[~away], common[~away]
             of = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             cut = np.searchsorted(of, np.arange(buckets + 1))
-            local = np.array_split(pairs, buckets)
-            used = [k for k in range(buckets) if cut[k] < cut[k + 1] or len(local[k])]
+            shares = np.array_split(loose, buckets)
+            used = [k for k in range(buckets) if cut[k] < cut[k + 1] or len(shares[k])]
+            blobs = [
+                [x[cut[k] : cut[k + 1]].tobytes() for k in used] for x in (keys, nodes)
+            ] + [[keys[cut[k] : cut[k + 1]][common[cut[k] : cut[k + 1]]].tobytes() for k in used], [shares[k].tobytes() for k in used]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(used, pa.int32()),
-                 pa.array([keys[cut[k] : cut[k + 1]].tobytes() for k in used], pa.binary()),
-                 pa.array([low[cut[k] : cut[k + 1]].tobytes() for k in used], pa.binary()),
-                 pa.array([local[k].tobytes() for k in used], pa.binary())],
-                names=["bucket", "keys", "nodes", "pairs"],
+                [pa.array(used, pa.int32()), *[pa.array(b, pa.binary()) for b in blobs]], names=["bucket", "keys", "nodes", "common", "loose"]
             )
 
     def join(group: pa.Table) -> pa.Table:
-        keys = buffers(group.column("keys"))[0].view(np.uint64)
-        nodes = buffers(group.column("nodes"))[0].view(np.int64)
-        local = buffers(group.column("pairs"))[0].view(np.int64).reshape(-1, 2)
-        pairs = np.unique(np.concatenate([star(keys, nodes)[2], local]), axis=0)
-        return pa.table({"a": pa.array(np.ascontiguousarray(pairs[:, 0])), "b": pa.array(np.ascontiguousarray(pairs[:, 1]))})
-
-    packed = documents.select("text").mapInArrow(pack, "bucket int, keys binary, nodes binary, pairs binary")
-    return packed.groupBy("bucket").applyInArrow(join, "a long, b long").distinct()
+        column = {c: buffers(group.column(c))[0].view(np.int64) for c in ("keys", "nodes", "common", "loose")}
+        keys, nodes, low, size = members(column["keys"].view(np.uint64), column["nodes"])
+        loose = column["loose"].reshape(-1, 3)
+        crowded = (size > 2) | np.isin(keys, column["common"].view(np.uint64))
+        other = nodes != low
+        pairs = np.unique(np.concatenate([np.stack([low[other], nodes[other]], 1), loose[:, [2, 1]]]), axis=0)
+        a = np.concatenate([pairs[:, 0], nodes[crowded], loose[:, 1]])
+        key = np.concatenate([keys[crowded].view(np.int64), loose[:, 0]])
+        none = len(pairs) + len(key)
+        return pa.table({
+            "key": pa.array(np.concatenate([np.zeros(len(pairs), np.int64), key]), mask=np.arange(none) < len(pairs)),
+            "a": pa.array(a),
+            "b": pa.array(np.concatenate([pairs[:, 1], np.zeros(len(key), np.int64)]), mask=np.arange(none) >= len(pairs)),
+        })
+
+    packed = documents.select("text").mapInArrow(pack, "bucket int, keys binary, nodes binary, common binary, loose binary")
+    return packed.groupBy("bucket").applyInArrow(join, "key long, a long, b long")
 
 
 def _near(a: str, b: str, params: JaccardParams) -> Column:
@@ -238,59 +273,68 @@ def _near(a: str, b: str, params: JaccardParams) -> Column:
     return apart * (100 + params.percent) <= (100 - params.percent) * total
 
 
-def verified(pairs: DataFrame, texts: DataFrame, params: JaccardParams) -> DataFrame:
-    """The pairs (a, b) that are linked, by the exact Jaccard similarity of
-    their texts (node, text)."""
+def node_texts(known: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) of the wanted classes, from their smallest documents."""
+    reps = wanted.select("node", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    own = known.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash"), "text")
+    return own.join(reps, ["__id", "__hash"]).dropDuplicates(["__id", "__hash"]).select("node", "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            ok = np.zeros(batch.num_rows, bool)
-            for i, j, data, at in slices(left):
-                a = shingle_sets(data, at, params.shingle)
-                for p, q, data_b, at_b in slices(right.slice(i, j - i)):
-                    b = shingle_sets(data_b, at_b, params.shingle)
-                    for k in range(p, q):
-                        x = a.shingles[a.first[k] : a.first[k + 1]]
-                        y = b.shingles[b.first[k - p] : b.first[k - p + 1]]
-                        common = len(np.intersect1d(x, y, assume_unique=True))
-                        ok[i + k] = 100 * common >= params.percent * (len(x) + len(y) - common)
-            keep = pa.array(ok)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
-
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(run, "a long, b long")
-
-
-def shared_keys(suspects: DataFrame, texts: DataFrame, params: JaccardParams) -> DataFrame:
-    """(key, main, node, component) of the suspects' sketch parts that more
-    than one component has; ``main`` is one of the part's components with the
-    most sets. ``suspects`` has node and component."""
+
+def close_pairs(pairs: DataFrame, classes: DataFrame, params: JaccardParams) -> DataFrame:
+    """The pairs (a, b) that their fine sketches don't rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, at in slices(batch.column(2)):
-                row, key = part_keys(shingle_sets(data, at, params.shingle), params)
-                of = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i).take(of), batch.column(1).slice(i, j - i).take(of), pa.array(key.view(np.int64))],
-                    names=["node", "component", "key"],
-                )
+            total = batch.column(2).to_numpy()
+            apart = np.array([fine_distance(x, y) for x, y in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)], np.int64)
+            keep = pa.array(apart <= params.bound(total))
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in (0, 1)], names=["a", "b"])
+
+    ends = [classes.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("fine").alias(f"fine_{c}")) for c in "ab"]
+    both = pairs.select("a", "b").join(ends[0], "a").join(ends[1], "b")
+    return both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("total"), "fine_a", "fine_b").mapInArrow(run, "a long, b long")
 
-    wanted = texts.join(suspects.select("node", "component"), "node").select("node", "component", "text")
-    keyed = staged(wanted.mapInArrow(run, "node long, component long, key long"), "cross-keys")
-    kinds = keyed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = staged(kinds.where("low <> high").select("key"), "cross-mixed")
-    del kinds
-    release(texts.sparkSession)
-    members = staged(keyed.join(mixed, "key"), "cross-members")
-    drop_staged(keyed, mixed)
-    release(texts.sparkSession)
-    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-    return members.join(main, "key")
+
+def verified(pairs: DataFrame, texts: DataFrame, params: JaccardParams) -> DataFrame:
+    """The pairs (a, b) that are linked, by the exact Jaccard similarity of
+    their sets. Pairs are dealt into buckets by ``a`` and by a share of ``b``,
+    and a node is sent once to each bucket that has pairs of it, so a node of
+    many pairs is neither copied once a pair nor met in one task only."""
+    n = pairs.count()
+    width = max(12, -(-n // 2048))
+    bucket = F.pmod(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.lit(64))), F.lit(width)).cast("int")
+    dealt = pairs.select("a", "b", bucket.alias("bucket"))
+    wanted = dealt.select(F.col("bucket").alias("to"), F.col("a").alias("node")).union(dealt.select("bucket", "b")).distinct()
+    sent = wanted.join(texts.select("node", "text"), "node")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        sets: dict[int, np.ndarray] = {}
+        nodes = right.column("node").to_numpy()
+        for i, _, data, at in slices(right.column("text").combine_chunks()):
+            part = shingle_sets(data, at, params.shingle)
+            for k in range(len(at) - 1):
+                sets[int(nodes[i + k])] = part.shingles[part.first[k] : part.first[k + 1]]
+        a, b = left.column("a").to_numpy(), left.column("b").to_numpy()
+        ok = np.zeros(len(a), bool)
+        for k in range(len(a)):
+            x, y = sets[int(a[k])], sets[int(b[k])]
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            ok[k] = 100 * common >= params.percent * (len(x) + len(y) - common)
+        return pa.table({"a": pa.array(a[ok]), "b": pa.array(b[ok])})
+
+    return dealt.groupBy("bucket").cogroup(sent.groupBy("to")).applyInArrow(run, "a long, b long")
+
+
+def mixed_parts(crowded: DataFrame, parts: DataFrame) -> DataFrame:
+    """(key, main, node, component) of the members (key, node) of crowded
+    parts that more than one component has; ``main`` is one of the part's
+    components with the most members."""
+    labelled = staged(_labelled(crowded, parts), "part-members")
+    sizes = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("key").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("kinds")
+    ).where("kinds > 1").select("key", "main")
+    return labelled.join(staged(main, "part-mains"), "key")
 
 
 def cross_pairs(shared: DataFrame, sets: DataFrame, params: JaccardParams) -> DataFrame:
@@ -298,7 +342,7 @@ def cross_pairs(shared: DataFrame, sets: DataFrame, params: JaccardParams) -> Da
     ruled out by their sketches (``sets``: node, n_shingles, s0..s7). Members
     of a part's main component meet only members of others, so a large
     component isn't joined with itself."""
-    described = shared.join(sets, "node")
+    described = staged(shared.join(sets, "node"), "part-sketches")
     x, y = described.where("component <> main").alias("x"), described.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
@@ -317,9 +361,10 @@ def _labelled(nodes: DataFrame, parts: DataFrame) -> DataFrame:
 
 def _classes(filled: DataFrame) -> DataFrame:
     """One row per different set: its smallest document and its sketch."""
+    same = ["n_shingles", *SKETCH, "fine"]
     return filled.groupBy("node").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.first("n_shingles").alias("n_shingles"), *[F.first(s).alias(s) for s in SKETCH]
-    ).select("node", "rep.doc_id", "rep.text_hash", "n_shingles", *SKETCH)
+        F.min(F.struct("doc_id", "text_hash")).alias("rep"), *[F.first(s).alias(s) for s in same]
+    ).select("node", "rep.doc_id", "rep.text_hash", *same)
 
 
 def _described(pairs: DataFrame, classes: DataFrame, params: JaccardParams) -> DataFrame:
@@ -329,23 +374,10 @@ def _described(pairs: DataFrame, classes: DataFrame, params: JaccardParams) -> D
     return both.select("c.a", "c.b", _near("a", "b", params).alias("near"))
 
 
-def _texts(known: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, text) of the wanted classes, from their smallest documents."""
-    reps = wanted.select("node", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    own = known.select("doc_id", F.xxhash64("text").alias("__own"), "text")
-    found = own.join(reps, (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__hash")))
-    return found.select("node", "text").dropDuplicates(["node"])
-
-
-def _suspects(pairs: DataFrame, met: DataFrame, parts: DataFrame) -> DataFrame:
-    """node and component of all members of components between which a
-    candidate pair was found and is no link: only their sets can have links
-    that the stars missed."""
-    ends = pairs.select(F.col("a").alias("node"), F.col("b").alias("other"))
-    left = _labelled(ends, parts).select(F.col("other").alias("node"), F.col("component").alias("ca"))
-    torn = _labelled(left, parts).where("ca <> component")
-    torn = torn.select(F.col("ca").alias("__torn")).union(torn.select("component")).distinct()
-    return _labelled(met, parts).join(torn, F.col("component") == F.col("__torn"), "left_semi")
+def _ends(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The classes that stand in some pair (a, b)."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    return classes.select("node", "doc_id", "text_hash").join(nodes, "node", "left_semi")
 
 
 def near_duplicates(documents: DataFrame, params: JaccardParams | None = None) -> DataFrame:
@@ -364,23 +396,27 @@ def near_duplicates(documents: DataFrame, params: JaccardParams | None = None) -
     filled = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = staged(_classes(filled), "shingle-classes")
     known = documents.where(F.col("doc_id").isNotNull())
-    pairs = staged(_described(star_pairs(known, int(buckets), p), classes, p), "shingle-pairs")
+    found = staged(part_members(known, int(buckets), p), "shingle-found")
     release(spark)
-    met = staged(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "shingle-met")
-    texts = staged(_texts(known, classes.join(met, "node")), "shingle-texts")
+    pairs = staged(_described(found.where("key IS NULL").select("a", "b").distinct(), classes, p), "shingle-pairs")
+    crowded = found.where("key IS NOT NULL").select("key", F.col("a").alias("node")).distinct()
+    close = staged(close_pairs(pairs.where("near"), classes, p), "shingle-close")
+    texts = staged(node_texts(known, _ends(close, classes)), "shingle-texts")
     release(spark)
-    links = staged(verified(pairs.where("near").select("a", "b"), texts, p), "shingle-links")
+    links = staged(verified(close, texts, p), "shingle-links")
     parts = staged(components(links), "shingle-parts")
     release(spark)
-    suspects = staged(_suspects(pairs, met, parts), "shingle-suspects")
-    shared = staged(shared_keys(suspects, texts, p), "shingle-shared")
-    release(spark)
     sketches = classes.select("node", "n_shingles", *SKETCH)
-    crossing = cross_pairs(shared, sketches, p).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    more = staged(verified(crossing, texts, p), "shingle-cross")
-    if not more.isEmpty():
+    crossing = cross_pairs(mixed_parts(crowded, parts), sketches, p).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    across = staged(close_pairs(crossing, classes, p), "shingle-across")
+    release(spark)
+    drop_staged(found, pairs, texts, close)
+    if not across.isEmpty():
+        texts = staged(node_texts(known, _ends(across, classes)), "shingle-texts")
+        more = staged(verified(across, texts, p), "shingle-more")
         parts = staged(components(links.union(more)), "shingle-parts")
-    drop_staged(pairs, met, texts, links, suspects, shared, more)
+        drop_staged(texts, more)
+    drop_staged(across, links)
     release(spark)
 
     ids = _labelled(classes.select("node", "doc_id"), parts)
@@ -395,13 +431,13 @@ def near_duplicates(documents: DataFrame, params: JaccardParams | None = None) -
 
 def keep_one(documents: DataFrame, params: JaccardParams | None = None) -> DataFrame:
     """The rows of ``documents`` with one document of each group left: the one
-    with the smallest doc_id. Rows without words or doc_id stay; of repeated
-    rows one stays. All columns are as they are."""
-    found = near_duplicates(documents, params)
-
-    def keyed(rows: DataFrame, text_hash: Column) -> DataFrame:
-        return rows.withColumn("__id", F.coalesce(F.col("doc_id").cast("string"), F.lit("\0"))).withColumn("__own", text_hash)
-
-    stay = keyed(found.where("doc_id <=> component_id"), F.col("text_hash")).select("__id", "__own").distinct()
-    kept = keyed(documents, F.xxhash64("text")).join(stay, ["__id", "__own"], "left_semi")
-    return kept.dropDuplicates(["__id", "__own"]).select(*[F.col(f"`{c}`") for c in documents.columns])
+    with the smallest doc_id. Rows without words (null and empty texts) or
+    without doc_id stay; of repeated rows one stays. All columns are as they
+    are, whatever their names. An empty table stays empty."""
+    row = F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in documents.columns])
+    carried = documents.select(
+        row.alias("row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("\0")).alias("id"), F.xxhash64("text").alias("own")
+    )
+    found = near_duplicates(documents, params).where("doc_id <=> component_id")
+    stay = found.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("\0")).alias("id"), F.col("text_hash").alias("own")).distinct()
+    return carried.join(stay, ["id", "own"], "left_semi").dropDuplicates(["id", "own"]).select("row.*")

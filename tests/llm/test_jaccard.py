@@ -54,6 +54,33 @@ def test_components_equal_comparing_all_pairs(llm_spark, shingle, percent):
     assert found(llm_spark.createDataFrame(rows, "doc_id long, text string").repartition(4), params) == brute(rows, params)
 
 
+def test_a_passage_and_copies_that_a_third_of_all_rows_share(llm_spark):
+    """Common parts are reduced to stars in each batch; nothing is lost between their members."""
+    rng = np.random.default_rng(11)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join(passage[: 25 + i % 16] + [f"w{x}" for x in rng.integers(0, 60, 6 + i % 5)])) for i in range(150)]
+    rows += [(1000 + i, text) for i, text in planted(3, 150)]
+    params = jaccard.JaccardParams(shingle=2, percent=80, shingles_per_bucket=500, common_part=2)
+    assert found(llm_spark.createDataFrame(rows, "doc_id long, text string").repartition(3), params) == brute(rows, params)
+
+
+def test_fine_sketches_bound_the_difference_at_any_length():
+    rng = np.random.default_rng(7)
+    for n, m in ((3, 4), (100, 130), (500, 2000), (3000, 2500)):
+        pool = rng.integers(0, 2**64, max(n, m) + 300, dtype=np.uint64)
+        a, b = np.unique(rng.choice(pool, n, False)), np.unique(rng.choice(pool, m, False))
+        apart = len(np.setxor1d(a, b))
+        assert jaccard.fine_distance(jaccard.fine_sketch(a), jaccard.fine_sketch(b)) <= apart
+        assert jaccard.fine_distance(jaccard.fine_sketch(a), jaccard.fine_sketch(a)) == 0
+
+
+def test_keep_one_leaves_columns_of_any_name_alone(llm_spark):
+    rows = [(1, "a b c d", "x", "y", "z", "v"), (2, "a b c d", "p", "q", "r", "s"), (3, "other words here", "1", "2", "3", "4")]
+    docs = llm_spark.createDataFrame(rows, "doc_id long, text string, __id string, __own string, `row` string, `a.b` string")
+    kept = jaccard.keep_one(docs, jaccard.JaccardParams(shingle=2, percent=80))
+    assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
+
+
 def test_a_chain_of_links_through_a_rejected_neighbour(llm_spark):
     """Members of a shared part that fail against its smallest node are still compared with each other."""
     base = [f"t{i}" for i in range(200)]
