@@ -27,7 +27,7 @@ pe AS (
          epoch_us(ts) // 1000 AS source_ts_ms,
          event_id * 4 + copy * 2 AS "offset",
          CAST(floor(value / 50) AS BIGINT) * 5000 + copy * 100 + 850 AS cents,
-         op <> 'd' AND event_id % 61 = 0 AS bad, ts
+         op <> 'd' AND event_id % 61 = 0 OR event_id % 71 = 0 OR event_id % 73 = 0 OR event_id % 79 = 0 AS bad, ts
   FROM (SELECT *, CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op
         FROM events WHERE event_type <> 'purchase'), (SELECT unnest([0, 1]) AS copy)
   WHERE copy = 0 OR (op = 'u' AND event_id % 7 = 0)
@@ -70,7 +70,7 @@ orders AS (
          event_id * 4 + step AS "offset",
          make_timestamp((ms + step * 60000) * 1000) AS load_dts,
          'shop.orders' AS record_source
-  FROM order_steps WHERE NOT (step = 1 AND event_id % 66 = 0)
+  FROM order_steps WHERE NOT (step = 1 AND event_id % 66 = 0 OR event_id % 71 = 0 OR event_id % 73 = 0 OR event_id % 79 = 0)
 ),
 product_keys AS (
   SELECT hk_product, product_id, lsn, source_ts_ms, "offset", load_dts, record_source FROM products
@@ -160,7 +160,7 @@ product_json AS (
   FROM hexed
 ),
 bodies AS (
-  SELECT 'products' AS source_table, user_id AS key_id, 'product_id' AS key_name, op, lsn, event_id // 2 AS tx_id, source_ts_ms, "offset",
+  SELECT 'products' AS source_table, event_id, user_id AS key_id, 'product_id' AS key_name, op, lsn, event_id // 2 AS tx_id, source_ts_ms, "offset",
     CASE WHEN op = 'd' THEN '"before":{"product_id":' || pid || '}'
          ELSE '"after":{"product_id":' || pid || ',"name":"product ' || user_id || '","category":"'
            || (['Garden', 'Office', 'Workshop'])[CAST(user_id % 3 AS INTEGER) + 1] || '","unit_price":"' || price
@@ -168,7 +168,7 @@ bodies AS (
            || ',"updated_at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z"}' END AS body
   FROM product_json
   UNION ALL
-  SELECT 'orders', event_id, 'order_id', op, (event_id + 1) * 10 + step, event_id // 2, ms + step * 60000, event_id * 4 + step,
+  SELECT 'orders', event_id, event_id, 'order_id', op, (event_id + 1) * 10 + step, event_id // 2, ms + step * 60000, event_id * 4 + step,
     CASE WHEN op = 'd' THEN '"before":{"order_id":' || event_id || '}'
          ELSE '"after":{"order_id":' || event_id || ',"customer_name":"Customer ' || user_id % 40 || '","product_id":' || user_id
            || ',"quantity":' || CASE WHEN step = 1 AND event_id % 66 = 0 THEN '"many"' ELSE (event_id % 5 + 1)::VARCHAR END
@@ -176,13 +176,22 @@ bodies AS (
   FROM order_steps
 ),
 live AS (
-  SELECT *, '{' || body || ',"source":{"lsn":' || lsn || ',"txId":' || tx_id || ',"ts_ms":' || source_ts_ms || '},"op":"' || op
-    || '","ts_ms":' || source_ts_ms || '}' AS payload, source_ts_ms AS ms FROM bodies
+  SELECT *, '{"payload":' || payload || '}' AS whole, event_id % 71 = 0 AS cut FROM (
+    SELECT *, event_id % 73 = 0 AS no_lsn, event_id % 79 = 0 AS no_time,
+      '{' || body || ',"source":{"lsn":' || CASE WHEN event_id % 73 = 0 THEN '"x9"' ELSE lsn::VARCHAR END || ',"txId":' || tx_id
+      || ',"ts_ms":' || CASE WHEN event_id % 79 = 0 THEN '"zz"' ELSE source_ts_ms::VARCHAR END || '},"op":"' || op
+      || '","ts_ms":' || source_ts_ms || '}' AS payload, source_ts_ms AS ms FROM bodies)
+),
+lifted AS (
+  SELECT source_table, key_name, key_id, body, "offset", ms, cut, no_lsn, no_time, CASE WHEN cut THEN whole[1:40] ELSE whole END AS event,
+    CASE WHEN NOT cut THEN payload END AS payload, CASE WHEN NOT cut THEN op END AS op, CASE WHEN NOT cut THEN tx_id END AS tx_id,
+    CASE WHEN NOT cut AND NOT no_lsn THEN lsn END AS lsn, CASE WHEN NOT cut AND NOT no_time THEN source_ts_ms END AS source_ts_ms
+  FROM live
 ),
 messages AS (
   SELECT source_table, 'shop.public.' || source_table AS topic, '{"payload":{"' || key_name || '":' || key_id || '}}' AS kafka_key,
-    op, lsn, tx_id, source_ts_ms, "offset", ms, sha256('{"payload":' || payload || '}') AS event, sha256(payload) AS payload
-  FROM live
+    op, lsn, tx_id, source_ts_ms, "offset", ms, sha256(event) AS event, sha256(payload) AS payload
+  FROM lifted
   UNION ALL
   SELECT source_table, 'shop.public.' || source_table, '{"payload":{"' || key_name || '":' || key_id || '}}',
     NULL, NULL, NULL, NULL, "offset" + 1, ms, NULL, NULL
@@ -203,10 +212,14 @@ ORDER_CHANGE_COLS = (
 def shop_oracles() -> dict[str, str]:
     return {
         "change_rejects": shop(
-            """SELECT 'shop.' || source_table AS record_source, op, lsn, source_ts_ms, "offset", sha256(payload) AS payload,
-                 CASE source_table WHEN 'products' THEN 'unit_price: not a valid decimal(10,2)' ELSE 'quantity: not a valid int' END
-                   AS reject_reasons
-               FROM live WHERE body LIKE '%"!bad!"%' OR body LIKE '%"quantity":"many"%'""",
+            """SELECT * FROM (
+                 SELECT 'shop.' || source_table AS record_source, op, lsn, source_ts_ms, "offset", sha256(coalesce(payload, event)) AS payload,
+                   CASE WHEN cut THEN 'event: not a change envelope' ELSE concat_ws('; ',
+                     CASE WHEN body LIKE '%"!bad!"%' THEN 'unit_price: not a valid decimal(10,2)' END,
+                     CASE WHEN body LIKE '%"quantity":"many"%' THEN 'quantity: not a valid int' END,
+                     CASE WHEN no_lsn THEN 'lsn: not a valid bigint' END, CASE WHEN no_time THEN 'ts_ms: not a valid bigint' END) END
+                     AS reject_reasons
+                 FROM lifted) WHERE reject_reasons <> ''""",
             MESSAGES,
         ),
         "changes_products": shop(f"SELECT {PRODUCT_CHANGE_COLS} FROM products"),
@@ -390,6 +403,18 @@ FROM text_rows
 """
 
 
+_LINE = "date, admin1, admin2, market, market_id, latitude, longitude, category, commodity, commodity_id, unit, priceflag, pricetype, currency, price, usdprice"
+
+LANDING_REJECTS = f"""
+SELECT 'short' AS file, concat_ws(',', date, admin1, admin2, market, market_id) AS line, 'row: not 16 fields' AS reject_reasons
+FROM text_rows WHERE CAST(trim(commodity_id) AS INTEGER) % 31 = 0
+UNION ALL SELECT 'long', concat_ws(',', {_LINE}, 'more'), 'row: not 16 fields'
+FROM text_rows WHERE CAST(trim(commodity_id) AS INTEGER) % 37 = 0 AND trim(priceflag) <> 'actual,aggregate'
+UNION ALL SELECT 'renamed', concat_ws(',', {_LINE}), 'header: lacks usdprice'
+FROM text_rows WHERE CAST(trim(commodity_id) AS INTEGER) % 41 = 0 AND trim(priceflag) <> 'actual,aggregate'
+"""
+
+
 def prices(select: str) -> str:
     return f"WITH {PRICE_CTES}\n{select}"
 
@@ -397,6 +422,7 @@ def prices(select: str) -> str:
 def price_oracles() -> dict[str, str]:
     return {
         "bronze_prices": prices(BRONZE_SELECT),
+        "landing_rejects": prices(LANDING_REJECTS),
         "bronze_profile": prices(
             f"""SELECT source, CAST(count(*) AS BIGINT) AS rows,
                        CAST(count(*) FILTER (WHERE price_date IS NULL) AS BIGINT) AS unparseable_dates,
@@ -406,6 +432,10 @@ def price_oracles() -> dict[str, str]:
         "load_span": prices(f"SELECT source, CAST(count(*) AS BIGINT) AS rows, true AS in_order FROM ({BRONZE_SELECT}) GROUP BY source"),
         "silver_prices": prices(SILVER_SELECT),
         "published_silver": prices(f"SELECT *, CAST(year(price_date) AS INTEGER) AS price_date_year FROM ({SILVER_SELECT})"),
+        "price_window": prices(
+            """SELECT price_date, pricetype, CAST(count(*) AS BIGINT) AS rows, max(price) AS highest FROM silver
+               WHERE price_date BETWEEN DATE '1995-11-20' AND DATE '1996-02-10' GROUP BY ALL"""
+        ),
         "price_rejects": prices(
             """SELECT price_date, province, district, market, market_id, latitude, longitude, category,
                       commodity, commodity_id, unit, priceflag, pricetype, currency, price, usd_price, source,

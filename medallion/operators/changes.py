@@ -6,8 +6,10 @@ was sent quoted reads like one that was not. Business keys come from the
 ``after`` image, or for deletes from ``before``; attributes come from
 ``after`` only, so a delete carries nulls.
 
-A value that is present but does not decode makes its row a reject with a
-reason, as in the price contract; it never turns into a null in passing.
+A row is one of three: a tombstone (no event), a damaged event (an event
+without an ``op``, such as a cut envelope), or a live one. Damaged events are
+rejects, and so are live ones with a value that is present but does not
+decode, positions in the log included; it never turns into a null in passing.
 """
 
 from __future__ import annotations
@@ -23,6 +25,9 @@ from medallion.functions.keys import business_key
 
 DELETE_OP = "d"
 REASONS = "reject_reasons"
+DAMAGED = "event: not a change envelope"
+#: log columns, the name of their field in the envelope's source, and their type
+POSITIONS = {"lsn": "lsn", "source_ts_ms": "ts_ms"}
 _EPOCH = "1970-01-01 00:00:00"
 
 
@@ -73,7 +78,8 @@ class ChangeSpec:
 
     def payload_schema(self) -> T.StructType:
         image = T.StructType([T.StructField(f.name, T.StringType()) for f in self.fields])
-        return T.StructType([T.StructField("before", image), T.StructField("after", image)])
+        source = T.StructType([T.StructField(name, T.StringType()) for name in POSITIONS.values()])
+        return T.StructType([T.StructField("before", image), T.StructField("after", image), T.StructField("source", source)])
 
     @property
     def key_fields(self) -> list[str]:
@@ -81,13 +87,13 @@ class ChangeSpec:
 
 
 def classified(bronze: DataFrame, spec: ChangeSpec) -> DataFrame:
-    """Live events (op not null; the filter reaches the scan) with ``raw``
-    and ``value``, the texts and decoded values of the keys and attributes,
-    beside the log's own columns that decoding needs."""
+    """Events with ``raw`` and ``value``, the texts and decoded values of the
+    keys and attributes, and ``at``, the texts of the positions, beside the
+    log's own columns that decoding needs."""
     by_name = {f.name: f for f in spec.fields}
-    parsed = bronze.where(F.col("op").isNotNull()).select(
-        "op", "lsn", "source_ts_ms", "offset", "payload", F.from_json("payload", spec.payload_schema()).alias("image")
-    )
+    parsed = bronze.select(
+        "op", *POSITIONS, "offset", "payload", F.from_json("payload", spec.payload_schema()).alias("image")
+    ).withColumn("at", F.col("image.source"))
     texts = {n: F.col(f"image.after.{n}") for n in spec.attributes}
     texts |= {n: F.coalesce(F.col(f"image.after.{n}"), F.col(f"image.before.{n}")) for n in spec.key_fields}
     raw = parsed.withColumn("raw", F.struct(*[c.alias(n) for n, c in texts.items()])).drop("image")
@@ -103,13 +109,17 @@ def _checked(spec: ChangeSpec) -> list[Field]:
     return [f for f in spec.fields if f.name in names and (f.kind != "plain" or f.dtype != "string")]
 
 
+def _lost_position(column: str) -> Column:
+    return F.col(f"at.{POSITIONS[column]}").isNotNull() & F.col(column).isNull()
+
+
 def decode_changes(bronze: DataFrame, spec: ChangeSpec) -> DataFrame:
-    """Typed change rows: hash keys, business keys, attributes, delete flag,
+    """Typed change rows of the live events (their filter reaches the scan): hash keys, business keys, attributes, delete flag,
     source ordering columns, ``load_dts`` and ``record_source``. Rows that
     :func:`change_rejects` lists are not among them."""
-    whole = classified(bronze, spec)
-    for f in _checked(spec):
-        whole = whole.where(~_lost(f.name))
+    whole = classified(bronze.where(F.col("op").isNotNull()), spec)
+    for against in [*[_lost(f.name) for f in _checked(spec)], *[_lost_position(c) for c in POSITIONS]]:
+        whole = whole.where(~against)
     keys = [business_key(F.col(f"value.{name}")).alias(hk) for hk, name in spec.keys.items()]
     return whole.select(
         *keys,
@@ -122,11 +132,15 @@ def decode_changes(bronze: DataFrame, spec: ChangeSpec) -> DataFrame:
 
 
 def change_rejects(bronze: DataFrame, spec: ChangeSpec) -> DataFrame:
-    """Events with a value that is present and does not decode: the log
-    position, the payload as it came and the reasons in field order."""
-    reasons = [F.when(_lost(f.name), F.lit(f"{f.name}: not a valid {f.wanted}")) for f in _checked(spec)]
+    """Damaged events, and events with a value that is present and does not
+    decode: the log position, the payload as it came (of a damaged event, the
+    whole of it) and the reasons, those of fields first."""
+    reasons = [F.when(F.col("op").isNull(), F.lit(DAMAGED))]
+    reasons += [F.when(_lost(f.name), F.lit(f"{f.name}: not a valid {f.wanted}")) for f in _checked(spec)]
+    reasons += [F.when(_lost_position(c), F.lit(f"{name}: not a valid bigint")) for c, name in POSITIONS.items()]
+    events = bronze.where(F.col("event").isNotNull()).withColumn("payload", F.coalesce("payload", "event"))
     return (
-        classified(bronze, spec)
+        classified(events, spec)
         .select(
             F.lit(spec.record_source).alias("record_source"), "op", "lsn", "source_ts_ms", "offset", "payload",
             F.concat_ws("; ", *reasons).alias(REASONS),

@@ -73,11 +73,15 @@ def unmapped_values(df: DataFrame, column: str, vocabulary: Sequence[str]) -> Da
     return df.where(~F.col(column).isin(list(vocabulary))).select(column).distinct()
 
 
-def require_vocabulary(df: DataFrame, column: str, vocabulary: Sequence[str]) -> None:
-    """Abort with all values of ``column`` outside the vocabulary, sorted."""
-    bad = [r[0] for r in unmapped_values(df, column, vocabulary).orderBy(column).collect()]
+def require_vocabulary(df: DataFrame, column: str, vocabulary: Sequence[str], named: int = 1000) -> None:
+    """Abort with the values of ``column`` outside the vocabulary, sorted: the
+    first ``named`` of them, and how many more there are. A column that is
+    broken in every row brings no more than that to the driver."""
+    unknown = unmapped_values(df, column, vocabulary)
+    bad = [r[0] for r in unknown.orderBy(column).limit(named + 1).collect()]
     if bad:
-        raise UnmappedValuesError(f"unmapped {column} values found in source: {', '.join(bad)}")
+        more = f" and {unknown.count() - named} more" if len(bad) > named else ""
+        raise UnmappedValuesError(f"unmapped {column} values found in source: {', '.join(bad[:named])}{more}")
 
 
 def lookup(column: str, mapping: Mapping[str, object]) -> Column:

@@ -28,13 +28,23 @@ SEGMENT = "_seg"
 
 def stage_ordered(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` with its segment and read it back. Rows with equal keys
-    and order are dealt by their other columns."""
+    and order are dealt by their other columns.
+
+    The rows are written once as they come, and the bounds of the segments
+    are sampled from what is written: whatever ``df`` does (decoding, joins)
+    is done once.
+    """
+    spark = df.sparkSession
+    plain, path = (work_path(spark, f"{kind}-{name}", folder) for kind in ("plain", "ordered"))
+    df.write.parquet(plain)
+    rows = spark.read.schema(df.schema).parquet(plain)
     ties = [c for c in df.columns if c not in {*by, *order}]
-    dealt = df.withColumn("_tie", F.xxhash64(*ties)) if ties else df.withColumn("_tie", F.lit(0))
+    dealt = rows.withColumn("_tie", F.xxhash64(*ties)) if ties else rows.withColumn("_tie", F.lit(0))
     ranged = dealt.repartitionByRange(*[F.col(c).asc_nulls_first() for c in [*by, *order, "_tie"]]).drop("_tie")
-    path = work_path(df.sparkSession, f"ordered-{name}", folder)
-    ranged.withColumn(SEGMENT, F.spark_partition_id()).write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    staged = ranged.withColumn(SEGMENT, F.spark_partition_id())
+    staged.write.parquet(path)
+    remove(spark, plain)
+    return spark.read.schema(staged.schema).parquet(path)
 
 
 def drop_staged(*tables: DataFrame) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,14 +12,15 @@ from medallion.operators.profiles import group_count, load_span, span
 from medallion.plans import prices as P
 from medallion.plans.jobs import silver_price_job
 from medallion.session import work_path
-from medallion.sources.delimited import read_delimited, write_delimited
-from medallion.sources.tables import read_table
-from medallion.sources.testdata import PRICE_COLUMNS, price_rows
+from medallion.sources.delimited import FILE, LINE, landed, read_delimited, rejected, write_delimited
+from medallion.sources.tables import read_table, within_dates
+from medallion.sources.testdata import PRICE_COLUMNS, broken_lines, price_rows
 
 # The lookup the Silver layer was built to answer.
 LOOKUP_COMMODITY = 96
 LOOKUP_PRICETYPE = "Retail"
 LOOKUP_LIMIT = 5
+WINDOW = (dt.date(1995, 11, 20), dt.date(1996, 2, 10))
 # A vocabulary missing two units, so the gate has values to report.
 PARTIAL_UNITS = [u for u in P.UNIT_MAP if u not in ("730 ML", "140 ML")]
 
@@ -25,9 +28,16 @@ COMPARED_SILVER = [c for c in P.SILVER_COLUMNS if c not in ("ingested_at", "proc
 
 
 def landed_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Write the price rows as a header CSV in the shared work folder."""
+    """Write the price rows as header CSVs in the shared work folder: some
+    files with the columns in another order and one more, and files of broken
+    rows or of a header that lacks a column."""
     path = work_path(spark, "prices-csv")
-    write_delimited(price_rows(spark, sf_dir), path)
+    rows = price_rows(spark, sf_dir)
+    even = F.trim("market_id").cast("int") % 2 == 0
+    write_delimited(rows.where(even), f"{path}/usual")
+    write_delimited(rows.where(~even).select(F.lit("x").alias("note"), *reversed(PRICE_COLUMNS)), f"{path}/reversed")
+    for name, (header, lines) in broken_lines(rows).items():
+        write_delimited(lines.select(F.col(LINE).alias(header)), f"{path}/{name}", sep="\u0001")
     return path
 
 
@@ -40,6 +50,12 @@ def bronze_prices_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.bronze_prices(raw).drop("ingested_at")
 
 
+def landing_rejects_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the landing could not bind, by the folder of its file."""
+    lost = rejected(landed(spark, landed_csv(spark, sf_dir), PRICE_COLUMNS))
+    return lost.withColumn(FILE, F.regexp_extract(FILE, "([^/]+)/[^/]+$", 1))
+
+
 def bronze_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = P.bronze_prices(price_rows(spark, sf_dir))
     return bronze.groupBy("source").agg(
@@ -62,6 +78,14 @@ def published_silver_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, root, "silver.food_prices").select(*COMPARED_SILVER, "price_date_year")
 
 
+def price_window_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of a span of dates per currency and type, from the published table."""
+    root = work_path(spark, "lake")
+    silver_price_job(spark, bronze_text(spark, sf_dir), root)
+    rows = within_dates(read_table(spark, root, "silver.food_prices"), "price_date", *WINDOW)
+    return rows.groupBy("price_date", "pricetype").agg(F.count(F.lit(1)).alias("rows"), F.max("price").alias("highest"))
+
+
 def silver_prices_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.silver_prices(bronze_text(spark, sf_dir)).select(*COMPARED_SILVER)
 

@@ -23,13 +23,18 @@ from medallion.plans import prices as P
 from medallion.plans import vault as V
 from medallion.plans.order_value import order_value_published
 from medallion.session import remove, work_path
-from medallion.sources.delimited import read_delimited
-from medallion.sources.tables import commit, publish, read_table, with_year, write_version
+from medallion.sources.delimited import accepted, landed, rejected
+from medallion.sources.tables import commit, read_table, with_year, write_version
 from medallion.sources.testdata import PRICE_COLUMNS
 
 
-def bronze_price_job(spark: SparkSession, csv_path: str, root: str, table: str = "bronze.food_prices") -> dict:
-    bronze = P.bronze_prices(read_delimited(spark, csv_path, PRICE_COLUMNS))
+def bronze_price_job(
+    spark: SparkSession, csv_path: str, root: str, table: str = "bronze.food_prices", rejects_table: str = "bronze.food_prices_rejects",
+) -> dict:
+    """Land price files. Rows that their file's header can't bind are a table
+    of their own, committed together with the prices."""
+    rows = landed(spark, csv_path, PRICE_COLUMNS)
+    bronze = P.bronze_prices(accepted(rows, PRICE_COLUMNS))
     obs = Observation("bronze_prices")
     bronze = bronze.observe(
         obs,
@@ -40,8 +45,10 @@ def bronze_price_job(spark: SparkSession, csv_path: str, root: str, table: str =
         F.min("ingested_at").alias("first_load"),
         F.max("ingested_at").alias("last_load"),
     )
-    out = publish(bronze, table, root, schema=P.BRONZE_SCHEMA)
-    return {**out, **obs.get, "preview": preview(read_table(spark, root, table))}
+    out = write_version(bronze, table, root, schema=P.BRONZE_SCHEMA)
+    lost = write_version(rejected(rows), rejects_table, root)
+    commit(spark, root, [out, lost])
+    return {**out, **obs.get, "rejects": lost, "preview": preview(read_table(spark, root, table))}
 
 
 def silver_price_job(

@@ -122,7 +122,11 @@ def staged_changes(products_bronze: DataFrame, orders_bronze: DataFrame, folder:
     executor does not send the job back to the JSON, and a key with many
     events takes several segments and files."""
     logs = {"products": products_bronze, "orders": orders_bronze}
-    return {n: stage_ordered(decoded(b, n), [CLUSTER_KEY[n]], EVENT_ORDER, n, folder) for n, b in logs.items()}
+    return {n: staged_log(b, n, folder) for n, b in logs.items()}
+
+
+def staged_log(bronze: DataFrame, log: str, folder: str | None = None) -> DataFrame:
+    return stage_ordered(decoded(bronze, log), [CLUSTER_KEY[log]], EVENT_ORDER, log, folder)
 
 
 def hub_rows(staged: dict[str, DataFrame], hub: Hub) -> DataFrame:

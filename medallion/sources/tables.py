@@ -120,6 +120,14 @@ def with_year(df: DataFrame, date_col: str) -> tuple[DataFrame, str]:
     return df.withColumn(name, F.year(F.col(date_col))), name
 
 
+def within_dates(table: DataFrame, date_col: str, first: dt.date, last: dt.date) -> DataFrame:
+    """Rows of a table partitioned by year (:func:`with_year`) from ``first``
+    to ``last``. The years follow from the dates, so that only their folders
+    are read; who asks for dates need not know how the table lies."""
+    _, year = with_year(table, date_col)
+    return table.where(F.col(date_col).between(first, last) & F.col(year).between(first.year, last.year))
+
+
 def publish_by_year(df: DataFrame, name: str, root: str, date_col: str, schema: T.StructType | str | None = None) -> dict:
     """Year-partitioned publish: filters on the year column prune directories."""
     with_col, year = with_year(df, date_col)

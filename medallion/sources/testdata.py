@@ -10,8 +10,9 @@ with them:
 * :func:`change_messages` turns ``events`` into change-data-capture messages
   (key, value, topic, partition, offset, timestamp) for a ``products`` and an
   ``orders`` source table, including updates, deletes with key-only images,
-  null-value tombstones, quoted numbers, decimals of many bytes, values that
-  don't decode and updates in the same millisecond.
+  null-value tombstones, cut envelopes, positions that are no numbers, quoted
+  numbers, decimals of many bytes, values that don't decode and updates in the
+  same millisecond.
 
 Derivation rules are documented in FIXTURES.md §3; the DuckDB oracle applies
 the same rules to the base tables independently.
@@ -49,6 +50,12 @@ QUOTED_KEY_EVERY = 53
 LONG_DECIMAL_EVERY = 59
 BAD_DECIMAL_EVERY = 61
 BAD_QUANTITY_EVERY = 66
+CUT_EVERY = 71
+BAD_LSN_EVERY = 73
+BAD_TIME_EVERY = 79
+SHORT_EVERY = 31
+LONG_EVERY = 37
+RENAMED_EVERY = 41
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +117,23 @@ def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*padded)
 
 
+def broken_lines(rows: DataFrame) -> dict[str, tuple[str, DataFrame]]:
+    """Header and lines of the files that the landing has to reject: rows with
+    too few fields, with too many, and a file whose header names a column otherwise."""
+    part = F.trim("commodity_id").cast("int")
+    plain = rows.where(F.trim("priceflag") != "actual,aggregate")
+    header, renamed = ",".join(PRICE_COLUMNS), ",".join([*PRICE_COLUMNS[:-1], "usd"])
+
+    def lines(of: DataFrame, *columns) -> DataFrame:
+        return of.select(F.concat_ws(",", *columns).alias("line"))
+
+    return {
+        "short": (header, lines(rows.where(part % SHORT_EVERY == 0), *PRICE_COLUMNS[:5])),
+        "long": (header, lines(plain.where(part % LONG_EVERY == 0), *PRICE_COLUMNS, F.lit("more"))),
+        "renamed": (renamed, lines(plain.where(part % RENAMED_EVERY == 0), *PRICE_COLUMNS)),
+    }
+
+
 def _epoch_ms(ts) -> F.Column:
     """Epoch milliseconds of a UTC wall-clock timestamp (truncated), put
     together from its own fields so that the session zone has no say."""
@@ -143,6 +167,16 @@ def _envelope(op, before, after, lsn, tx_id, ts_ms) -> F.Column:
     return F.to_json(F.struct(payload.alias("payload")))
 
 
+def _damaged(value) -> F.Column:
+    """Some envelopes are cut, and some carry positions that are no numbers."""
+    event = F.col("event_id")
+    for every, pattern, bad in (
+        (BAD_LSN_EVERY, r'"lsn":\d+', '"lsn":"x9"'), (BAD_TIME_EVERY, r'("txId":\d+),"ts_ms":\d+', '$1,"ts_ms":"zz"'),
+    ):
+        value = F.when(event % every == 0, F.regexp_replace(value, pattern, bad)).otherwise(value)
+    return F.when(event % CUT_EVERY == 0, F.substring(value, 1, 40)).otherwise(value)
+
+
 def change_messages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Change messages for the two shop tables, keyed by source table name."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
@@ -191,7 +225,7 @@ def change_messages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "_value", F.when(F.col("event_id") % QUOTED_KEY_EVERY == 0, quoted).otherwise(F.col("_json"))
     )
     key = F.to_json(F.struct(key_only.alias("payload")))
-    main = _message(key, F.col("_value"), PRODUCTS_TOPIC, F.col("event_id") * 4 + step * 2, ts_ms)
+    main = _message(key, _damaged(F.col("_value")), PRODUCTS_TOPIC, F.col("event_id") * 4 + step * 2, ts_ms)
     tomb = _message(key, F.lit(None).cast("string"), PRODUCTS_TOPIC, F.col("event_id") * 4 + 1, ts_ms)
     products = prod.select(
         F.explode(F.array_compact(F.array(main, F.when(is_delete, tomb)))).alias("m")
@@ -224,7 +258,7 @@ def change_messages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         if step == 1:
             bad = F.when(F.col("event_id") % BAD_QUANTITY_EVERY == 0, r'"quantity":\d+').otherwise("(?!)")
             value = F.regexp_replace(value, bad, F.lit('"quantity":"many"'))
-        msgs.append(F.when(when, _message(key, value, ORDERS_TOPIC, F.col("event_id") * 4 + step, t)))
+        msgs.append(F.when(when, _message(key, _damaged(value), ORDERS_TOPIC, F.col("event_id") * 4 + step, t)))
     msgs.append(
         F.when(
             F.col("event_id") % 10 == 3,

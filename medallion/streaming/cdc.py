@@ -15,10 +15,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from medallion.sources.tables import ensure_namespace
 
@@ -81,6 +81,45 @@ def land_changes(messages: DataFrame, source_table: str) -> DataFrame:
     )
 
 
+OBSERVED = "landed_"
+
+
+def damaged() -> Column:
+    """A Bronze row whose event is no change envelope; a tombstone has no event."""
+    return F.col("event").isNotNull() & F.col("op").isNull()
+
+
+class LandingCounts(StreamingQueryListener):
+    """Landed and damaged rows per source table and batch, as the streams
+    write them: no table is read again to be counted (A1). Add it to
+    ``spark.streams`` before the streams start."""
+
+    def __init__(self) -> None:
+        self.batches: dict[tuple[str, int], tuple[int, int]] = {}
+
+    def totals(self) -> dict[str, tuple[int, int]]:
+        """(landed, damaged) by source table."""
+        out: dict[str, tuple[int, int]] = {}
+        for (table, _), counts in self.batches.items():
+            before = out.get(table, (0, 0))
+            out[table] = before[0] + counts[0], before[1] + counts[1]
+        return out
+
+    def onQueryProgress(self, event) -> None:
+        for name, row in event.progress.observedMetrics.items():
+            if name.startswith(OBSERVED):
+                self.batches[name.removeprefix(OBSERVED), event.progress.batchId] = row["landed"], row["damaged"]
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 @dataclass(frozen=True)
 class ChangeStreamSpec:
     """One source table's stream: where its messages come from and where
@@ -131,6 +170,7 @@ def start_change_stream(
     messages = read_messages(spark, spec.topic, source_format, options, spec.source_path)
     writer = (
         land_changes(messages, spec.source_table)
+        .observe(f"{OBSERVED}{spec.source_table}", F.count(F.lit(1)).alias("landed"), F.count_if(damaged()).alias("damaged"))
         .writeStream.format(sink_format)
         .outputMode("append")
         .option("checkpointLocation", spec.checkpoint)

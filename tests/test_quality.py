@@ -2,7 +2,7 @@ import pytest
 
 from medallion.operators import quality as Q
 from medallion.plans import prices as P
-from medallion.sources.delimited import read_delimited, write_delimited
+from medallion.sources.delimited import accepted, landed, read_delimited, rejected, write_delimited
 from medallion.sources.testdata import PRICE_COLUMNS
 
 ROW = ["2003-01-15", "Battambang", "Battambang", "Battambang", "639", "13.1", "103.2",
@@ -28,6 +28,36 @@ def test_quoted_comma_survives_csv(spark, tmp_root):
     assert sorted(tuple(r) for r in back) == sorted(tuple(r) for r in rows)
 
 
+def test_columns_are_bound_by_each_files_header(spark, tmp_root):
+    import pathlib
+
+    files = {
+        "a": 'a,b,c\n1,"2,x",3\n4,5\n6,7,8,9\n10,,\n', "sub/b": 'c, extra ,a,b\nC,E,A,B\n"q ""z""",e,p,q\n', "c": "a,b,usd\n1,2,3\n",
+        "d": "", "e": "a,b,c\n", "f": "a,a,b,c\n1,2,3,4\n", "g": 'a,b,c\n1,"two\nlines",3\n', "h": "\ufeffB;b,b,c,a\nx,y,z,w\n",
+    }
+    for name, text in files.items():
+        path = pathlib.Path(tmp_root, "in", f"{name}.csv")
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    rows = landed(spark, f"{tmp_root}/in", ["a", "b", "c"])
+    good = accepted(rows, ["a", "b", "c"])
+    assert sorted(map(tuple, good.collect()), key=str) == sorted(
+        [("1", "2,x", "3"), ("10", None, None), ("A", "B", "C"), ("p", "q", 'q "z"'), ("w", "y", "z")], key=str)
+    assert good.count() == 5 and sorted(r.b or "" for r in good.select("b").collect()) == ["", "2,x", "B", "q", "y"]
+    assert sorted((r.line, r.reject_reasons) for r in rejected(rows).collect()) == sorted([
+        ("4,5", "row: not 3 fields"), ("6,7,8,9", "row: not 3 fields"), ('1,"two', "row: not 3 fields"), ('lines",3', "row: not 3 fields"),
+        ("1,2,3", "header: lacks c"), ("1,2,3,4", "header: names a twice"),
+    ])
+    whole = landed(spark, f"{tmp_root}/in/g.csv", ["a", "b", "c"], multiline=True)
+    assert [tuple(r) for r in accepted(whole, ["a", "b", "c"]).collect()] == [("1", "two\nlines", "3")]
+
+
+def test_a_broken_column_names_some_of_its_values(spark):
+    df = spark.range(500).selectExpr("concat('u', lpad(id, 3, '0')) AS unit")
+    with pytest.raises(Q.UnmappedValuesError, match=r"u000, u001, u002 and 497 more$"):
+        Q.require_vocabulary(df, "unit", ["KG"], named=3)
+
+
 def test_bronze_typing_nulls_bad_values(spark):
     bronze = P.bronze_prices(spark.createDataFrame([variant(date="15/01/2003", price="n/a")], ", ".join(f"{c} string" for c in PRICE_COLUMNS)))
     r = bronze.first()

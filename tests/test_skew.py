@@ -18,6 +18,20 @@ POSITIONS = {
 }
 
 
+def test_rows_are_made_once(spark):
+    """Segments are sampled from written rows: what makes the rows runs once for each."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(5000).selectExpr("id % 7 AS k", "id AS lsn", "id * 3 AS v").mapInArrow(counted, "k long, lsn long, v long")
+    staged = stage_ordered(rows, ["k"], ["lsn"], "once")
+    assert staged.count() == 5000 and seen.value == 5000
+
+
 @pytest.fixture()
 def twelve_segments(spark):
     held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}

@@ -59,6 +59,18 @@ def test_schema_mismatch_is_refused(spark, tmp_root):
         TB.publish(df, "bronze_t.bad", tmp_root, schema=SCHEMA)
 
 
+def test_a_span_of_dates_reads_its_years_only(spark, tmp_root):
+    rows = [(dt.date(2003 + i % 5, 1 + i % 12, 1), "m", float(i)) for i in range(60)]
+    TB.publish_by_year(TB.declared_rows(spark, rows, SCHEMA), "silver_t.spans", tmp_root, "price_date", schema=SCHEMA)
+    span = dt.date(2004, 6, 1), dt.date(2005, 2, 1)
+    df = TB.within_dates(TB.read_table(spark, tmp_root, "silver_t.spans"), "price_date", *span)
+    assert df.count() == sum(span[0] <= r[0] <= span[1] for r in rows)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "price_date_year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    read = {r[0] for r in TB.read_table(spark, tmp_root, "silver_t.spans").where("price_date_year BETWEEN 2004 AND 2005").select("price_date").collect()}
+    assert {r.price_date for r in df.collect()} < read
+
+
 def test_year_partitions_prune(spark, tmp_root):
     rows = [(dt.date(2003 + i % 3, 1, 1), "m", float(i)) for i in range(9)]
     out = TB.publish_by_year(TB.declared_rows(spark, rows, SCHEMA), "silver_t.prices", tmp_root, "price_date", schema=SCHEMA)

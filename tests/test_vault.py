@@ -130,6 +130,26 @@ def test_deleted_product_prices_null(spark):
     assert got == [(7, None, None)]
 
 
+def test_tombstones_damaged_and_live_events(spark):
+    products, _ = Log("p", "product_id"), Log("o", "order_id")
+    good = product(1, "wok", "Cookware", "8.50", 5)
+    products.event("c", 1, after=good, lsn=10, ts=T0)
+    products.event("d", 1, before={"product_id": 1}, lsn=11, ts=T0 + 1)
+    products.tombstone(1, T0 + 1)
+    products.event(None, 2, raw='{"payload": {"op": "u", "after": {"product_id": 1')
+    products.event(None, 3, raw='{"payload": {"after": {"product_id": 1}}}')
+    products.event("u", 4, after=good, lsn="x9", ts=T0)
+    products.event("u", 5, after={**good, "product_id": "many"}, lsn="x9", tx=1)
+    products.rows[-1] = (*products.rows[-1][:1], products.rows[-1][1].replace(b'"ts_ms": null', b'"ts_ms": "zz"'), *products.rows[-1][2:])
+    pb = land_changes(products.frame(spark), "products")
+    assert sorted(r.lsn for r in V.decoded(pb, "products").collect()) == [10, 11]
+    rejects = {r.offset: r.reject_reasons for r in change_rejects(pb, V.PRODUCTS).collect()}
+    assert rejects == {
+        3: "event: not a change envelope", 4: "event: not a change envelope", 5: "lsn: not a valid bigint",
+        6: "product_id: not a valid int; lsn: not a valid bigint; ts_ms: not a valid bigint",
+    }
+
+
 def test_malformed_event_is_dropped(spark):
     products, orders = Log("p", "product_id"), Log("o", "order_id")
     products.event("c", 1, after=product(1, "wok", "Cookware", "8.50", 5), lsn=10, ts=T0)
