@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.common import drop_staged, staged
-from medallion.llm.words import Words, buffers, mix, slices, windows, words
+from medallion.llm.words import Words, buffers, mix, slices, whole_hash, windows, words
 
 _TABLE_BITS = 20
 _ENTRIES = 1 << 20
@@ -75,7 +75,8 @@ class ItemIndex:
     """A block of items: ids; the different shingles of each (sorted by hash,
     with item and weight); where windows are set for a shingle (by hash, with
     place in the item and the item's words, once for all items alike); total
-    weight, fingerprint and the 64 bit sums' distances from 0 of each item."""
+    weight, fingerprint and the 64 bit sums' distances from 0 of each item;
+    the different word counts of items with fewer words than a shingle."""
 
     ids: list
     hashes: np.ndarray
@@ -88,6 +89,7 @@ class ItemIndex:
     prints: np.ndarray
     margins: np.ndarray
     table: np.ndarray
+    short_sizes: tuple[int, ...]
 
     @classmethod
     def build(cls, ids: list, texts: list[str], n_items: int, holders: DataFrame, params: LeakParams) -> ItemIndex:
@@ -112,7 +114,8 @@ class ItemIndex:
         sets = np.stack([gram.view(np.int64), place, w.counts[item]], 1)[at_set]
         sets = sets[np.concatenate([[True], (sets[1:] != sets[:-1]).any(1)])] if len(sets) else sets
         return cls(
-            ids, gram[new], item[new], weight[new], sets[:, 0].copy().view(np.uint64), sets[:, 1], sets[:, 2], total, signs(sums), np.abs(sums), table
+            ids, gram[new], item[new], weight[new], sets[:, 0].copy().view(np.uint64), sets[:, 1], sets[:, 2], total, signs(sums), np.abs(sums), table,
+            tuple(np.unique(w.counts[(w.counts > 0) & (w.counts < params.shingle)]).tolist()),
         )
 
 
@@ -163,12 +166,37 @@ def within(prints: np.ndarray, items: np.ndarray, radius: int, blocks: int) -> t
     return (np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])) if pairs else (np.zeros(0, int), np.zeros(0, int))
 
 
-def leaks(data: np.ndarray, at: np.ndarray, index: ItemIndex, params: LeakParams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def leaks(data: np.ndarray, at: np.ndarray, index: ItemIndex, params: LeakParams) -> Found:
     """(row, item, similarity, first word of the best window) of every leak in the rows."""
     none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
     if not len(index.hashes):
         return none
     w = text_words(data, at)
+    parts = [_window_leaks(w, at, index, params, none), *[_short_leaks(w, size, index) for size in index.short_sizes]]
+    rows, candidate, share, begin = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((begin, -share, candidate, rows))
+    rows, candidate, share, begin = rows[order], candidate[order], share[order], begin[order]
+    best = np.ones(len(rows), bool)
+    best[1:] = (rows[1:] != rows[:-1]) | (candidate[1:] != candidate[:-1])
+    return rows[best], candidate[best], share[best], begin[best]
+
+
+def _short_leaks(w: Words, size: int, index: ItemIndex) -> Found:
+    """Items of ``size`` words, fewer than a shingle has: wherever these words stand in a row."""
+    row, start, gram = windows(w, size, whole_if_short=False)
+    gram = whole_hash(gram, size)
+    lo = np.searchsorted(index.hashes, gram)
+    many = np.searchsorted(index.hashes, gram, side="right") - lo
+    hit = np.repeat(np.arange(len(gram)), many)
+    entry = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(len(hit))
+    return row[hit], index.items[entry], np.ones(len(hit)), start[hit] - w.first[row[hit]]
+
+
+def _window_leaks(w: Words, at: np.ndarray, index: ItemIndex, params: LeakParams, none: Found) -> Found:
+    """Every window that holds enough of an item's shingles."""
     row, start, gram = windows(w, params.shingle, whole_if_short=True)
     maybe = np.flatnonzero(index.table[(gram & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)])
     lo = np.searchsorted(index.set_hashes, gram[maybe])
@@ -222,12 +250,7 @@ def leaks(data: np.ndarray, at: np.ndarray, index: ItemIndex, params: LeakParams
         parts.append((window[ok], candidate[ok], share[ok]))
         a = z
     window, candidate, share = (np.concatenate(x) for x in zip(*parts, strict=True))
-    rows, begin = spans[window, 0], spans[window, 1] - w.first[spans[window, 0]]
-    order = np.lexsort((begin, -share, candidate, rows))
-    rows, candidate, share, begin = rows[order], candidate[order], share[order], begin[order]
-    best = np.ones(len(rows), bool)
-    best[1:] = (rows[1:] != rows[:-1]) | (candidate[1:] != candidate[:-1])
-    return rows[best], candidate[best], share[best], begin[best]
+    return spans[window, 0], candidate, share, spans[window, 1] - w.first[spans[window, 0]]
 
 
 def shingle_holders(items: DataFrame, params: LeakParams) -> DataFrame:
@@ -290,8 +313,8 @@ def find_leaks(documents: DataFrame, items: DataFrame, id_col: str = "item_id",
 
     A null or empty text leaks nothing, an item without words is in no
     document, equal items are both reported and repeated rows each. An item
-    with fewer words than a shingle is one shingle, found in texts that
-    consist of it. Empty tables give no rows; other columns are not read.
+    with fewer words than a shingle is found wherever its words stand in a
+    row. Empty tables give no rows; other columns are not read.
     """
     p = params or LeakParams()
     rows = documents.select("doc_id", "text")
@@ -318,8 +341,10 @@ def find_leaks(documents: DataFrame, items: DataFrame, id_col: str = "item_id",
 
 
 def drop_leaked(documents: DataFrame, items: DataFrame, id_col: str = "item_id", params: LeakParams | None = None) -> DataFrame:
-    """The rows of ``documents`` that leak no item, all columns as they are;
-    one pass per block of items, without a shuffle."""
+    """The rows of ``documents`` that leak no item, all columns as they are,
+    whatever their names; one pass per block of items, without a shuffle. Null
+    and empty texts stay, and so do rows without doc_id that leak nothing;
+    repeated rows share their verdict. Without items all rows stay."""
     p = params or LeakParams()
     text = documents.columns.index("text")
 

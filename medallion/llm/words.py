@@ -123,6 +123,11 @@ def words(data: np.ndarray, at: np.ndarray, lower: bool = False, space: np.ndarr
     return Words(data, starts, ends, first, span_hashes(data, starts, ends))
 
 
+def whole_hash(chain: np.ndarray, n_words: np.ndarray | int) -> np.ndarray:
+    """Hash of a text of few words, from that of its words in a window."""
+    return mix(chain + np.asarray(n_words).astype(np.uint64))
+
+
 def windows(w: Words, size: int, whole_if_short: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, first word, hash) of every window of ``size`` words inside a row.
 
@@ -143,7 +148,7 @@ def windows(w: Words, size: int, whole_if_short: bool) -> tuple[np.ndarray, np.n
             for k in range(size - 1):
                 more = counts[short] > k
                 own[more] = mix(own[more] * np.uint64(0xD6E8FEB86659FD93) + w.hashes[w.first[short[more]] + k])
-            own = mix(own + counts[short].astype(np.uint64))
+            own = whole_hash(own, counts[short])
             row, start, h = np.append(row, short), np.append(start, w.first[short]), np.append(h, own)
             order = np.argsort(row, kind="stable")
             row, start, h = row[order], start[order], h[order]
