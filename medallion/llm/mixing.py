@@ -259,7 +259,11 @@ def mix(documents: DataFrame, params: MixParams | None = None) -> DataFrame:
 
 
 def sample(documents: DataFrame, params: MixParams | None = None) -> DataFrame:
-    """The rows of ``documents`` that the mix keeps, all columns as they are."""
+    """The rows of ``documents`` that the mix keeps, all columns as they are,
+    whatever their names. Null, unknown and empty values, repeated rows and
+    tables without a token are as in :func:`mix`; an empty table stays empty."""
     p = params or MixParams()
-    raked = fit(documents.select("doc_id", "text", "source", "lang"), p)
-    return weighted(documents, raked, p).where("__kept").select(*[F.col(f"`{c}`") for c in documents.columns])
+    row = F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in documents.columns])
+    own = documents.select("doc_id", "text", "source", "lang", row.alias("__row"))
+    raked = fit(own.drop("__row"), p)
+    return weighted(own, raked, p).where("__kept").select("__row.*")

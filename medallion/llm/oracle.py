@@ -179,6 +179,30 @@ SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(rem
 FROM counts
 """
 
+JACCARD = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_distinct([ws[i:i + 2] FOR i IN range(1, len(ws) - 1)])
+    WHEN len(ws) > 0 THEN [ws] ELSE [] END) AS g FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+  SELECT x, y FROM common JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)
+), edge AS (
+  SELECT x, y FROM link UNION ALL SELECT y, x FROM link
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM n UNION SELECT a, y FROM reach JOIN edge ON b = x
+), top AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN top USING (doc_id)
+"""
+
 SEARCH = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x, row_number() OVER () AS r
@@ -196,5 +220,5 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <=
 
 SQL: dict[str, str] = {
     "op1_license_scan": license_sql(), "op6_chat_format": CHAT, "op4_host_rules": HOST_RULES,
-    "op11_source_divergence": DIVERGENCE, "op12_filter_interaction": FILTER_AUDIT, "op13_voronoi_search": SEARCH,
+    "op7_parity_jaccard": JACCARD, "op11_source_divergence": DIVERGENCE, "op12_filter_interaction": FILTER_AUDIT, "op13_voronoi_search": SEARCH,
 }

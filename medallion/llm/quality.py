@@ -238,8 +238,11 @@ def score_documents(documents: DataFrame, labels: DataFrame, params: QualityPara
 
 def keep_good(documents: DataFrame, labels: DataFrame, params: QualityParams | None = None) -> DataFrame:
     """The rows of ``documents`` that the model predicts as good, all columns
-    as they are. The texts are read once to learn and once to score, and are
-    not shuffled."""
+    as they are, whatever their names. The texts are read once to learn and
+    once to score, and are not shuffled. Null and empty texts are scored from
+    zero statistics, rows without doc_id too; repeated rows share their
+    verdict. An empty table, or one without labels, has nothing to learn from:
+    the model then scores all alike."""
     p = params or QualityParams()
     model = fit(staged(text_statistics(documents), "quality-stats"), labels, p)
     mark = "__predicted"

@@ -77,6 +77,15 @@ def test_null_and_unnamed_categories_are_not_mixed_out(llm_spark):
     assert sum(r.n_tokens * r.weight for r in unnamed) / weight == pytest.approx(sum(r.n_tokens for r in unnamed) / tokens, abs=1e-6)
 
 
+def test_sample_leaves_columns_of_any_name_alone(llm_spark):
+    names = ["__topic", "__kept", "__Named", "__weight", "__c_lang", "__row", "__text", "row", "a.b"]
+    rows = [(i, f"some words of text {i}", "en", f"src{i % 3}", *[f"{n}-{i}" for n in names]) for i in range(40)]
+    docs = llm_spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    kept = mixing.sample(docs)
+    decided = {r.doc_id for r in mixing.mix(docs).where("kept").collect()}
+    assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == sorted(r for r in rows if r[0] in decided)
+
+
 def test_only_unknown_languages_and_sources_with_tokens(llm_spark):
     rows = [(i, "some plain words of a text " * 12, [None, "pt"][i % 2], [None, "web", "books"][i % 3]) for i in range(600)]
     documents = llm_spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
