@@ -1,9 +1,11 @@
 r"""License scans: an exact set-similarity join of text blocks and templates.
 
-Texts are cut into words, and words into blocks of ``block_words`` words that
-start every ``block_words / 2`` words, so any run of up to half a block lies
-whole inside some block. A block matches a template when it holds at least
-``containment`` of the template's different words.
+Texts are cut into words, and words into blocks that start every half block,
+so any run of up to half a block lies whole inside some block. Blocks have
+``block_words`` words, for templates of more than half of that twice, four
+times, ... as many, until half a block is as long as the template; so
+templates may have any length. A block matches a template when it holds at
+least ``containment`` of the template's different words.
 
 The join finds every such pair without comparing all blocks to all templates.
 Template words are put in one global order, rarest in the corpus first, from
@@ -51,6 +53,13 @@ TEMPLATES = {
     "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
     "this source code form is subject to the terms of the mozilla public license": "mpl",
     "all rights reserved": "all-rights-reserved",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+    "the software to deal in the software without restriction including without limitation the rights to use copy modify merge "
+    "publish distribute sublicense and or sell copies of the software": "mit-text",
+    "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is "
+    "basis without warranties or conditions of any kind either express or implied": "apache-text",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as "
+    "published by the free software foundation either version 2 of the license or at your option any later version": "gpl-text",
 }
 
 _SEPARATORS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
@@ -62,9 +71,12 @@ class ScanParams:
     containment: float = 0.8
     block_words: int = 32
 
-    @property
-    def step(self) -> int:
-        return self.block_words // 2
+    def step(self, template: str) -> int:
+        """Words from one block to the next, half a block, for a template."""
+        step = self.block_words // 2
+        while step < len(template.split()):
+            step *= 2
+        return step
 
 
 def text_words(text: Column) -> Column:
@@ -85,21 +97,21 @@ def _same(word: str, token: str) -> Column:
     return (F.lower(F.col(word)) == F.col(token)) & (F.octet_length(word) == F.octet_length(token))
 
 
-def template_words(spark: SparkSession, phrases: Mapping[str, str], templates: Mapping[str, str], containment: float) -> DataFrame:
+def template_words(spark: SparkSession, phrases: Mapping[str, str], templates: Mapping[str, str], params: ScanParams) -> DataFrame:
     """One row per template and different word: id, kind, label, need, size,
-    word, at (place in the text), words."""
+    step, word, at (place in the text), words."""
     rows = []
     for number, (text, label, base) in enumerate([*((t, v, True) for t, v in phrases.items()), *((t, v, False) for t, v in templates.items())]):
         words = text.split()
         size = len(set(words))
-        need = size if base else max(1, -int(-(size * containment) // 1))
-        for word in sorted(set(words)):
-            rows.append(F.struct(
-                F.lit(number).alias("id"), F.lit(base).alias("base"), F.lit(label).alias("label"), F.lit(need).alias("need"),
-                F.lit(size).alias("size"), F.lit(word).alias("word"), F.lit(words.index(word)).alias("at"),
-                F.array(*[F.lit(w) for w in words]).alias("words"),
-            ))
-    return spark.range(1).select(F.inline(F.array(*rows)))
+        need = size if base else max(1, -int(-(size * params.containment) // 1))
+        rows.append(F.struct(
+            F.lit(number).alias("id"), F.lit(base).alias("base"), F.lit(label).alias("label"), F.lit(need).alias("need"),
+            F.lit(size).alias("size"), F.lit(params.step(text)).alias("step"), F.lit(" ".join(words)).alias("text"),
+        ))
+    listed = spark.range(1).select(F.inline(F.array(*rows))).withColumn("words", F.split("text", " ")).drop("text")
+    each = listed.withColumn("word", F.explode(F.array_distinct("words")))
+    return each.withColumn("at", (F.array_position("words", F.col("word")) - 1).cast("int"))
 
 
 def _small(df: DataFrame, phrases: Sequence[str]) -> DataFrame:
@@ -137,21 +149,18 @@ def scan(
     phrases = PHRASES if phrases is None else phrases
     templates = TEMPLATES if templates is None else templates
     spark = documents.sparkSession
-    longest = max(len(t.split()) for t in [*phrases, *templates, "-"])
-    if longest > p.step:
-        raise ValueError(f"a template of {longest} words needs blocks of {2 * longest}")
 
     def hint(df: DataFrame) -> DataFrame:
         return _small(df, [*phrases, *templates])
 
-    wanted = template_words(spark, phrases, templates, p.containment)
+    wanted = template_words(spark, phrases, templates, p)
     words = documents.select("doc_id", text_words(F.col("text")).alias("words"))
     prefix = prefix_words(words, wanted, hint).select(
-        "id", "base", "label", "need", "size", "rank", "at", F.col("words").alias("template"), F.col("word").alias("token")
+        "id", "base", "label", "need", "size", "step", "rank", "at", F.col("words").alias("template"), F.col("word").alias("token")
     )
     end = spark.range(1).select(  # joins with the end mark that every text gets, so texts without a hit keep their row
         F.lit(-1).alias("id"), F.lit(False).alias("base"), F.lit(None).cast("string").alias("label"), F.lit(0).alias("need"),
-        F.lit(0).alias("size"), F.lit(0).alias("rank"), F.lit(0).alias("at"), F.lit(None).cast("array<string>").alias("template"),
+        F.lit(0).alias("size"), F.lit(1).alias("step"), F.lit(0).alias("rank"), F.lit(0).alias("at"), F.lit(None).cast("array<string>").alias("template"),
         F.lit("").alias("token"),
     )
     keys = hint(prefix.unionByName(end))
@@ -165,15 +174,15 @@ def scan(
     found = F.col("base") & (place >= 0) & (at_place == F.col("template"))
 
     def matched(block: Column) -> Column:
-        begin = block * p.step
-        inside = F.array_distinct(F.transform(F.slice("words", begin + 1, p.block_words), _folded))
+        begin, length = block * F.col("step"), 2 * F.col("step")
+        inside = F.array_distinct(F.transform(F.slice("words", begin + 1, length), _folded))
         common = F.size(F.array_intersect(inside, F.array_distinct("template")))
-        long_enough = F.least(F.col("n_words") - begin, F.lit(p.block_words)) >= F.col("need")
+        long_enough = F.least(F.col("n_words") - begin, length) >= F.col("need")
         in_reach = F.col("size") - F.col("rank") + 1 >= F.col("need")
         share = F.when((block >= 0) & long_enough & in_reach, common).otherwise(0)
         return F.when(share >= F.col("need"), share / F.col("size")).otherwise(F.lit(0.0))
 
-    own = F.floor(F.col("pos") / p.step).cast("int")
+    own = F.floor(F.col("pos") / F.col("step")).cast("int")
     share = (
         F.when(F.col("id") < 0, F.lit(0.0))
         .when(F.col("base"), F.when(found, F.lit(1.0)).otherwise(F.lit(0.0)))

@@ -67,7 +67,7 @@ def license_sql() -> str:
         f"SELECT doc_id, i, '{label}' AS label FROM run WHERE " + " AND ".join(f"w{k} = '{w}'" for k, w in enumerate(t.split()))
         for t, label in PHRASES.items()
     )
-    templates = ", ".join(f"({t.split()!r}, '{label}')" for t, label in TEMPLATES.items())
+    templates = ", ".join(f"({t.split()!r}, '{label}', {p.step(t)})" for t, label in TEMPLATES.items())
     return rf"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -77,14 +77,16 @@ WITH w AS (
 ), run AS (
   SELECT doc_id, i, {leads} FROM word
 ), base AS ({places}
+), template(words, label, step) AS (VALUES {templates}
+), steps AS (
+  SELECT DISTINCT step FROM template
 ), block AS (
-  SELECT doc_id, b, list(DISTINCT word) AS have FROM (
-    SELECT doc_id, word, i // {p.step} AS b FROM word
-    UNION ALL SELECT doc_id, word, i // {p.step} - 1 FROM word WHERE i >= {p.step}
-  ) GROUP BY doc_id, b
-), template(words, label) AS (VALUES {templates}
+  SELECT doc_id, step, b, list(DISTINCT word) AS have FROM (
+    SELECT doc_id, step, word, i // step AS b FROM word, steps
+    UNION ALL SELECT doc_id, step, word, i // step - 1 FROM word, steps WHERE i >= step
+  ) GROUP BY ALL
 ), near AS (
-  SELECT doc_id, label, len(list_intersect(have, words)) AS common, len(list_distinct(words)) AS size FROM block, template
+  SELECT doc_id, label, len(list_intersect(have, words)) AS common, len(list_distinct(words)) AS size FROM block JOIN template USING (step)
 ), found AS (
   SELECT doc_id, label, true AS base, i, 1.0::DOUBLE AS share FROM base
   UNION ALL SELECT doc_id, label, false, NULL, common / size FROM near WHERE common >= ceil(size * {p.containment})

@@ -21,7 +21,7 @@ ROWS = [
     (10, "one two", "en", "src3"),
     (10, "another text with the same id", "es", "src3"),
 ]
-CLASHING = ["score", "shard", "kept", "node", "label", "words", "row", "ids", "topic", "fold", "component_id"]
+CLASHING = ["score", "shard", "kept", "node", "label", "words", "row", "ids", "topic", "fold", "component_id", "__topic", "__kept", "__weight", "__c_lang", "__id", "__own", "__row", "part", "bucket"]
 
 
 @pytest.fixture(scope="session")

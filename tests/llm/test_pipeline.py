@@ -19,7 +19,7 @@ def test_query_equals_its_sql(llm_spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "ngram_jaccard", "decontaminate", "mix_sources", "shard"]
 
 
@@ -50,6 +50,18 @@ def test_each_stage_does_its_part_on_what_the_last_kept(llm_spark):
     assert {r.doc_id for r in corpus_pipeline.run(llm_spark, SF).collect()} == kept[-1]
 
 
+def test_stages_pass_empty_tables(llm_spark, no_documents):
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(llm_spark, no_documents, SF)
+        assert out.count() == 0 and (name == "shard" or out.columns == no_documents.columns)
+
+
+def test_the_first_stage_passes_awkward_rows(llm_spark, odd_documents):
+    kept = corpus_pipeline.quality_classifier(llm_spark, odd_documents, SF)
+    good = {r.doc_id for r in score_documents(odd_documents, llm_spark.read.parquet(f"{SF}/labels.parquet")).where("predicted = 1").collect()}
+    assert kept.schema == odd_documents.schema and {r.doc_id for r in kept.collect()} == good
+
+
 def test_stages_pass_awkward_rows(llm_spark, odd_documents):
     docs = odd_documents
     for name, stage in corpus_pipeline.STAGES[1:]:
