@@ -72,7 +72,7 @@ def main() -> None:
         staged.update(V.staged_changes(bronze["products"], bronze["orders"]))
 
     def vault_replay() -> None:
-        for df in V.vault_tables(staged).values():
+        for df in V.vault_tables(staged, V.staged_firsts(staged)).values():
             noop(df)
 
     def order_value() -> None:

@@ -11,13 +11,14 @@ from medallion.functions.ordering import EVENT_ORDER, event_order
 from medallion.operators.segments import SEGMENT, with_carry
 
 
-def earliest(df: DataFrame, key: str, columns: Sequence[str], order: Sequence[str] = EVENT_ORDER) -> DataFrame:
+def earliest(df: DataFrame, key: str | Sequence[str], columns: Sequence[str], order: Sequence[str] = EVENT_ORDER) -> DataFrame:
     """``key`` and ``columns`` of each key's first event (nulls in the order
     come first). An aggregate with a partial step: a task sends one row per
     key, however many events the key has."""
+    keys = [key] if isinstance(key, str) else list(key)
     place = F.struct(*[F.col(c) for c in [*order, *columns] if c in df.columns])
     first = F.min_by(F.struct(*columns), place)
-    return df.groupBy(key).agg(first.alias("_first")).select(key, "_first.*")
+    return df.groupBy(*keys).agg(first.alias("_first")).select(*keys, "_first.*")
 
 
 def latest(df: DataFrame, key: str, order: Sequence[str] = EVENT_ORDER) -> DataFrame:

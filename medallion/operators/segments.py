@@ -16,6 +16,7 @@ what adaptive execution joins when they are small.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,9 +49,9 @@ def stage_ordered(df: DataFrame, by: Sequence[str], order: Sequence[str], name:
 
 
 def drop_staged(*tables: DataFrame) -> None:
-    """Delete the folders of tables that :func:`stage_ordered` wrote."""
+    """Delete the folders of staged tables, those above their partitions."""
     for df in tables:
-        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        for folder in {re.sub(r"(/[^/=]+=[^/]*)*/[^/]+$", "", file) for file in df.inputFiles()}:
             remove(df.sparkSession, folder)
 
 

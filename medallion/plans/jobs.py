@@ -84,15 +84,18 @@ def silver_price_job(
 def vault_job(
     spark: SparkSession, products_bronze: DataFrame, orders_bronze: DataFrame, root: str, namespace: str = "silver",
 ) -> dict:
-    """Replay both logs into the vault. Each log is decoded once and staged;
-    the six tables are written from that and become visible together. The op
+    """Replay both logs into the vault. Each log is decoded once and staged,
+    hubs and links are taken from one pass over both; the six tables are
+    written from that and become visible together. The op
     distribution of both logs is published beside them as ``op_profile``."""
     staged = V.staged_changes(products_bronze, orders_bronze)
-    written = {n: write_version(df, f"{namespace}.{n}", root, schema=V.SCHEMAS[n]) for n, df in V.vault_tables(staged).items()}
+    firsts = V.staged_firsts(staged)
+    tables = V.vault_tables(staged, firsts)
+    written = {n: write_version(df, f"{namespace}.{n}", root, schema=V.SCHEMAS[n]) for n, df in tables.items()}
     profile = op_profile([products_bronze, orders_bronze])
     written["op_profile"] = write_version(profile, f"{namespace}.op_profile", root, schema="source_table string, op string, events long")
     commit(spark, root, list(written.values()))
-    drop_staged(*staged.values())
+    drop_staged(*staged.values(), firsts)
     return written
 
 

@@ -95,7 +95,8 @@ def version_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vault_inventory_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.inventory(V.vault_tables(staged(spark, sf_dir)))
+    logs = staged(spark, sf_dir)
+    return P.inventory(V.vault_tables(logs, V.staged_firsts(logs)))
 
 
 def bronze_change_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 Hubs, the link and the satellites are declared as specs and built by one
 function each. A full replay decodes each log once and stages it in
-row-balanced segments; all six tables are functions of the staged logs.
+row-balanced segments; all six tables are functions of the staged logs. A
+replay of all tables takes the hubs and the link from one pass over the logs
+(:func:`first_seen`); a table of its own reads only the logs it needs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +21,7 @@ from medallion.functions.ordering import EVENT_ORDER
 from medallion.operators.changes import ChangeSpec, Field, decode_changes
 from medallion.operators.history import change_rows, earliest
 from medallion.operators.segments import stage_ordered
+from medallion.session import work_path
 
 # The fields of the two source tables and their key columns.
 PRODUCTS = ChangeSpec(
@@ -58,6 +62,14 @@ class Hub:
     business_key: str
     logs: tuple[str, ...]
 
+    @property
+    def per(self) -> str:
+        return self.key
+
+    @property
+    def parts(self) -> tuple[str, ...]:
+        return (self.business_key,)
+
     def columns(self) -> list[str]:
         return [self.business_key, "load_dts", "record_source"]
 
@@ -72,6 +84,13 @@ class Link:
     parts: tuple[str, ...]
     hubs: tuple[str, ...]
 
+    @property
+    def logs(self) -> tuple[str, ...]:
+        return (self.log,)
+
+    def columns(self) -> list[str]:
+        return [*self.parts, *[h for h in self.hubs if h != self.per], "load_dts", "record_source"]
+
 
 @dataclass(frozen=True)
 class Satellite:
@@ -142,11 +161,63 @@ def hub_rows(staged: dict[str, DataFrame], hub: Hub) -> DataFrame:
 def link_rows(staged: dict[str, DataFrame], link: Link) -> DataFrame:
     """One row per ``link.per``, from its first event with all parts."""
     whole = staged[link.log].dropna(subset=list(link.parts))
-    kept = [h for h in link.hubs if h != link.per]
-    first = earliest(whole, link.per, [*link.parts, *kept, "load_dts", "record_source"])
+    return linked(earliest(whole, link.per, link.columns()), link)
+
+
+def linked(first: DataFrame, link: Link) -> DataFrame:
+    """The first events of a link's keys as rows of the link."""
     return first.select(business_key(*link.parts).alias(link.key), *link.hubs, "load_dts", "record_source")
 
 
+def first_seen(staged: dict[str, DataFrame], names: Sequence[str] = (*HUBS, *LINKS)) -> DataFrame:
+    """The first events of the keys of all named hubs and links, from one scan
+    of each log and one shuffle: ``_table``, ``_key``, and the columns of the
+    tables, null where a table has no such column.
+
+    An event gives a row to each table whose business keys it has; rows are
+    aggregated by table and key before they move, so neither a key with most
+    of the events nor the number of tables counts in the shuffle.
+    """
+    specs = {n: HUBS.get(n) or LINKS[n] for n in names}
+    kept = list(dict.fromkeys(c for s in specs.values() for c in s.columns()))
+    rows = []
+    for log, events in staged.items():
+        named_here = {n: s for n, s in specs.items() if log in s.logs}
+        if not named_here:
+            continue
+        entries = [
+            F.when(
+                reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in s.parts]),
+                F.struct(F.lit(n).alias("table"), F.col(s.per).alias("key")),
+            )
+            for n, s in named_here.items()
+        ]
+        users = {c: [n for n, s in named_here.items() if c in s.columns()] for c in kept}
+        each = events.select(
+            *EVENT_ORDER, *[c for c in kept if users[c] and c not in EVENT_ORDER],
+            F.explode(F.array_compact(F.array(*entries))).alias("_of"),
+        )
+        own = [F.when(F.col("_of.table").isin(users[c]), F.col(c)).alias(c) for c in kept if users[c] and c not in EVENT_ORDER]
+        rows.append(each.select(F.col("_of.table").alias("_table"), F.col("_of.key").alias("_key"), *EVENT_ORDER, *own))
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return earliest(together, ["_table", "_key"], kept)
+
+
+def staged_firsts(staged: dict[str, DataFrame], folder: str | None = None) -> DataFrame:
+    """:func:`first_seen` of all hubs and links, written with a directory per table."""
+    firsts = first_seen(staged)
+    path = work_path(firsts.sparkSession, "firsts", folder)
+    firsts.write.partitionBy("_table").parquet(path)
+    return firsts.sparkSession.read.schema(firsts.schema).parquet(path)
+
+
+def from_firsts(firsts: DataFrame, name: str) -> DataFrame:
+    """A hub or link from :func:`staged_firsts`; reads its own directory."""
+    spec = HUBS.get(name) or LINKS[name]
+    own = firsts.where(F.col("_table") == name).select(F.col("_key").alias(spec.per), *spec.columns())
+    return linked(own, spec) if name in LINKS else own
+
+
 def satellite_changes(staged: dict[str, DataFrame], satellite: Satellite) -> DataFrame:
     """Change-detected rows, still with their log position (V5)."""
     described = staged[satellite.log].withColumn("hashdiff", attribute_hash(*satellite.attributes, "dv_is_deleted"))
@@ -165,8 +236,12 @@ def vault_table(staged: dict[str, DataFrame], name: str) -> DataFrame:
     raise KeyError(name)
 
 
-def vault_tables(staged: dict[str, DataFrame], names: Sequence[str] = TABLES) -> dict[str, DataFrame]:
-    return {name: vault_table(staged, name) for name in names}
+def vault_tables(staged: dict[str, DataFrame], firsts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All six tables; hubs and links from ``firsts`` (:func:`staged_firsts`)
+    if given, else each from its logs."""
+    return {
+        name: vault_table(staged, name) if firsts is None or name in SATELLITES else from_firsts(firsts, name) for name in TABLES
+    }
 
 
 def build_vault(products_bronze: DataFrame, orders_bronze: DataFrame) -> dict[str, DataFrame]:

@@ -63,6 +63,16 @@ def test_hubs_are_aggregated_before_the_shuffle(landed):
     assert "partial_min_by" in plan.split("Exchange")[1] and "Window" not in plan
 
 
+def test_one_scan_of_each_log_gives_all_hubs_and_links(landed):
+    staged = V.staged_changes(landed["products"], landed["orders"])
+    plan = final(V.first_seen(staged))
+    assert plan.count("FileScan parquet") == len(staged) and plan.count("Exchange hashpartitioning") == 1
+    assert "partial_min_by" in plan.split("Exchange")[1]
+    own = V.staged_firsts(staged)
+    read = V.from_firsts(own, "link_order")._jdf.queryExecution().executedPlan().toString()
+    assert "(_table" in read.split("PartitionFilters: ")[1].splitlines()[0]
+
+
 def test_joins_carry_no_hint(spark):
     from medallion.sources.testdata import price_rows
 

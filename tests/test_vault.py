@@ -150,6 +150,24 @@ def test_tombstones_damaged_and_live_events(spark):
     }
 
 
+def test_one_pass_gives_the_tables_that_each_log_gives(spark):
+    products, orders = shop_scenario()
+    orders.event("c", 90, after=order(90, None, 1, 1, "placed", T0), lsn=900, ts=T0)  # names an order and a product, no customer
+    orders.event("u", 90, after=order(90, " mr. sovann ", None, 1, "paid", T0), lsn=901, ts=T0)
+    orders.event("u", 90, after=order(90, "Mr. Sovann", 77, 1, "paid", T0), lsn=902, ts=T0)  # the link's first whole event
+    orders.event("u", 90, after=order(90, "Mr. Sovann", 78, 1, "paid", T0), lsn=902, ts=T0)
+    orders.event("c", None, after=order(None, "Ms. New", 3, 1, "placed", T0), lsn=5, ts=T0)
+    pb, ob = (land_changes(log.frame(spark), n) for n, log in (("products", products), ("orders", orders)))
+    staged = V.staged_changes(pb, ob)
+    together, apart = V.vault_tables(staged, V.staged_firsts(staged)), V.vault_tables(staged)
+    for name, df in apart.items():
+        assert together[name].columns == df.columns and together[name].dtypes == df.dtypes
+        assert rows(together[name], *df.columns) == rows(df, *df.columns), name
+    assert rows(together["link_order"].join(together["hub_product"], "hk_product"), "product_id")[-1] == (77,)
+    nothing = {n: df.where("false") for n, df in staged.items()}
+    assert {n: df.count() for n, df in V.vault_tables(nothing, V.staged_firsts(nothing)).items()} == dict.fromkeys(V.TABLES, 0)
+
+
 def test_malformed_event_is_dropped(spark):
     products, orders = Log("p", "product_id"), Log("o", "order_id")
     products.event("c", 1, after=product(1, "wok", "Cookware", "8.50", 5), lsn=10, ts=T0)
