@@ -230,6 +230,11 @@ def shop_oracles() -> dict[str, str]:
                FROM messages""",
             MESSAGES,
         ),
+        "log_counts": shop(
+            """SELECT source_table, op, CAST(count(*) AS BIGINT) AS events, CAST(count(DISTINCT tx_id) AS BIGINT) AS transactions
+               FROM messages GROUP BY source_table, op""",
+            MESSAGES,
+        ),
         "op_profile": shop(
             "SELECT source_table, op, CAST(count(*) AS BIGINT) AS events FROM messages GROUP BY source_table, op",
             MESSAGES,

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.operators import quality as Q
-from medallion.operators.profiles import op_profile, preview
+from medallion.operators.profiles import log_counts, preview
 from medallion.operators.segments import drop_staged
 from medallion.plans import prices as P
 from medallion.plans import vault as V
@@ -86,14 +86,16 @@ def vault_job(
 ) -> dict:
     """Replay both logs into the vault. Each log is decoded once and staged,
     hubs and links are taken from one pass over both; the six tables are
-    written from that and become visible together. The op
-    distribution of both logs is published beside them as ``op_profile``."""
+    written from that and become visible together. The events
+    and transactions of both logs by op are published beside them as
+    ``op_profile``."""
     staged = V.staged_changes(products_bronze, orders_bronze)
     firsts = V.staged_firsts(staged)
     tables = V.vault_tables(staged, firsts)
     written = {n: write_version(df, f"{namespace}.{n}", root, schema=V.SCHEMAS[n]) for n, df in tables.items()}
-    profile = op_profile([products_bronze, orders_bronze])
-    written["op_profile"] = write_version(profile, f"{namespace}.op_profile", root, schema="source_table string, op string, events long")
+    counts = log_counts([products_bronze, orders_bronze])
+    profile_schema = "source_table string, op string, events long, transactions long"
+    written["op_profile"] = write_version(counts, f"{namespace}.op_profile", root, schema=profile_schema)
     commit(spark, root, list(written.values()))
     drop_staged(*staged.values(), firsts)
     return written

@@ -77,6 +77,10 @@ def change_rejects_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("payload", F.sha2("payload", 256))
 
 
+def log_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.log_counts(list(bronze_changes(spark, sf_dir).values()))
+
+
 def op_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.op_profile(list(bronze_changes(spark, sf_dir).values()))
 

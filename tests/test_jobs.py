@@ -33,6 +33,9 @@ def test_vault_job_publishes_six_tables(spark, tmp_root):
     out.pop("op_profile")
     profile = {(r.source_table, r.op): r.events for r in read_table(spark, tmp_root, "vault_t.op_profile").collect()}
     assert {op for name, op in profile if name == "orders"} == {None, "c", "u", "d"}
+    apart = {r.op: (r.events, r.transactions) for r in shop.P.op_transactions(b["products"]).collect()}
+    published = read_table(spark, tmp_root, "vault_t.op_profile").where("source_table = 'products'").collect()
+    assert {r.op: (r.events, r.transactions) for r in published} == apart
     empty = b["products"].where("event IS NULL").count()
     assert profile["products", None] > empty > 0  # a tombstone per delete, and events that are cut
     left = {f for _, folders, _ in os.walk(checkpoint_root(spark)) for f in folders} - before
