@@ -1,30 +1,35 @@
 r"""Log-probabilities of texts from a weighted backoff automaton.
 
-The model is a bigram model over the words of the training texts. Words that
-occur there less than ``core_min`` times are one class, whose words share its
-probability in proportion to their unigram probability; by default these are
-the words that no training text has. With counts c, N training tokens and V different ones:
+The model is one of n-grams up to ``order`` over the words of the training
+texts. Words that occur there less than ``core_min`` times are one class, whose
+words share its probability in proportion to their unigram probability; by
+default these are the words that no training text has. With counts c, N
+training tokens, V different ones, and h' for a history h without its first
+token:
 
     P(w)      = (c(w) + 0.5) / (N + 0.5 (V + 1))
-    P(k | h)  = (c(h k) + mu P(k)) / (c(h) + mu)      k: a word or the class
+    P(k | h)  = (c(h k) + mu P(k | h')) / (c(h) + mu)  k: a word or the class
     P(w | h)  = P(k | h), times P(w) / P(class) for a word of the class
 
-As an automaton every context h is a state, every k seen after h an arc, and
-where there is none a failure arc of weight mu / (c(h) + mu) leads to the
-root, which holds P(k). The state after a token is the token's own; one pass
-over a text carries it and adds the weights up. A text starts in the state of
-the end token, and its end is a token too.
+As an automaton every history of one to ``order`` - 1 tokens that training
+texts have is a state, and every k seen after it an arc. Where there is none,
+a failure arc of weight mu / (c(h) + mu) leads to the state of h' (from one
+token to the root, which holds P(k)), and so on. A text starts in the state of
+the end token, and its end is a token too. One pass from left to right carries
+the state: the arc that a token takes in the state of h says how often h k
+stands in training texts, which is the count of the state it leads to.
 
 Texts are kept in blocks of tokens. Counts never need the whole vocabulary
-in one place: a block sends its different words (later: its different word
-pairs), cut by hash, to the buckets that add up their counts over all blocks,
-and gets the totals back. A word that fills a third of the corpus costs one
+in one place: a block sends its different words (later: its different pairs,
+then longer n-grams), cut by hash, to the buckets that add up their counts over
+all blocks, and gets the totals back. The totals of each length are a table in
+the shared folder, so the shuffle files of one exchange can go before the next. A word that fills a third of the corpus costs one
 number per block. Buckets grow in number with what the blocks send.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import fold, staged
+from medallion.llm.common import fold, release, staged
 from medallion.llm.words import mix, slices, words
 
 FOLDS = 5
@@ -44,14 +49,16 @@ _PAIR = np.uint64(0xD1342543DE82EF95)
 
 @dataclass(frozen=True)
 class LmParams:
-    """core_min: training occurrences from which a word is a state and an arc
-    of its own. mu: weight of the root in every state. block_tokens: tokens
-    of a block (one longer text is a block of its own). entries_per_bucket:
-    words or pairs that the blocks send to a bucket, about."""
+    """order: tokens of the longest n-grams, 2 or more. core_min: training
+    occurrences from which a word is a state and an arc of its own. mu: weight
+    of the shorter history in every state. block_tokens: tokens of a block (one
+    longer text is a block of its own). entries_per_bucket: words or n-grams
+    that the blocks send to a bucket, about."""
 
+    order: int = 3
     core_min: int = 1
     mu: float = 50.0
-    block_tokens: int = 4_000_000
+    block_tokens: int = 2_500_000
     entries_per_bucket: int = 1_000_000
 
 
@@ -239,16 +246,26 @@ class BlockTexts:
         before[np.cumsum(self.lengths) - self.lengths] = end
         return before, own
 
-    def pair_keys(self, core_min: int) -> tuple[np.ndarray, np.ndarray]:
-        """(different pair hashes in order, place of every token's pair in them)."""
+    def gram_keys(self, order: int, core_min: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For n-grams of two tokens up to ``order``: (their different hashes
+        in order, place in them of the n-gram that ends with every token, -1
+        where fewer tokens stand before it)."""
         hashes = self.classes(core_min)[1]
         before, own = self.pairs(core_min)
-        local, back = np.unique(before * len(hashes) + own, return_inverse=True)
-        keys = mix(hashes[local // len(hashes)] * _PAIR + hashes[local % len(hashes)])
-        order = np.argsort(keys)
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
-        return keys[order], rank[back]
+        first = np.cumsum(self.lengths) - self.lengths
+        keys = hashes
+        for _ in range(order - 1):
+            whole = before >= 0
+            local, back = np.unique(before[whole] * len(hashes) + own[whole], return_inverse=True)
+            grams = mix(keys[local // len(hashes)] * _PAIR + hashes[local % len(hashes)])
+            by_hash = np.argsort(grams)
+            rank = np.empty_like(by_hash)
+            rank[by_hash] = np.arange(len(by_hash))
+            keys, place = grams[by_hash], np.full(len(own), -1)
+            place[whole] = rank[back]
+            yield keys, place
+            before[1:] = place[:-1]
+            before[first] = -1
 
 
 def gathered(totals: pa.Table, keys: np.ndarray, bits: int) -> np.ndarray:
@@ -260,21 +277,25 @@ def gathered(totals: pa.Table, keys: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def send_pairs(blocks: DataFrame, totals: DataFrame, bits: int, pair_bits: int, params: LmParams) -> DataFrame:
+def send_grams(blocks: DataFrame, totals: DataFrame, order: int, bits: int, gram_bits: int, params: LmParams) -> DataFrame:
     def run(block: pa.Table, own: pa.Table) -> pa.Table:
         if not block.num_rows:
-            return pa.Table.from_batches([_sent(0, np.zeros(0, np.uint64), np.zeros(0), pair_bits)])
+            return pa.Table.from_batches([_sent(0, np.zeros(0, np.uint64), np.zeros(0), gram_bits)])
         texts = BlockTexts.read(block, own, bits)
-        keys, place = texts.pair_keys(params.core_min)
-        counts = np.bincount(place[~np.repeat(texts.held, texts.lengths)], minlength=len(keys))
-        return pa.Table.from_batches([_sent(block.column("block")[0].as_py(), keys, counts, pair_bits)])
+        *_, (keys, place) = texts.gram_keys(order, params.core_min)
+        place = place[~np.repeat(texts.held, texts.lengths)]
+        counts = np.bincount(place[place >= 0], minlength=len(keys))
+        return pa.Table.from_batches([_sent(block.column("block")[0].as_py(), keys, counts, gram_bits)])
 
     needed = blocks.select("block", "held", "lengths", "n_tokens", "n_keys", "keys", "uses", "tokens")
     return needed.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, _SENT)
 
 
-def traverse(texts: BlockTexts, pair_totals: np.ndarray, place: np.ndarray, n: int, v: int, others: tuple[int, int], params: LmParams) -> dict[str, np.ndarray]:
-    """Scores of the block's texts. ``others``: training occurrences and
+def traverse(
+    texts: BlockTexts, gram_totals: list[Callable[[np.ndarray], np.ndarray]], n: int, v: int, others: tuple[int, int], params: LmParams,
+) -> dict[str, np.ndarray]:
+    """Scores of the block's texts. ``gram_totals``: for each length from two,
+    the totals of n-grams by their keys. ``others``: training occurrences and
     different words of the class below ``core_min``."""
     norm = n + 0.5 * (v + 1)
     root_word = (texts.totals + 0.5) / norm
@@ -282,14 +303,21 @@ def traverse(texts: BlockTexts, pair_totals: np.ndarray, place: np.ndarray, n: i
     # the class also holds the one unknown word that the base counts
     root_others = (others[0] + 0.5 * (others[1] + 1)) / norm
     root = np.append(root_word[core], root_others)
-    state_count = np.append(texts.totals[core], others[0]).astype(float)
     before, own = texts.pairs(params.core_min)
-    arc = pair_totals[place].astype(float)
+    state = np.append(texts.totals[core], others[0]).astype(float)[before]
+    del before
+    step = root[own]
+    first = np.cumsum(texts.lengths) - texts.lengths
+    for (keys, place), totals_of in zip(texts.gram_keys(params.order, params.core_min), gram_totals, strict=True):
+        arc = np.append(totals_of(keys), 0)[place].astype(float)
+        whole = place >= 0
+        step[whole] = ((arc + params.mu * step) / (state + params.mu))[whole]
+        state[1:] = arc[:-1]
+        state[first] = 0
     base = np.log10(root_word)[texts.tokens]
-    step = np.log10((arc + params.mu * root[own]) / (state_count[before] + params.mu))
+    step = np.log10(step)
     rare = own == len(root) - 1
     step[rare] += base[rare] - np.log10(root_others)
-    first = np.cumsum(texts.lengths) - texts.lengths
     known = (texts.totals > 0)[texts.tokens]
     return {
         "n_known": np.add.reduceat(known.astype(np.int64), first), "base_score": np.add.reduceat(base, first),
@@ -307,33 +335,39 @@ def score_texts(documents: DataFrame, params: LmParams | None = None) -> DataFra
     probability 1. An empty table gives no rows; other columns are not read.
     """
     p = params or LmParams()
+    spark = documents.sparkSession
     blocks = staged(token_blocks(documents, p), "lm-blocks")
     entries = blocks.agg(F.sum("n_keys"), F.sum("n_tokens")).first()
     bits = _bits(entries[0] or 0, p.entries_per_bucket)
-    pair_bits = _bits((entries[1] or 0) // 2, p.entries_per_bucket)
+    gram_bits = _bits((entries[1] or 0) // 2, p.entries_per_bucket)
     totals = staged(add_counts(send_words(blocks, bits), p.core_min), "lm-words")
     sums = totals.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "rare_n", "rare_v")]).first()
     n, v, others = sums["n"], sums["v"], (sums["rare_n"], sums["rare_v"])
-    words_back = totals.select("block", "bucket", "totals")
-    pairs_back = add_counts(send_pairs(blocks, words_back, bits, pair_bits, p), p.core_min).select(
-        "block", (F.col("bucket") + F.lit(1 << bits)).alias("bucket"), "totals"
-    )
+    words_back = totals.select("block", F.lit(1).alias("length"), "bucket", "totals")
+    back = words_back
+    for length in range(2, p.order + 1):
+        sent = send_grams(blocks, words_back, length, bits, gram_bits, p)
+        counted = staged(add_counts(sent, p.core_min).select("block", F.lit(length).alias("length"), "bucket", "totals"), f"lm-{length}-grams")
+        back = back.unionByName(counted)
+        del sent
+        release(spark)
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(block: pa.Table, own: pa.Table) -> pa.Table:
-        mine = np.asarray(own.column("bucket")) < 1 << bits
-        texts = BlockTexts.read(block, own.filter(pa.array(mine)), bits)
-        keys, place = texts.pair_keys(p.core_min)
-        theirs = own.filter(pa.array(~mine))
-        shifted = pa.table({"bucket": np.asarray(theirs.column("bucket")) - (1 << bits), "totals": theirs.column("totals")})
-        found = traverse(texts, gathered(shifted, keys, pair_bits), place, n, v, others, p)
+        lengths = np.asarray(own.column("length"))
+
+        def of(length: int) -> pa.Table:
+            return own.filter(pa.array(lengths == length))
+
+        texts = BlockTexts.read(block, of(1), bits)
+        grams = [lambda keys, k=k: gathered(of(k), keys, gram_bits) for k in range(2, p.order + 1)]
+        found = traverse(texts, grams, n, v, others, p)
         return pa.table({
             "doc_id": texts.ids, "held_out": pa.array(texts.held), "n_tokens": pa.array(texts.lengths),
             "n_known": pa.array(found["n_known"]), "train_tokens": pa.array(np.full(len(texts.held), n, np.int64)),
             "base_score": pa.array(found["base_score"]), "score": pa.array(found["score"]),
         })
 
-    back = words_back.unionByName(pairs_back)
     return blocks.drop("counts").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )

@@ -18,15 +18,23 @@ def brute(rows, p):
     rare = [w for w in c if kind(w) is None]
     rare_n = sum(c[w] for w in rare)
     root = lambda k: (rare_n + 0.5 * (len(rare) + 1) if k is None else c[k] + 0.5) / norm
-    pairs = Counter((a, kind(w)) for d, ws in texts if not held(d) for a, w in zip(["\n", *map(kind, ws)], ws, strict=False))
+    grams = Counter()
+    for d, ws in texts:
+        whole = ["\n", *map(kind, ws)]
+        if not held(d):
+            grams.update(tuple(whole[i : i + k]) for k in range(2, p.order + 1) for i in range(len(whole) - k + 1))
     out = []
     for d, ws in texts:
-        score, state = 0.0, "\n"
+        score, past = 0.0, ("\n",)
         for w in ws:
             k = kind(w)
-            step = (pairs[state, k] + p.mu * root(k)) / ((rare_n if state is None else c[state]) + p.mu)
+            step = root(k)
+            for length in range(1, len(past) + 1):
+                h = past[-length:]
+                seen = grams[h] if length > 1 else rare_n if h[0] is None else c[h[0]]
+                step = (grams[(*h, k)] + p.mu * step) / (seen + p.mu)
             score += math.log10(step if k is not None else step * (c[w] + 0.5) / norm / root(None))
-            state = k
+            past = (*past, k)[-(p.order - 1) :]
         out.append((d, held(d), len(ws), sum(c[w] > 0 for w in ws), n, sum(math.log10((c[w] + 0.5) / norm) for w in ws), score))
     return out
 
@@ -39,7 +47,10 @@ def assert_same(documents, p):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], abs=1e-6)
 
 
-@pytest.mark.parametrize("params", [lm.LmParams(), lm.LmParams(core_min=4, mu=5.0, block_tokens=5000, entries_per_bucket=1000)])
+@pytest.mark.parametrize("params", [
+    lm.LmParams(), lm.LmParams(core_min=4, mu=5.0, block_tokens=5000, entries_per_bucket=1000),
+    lm.LmParams(order=2), lm.LmParams(order=5, mu=2.0, block_tokens=9000),
+])
 def test_equals_counting_in_one_place(sample_documents, odd_documents, params):
     assert_same(sample_documents.repartition(3), params)
     assert_same(odd_documents, params)
@@ -64,6 +75,12 @@ def test_the_registered_model_beats_the_base_and_a_model_of_frequent_words(llm_s
     assert sum(r.score for r in rows) > max(sum(r.base_score for r in rows), sum(r.score for r in frequent))
 
 
+def test_the_registered_model_beats_the_bigrams(llm_spark):
+    documents = llm_spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows, pairs = (lm.score_texts(documents, p).where("held_out").collect() for p in (None, lm.LmParams(order=2)))
+    assert sum(r.score for r in rows) > sum(r.score for r in pairs)
+
+
 def test_a_pair_of_rare_words_counts(llm_spark):
     ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 != 1]
     rows = [(i, f"rare{i} pair{i} common words") for i in ids] + [(1000 + i, f"pair{i} rare{i} words common") for i in ids[:3]]
