@@ -58,7 +58,7 @@ class LmParams:
     order: int = 3
     core_min: int = 1
     mu: float = 50.0
-    block_tokens: int = 2_500_000
+    block_tokens: int = 1_500_000
     entries_per_bucket: int = 1_000_000
 
 
@@ -88,7 +88,7 @@ def unpack_sorted(data: bytes, n: int) -> np.ndarray:
 def by_use(uses: np.ndarray) -> np.ndarray:
     """The places of a block's keys, most used first: tokens are stored as
     ranks in this order, which are small numbers."""
-    return np.argsort(-uses.astype(np.int64), kind="stable")
+    return np.argsort(-uses.astype(np.int64), kind="stable").astype(np.uint32)
 
 
 def token_blocks(documents: DataFrame, params: LmParams) -> DataFrame:
@@ -233,8 +233,8 @@ class BlockTexts:
         """(class of every token, hash of every class): words from ``core_min``
         in the order of their hashes, and the class of all others last."""
         core = (self.totals >= core_min) | (self.keys == END)
-        number = np.full(len(self.keys), core.sum())
-        number[core] = np.arange(core.sum())
+        number = np.full(len(self.keys), core.sum(), np.int32)
+        number[core] = np.arange(core.sum(), dtype=np.int32)
         return number[self.tokens], np.append(self.keys[core], OTHERS)
 
     def pairs(self, core_min: int) -> tuple[np.ndarray, np.ndarray]:
@@ -256,13 +256,14 @@ class BlockTexts:
         keys = hashes
         for _ in range(order - 1):
             whole = before >= 0
-            local, back = np.unique(before[whole] * len(hashes) + own[whole], return_inverse=True)
+            local, back = np.unique(before[whole].astype(np.int64) * len(hashes) + own[whole], return_inverse=True)
             grams = mix(keys[local // len(hashes)] * _PAIR + hashes[local % len(hashes)])
             by_hash = np.argsort(grams)
-            rank = np.empty_like(by_hash)
-            rank[by_hash] = np.arange(len(by_hash))
-            keys, place = grams[by_hash], np.full(len(own), -1)
+            rank = np.empty(len(by_hash), np.int32)
+            rank[by_hash] = np.arange(len(by_hash), dtype=np.int32)
+            keys, place = grams[by_hash], np.full(len(own), -1, np.int32)
             place[whole] = rank[back]
+            del whole, local, back, grams, by_hash, rank  # a suspended generator would keep them
             yield keys, place
             before[1:] = place[:-1]
             before[first] = -1
