@@ -3,7 +3,7 @@ r"""Log-probabilities of texts from a weighted backoff automaton.
 The model is one of n-grams up to ``order`` over the words of the training
 texts. Words that occur there less than ``core_min`` times are one class, whose
 words share its probability in proportion to their unigram probability; by
-default these are the words that no training text has. With counts c, N
+default there are none. With counts c, N
 training tokens, V different ones, and h' for a history h without its first
 token:
 
@@ -50,13 +50,14 @@ _PAIR = np.uint64(0xD1342543DE82EF95)
 @dataclass(frozen=True)
 class LmParams:
     """order: tokens of the longest n-grams, 2 or more. core_min: training
-    occurrences from which a word is a state and an arc of its own. mu: weight
+    occurrences from which a word is a state and an arc of its own (0: every
+    word, whose n-grams are then counted without a join). mu: weight
     of the shorter history in every state. block_tokens: tokens of a block (one
     longer text is a block of its own). entries_per_bucket: words or n-grams
     that the blocks send to a bucket, about."""
 
     order: int = 3
-    core_min: int = 1
+    core_min: int = 0
     mu: float = 50.0
     block_tokens: int = 1_500_000
     entries_per_bucket: int = 1_000_000
@@ -211,7 +212,7 @@ def send_words(blocks: DataFrame, bits: int) -> DataFrame:
 
 @dataclass
 class BlockTexts:
-    """One block with the totals of its words, read for a cogroup."""
+    """One block with the totals of its words (0 where they are not given)."""
 
     ids: pa.Array
     held: np.ndarray
@@ -221,13 +222,14 @@ class BlockTexts:
     keys: np.ndarray
 
     @classmethod
-    def read(cls, block: pa.Table, totals: pa.Table, bits: int) -> BlockTexts:
+    def read(cls, block: pa.Table, totals: pa.Table | None, bits: int) -> BlockTexts:
         one = {c: block.column(c)[0] for c in block.column_names}
         n = one["n_keys"].as_py()
         keys = unpack_sorted(one["keys"].as_py(), n)
         tokens = by_use(unpack(one["uses"].as_py(), n, "u4"))[unpack(one["tokens"].as_py(), one["n_tokens"].as_py(), "u4")]
         ids = one["doc_ids"].values if "doc_ids" in one else pa.nulls(0)
-        return cls(ids, np.asarray(one["held"].values), np.asarray(one["lengths"].values), tokens, gathered(totals, keys, bits), keys)
+        counted = np.zeros(n, np.int64) if totals is None else gathered(totals, keys, bits)
+        return cls(ids, np.asarray(one["held"].values), np.asarray(one["lengths"].values), tokens, counted, keys)
 
     def classes(self, core_min: int) -> tuple[np.ndarray, np.ndarray]:
         """(class of every token, hash of every class): words from ``core_min``
@@ -279,17 +281,30 @@ def gathered(totals: pa.Table, keys: np.ndarray, bits: int) -> np.ndarray:
 
 
 def send_grams(blocks: DataFrame, totals: DataFrame, order: int, bits: int, gram_bits: int, params: LmParams) -> DataFrame:
-    def run(block: pa.Table, own: pa.Table) -> pa.Table:
-        if not block.num_rows:
-            return pa.Table.from_batches([_sent(0, np.zeros(0, np.uint64), np.zeros(0), gram_bits)])
+    """What the blocks send of their n-grams of ``order`` tokens. Where every
+    word is a state the blocks stay where they are; else they are joined with
+    the totals of their words, which tell the class of each."""
+    def sent(block: pa.Table, own: pa.Table | None) -> pa.RecordBatch:
         texts = BlockTexts.read(block, own, bits)
         *_, (keys, place) = texts.gram_keys(order, params.core_min)
         place = place[~np.repeat(texts.held, texts.lengths)]
         counts = np.bincount(place[place >= 0], minlength=len(keys))
-        return pa.Table.from_batches([_sent(block.column("block")[0].as_py(), keys, counts, gram_bits)])
+        return _sent(block.column("block")[0].as_py(), keys, counts, gram_bits)
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield sent(pa.Table.from_batches([batch.slice(k, 1)]), None)
+
+    def joined(block: pa.Table, own: pa.Table) -> pa.Table:
+        if not block.num_rows:
+            return pa.Table.from_batches([_sent(0, np.zeros(0, np.uint64), np.zeros(0), gram_bits)])
+        return pa.Table.from_batches([sent(block, own)])
 
     needed = blocks.select("block", "held", "lengths", "n_tokens", "n_keys", "keys", "uses", "tokens")
-    return needed.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, _SENT)
+    if params.core_min <= 0:
+        return needed.mapInArrow(alone, _SENT)
+    return needed.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(joined, _SENT)
 
 
 def traverse(

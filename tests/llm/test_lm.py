@@ -49,7 +49,7 @@ def assert_same(documents, p):
 
 @pytest.mark.parametrize("params", [
     lm.LmParams(), lm.LmParams(core_min=4, mu=5.0, block_tokens=5000, entries_per_bucket=1000),
-    lm.LmParams(order=2), lm.LmParams(order=5, mu=2.0, block_tokens=9000),
+    lm.LmParams(order=2), lm.LmParams(order=5, mu=2.0, block_tokens=9000), lm.LmParams(core_min=1, block_tokens=20000),
 ])
 def test_equals_counting_in_one_place(sample_documents, odd_documents, params):
     assert_same(sample_documents.repartition(3), params)
