@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion.operators.segments import SEGMENT, stage_ordered, with_carry
+from medallion.operators.segments import BUCKET, stage_ordered, with_carry
 
 _RIGHT, _LEFT = 0, 1
 
@@ -71,7 +71,7 @@ def asof_join(
     )
     joined = with_carry(staged, last_right)
     inside = (
-        Window.partitionBy(SEGMENT, *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+        Window.partitionBy(BUCKET, *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     from_before = F.when(F.col("_carry.key") == F.struct(*keys), F.col("_carry.row"))

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medallion.operators.history import first_of
+
 REASONS = "reject_reasons"
 CASTS, VERDICT = "_casts", "_reasons"
 
@@ -92,8 +94,6 @@ def lookup(column: str, mapping: Mapping[str, object]) -> Column:
 
 def dedup(df: DataFrame, key: Sequence[str], survivor_order: Sequence[str]) -> DataFrame:
     """One row per natural key (nulls equal): the smallest in a total order
-    of the other columns, so reruns keep the same row (A13). An aggregate
-    with a partial step, so copies meet before they move."""
-    rest = [c for c in df.columns if c not in key]
-    place = F.struct(*[F.col(c) for c in survivor_order])
-    return df.groupBy(*key).agg(F.min_by(F.struct(*rest), place).alias("_kept")).select(*key, "_kept.*").select(*df.columns)
+    of the other columns, so reruns keep the same row (A13). Each task drops
+    the copies it sees before its rows move."""
+    return first_of(df, key, survivor_order)

@@ -1,13 +1,14 @@
 """One key holding a third of all rows takes several segments and files, whatever its positions look like."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from medallion.functions.ordering import EVENT_ORDER
 from medallion.operators.history import change_rows
-from medallion.operators.segments import SEGMENT, drop_staged, stage_ordered
+from medallion.operators.segments import BUCKET, SEGMENT, _table_of, bucket_values, drop_staged, stage_ordered
 
 N, SEGMENTS = 3000, 12
 POSITIONS = {
@@ -74,3 +75,26 @@ def test_rows_that_are_equal_in_all_but_a_value_are_dealt_too(spark, twelve_segm
     log = spark.range(N).select(F.lit("hot").alias("hk"), F.lit(1).cast("long").alias("lsn"), F.col("id").alias("v"))
     staged = stage_ordered(log, ["hk"], ["lsn"], "ties")
     assert max(r["count"] for r in staged.groupBy(SEGMENT).count().collect()) < 2 * N / SEGMENTS
+
+
+def test_windows_read_segments_where_they_lie(spark, twelve_segments):
+    """A segment is a bucket of its own, so no operator above shuffles the rows: the exchanges are those of one row per segment."""
+    log = skewed_log(spark, POSITIONS["rising"])
+    staged = stage_ordered(log, ["hk"], EVENT_ORDER, "buckets")
+    assert staged.groupBy(BUCKET).agg(F.count_distinct(SEGMENT).alias("n")).where("n > 1").count() == 0
+    values = bucket_values(spark, SEGMENTS)
+    slots = spark.createDataFrame([(v,) for v in values], "v int").selectExpr(f"pmod(hash(v), {SEGMENTS}) AS slot")
+    assert [r.slot for r in slots.collect()] == list(range(SEGMENTS))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in ("-1", held):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            plan = change_rows(staged, "hk", "h")._jdf.queryExecution().executedPlan().toString()
+            assert not re.findall(rf"hashpartitioning\((?:{BUCKET}|{SEGMENT}|hk)#", plan)
+            assert "Bucketed: true" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert spark.catalog.tableExists(_table_of(staged.inputFiles()[0].rsplit("/", 1)[0]))
+    name = _table_of(staged.inputFiles()[0].rsplit("/", 1)[0])
+    drop_staged(staged)
+    assert not spark.catalog.tableExists(name)
