@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.operators import quality as Q
@@ -32,12 +32,15 @@ def landed_csv(spark: SparkSession, sf_dir: str) -> str:
     files with the columns in another order and one more, and files of broken
     rows or of a header that lacks a column."""
     path = work_path(spark, "prices-csv")
-    rows = price_rows(spark, sf_dir)
-    even = F.trim("market_id").cast("int") % 2 == 0
-    write_delimited(rows.where(even), f"{path}/usual")
-    write_delimited(rows.where(~even).select(F.lit("x").alias("note"), *reversed(PRICE_COLUMNS)), f"{path}/reversed")
-    for name, (header, lines) in broken_lines(rows).items():
-        write_delimited(lines.select(F.col(LINE).alias(header)), f"{path}/{name}", sep="\u0001")
+
+    def rows_of(lineitems: Column) -> DataFrame:
+        return price_rows(spark, sf_dir, lineitems)
+
+    even = F.col("l_suppkey") % 2 == 0
+    write_delimited(rows_of(even), f"{path}/usual", compression="gzip")
+    write_delimited(rows_of(~even).select(F.lit("x").alias("note"), *reversed(PRICE_COLUMNS)), f"{path}/reversed", compression="gzip")
+    for name, (header, lines) in broken_lines(rows_of).items():
+        write_delimited(lines.select(F.col(LINE).alias(header)), f"{path}/{name}", sep="\u0001", compression="gzip")
     return path
 
 

@@ -107,8 +107,9 @@ def rejected(rows: DataFrame) -> DataFrame:
     return rows.where(F.col(REASONS).isNotNull()).select(FILE, LINE, REASONS)
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
-    """Text landing of string rows; surrounding spaces are kept verbatim."""
+def write_delimited(df: DataFrame, path: str, sep: str = ",", compression: str = "none") -> None:
+    """Text landing of string rows; surrounding spaces are kept verbatim.
+    Spark reads compressed files by their ending; gzip ones are one task each."""
     (
         df.write.option("header", "true")
         .option("sep", sep)
@@ -116,6 +117,7 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
+        .option("compression", compression)
         .mode("errorifexists")
         .csv(path)
     )

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from medallion.plans import food, shop
 from medallion.plans import vault as V
@@ -79,3 +80,24 @@ def test_joins_carry_no_hint(spark):
     from medallion.sources.testdata import price_rows
 
     assert "hint" not in price_rows(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_the_landing_joins_only_the_lineitems_of_a_file(spark):
+    from medallion.sources.testdata import price_rows
+
+    whole = price_rows(spark, SF_SMALL)
+    parts = [price_rows(spark, SF_SMALL, F.col("l_suppkey") % 2 == k) for k in (0, 1)]
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted((tuple(r) for p in parts for r in p.collect()), key=str)
+    plan = parts[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("l_suppkey#") and "s_suppkey" in plan
+    scans = [line for line in plan.splitlines() if "Filter" in line and "l_suppkey" in line and "% 2" in line]
+    assert scans, plan
+
+
+def test_the_landing_is_compressed(spark):
+    from pathlib import Path
+
+    from medallion.plans.food import landed_csv
+
+    files = [f for f in Path(landed_csv(spark, SF_SMALL).removeprefix("file:")).rglob("part-*")]
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
