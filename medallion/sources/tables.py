@@ -63,12 +63,14 @@ def _qualified(name: str) -> tuple[str, str]:
 
 def write_version(
     df: DataFrame, name: str, root: str, schema: T.StructType | str | None = None, partition_by: Sequence[str] = (),
+    dealt: bool = False,
 ) -> dict:
     """Write ``df`` as a new, not yet visible version of table ``name``.
 
     ``schema`` is the declared schema without the partition columns. Rows of
     a partition are rebalanced into files of the advisory size first, so a
-    partition does not get a file from every task.
+    partition does not get a file from every task; not where the caller has
+    ``dealt`` them so that a task holds few partitions.
     """
     if schema is not None:
         check_schema(df.drop(*partition_by), schema)
@@ -77,7 +79,9 @@ def write_version(
     path = f"{root}/{namespace}/{table}/v={version}"
     obs = Observation(f"publish_{table}_{version}")
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
+    if partition_by and dealt:
+        writer = counted.write.partitionBy(*partition_by)
+    elif partition_by:
         writer = counted.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
     else:
         writer = counted.write

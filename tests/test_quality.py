@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from medallion.operators import quality as Q
 from medallion.plans import prices as P
@@ -132,3 +133,30 @@ def test_lookup_missing_key_is_null(spark):
     df = spark.createDataFrame([("a",), ("z",), (None,)], "k string")
     got = sorted(df.select(Q.lookup("k", {"a": 1.5}).alias("v")).collect(), key=lambda r: r["v"] is None)
     assert [r["v"] for r in got] == [1.5, None, None]
+
+
+def test_dedup_in_ranges_equals_dedup_in_one_shuffle(spark):
+    rows = [(None if i % 50 == 0 else i % 40, "hot" if i % 3 == 0 else f"k{i % 200}", i % 7, str(i % 11)) for i in range(3000)]
+    rows += [(1, "hot", 0, "0")] * 500 + [(None, None, None, None)] * 20
+    df = spark.createDataFrame(rows, "a int, b string, v int, w string").repartition(5)
+    got = Q.dedup_in_ranges(df, ["a", "b"], ["v", "w"])
+    want = Q.dedup(df, ["a", "b"], ["v", "w"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    spread = got.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.min("a").alias("lo"), F.max("a").alias("hi")).collect()
+    bounds = sorted((r.lo, r.hi) for r in spread if r.lo is not None)
+    assert all(x[1] <= y[0] for x, y in zip(bounds, bounds[1:]))
+
+
+def test_the_silver_job_moves_rows_once(spark, tmp_root, monkeypatch):
+    from medallion.plans import jobs
+    from medallion.plans import prices as P
+    from medallion.sources.testdata import price_rows
+
+    seen = []
+    real = jobs.write_version
+    monkeypatch.setattr(jobs, "write_version", lambda df, *a, **k: seen.append((df, k)) or real(df, *a, **k))
+    jobs.silver_price_job(spark, P.as_bronze_text(price_rows(spark, "/root/testdata/sf0.001")), tmp_root)
+    plan, options = seen[0][0]._jdf.queryExecution().executedPlan().toString(), seen[0][1]
+    wide = [line for line in plan.splitlines() if "Exchange" in line and "range" in line]
+    assert options.get("dealt") and len(wide) == 1, plan
+    assert plan.count("Exchange hashpartitioning") <= 1, plan  # that of the few often met keys
