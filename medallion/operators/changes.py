@@ -37,6 +37,13 @@ def utc_wall_clock(count: Column, unit: str) -> Column:
     return F.timestamp_add(unit, count, F.lit(_EPOCH).cast("timestamp_ntz"))
 
 
+def computed_once(value: Column) -> Column:
+    """``value``, generated as a row of one: the optimizer copies what a
+    projection computes into every filter above that reads it, but moves no
+    filter below a generator. A select list holds one of these at most."""
+    return F.explode(F.array(value))
+
+
 @dataclass(frozen=True)
 class Field:
     """A row field of a change image.
@@ -92,7 +99,7 @@ def classified(bronze: DataFrame, spec: ChangeSpec) -> DataFrame:
     log's own columns that decoding needs."""
     by_name = {f.name: f for f in spec.fields}
     parsed = bronze.select(
-        "op", *POSITIONS, "offset", "payload", F.from_json("payload", spec.payload_schema()).alias("image")
+        "op", *POSITIONS, "offset", "payload", computed_once(F.from_json("payload", spec.payload_schema())).alias("image")
     ).withColumn("at", F.col("image.source"))
     texts = {n: F.col(f"image.after.{n}") for n in spec.attributes}
     texts |= {n: F.coalesce(F.col(f"image.after.{n}"), F.col(f"image.before.{n}")) for n in spec.key_fields}
@@ -114,7 +121,7 @@ def _lost_position(column: str) -> Column:
 
 
 def decode_changes(bronze: DataFrame, spec: ChangeSpec) -> DataFrame:
-    """Typed change rows of the live events (their filter reaches the scan): hash keys, business keys, attributes, delete flag,
+    """Typed change rows of the live events: hash keys, business keys, attributes, delete flag,
     source ordering columns, ``load_dts`` and ``record_source``. Rows that
     :func:`change_rejects` lists are not among them."""
     whole = classified(bronze.where(F.col("op").isNotNull()), spec)

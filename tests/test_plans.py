@@ -101,3 +101,10 @@ def test_the_landing_is_compressed(spark):
 
     files = [f for f in Path(landed_csv(spark, SF_SMALL).removeprefix("file:")).rglob("part-*")]
     assert files and all(f.name.endswith(".csv.gz") for f in files)
+
+
+@pytest.mark.parametrize("log", ["products", "orders"])
+def test_decoding_parses_each_json_text_once(spark, log):
+    plan = V.decoded(shop.bronze_changes(spark, SF_SMALL)[log], log)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 2, plan  # the envelope and its payload
+    assert plan.count("get_json_object(") <= 2, plan
